@@ -137,63 +137,70 @@ def max_rows_for_span(span: float, halo: int) -> int:
 
 def ewm_mean(df: DataFrame, col: str, span: float, out: str,
              keys: Sequence[str] | str = ("code",)) -> DataFrame:
-    """pandas ``ewm(span=span, adjust=True, ignore_na=False).mean()`` for every row,
-    halo rows included, so later windows in the same segmentation can use it.
+    """pandas ``ewm(span=span, adjust=True, ignore_na=False).mean()``; see ``ewm_many``."""
+    return ewm_many(df, [(col, span, out)], keys)
+
+
+def ewm_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
+             keys: Sequence[str] | str = ("code",)) -> DataFrame:
+    """Several exponentially weighted means ``(col, span, out)`` in one pass,
+    for every row (halo rows included, so later windows of the same
+    segmentation can read them).
 
     y_t = sum_{i<=t} q^(t-i) x_i / sum_{i<=t, x_i valid} q^(t-i), q = 1 - 2/(span+1).
-    Each partition (key, _seg) starts at row _seg*S - halo.  Inside it the sums
-    are running window sums with weights q^-j (j = local index, bounded by S+halo,
-    so no overflow); the state before the partition comes from the per-segment
-    summary table.
+    Partition (key, _seg) starts at row _seg*S - halo.  Inside it the sums are
+    running window sums with weights q^-j (j = local index < S + halo, so no
+    overflow).  The state just before the partition comes from a per-segment
+    summary table (one row per segment) folded over the previous segments.
+
+    The frame is re-shuffled on (key, _seg) first: the summary branch and the
+    main branch then read the same exchange (Spark reuses it) instead of each
+    recomputing everything upstream.
     """
     keys = _keys(keys)
     halo, S = layout(df)
-    q = 1.0 - 2.0 / (span + 1.0)
-    lnq = -math.log(q)
-    if (S + halo) * lnq > _EXP_LIMIT:
-        raise ValueError(f"segment size {S} too large for span {span}; "
-                         f"use seg_rows <= {max_rows_for_span(span, halo)}")
-    x = F.col(col).cast("double")
-    valid = x.isNotNull()
+    df = df.repartition(*keys, "_seg")
     start = F.col("_seg") * S - halo                       # first row of the partition
     j = (F.col("_rn") - start).cast("double")              # local index >= 0
-    wj = F.pow(F.lit(q), -j)
-    run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    a = F.coalesce(F.sum(F.when(valid, x * wj)).over(run), F.lit(0.0))
-    b = F.coalesce(F.sum(F.when(valid, wj)).over(run), F.lit(0.0))
-
-    # per-segment summary over core rows:
-    #   full_k = state at the segment end (all S rows, decayed to the last row)
-    #   pre_k  = state at position S-halo-1 (what the next partition starts from)
-    pos = F.col("_rn") - F.col("_home") * S
-    wf = F.pow(F.lit(q), F.lit(float(S - 1)) - pos)
-    wp = F.pow(F.lit(q), F.lit(float(S - halo - 1)) - pos)
+    pos = F.col("_rn") - F.col("_home") * S                # position inside the home segment
     in_pre = pos <= S - halo - 1
-    summ = (df.filter(core())
-              .groupBy(*keys, "_seg")
-              .agg(F.coalesce(F.sum(F.when(valid, x * wf)), F.lit(0.0)).alias("_fn"),
-                   F.coalesce(F.sum(F.when(valid, wf)), F.lit(0.0)).alias("_fd"),
-                   F.coalesce(F.sum(F.when(valid & in_pre, x * wp)), F.lit(0.0)).alias("_pn"),
-                   F.coalesce(F.sum(F.when(valid & in_pre, wp)), F.lit(0.0)).alias("_pd")))
-    # end-of-previous-segment state: sum_d (q^S)^(d-1) full_{k-d}; older terms underflow
-    m = int(math.ceil(_UNDERFLOW / (S * lnq))) + 1
-    prev = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(-m, -1)
-    qs = F.lit(q ** S)
-    fold = lambda arr: F.aggregate(arr, F.lit(0.0), lambda acc, v: acc * qs + v)
-    qh = F.lit(q ** (S - halo))
-    carry = (summ
-             .withColumn("_cn", F.col("_pn") + qh * fold(F.collect_list("_fn").over(prev)))
-             .withColumn("_cd", F.col("_pd") + qh * fold(F.collect_list("_fd").over(prev)))
-             .select(*keys, (F.col("_seg") + 1).alias("_seg"), "_cn", "_cd"))
-
-    tmp_a, tmp_b = f"_{out}_a", f"_{out}_b"
-    qj = F.pow(F.lit(q), j)
-    res = (df.withColumn(tmp_a, a).withColumn(tmp_b, b)
-             .join(carry, on=[*keys, "_seg"], how="left"))
-    num = qj * F.col(tmp_a) + qj * F.lit(q) * F.coalesce(F.col("_cn"), F.lit(0.0))
-    den = qj * F.col(tmp_b) + qj * F.lit(q) * F.coalesce(F.col("_cd"), F.lit(0.0))
-    return (res.withColumn(out, F.when(den > 0, num / den))
-               .drop(tmp_a, tmp_b, "_cn", "_cd"))
+    run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    prev_cols, aggs, folds, finals, tmps = [], [], [], [], []
+    for i, (col, span, out) in enumerate(specs):
+        q = 1.0 - 2.0 / (span + 1.0)
+        lnq = -math.log(q)
+        if (S + halo) * lnq > _EXP_LIMIT:
+            raise ValueError(f"segment size {S} too large for span {span}; "
+                             f"use seg_rows <= {max_rows_for_span(span, halo)}")
+        x = F.col(col).cast("double")
+        valid = x.isNotNull()
+        wj = F.pow(F.lit(q), -j)
+        ta, tb, fn, fd, pn, pd, cn, cd = (f"_e{i}{t}" for t in ("a", "b", "fn", "fd", "pn", "pd", "cn", "cd"))
+        prev_cols += [F.coalesce(F.sum(F.when(valid, x * wj)).over(run), F.lit(0.0)).alias(ta),
+                      F.coalesce(F.sum(F.when(valid, wj)).over(run), F.lit(0.0)).alias(tb)]
+        # full = state at the segment end; pre = state at position S-halo-1
+        wf = F.pow(F.lit(q), F.lit(float(S - 1)) - pos)
+        wp = F.pow(F.lit(q), F.lit(float(S - halo - 1)) - pos)
+        aggs += [F.coalesce(F.sum(F.when(valid, x * wf)), F.lit(0.0)).alias(fn),
+                 F.coalesce(F.sum(F.when(valid, wf)), F.lit(0.0)).alias(fd),
+                 F.coalesce(F.sum(F.when(valid & in_pre, x * wp)), F.lit(0.0)).alias(pn),
+                 F.coalesce(F.sum(F.when(valid & in_pre, wp)), F.lit(0.0)).alias(pd)]
+        # end-of-previous-segment state: sum_d (q^S)^(d-1) full_{k-d}; older terms underflow
+        m = int(math.ceil(_UNDERFLOW / (S * lnq))) + 1
+        prev = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(-m, -1)
+        qs, qh = F.lit(q ** S), F.lit(q ** (S - halo))
+        fold = (lambda arr, qs=qs: F.aggregate(arr, F.lit(0.0), lambda acc, v: acc * qs + v))
+        folds += [(F.col(pn) + qh * fold(F.collect_list(fn).over(prev))).alias(cn),
+                  (F.col(pd) + qh * fold(F.collect_list(fd).over(prev))).alias(cd)]
+        qj = F.pow(F.lit(q), j)
+        num = qj * F.col(ta) + qj * F.lit(q) * F.coalesce(F.col(cn), F.lit(0.0))
+        den = qj * F.col(tb) + qj * F.lit(q) * F.coalesce(F.col(cd), F.lit(0.0))
+        finals.append(F.when(den > 0, num / den).alias(out))
+        tmps += [ta, tb, cn, cd]
+    summ = df.filter(core()).groupBy(*keys, "_seg").agg(*aggs)
+    carry = summ.select(*keys, (F.col("_seg") + 1).alias("_seg"), *folds)
+    res = df.select("*", *prev_cols).join(carry, on=[*keys, "_seg"], how="left")
+    return res.select("*", *finals).drop(*tmps)
 
 
 def forward_fill(df: DataFrame, col: str, out: str,
@@ -201,6 +208,7 @@ def forward_fill(df: DataFrame, col: str, out: str,
     """Last non-null value at or before each row (pandas ``ffill``), halo rows included."""
     keys = _keys(keys)
     halo, S = layout(df)
+    df = df.repartition(*keys, "_seg")
     pos = F.col("_rn") - F.col("_home") * S
     x = F.col(col)
     # value at the largest position holding a non-null value (NULL ordering keys are skipped)
@@ -228,7 +236,7 @@ def resequence(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
     keys = _keys(keys)
     _, old_s = layout(df)
     s = seg_rows or old_s
-    base = finish_keep(df)
+    base = finish_keep(df).repartition(*keys, "_home")
     counts = base.groupBy(*keys, "_home").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_home").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_home", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -135,8 +135,7 @@ def macd(df: DataFrame, fast: int = 60, slow: int = 130, signal: int = 45,
          col: str = "close") -> DataFrame:
     """W11 MACD line = EMA(fast) - EMA(slow); signal = EMA(signal) of the line."""
     def fn(s):
-        s = S.ewm_mean(s, col, fast, f"ema{fast}")
-        s = S.ewm_mean(s, col, slow, f"ema{slow}")
+        s = S.ewm_many(s, [(col, fast, f"ema{fast}"), (col, slow, f"ema{slow}")])
         s = s.withColumn("macd", F.col(f"ema{fast}") - F.col(f"ema{slow}"))
         s = S.ewm_mean(s, "macd", signal, "signal")
         return s.withColumn("macdhist", F.col("macd") - F.col("signal"))

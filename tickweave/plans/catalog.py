@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators import indicators as I
 from ..operators import signals as G
+from ..functions import series as S
 from ..sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # decimal places kept in registered outputs (price-level vs ratio-level values)
 PRICE_PLACES = 4
 RATIO_PLACES = 6
+EWM_PLACES = 4
 
 
 def query(name: str):
@@ -46,19 +48,121 @@ def _bars(spark, sf_dir, freq="week"):
     return X.bars(spark, sf_dir, freq)
 
 
+def _series(spark, sf_dir, halo, freq="week", seg_rows=S.SEGMENT_ROWS):
+    return S.open_series(_bars(spark, sf_dir, freq), halo=halo, seg_rows=seg_rows)
+
+
 BAND_COLS = ["code", "date", "close", "center", "stddev", "upper", "lower"]
-PRICE_LEVEL = {c: PRICE_PLACES for c in ("center", "stddev", "upper", "lower")}
+PRICE_LEVEL = {c: PRICE_PLACES for c in ("center", "stddev", "upper", "lower", "ma20", "tp")}
+EWM_COLS = ("ema60", "ema130", "macd", "signal", "macdhist")
+EWM_LEVEL = {c: EWM_PLACES for c in EWM_COLS}
 
 
 @query("percent_b")
 def q_percent_b(spark, sf_dir):
-    """§7.2 minimum slice: Bollinger(20, 2) and %B for every code, first 19 rows dropped."""
-    s = I.percent_b(I.bollinger(X_series(spark, sf_dir, 19)))
-    out = G.drop_first(s, 19)
-    from ..functions import series as S
-    return _round(S.finish(out).select(*BAND_COLS, "pb"), **PRICE_LEVEL)
+    """§7.2 minimum slice: Bollinger(20, 2) and %B for every code, first 19 rows dropped."""
+    s = I.percent_b(I.bollinger(_series(spark, sf_dir, 19)))
+    out = S.finish(G.drop_first(s, 19))
+    return _round(out.select(*BAND_COLS, "pb"), **PRICE_LEVEL)
+
+
+@query("sma20")
+def q_sma20(spark, sf_dir):
+    """W1 20-row moving average of close, NULL until 20 values."""
+    return _round(I.sma(_bars(spark, sf_dir), "close", 20).select("code", "date", "close", "ma20"),
+                  **PRICE_LEVEL)
+
+
+@query("bollinger")
+def q_bollinger(spark, sf_dir):
+    """W2/W3 full-history bands (no trim), as the table-function form does."""
+    return _round(I.bollinger(_bars(spark, sf_dir), 20, 2.0).select(*BAND_COLS), **PRICE_LEVEL)
+
+
+@query("typical_price")
+def q_typical_price(spark, sf_dir):
+    """W5 (H + L + C) / 3."""
+    return _round(I.typical_price(_bars(spark, sf_dir)).select("code", "date", "tp"), **PRICE_LEVEL)
+
+
+@query("money_flow")
+def q_money_flow(spark, sf_dir):
+    """W6 truncated positive / negative money flow."""
+    out = I.money_flow(I.typical_price(_bars(spark, sf_dir)))
+    return out.select("code", "date", "pmf", "nmf")
+
+
+@query("mfi10")
+def q_mfi10(spark, sf_dir):
+    """W7 10-row money flow index."""
+    return _round(I.mfi(_bars(spark, sf_dir), 10).select("code", "date", "mfi10"))
+
+
+@query("intraday_intensity")
+def q_intraday_intensity(spark, sf_dir):
+    """W8 intraday intensity; H = L -> NULL."""
+    return _round(I.intraday_intensity(_bars(spark, sf_dir)).select("code", "date", "ii"), ii=PRICE_PLACES)
+
+
+@query("iip21")
+def q_iip21(spark, sf_dir):
+    """W9 21-row intraday intensity %."""
+    return _round(I.ii_percent(_bars(spark, sf_dir), 21).select("code", "date", "iip21"))
+
+
+@query("trend_following")
+def q_trend_following(spark, sf_dir):
+    """W17 buy/sell rows of the %B + MFI trend-following rule."""
+    out = G.trend_following(_bars(spark, sf_dir))
+    return _round(out.select("code", "date", "close", "pb", "mfi10", "signal"))
+
+
+@query("reversal")
+def q_reversal(spark, sf_dir):
+    """W18 buy/sell rows of the %B + II% reversal rule (after dropna)."""
+    out = G.reversal(_bars(spark, sf_dir))
+    return _round(out.select("code", "date", "close", "pb", "iip21", "signal"))
+
+
+@query("ewm60")
+def q_ewm60(spark, sf_dir):
+    """W10 exponentially weighted mean of close, span 60."""
+    return _round(I.ewm(_bars(spark, sf_dir), "close", 60, "ema60").select("code", "date", "ema60"),
+                  **EWM_LEVEL)
+
+
+@query("macd")
+def q_macd(spark, sf_dir):
+    """W11 MACD(60, 130, 45): line, signal line, histogram."""
+    out = I.macd(_bars(spark, sf_dir), 60, 130, 45)
+    return _round(out.select("code", "date", *EWM_COLS), **EWM_LEVEL)
+
+
+@query("stochastic")
+def q_stochastic(spark, sf_dir):
+    """W12–W15 14-row high/low, fast %K, 3-row slow %D on the full history."""
+    out = I.stochastic(_bars(spark, sf_dir), 14, 3)
+    return _round(out.select("code", "date", "ndays_high", "ndays_low", "fast_k", "slow_d"))
+
+
+@query("first_screen")
+def q_first_screen(spark, sf_dir):
+    """W20 first screen: MACD set, dropna, chart columns."""
+    out = G.chart_frame(G.first_screen(_bars(spark, sf_dir)),
+                        ["code", "date", "open", "high", "low", "close", *EWM_COLS])
+    return _round(out, **EWM_LEVEL)
+
+
+@query("second_screen")
+def q_second_screen(spark, sf_dir):
+    """W21 second screen: stochastic on the rows the first screen kept, dropna."""
+    out = G.second_screen(_bars(spark, sf_dir))
+    return _round(out.select("code", "date", "close", "ema130", "ndays_high", "ndays_low",
+                             "fast_k", "slow_d"), **EWM_LEVEL)
 
 
-def X_series(spark, sf_dir, halo, freq="week"):
-    from ..functions import series as S
-    return S.open_series(_bars(spark, sf_dir, freq), halo=halo)
+@query("triple_screen")
+def q_triple_screen(spark, sf_dir):
+    """W19 triple-screen trades: EMA130 direction + slow %D crossing 20 / 80."""
+    out = G.triple_screen(_bars(spark, sf_dir))
+    return _round(out.select("code", "date", "close", "ema130", "slow_d", "trade"), **EWM_LEVEL)

@@ -52,3 +52,242 @@ SELECT code, date, close,
              {RATIO_PLACES}) AS pb
 FROM w WHERE rn > 19
 """
+
+EWM_PLACES = 4
+
+
+def _r(expr: str, places: int = RATIO_PLACES) -> str:
+    return f"round({expr}, {places})"
+
+
+# rolling frames of n rows: NULL until n valid values (pandas rolling)
+def _roll(agg: str, col: str, n: int, frame: str) -> str:
+    return f"CASE WHEN count({col}) OVER {frame} = {n} THEN {agg}({col}) OVER {frame} END"
+
+
+BANDS = f"""
+bands AS (
+  SELECT code, date, open, high, low, close, volume,
+         row_number() OVER (PARTITION BY code ORDER BY date) AS rn,
+         {_roll('avg', 'close::DOUBLE', 20, 'f20')} AS center,
+         {_roll('stddev_samp', 'close::DOUBLE', 20, 'f20')} AS stddev
+  FROM bars
+  WINDOW f20 AS (PARTITION BY code ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+),
+bands2 AS (
+  SELECT *, center + stddev * 2.0 AS upper, center - stddev * 2.0 AS lower,
+         (close - (center - stddev * 2.0)) / nullif((center + stddev * 2.0) - (center - stddev * 2.0), 0) AS pb
+  FROM bands
+)"""
+
+ORACLE["sma20"] = f"""
+WITH {bars_cte()}
+SELECT code, date, close,
+       {_r(_roll('avg', 'close::DOUBLE', 20, 'f20'), PRICE_PLACES)} AS ma20
+FROM bars
+WINDOW f20 AS (PARTITION BY code ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+"""
+
+ORACLE["bollinger"] = f"""
+WITH {bars_cte()}, {BANDS}
+SELECT code, date, close, {_r('center', PRICE_PLACES)} AS center, {_r('stddev', PRICE_PLACES)} AS stddev,
+       {_r('upper', PRICE_PLACES)} AS upper, {_r('lower', PRICE_PLACES)} AS lower
+FROM bands2
+"""
+
+ORACLE["typical_price"] = f"""
+WITH {bars_cte()}
+SELECT code, date, {_r('(high::DOUBLE + low::DOUBLE + close::DOUBLE) / 3.0', PRICE_PLACES)} AS tp FROM bars
+"""
+
+FLOWS = """
+tp AS (
+  SELECT code, date, open, high, low, close, volume,
+         (high::DOUBLE + low::DOUBLE + close::DOUBLE) / 3.0 AS tp,
+         row_number() OVER (PARTITION BY code ORDER BY date) AS rn
+  FROM bars
+),
+flows AS (
+  SELECT *,
+         lag(tp) OVER (PARTITION BY code ORDER BY date) AS prev_tp,
+         CAST(trunc(tp * volume::DOUBLE) AS BIGINT) AS flow
+  FROM tp
+),
+mf AS (
+  SELECT *,
+         CASE WHEN rn = 1 THEN 0 WHEN prev_tp < tp THEN flow ELSE 0 END::BIGINT AS pmf,
+         CASE WHEN rn = 1 THEN 0 WHEN prev_tp < tp THEN 0 ELSE flow END::BIGINT AS nmf
+  FROM flows
+),
+mfr AS (
+  SELECT *,
+         CASE WHEN count(pmf) OVER f10 = 10 THEN sum(pmf::DOUBLE) OVER f10 END AS psum,
+         CASE WHEN count(nmf) OVER f10 = 10 THEN sum(nmf::DOUBLE) OVER f10 END AS nsum
+  FROM mf
+  WINDOW f10 AS (PARTITION BY code ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+),
+mfi AS (
+  SELECT *, CASE WHEN nsum = 0 THEN (CASE WHEN psum > 0 THEN 100.0 END)
+                 ELSE 100.0 - 100.0 / (1.0 + psum / nsum) END AS mfi10
+  FROM mfr
+)"""
+
+ORACLE["money_flow"] = f"""
+WITH {bars_cte()}, {FLOWS}
+SELECT code, date, pmf, nmf FROM mf
+"""
+
+ORACLE["mfi10"] = f"""
+WITH {bars_cte()}, {FLOWS}
+SELECT code, date, {_r('mfi10')} AS mfi10 FROM mfi
+"""
+
+II = """
+ii AS (
+  SELECT *, (2.0 * close::DOUBLE - high::DOUBLE - low::DOUBLE)
+              / nullif(high::DOUBLE - low::DOUBLE, 0) * volume::DOUBLE AS ii
+  FROM {src}
+),
+iip AS (
+  SELECT *,
+         CASE WHEN count(ii) OVER f21 = 21 AND count(volume) OVER f21 = 21
+              THEN sum(ii) OVER f21 / nullif(sum(volume::DOUBLE) OVER f21, 0) * 100.0 END AS iip21
+  FROM ii
+  WINDOW f21 AS (PARTITION BY code ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)
+)"""
+
+ORACLE["intraday_intensity"] = f"""
+WITH {bars_cte()}, {II.format(src='bars')}
+SELECT code, date, {_r('ii', PRICE_PLACES)} AS ii FROM ii
+"""
+
+ORACLE["iip21"] = f"""
+WITH {bars_cte()}, {II.format(src='bars')}
+SELECT code, date, {_r('iip21')} AS iip21 FROM iip
+"""
+
+ORACLE["trend_following"] = f"""
+WITH {bars_cte()}, {BANDS}, {FLOWS}
+SELECT b.code, b.date, b.close, {_r('b.pb')} AS pb, {_r('m.mfi10')} AS mfi10,
+       CASE WHEN b.pb > 0.8 AND m.mfi10 > 80 THEN 'buy'
+            WHEN b.pb < 0.2 AND m.mfi10 < 20 THEN 'sell' END AS signal
+FROM bands2 b JOIN mfi m USING (code, date)
+WHERE b.rn > 19
+  AND ((b.pb > 0.8 AND m.mfi10 > 80) OR (b.pb < 0.2 AND m.mfi10 < 20))
+"""
+
+ORACLE["reversal"] = f"""
+WITH {bars_cte()}, {BANDS}, {II.format(src='bands2')},
+kept AS (
+  SELECT * FROM iip
+  WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL
+    AND volume IS NOT NULL AND center IS NOT NULL AND stddev IS NOT NULL AND upper IS NOT NULL
+    AND lower IS NOT NULL AND pb IS NOT NULL AND ii IS NOT NULL AND iip21 IS NOT NULL
+)
+SELECT code, date, close, {_r('pb')} AS pb, {_r('iip21')} AS iip21,
+       CASE WHEN pb < 0.05 AND iip21 > 0 THEN 'buy' WHEN pb > 0.95 AND iip21 < 0 THEN 'sell' END AS signal
+FROM kept
+WHERE (pb < 0.05 AND iip21 > 0) OR (pb > 0.95 AND iip21 < 0)
+"""
+
+# EWM by the textbook recursion: num_t = x_t + q num_{t-1}, den_t = 1 + q den_{t-1}
+Q60, Q130, Q45 = "(1.0 - 2.0 / 61.0)", "(1.0 - 2.0 / 131.0)", "(1.0 - 2.0 / 46.0)"
+EWM = f"""
+seqd AS (
+  SELECT code, date, open, high, low, close, volume,
+         row_number() OVER (PARTITION BY code ORDER BY date) AS rn
+  FROM bars
+),
+ewm(code, rn, n60, d60, n130, d130, sn, sd) AS (
+  SELECT code, rn, close::DOUBLE, 1.0::DOUBLE, close::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE
+  FROM seqd WHERE rn = 1
+  UNION ALL
+  SELECT s.code, s.rn,
+         s.close + {Q60} * e.n60, 1.0 + {Q60} * e.d60,
+         s.close + {Q130} * e.n130, 1.0 + {Q130} * e.d130,
+         ((s.close + {Q60} * e.n60) / (1.0 + {Q60} * e.d60)
+          - (s.close + {Q130} * e.n130) / (1.0 + {Q130} * e.d130)) + {Q45} * e.sn,
+         1.0 + {Q45} * e.sd
+  FROM ewm e JOIN seqd s ON s.code = e.code AND s.rn = e.rn + 1
+),
+screen1 AS (
+  SELECT s.code, s.date, s.open, s.high, s.low, s.close, s.volume,
+         e.n60 / e.d60 AS ema60, e.n130 / e.d130 AS ema130,
+         e.n60 / e.d60 - e.n130 / e.d130 AS macd, e.sn / e.sd AS signal,
+         (e.n60 / e.d60 - e.n130 / e.d130) - e.sn / e.sd AS macdhist
+  FROM seqd s JOIN ewm e USING (code, rn)
+  WHERE s.open IS NOT NULL AND s.high IS NOT NULL AND s.low IS NOT NULL
+    AND s.close IS NOT NULL AND s.volume IS NOT NULL
+)"""
+
+STOCH = """
+st AS (
+  SELECT *,
+         max(high::DOUBLE) OVER f14 AS ndays_high,
+         min(low::DOUBLE) OVER f14 AS ndays_low,
+         (close::DOUBLE - min(low::DOUBLE) OVER f14)
+           / nullif(max(high::DOUBLE) OVER f14 - min(low::DOUBLE) OVER f14, 0) * 100.0 AS fast_k
+  FROM {src}
+  WINDOW f14 AS (PARTITION BY code ORDER BY date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)
+),
+sd AS (
+  SELECT *,
+         CASE WHEN count(fast_k) OVER f3 = 3 THEN avg(fast_k) OVER f3 END AS slow_d
+  FROM st
+  WINDOW f3 AS (PARTITION BY code ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+)"""
+
+
+def _e(col: str) -> str:
+    return f"round({col}, {EWM_PLACES}) AS {col}"
+
+
+ORACLE["ewm60"] = f"""
+WITH RECURSIVE {bars_cte()}, {EWM}
+SELECT code, date, {_e('ema60')} FROM screen1
+"""
+
+ORACLE["macd"] = f"""
+WITH RECURSIVE {bars_cte()}, {EWM}
+SELECT code, date, {_e('ema60')}, {_e('ema130')}, {_e('macd')}, {_e('signal')}, {_e('macdhist')}
+FROM screen1
+"""
+
+ORACLE["stochastic"] = f"""
+WITH {bars_cte()}, {STOCH.format(src='bars')}
+SELECT code, date, {_r('ndays_high')} AS ndays_high, {_r('ndays_low')} AS ndays_low,
+       {_r('fast_k')} AS fast_k, {_r('slow_d')} AS slow_d
+FROM sd
+"""
+
+ORACLE["first_screen"] = f"""
+WITH RECURSIVE {bars_cte()}, {EWM}
+SELECT code, date, open, high, low, close,
+       {_e('ema60')}, {_e('ema130')}, {_e('macd')}, {_e('signal')}, {_e('macdhist')}
+FROM screen1
+"""
+
+SCREEN2 = f"""{STOCH.format(src='screen1')},
+screen2 AS (SELECT * FROM sd WHERE fast_k IS NOT NULL AND slow_d IS NOT NULL)"""
+
+ORACLE["second_screen"] = f"""
+WITH RECURSIVE {bars_cte()}, {EWM}, {SCREEN2}
+SELECT code, date, close, {_e('ema130')}, {_r('ndays_high')} AS ndays_high,
+       {_r('ndays_low')} AS ndays_low, {_r('fast_k')} AS fast_k, {_r('slow_d')} AS slow_d
+FROM screen2
+"""
+
+ORACLE["triple_screen"] = f"""
+WITH RECURSIVE {bars_cte()}, {EWM}, {SCREEN2},
+lagged AS (
+  SELECT *, lag(ema130) OVER w AS pe, lag(slow_d) OVER w AS ps
+  FROM screen2 WINDOW w AS (PARTITION BY code ORDER BY date)
+),
+trades AS (
+  SELECT *, CASE WHEN pe < ema130 AND ps >= 20 AND slow_d < 20 THEN 'buy'
+                 WHEN pe > ema130 AND ps <= 80 AND slow_d > 80 THEN 'sell' END AS trade
+  FROM lagged
+)
+SELECT code, date, close, {_e('ema130')}, {_r('slow_d')} AS slow_d, trade
+FROM trades WHERE trade IS NOT NULL
+"""
