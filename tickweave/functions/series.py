@@ -216,13 +216,13 @@ def forward_fill(df: DataFrame, col: str, out: str,
               .agg(F.max_by(x, F.when(x.isNotNull() & (pos <= S - halo - 1), F.col("_rn"))).alias("_pre"),
                    F.max_by(x, F.when(x.isNotNull(), F.col("_rn"))).alias("_all")))
     prev = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summ.withColumn("_ff", F.coalesce(F.col("_pre"),
+    carry = (summ.withColumn("_ffc", F.coalesce(F.col("_pre"),
                                                F.last(F.col("_all"), ignorenulls=True).over(prev)))
-                 .select(*keys, (F.col("_seg") + 1).alias("_seg"), "_ff"))
+                 .select(*keys, (F.col("_seg") + 1).alias("_seg"), "_ffc"))
     run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     return (df.join(carry, on=[*keys, "_seg"], how="left")
-              .withColumn(out, F.coalesce(F.last(x, ignorenulls=True).over(run), F.col("_ff")))
-              .drop("_ff"))
+              .withColumn(out, F.coalesce(F.last(x, ignorenulls=True).over(run), F.col("_ffc")))
+              .drop("_ffc"))
 
 
 def resequence(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),

@@ -45,7 +45,7 @@ def _round(df: DataFrame, places: int = RATIO_PLACES, **per_col: int) -> DataFra
 
 
 def _bars(spark, sf_dir, freq="week"):
-    return X.bars(spark, sf_dir, freq)
+    return X.stored_bars(spark, sf_dir, freq)
 
 
 def _series(spark, sf_dir, halo, freq="week", seg_rows=S.SEGMENT_ROWS):
@@ -166,3 +166,150 @@ def q_triple_screen(spark, sf_dir):
     """W19 triple-screen trades: EMA130 direction + slow %D crossing 20 / 80."""
     out = G.triple_screen(_bars(spark, sf_dir))
     return _round(out.select("code", "date", "close", "ema130", "slow_d", "trade"), **EWM_LEVEL)
+
+
+# --- security master and scans ------------------------------------------------
+from ..operators import momentum as M  # noqa: E402
+from ..operators import portfolio as P  # noqa: E402
+from ..sources import market as K  # noqa: E402
+
+SCAN_TOKENS = ["CO BRAND#24", "Brand#3", "CO BRAND#7", "NO SUCH CO"]
+BAR_COLS = ["code", "date", "ymd", "open", "high", "low", "close", "volume"]
+
+
+def _items(spark, sf_dir):
+    return X.items(spark, sf_dir)
+
+
+@query("price_scan")
+def q_price_scan(spark, sf_dir):
+    """S3/P4 bars of tokens given as code or name, inclusive yyyyMMdd / yyyy-MM-dd range."""
+    codes = K.resolve_tokens(K.tokens_frame(spark, SCAN_TOKENS), _items(spark, sf_dir))
+    return K.daily_price(_bars(spark, sf_dir), codes, "1996-01-01", "19981231").select(*BAR_COLS)
+
+
+@query("price_history")
+def q_price_history(spark, sf_dir):
+    """S5/T1 whole history of every code, ordered by date."""
+    return K.price_history(_bars(spark, sf_dir)).select(*BAR_COLS)
+
+
+@query("resolve_tokens")
+def q_resolve_tokens(spark, sf_dir):
+    """J1 every name and code of the master (plus lower-cased names, unknown) -> code."""
+    items = _items(spark, sf_dir)
+    tokens = (items.select(F.col("name").alias("token"))
+              .unionByName(items.select(F.col("code").alias("token")))
+              .unionByName(items.select(F.lower("name").alias("token")))).distinct()
+    return K.resolve_tokens(tokens, items)
+
+
+@query("active_universe")
+def q_active_universe(spark, sf_dir):
+    """S6 codes and names with status 'Y'."""
+    return K.active_universe(_items(spark, sf_dir))
+
+
+# --- momentum -------------------------------------------------------------------
+RLTV = ("1996-01-03", "1998-12-31", 10)
+ABS = ("1999-01-04", "1999-12-31")
+
+
+@query("asof_day")
+def q_asof_day(spark, sf_dir):
+    """J4 as-of trading day for every order date (latest bar date on or before it)."""
+    orders = X.read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("requested"))
+    return M.asof_days(orders, _bars(spark, sf_dir))
+
+
+@query("two_date_prices")
+def q_two_date_prices(spark, sf_dir):
+    """J5 close at both snapped dates per code; codes missing either drop."""
+    b = _bars(spark, sf_dir)
+    return M.two_date_prices(b, M.asof_trading_day(b, RLTV[0]), M.asof_trading_day(b, RLTV[1]))
+
+
+def _relative(spark, sf_dir):
+    return M.relative_momentum(_bars(spark, sf_dir), _items(spark, sf_dir), *RLTV)
+
+
+@query("relative_momentum")
+def q_relative_momentum(spark, sf_dir):
+    """M1/T2 top-10 codes by return 1996-01 .. 1998-12, with company names."""
+    return _round(_relative(spark, sf_dir))
+
+
+@query("absolute_momentum")
+def q_absolute_momentum(spark, sf_dir):
+    """M2/J6/T3 return of the relative-momentum codes over the next year, all of them."""
+    out = M.absolute_momentum(_bars(spark, sf_dir), _items(spark, sf_dir),
+                              _relative(spark, sf_dir), *ABS)
+    return _round(out)
+
+
+@query("momentum_summary")
+def q_momentum_summary(spark, sf_dir):
+    """A6 mean return of the absolute-momentum selection."""
+    out = M.absolute_momentum(_bars(spark, sf_dir), _items(spark, sf_dir),
+                              _relative(spark, sf_dir), *ABS)
+    return _round(M.momentum_summary(out))
+
+
+# --- portfolio ------------------------------------------------------------------
+N_CANDIDATES = 20000
+WEIGHT_PLACES = 10
+
+
+def _rets(spark, sf_dir):
+    from ..session import materialize
+    rets = P.aligned_returns(_bars(spark, sf_dir), _items(spark, sf_dir).select("code"))
+    # μ, Σ and the best-row filters are scalar subqueries over these returns
+    return materialize(rets, "returns")
+
+
+@query("daily_returns")
+def q_daily_returns(spark, sf_dir):
+    """J3/A2/C12 returns on the first code's dates, gaps padded forward."""
+    return _round(_rets(spark, sf_dir).select("code", "date", "ret"), ret=10)
+
+
+@query("annual_return")
+def q_annual_return(spark, sf_dir):
+    """A1 mean daily return × 252."""
+    return _round(P.annual_returns(_rets(spark, sf_dir)))
+
+
+@query("covariance")
+def q_covariance(spark, sf_dir):
+    """A3/J8 annualised pairwise-complete sample covariance of all master codes."""
+    return _round(P.covariance(_rets(spark, sf_dir)))
+
+
+def _weights(spark, sf_dir):
+    return P.candidate_weights(spark, _items(spark, sf_dir).select("code"), N_CANDIDATES)
+
+
+@query("candidate_weights")
+def q_candidate_weights(spark, sf_dir):
+    """M4/F14 20,000 normalised md5-uniform weight vectors over all master codes."""
+    w = _weights(spark, sf_dir)
+    return w.select("portfolio_id",
+                    F.transform("weights", lambda x: F.round(x, WEIGHT_PLACES)).alias("weights"))
+
+
+def _scores(spark, sf_dir):
+    rets = _rets(spark, sf_dir)
+    uni = _items(spark, sf_dir).select("code")
+    return P.portfolio_scores(_weights(spark, sf_dir), P.annual_returns(rets), P.covariance(rets), uni)
+
+
+@query("portfolio_scores")
+def q_portfolio_scores(spark, sf_dir):
+    """M3/F15–F17 return, risk and return/risk of every candidate."""
+    return _round(_scores(spark, sf_dir).drop("weights"))
+
+
+@query("portfolio_best")
+def q_portfolio_best(spark, sf_dir):
+    """M5/P9 candidates of maximum return/risk and of minimum risk."""
+    return _round(P.portfolio_best(_scores(spark, sf_dir)).drop("weights"))

@@ -291,3 +291,192 @@ trades AS (
 SELECT code, date, close, {_e('ema130')}, {_r('slow_d')} AS slow_d, trade
 FROM trades WHERE trade IS NOT NULL
 """
+
+# --- security master ------------------------------------------------------------
+ITEMS_CTE = """
+items AS (
+  SELECT p_brand AS code,
+         CASE WHEN CAST(regexp_extract(p_brand, '#(\\d+)$', 1) AS INTEGER) % 2 = 1 THEN 'Y' ELSE 'N' END AS status,
+         'CO BRAND#' || CAST(least(CAST(regexp_extract(p_brand, '#(\\d+)$', 1) AS INTEGER), 24) AS VARCHAR) AS name
+  FROM part GROUP BY p_brand
+)"""
+
+ORACLE["price_scan"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE},
+tok(token) AS (VALUES ('CO BRAND#24'), ('Brand#3'), ('CO BRAND#7'), ('NO SUCH CO')),
+res AS (
+  SELECT token, coalesce((SELECT i.code FROM items i WHERE i.code = token),
+                         (SELECT min(i.code) FROM items i WHERE i.name = token)) AS code
+  FROM tok
+)
+SELECT code, date, ymd, open, high, low, close, volume
+FROM bars WHERE code IN (SELECT code FROM res) AND ymd BETWEEN '19960101' AND '19981231'
+"""
+
+ORACLE["price_history"] = f"""
+WITH {bars_cte()}
+SELECT code, date, ymd, open, high, low, close, volume FROM bars ORDER BY code, date
+"""
+
+ORACLE["resolve_tokens"] = f"""
+WITH {ITEMS_CTE},
+tok AS (SELECT name AS token FROM items UNION SELECT code FROM items UNION SELECT lower(name) FROM items)
+SELECT token, coalesce((SELECT i.code FROM items i WHERE i.code = token),
+                       (SELECT min(i.code) FROM items i WHERE i.name = token)) AS code
+FROM tok
+"""
+
+ORACLE["active_universe"] = f"""
+WITH {ITEMS_CTE}
+SELECT code, name FROM items WHERE status = 'Y'
+"""
+
+# --- momentum -------------------------------------------------------------------
+ORACLE["asof_day"] = f"""
+WITH {bars_cte()},
+req AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS requested FROM orders),
+days AS (SELECT DISTINCT date FROM bars)
+SELECT requested, trading_day FROM (
+  SELECT requested, (SELECT max(date) FROM days WHERE date <= requested) AS trading_day FROM req)
+WHERE trading_day IS NOT NULL
+"""
+
+MOMENTUM = """
+d AS (SELECT (SELECT max(date) FROM bars WHERE date <= DATE '{s}') AS d0,
+             (SELECT max(date) FROM bars WHERE date <= DATE '{e}') AS d1),
+p AS (
+  SELECT code,
+         max(CASE WHEN date = (SELECT d0 FROM d) THEN close END) AS old_price,
+         max(CASE WHEN date = (SELECT d1 FROM d) THEN close END) AS new_price
+  FROM bars GROUP BY code
+  HAVING max(CASE WHEN date = (SELECT d0 FROM d) THEN close END) IS NOT NULL
+     AND max(CASE WHEN date = (SELECT d1 FROM d) THEN close END) IS NOT NULL
+),
+{name} AS (
+  SELECT p.code, i.name AS company, old_price, new_price,
+         (new_price::DOUBLE / nullif(old_price::DOUBLE, 0) - 1.0) * 100.0 AS returns
+  FROM p JOIN items i USING (code)
+)"""
+
+RLTV_CTE = MOMENTUM.format(s="1996-01-03", e="1998-12-31", name="m1") + """,
+top AS (
+  SELECT *, row_number() OVER (ORDER BY returns DESC, code ASC) AS rank FROM m1
+  ORDER BY returns DESC, code ASC LIMIT 10
+)"""
+
+ABS_CTE = RLTV_CTE.replace("\nd AS", "\nd1x AS", 0) + "," + MOMENTUM.format(
+    s="1999-01-04", e="1999-12-31", name="m2").replace("d AS (", "dd AS (").replace(
+    "FROM d)", "FROM dd)").replace("\np AS (", "\npp AS (").replace("FROM p JOIN", "FROM pp p JOIN") + """,
+absm AS (SELECT * FROM m2 WHERE code IN (SELECT code FROM top))"""
+
+ORACLE["two_date_prices"] = f"""
+WITH {bars_cte()}, {MOMENTUM.format(s='1996-01-03', e='1998-12-31', name='unused')}
+SELECT code, old_price, new_price FROM p
+"""
+
+ORACLE["relative_momentum"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {RLTV_CTE}
+SELECT code, company, old_price, new_price, {_r('returns')} AS returns, rank FROM top
+"""
+
+ORACLE["absolute_momentum"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {ABS_CTE}
+SELECT code, company, old_price, new_price, {_r('returns')} AS returns FROM absm
+"""
+
+ORACLE["momentum_summary"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {ABS_CTE}
+SELECT count(*) AS n_codes, {_r('avg(returns)')} AS mean_returns FROM absm
+"""
+
+# --- portfolio ------------------------------------------------------------------
+RETS_CTE = """
+idx AS (
+  SELECT date, row_number() OVER (ORDER BY date) - 1 AS k
+  FROM bars WHERE code = (SELECT min(code) FROM items)
+),
+present AS (
+  SELECT b.code, i.k, i.date, b.close
+  FROM bars b JOIN idx i USING (date) WHERE b.code IN (SELECT code FROM items)
+),
+k0 AS (SELECT code, min(k) AS k0 FROM present GROUP BY code),
+grid AS (SELECT k0.code, i.k, i.date FROM k0 JOIN idx i ON i.k >= k0.k0),
+g AS (SELECT grid.code, grid.k, grid.date, p.close FROM grid LEFT JOIN present p USING (code, k)),
+ff AS (
+  SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY code ORDER BY k
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ffc
+  FROM g
+),
+rets AS (
+  SELECT code, k, date,
+         ffc::DOUBLE / nullif(lag(ffc) OVER (PARTITION BY code ORDER BY k)::DOUBLE, 0) - 1.0 AS ret
+  FROM ff
+),
+annual AS (SELECT code, avg(ret) * 252.0 AS annual_ret FROM rets GROUP BY code),
+covm AS (
+  SELECT a.code AS code_i, b.code AS code_j, covar_samp(a.ret, b.ret) * 252.0 AS cov
+  FROM rets a JOIN rets b USING (k)
+  WHERE a.ret IS NOT NULL AND b.ret IS NOT NULL
+  GROUP BY 1, 2
+)"""
+
+WEIGHTS_CTE = """
+u AS (SELECT list(code ORDER BY code) AS codes FROM items),
+raw AS (
+  SELECT r.range AS portfolio_id, u.codes,
+         list_transform(u.codes, lambda c: ('0x' || substr(md5(CAST(r.range AS VARCHAR) || '-' || c), 1, 8))::BIGINT
+                                      / 4294967296.0) AS uu
+  FROM range(20000) r, u
+),
+wts AS (
+  SELECT portfolio_id, codes, list_transform(uu, lambda x: x / list_reduce(uu, lambda a, b: a + b)) AS weights
+  FROM raw
+),
+wl AS (
+  SELECT portfolio_id, unnest(codes) AS code, unnest(weights) AS w FROM wts
+),
+scores AS (
+  SELECT r.portfolio_id, r.returns, k.risk, r.returns / nullif(k.risk, 0) AS sharpe
+  FROM (SELECT portfolio_id, sum(w * annual_ret) AS returns
+        FROM wl JOIN annual USING (code) GROUP BY 1) r
+  JOIN (SELECT a.portfolio_id, sqrt(sum(a.w * b.w * c.cov)) AS risk
+        FROM wl a JOIN wl b USING (portfolio_id)
+        JOIN covm c ON c.code_i = a.code AND c.code_j = b.code GROUP BY 1) k
+  USING (portfolio_id)
+)"""
+
+ORACLE["daily_returns"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {RETS_CTE}
+SELECT code, date, round(ret, 10) AS ret FROM rets
+"""
+
+ORACLE["annual_return"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {RETS_CTE}
+SELECT code, {_r('annual_ret')} AS annual_ret FROM annual
+"""
+
+ORACLE["covariance"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {RETS_CTE}
+SELECT code_i, code_j, {_r('cov')} AS cov FROM covm
+"""
+
+ORACLE["candidate_weights"] = f"""
+WITH {ITEMS_CTE}, {WEIGHTS_CTE}
+SELECT portfolio_id, list_transform(weights, lambda x: round(x, 10)) AS weights FROM wts
+"""
+
+ORACLE["portfolio_scores"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {RETS_CTE}, {WEIGHTS_CTE}
+SELECT portfolio_id, {_r('returns')} AS returns, {_r('risk')} AS risk, {_r('sharpe')} AS sharpe FROM scores
+"""
+
+ORACLE["portfolio_best"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}, {RETS_CTE}, {WEIGHTS_CTE}
+SELECT portfolio_id, {_r('returns')} AS returns, {_r('risk')} AS risk, {_r('sharpe')} AS sharpe,
+       'max_sharpe' AS kind
+FROM scores WHERE sharpe = (SELECT max(sharpe) FROM scores)
+UNION ALL
+SELECT portfolio_id, {_r('returns')} AS returns, {_r('risk')} AS risk, {_r('sharpe')} AS sharpe,
+       'min_risk' AS kind
+FROM scores WHERE risk = (SELECT min(risk) FROM scores)
+"""

@@ -64,3 +64,23 @@ def local_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+def materialize(df, *name: str, partition_by: list[str] | None = None,
+                sort_by: list[str] | None = None):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage (later branches and scalar subqueries read the files instead
+    of recomputing the plan) and survives executor loss, unlike a cache or a
+    local checkpoint.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, *name)
+    w = df
+    if sort_by:
+        w = w.sortWithinPartitions(*sort_by)
+    writer = w.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)

@@ -57,6 +57,23 @@ def bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFrame:
                       "volume")
 
 
+_STORED: dict[tuple, DataFrame] = {}
+
+
+def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFrame:
+    """``bars`` written once per session and data folder as a year-partitioned
+    Parquet table (sorted by code, date) in the shared checkpoint folder — the
+    form the bars table has in production — and read back from there."""
+    from ..session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), freq)
+    if key not in _STORED:
+        b = bars(spark, sf_dir, freq).withColumn("year", F.year("date"))
+        stored = materialize(b.repartition("year"), "bars", freq,
+                             partition_by=["year"], sort_by=["code", "date"])
+        _STORED[key] = stored.select(*[c for c in stored.columns if c != "year"])
+    return _STORED[key]
+
+
 def brand_number(code: Column) -> Column:
     return F.regexp_extract(code, r"#(\d+)$", 1).cast("int")
 
