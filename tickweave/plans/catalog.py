@@ -313,3 +313,136 @@ def q_portfolio_scores(spark, sf_dir):
 def q_portfolio_best(spark, sf_dir):
     """M5/P9 candidates of maximum return/risk and of minimum risk."""
     return _round(P.portfolio_best(_scores(spark, sf_dir)).drop("weights"))
+
+
+# --- upserts and ingest ---------------------------------------------------------------
+from ..functions import scalar as C  # noqa: E402
+from ..operators import upsert as U  # noqa: E402
+from ..sources import fundamentals as FD  # noqa: E402
+from ..sources import listing as L  # noqa: E402
+from ..sources import quotes as QP  # noqa: E402
+from ..streaming import bar_stream as ST  # noqa: E402
+
+CUT = "1999-01-04"
+OLD_TS = "2020-01-01 00:00:00"
+RUN_TS = "2021-02-01 17:00:00"
+UPSERT_COLS = ["code", "date", "open", "high", "low", "close", "volume"]
+AUDIT_COLS = ["reg_dt", "upd_dt"]
+
+
+def _ts_text(df: DataFrame, cols=AUDIT_COLS) -> DataFrame:
+    """Audit stamps as 'yyyy-MM-dd HH:mm:ss' text for engine-neutral comparison."""
+    return df.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def _with_audit(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn("reg_dt", U.stamp(ts)).withColumn("upd_dt", U.stamp(ts))
+
+
+@query("upsert_replace")
+def q_upsert_replace(spark, sf_dir):
+    """U1/K3 full-row replace by (code, date): restated overlap, new weeks, a key twice."""
+    current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
+    return U.upsert(current, batch, ["code", "date"]).select(*UPSERT_COLS)
+
+
+@query("merge_bars")
+def q_merge_bars(spark, sf_dir):
+    """U2/K5 MERGE by (code, date): matched rows keep reg_dt and get upd_dt."""
+    current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
+    merged = U.merge_bars(_with_audit(current, OLD_TS), batch, RUN_TS)
+    return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    """R1 the upsert batch arriving as three staged files, merged by a streaming query."""
+    current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
+    cut = F.lit(CUT).cast("date")
+    first = batch.filter((F.col("_seq") == 1) & (F.col("date") < cut))
+    second = batch.filter((F.col("_seq") == 1) & (F.col("date") >= cut))
+    third = batch.filter(F.col("_seq") == 2)
+    out = ST.replay_upserts(spark, current, [first, second, third])
+    return out.select(*UPSERT_COLS)
+
+
+def _listing(spark, sf_dir):
+    return L.read_listing(X.listing_raw(spark, sf_dir))
+
+
+@query("listing_clean")
+def q_listing_clean(spark, sf_dir):
+    """S7/S8/F1 listing download -> zero-padded codes and canonical columns."""
+    return _listing(spark, sf_dir)
+
+
+@query("merge_items")
+def q_merge_items(spark, sf_dir):
+    """U2/K4 item master MERGE: sizes 1-25 stored, sizes 20-50 arrive renamed."""
+    raw = X.listing_raw(spark, sf_dir)
+    current = (L.listing_to_items(L.read_listing(raw.filter(F.col("size") <= 25)), "20210101")
+               .withColumn("reg_dt", U.stamp(OLD_TS)).withColumn("upd_dt", F.lit(None).cast("timestamp")))
+    batch = L.listing_to_items(L.read_listing(raw.filter(F.col("size") >= 20)), "20210201") \
+             .withColumn("name", F.upper("name"))
+    return _ts_text(U.merge_items(current, batch, RUN_TS))
+
+
+@query("needs_refresh")
+def q_needs_refresh(spark, sf_dir):
+    """A7 staleness gate of the company master on 2021-03-01."""
+    return U.needs_refresh(X.company_info(spark, sf_dir), "2021-03-01")
+
+
+@query("company_info_replace")
+def q_company_info_replace(spark, sf_dir):
+    """K2 REPLACE of (code, company, last_update) from the full listing."""
+    info = X.company_info(spark, sf_dir)
+    return U.replace_company_info(info.filter(F.col("size") <= 25), _listing(spark, sf_dir), "2021-02-01")
+
+
+@query("ingest_filtered")
+def q_ingest_filtered(spark, sf_dir):
+    """K7 bars since a date for the codes of the active listing, merged by K5."""
+    b = _bars(spark, sf_dir)
+    current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
+    staged = b.withColumn("close", F.col("close") + 1)
+    listing = K.active_universe(_items(spark, sf_dir))
+    merged = U.ingest_for_listing(current, staged, listing, "1998-12-07", RUN_TS)
+    return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
+
+
+@query("measure_clean")
+def q_measure_clean(spark, sf_dir):
+    """F8/F9 scraped measure text -> number ('N/A' -> 0, '' -> 0, commas dropped)."""
+    t = X.measure_text(spark, sf_dir)
+    return t.select("key", "text", C.clean_measure(C.empty_to_zero(F.col("text"))).alias("value"))
+
+
+@query("fundamentals_pivot")
+def q_fundamentals_pivot(spark, sf_dir):
+    """J9/F6/F7 statement cells -> one row per (code, ym, gb) with 28 measures."""
+    return FD.cells_to_rows(X.fin_cells(spark, sf_dir))
+
+
+@query("statement_pages")
+def q_statement_pages(spark, sf_dir):
+    """S13 statement pages rendered from the cells, parsed back into fundamentals."""
+    pages = FD.render_statement_pages(X.fin_cells(spark, sf_dir))
+    return FD.extract_fundamentals(pages)
+
+
+@query("merge_fundamentals")
+def q_merge_fundamentals(spark, sf_dir):
+    """U2/K6 fundamentals MERGE: every column (reg_dt too) overwritten on match."""
+    rows = FD.cells_to_rows(X.fin_cells(spark, sf_dir))
+    current = FD.with_audit(rows.filter(F.col("ym") < "2000"), OLD_TS)
+    batch = rows.filter(F.col("ym") >= "1999").withColumn("SALES", F.col("SALES") + 1)
+    return _ts_text(U.merge_fundamentals(current, batch, RUN_TS))
+
+
+@query("html_quotes")
+def q_html_quotes(spark, sf_dir):
+    """S9/T4/D6 quote pages (10 rows a page, newest first) parsed back; 5-page cap."""
+    pages = QP.render_quote_pages(_bars(spark, sf_dir))
+    return QP.extract_quotes(pages, pages_to_fetch=5)

@@ -480,3 +480,215 @@ SELECT portfolio_id, {_r('returns')} AS returns, {_r('risk')} AS risk, {_r('shar
        'min_risk' AS kind
 FROM scores WHERE risk = (SELECT min(risk) FROM scores)
 """
+
+# --- upserts and ingest ---------------------------------------------------------------
+from ..schemas import MEASURE_HEADERS, MEASURES  # noqa: E402
+
+CUT = "DATE '1999-01-04'"
+OLD_TS = "TIMESTAMP '2020-01-01 00:00:00'"
+RUN_TS = "TIMESTAMP '2021-02-01 17:00:00'"
+
+
+def _ts(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S') AS {col}"
+
+
+PAIR = f"""
+cur AS (SELECT code, date, ymd, open, high, low, close, diff, volume FROM bars WHERE date < {CUT}),
+batch AS (
+  SELECT code, date, ymd, open, high, low, close + 1 AS close, diff, volume, 1 AS seq
+  FROM bars WHERE date >= {CUT} - 28
+  UNION ALL
+  SELECT code, date, ymd, open, high, low, close + 2 AS close, diff, volume, 2 AS seq
+  FROM bars WHERE date = {CUT}
+),
+bb AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY code, date ORDER BY seq DESC) AS rn FROM batch)
+  WHERE rn = 1
+)"""
+
+ORACLE["upsert_replace"] = f"""
+WITH {bars_cte()}, {PAIR},
+u AS (SELECT code, date, open, high, low, close, volume, -1 AS seq FROM cur
+      UNION ALL SELECT code, date, open, high, low, close, volume, seq FROM batch)
+SELECT code, date, open, high, low, close, volume FROM (
+  SELECT *, row_number() OVER (PARTITION BY code, date ORDER BY seq DESC) AS rn FROM u)
+WHERE rn = 1
+"""
+
+ORACLE["stream_upsert"] = ORACLE["upsert_replace"]
+
+MERGE_BARS_SELECT = f"""
+SELECT coalesce(c.code, b.code) AS code, coalesce(c.date, b.date) AS date,
+       CASE WHEN b.code IS NOT NULL THEN b.open ELSE c.open END AS open,
+       CASE WHEN b.code IS NOT NULL THEN b.high ELSE c.high END AS high,
+       CASE WHEN b.code IS NOT NULL THEN b.low ELSE c.low END AS low,
+       CASE WHEN b.code IS NOT NULL THEN b.close ELSE c.close END AS close,
+       CASE WHEN b.code IS NOT NULL THEN b.volume ELSE c.volume END AS volume,
+       strftime(CASE WHEN c.code IS NOT NULL THEN {OLD_TS} ELSE {RUN_TS} END, '%Y-%m-%d %H:%M:%S') AS reg_dt,
+       strftime(CASE WHEN b.code IS NOT NULL THEN {RUN_TS} ELSE {OLD_TS} END, '%Y-%m-%d %H:%M:%S') AS upd_dt
+FROM cur c FULL OUTER JOIN bb b ON c.code = b.code AND c.date = b.date
+"""
+
+ORACLE["merge_bars"] = f"""
+WITH {bars_cte()}, {PAIR}
+{MERGE_BARS_SELECT}
+"""
+
+ORACLE["ingest_filtered"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE},
+cur AS (SELECT * FROM bars WHERE date < {CUT}),
+bb AS (
+  SELECT code, date, open, high, low, close + 1 AS close, volume FROM bars
+  WHERE date >= DATE '1998-12-07' AND code IN (SELECT code FROM items WHERE status = 'Y')
+)
+{MERGE_BARS_SELECT}
+"""
+
+LISTING = """
+listing AS (
+  SELECT printf('%06d', p_partkey) AS code, p_name AS name, p_type AS sector, p_brand AS products,
+         CAST(NULL AS VARCHAR) AS listing_day, CAST(p_size AS VARCHAR) AS fiscal_month,
+         CAST(NULL AS VARCHAR) AS ceo, CAST(NULL AS VARCHAR) AS homepage, CAST(NULL AS VARCHAR) AS region,
+         p_size AS size
+  FROM part
+)"""
+
+ORACLE["listing_clean"] = f"""
+WITH {LISTING}
+SELECT code, name, sector, products, listing_day, fiscal_month, ceo, homepage, region FROM listing
+"""
+
+ITEM_VALS = ["ymd", "status", "name", "sector", "products", "listing_day", "fiscal_month", "ceo",
+             "homepage", "region"]
+
+ORACLE["merge_items"] = f"""
+WITH {LISTING},
+c AS (SELECT code, '20210101' AS ymd, 'Y' AS status, name, sector, products, listing_day, fiscal_month,
+             ceo, homepage, region FROM listing WHERE size <= 25),
+b AS (SELECT code, '20210201' AS ymd, 'Y' AS status, upper(name) AS name, sector, products, listing_day,
+             fiscal_month, ceo, homepage, region FROM listing WHERE size >= 20)
+SELECT coalesce(c.code, b.code) AS code,
+       {", ".join(f"CASE WHEN b.code IS NOT NULL THEN b.{x} ELSE c.{x} END AS {x}" for x in ITEM_VALS)},
+       strftime(CASE WHEN c.code IS NOT NULL THEN {OLD_TS} ELSE {RUN_TS} END, '%Y-%m-%d %H:%M:%S') AS reg_dt,
+       strftime(CASE WHEN c.code IS NOT NULL AND b.code IS NOT NULL THEN {RUN_TS} END, '%Y-%m-%d %H:%M:%S')
+         AS upd_dt
+FROM c FULL OUTER JOIN b ON c.code = b.code
+"""
+
+ORACLE["needs_refresh"] = """
+SELECT max(CAST(DATE '2021-01-01' + p_size AS DATE)) AS last_update,
+       (max(CAST(DATE '2021-01-01' + p_size AS DATE)) IS NULL
+        OR max(CAST(DATE '2021-01-01' + p_size AS DATE)) < DATE '2021-03-01') AS needs_refresh
+FROM part
+"""
+
+ORACLE["company_info_replace"] = """
+WITH c AS (SELECT printf('%06d', p_partkey) AS code, p_name AS company,
+                  CAST(DATE '2021-01-01' + p_size AS DATE) AS last_update FROM part WHERE p_size <= 25),
+b AS (SELECT printf('%06d', p_partkey) AS code, p_name AS company, DATE '2021-02-01' AS last_update FROM part)
+SELECT coalesce(b.code, c.code) AS code,
+       CASE WHEN b.code IS NOT NULL THEN b.company ELSE c.company END AS company,
+       CASE WHEN b.code IS NOT NULL THEN b.last_update ELSE c.last_update END AS last_update
+FROM c FULL OUTER JOIN b ON c.code = b.code
+"""
+
+CLEAN = "(CASE WHEN t LIKE '%N%' THEN 0.0 ELSE TRY_CAST(replace(t, ',', '') AS DOUBLE) END)"
+
+ORACLE["measure_clean"] = f"""
+WITH m AS (
+  SELECT c_custkey AS key,
+         CASE WHEN c_custkey % 10 = 0 THEN 'N/A' WHEN c_custkey % 10 = 1 THEN ''
+              ELSE format('{{:,.2f}}', c_acctbal) END AS text
+  FROM customer
+)
+SELECT key, text, {CLEAN.replace('t', "(CASE WHEN text = '' THEN '0' ELSE text END)")} AS value FROM m
+"""
+
+HDR = ", ".join(f"({i + 1}, '{h}', '{m}')" for i, (h, m) in enumerate(zip(MEASURE_HEADERS, MEASURES)))
+
+CELLS = f"""
+hdr(i, h, m) AS (VALUES {HDR}),
+t AS (SELECT p_brand AS code, l_shipdate, l_linenumber, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey),
+raw AS (
+  SELECT code, 'Q' AS gb,
+         CAST(year(l_shipdate) AS VARCHAR) || '/' || lpad(CAST(quarter(l_shipdate) * 3 AS VARCHAR), 2, '0')
+           || CASE WHEN year(l_shipdate) >= 2001 THEN '(E)' ELSE '' END AS period_header,
+         hdr.h AS measure, l_quantity
+  FROM t JOIN hdr ON hdr.i = (l_linenumber - 1) * 4 + 1
+  UNION ALL
+  SELECT code, 'Y' AS gb,
+         CAST(year(l_shipdate) AS VARCHAR) || '/12'
+           || CASE WHEN year(l_shipdate) >= 2001 THEN '(E)' ELSE '' END AS period_header,
+         chr(160) || hdr.h AS measure, l_quantity
+  FROM t JOIN hdr ON hdr.i = (l_linenumber - 1) * 4 + 1
+),
+cells AS (
+  SELECT code, gb, period_header, measure, format('{{:,}}', CAST(sum(l_quantity) AS BIGINT)) AS text
+  FROM raw GROUP BY ALL
+),
+named AS (
+  SELECT c.code, c.gb, replace(regexp_replace(c.period_header, '[^0-9/]', '', 'g'), '/', '-') AS ym,
+         contains(c.period_header, '(E)') AS est, hdr.m,
+         {CLEAN.replace('t', "(CASE WHEN c.text = '' THEN '0' ELSE c.text END)")} AS v
+  FROM cells c JOIN hdr ON hdr.h = replace(c.measure, chr(160), '')
+),
+fund AS (
+  SELECT code, ym, gb, bool_or(est) AS is_estimate,
+         {", ".join(f"max(CASE WHEN m = '{m}' THEN v END) AS {m}" for m in MEASURES)}
+  FROM named GROUP BY code, ym, gb
+)"""
+
+ORACLE["fundamentals_pivot"] = f"""
+WITH {CELLS}
+SELECT * FROM fund
+"""
+
+# a rendered page is a full grid: a measure row with no value for a period
+# shows an empty cell, which reads as '0' (F8)
+ORACLE["statement_pages"] = f"""
+WITH {CELLS},
+grid AS (
+  SELECT p.code, p.gb, p.period_header, m.measure
+  FROM (SELECT DISTINCT code, gb, period_header FROM cells) p
+  JOIN (SELECT DISTINCT code, gb, measure FROM cells) m USING (code, gb)
+),
+full_cells AS (
+  SELECT g.code, g.gb, g.period_header, g.measure, coalesce(c.text, '') AS text
+  FROM grid g LEFT JOIN cells c USING (code, gb, period_header, measure)
+),
+named2 AS (
+  SELECT c.code, c.gb, replace(regexp_replace(c.period_header, '[^0-9/]', '', 'g'), '/', '-') AS ym,
+         contains(c.period_header, '(E)') AS est, hdr.m,
+         {CLEAN.replace('t', "(CASE WHEN c.text = '' THEN '0' ELSE c.text END)")} AS v
+  FROM full_cells c JOIN hdr ON hdr.h = replace(c.measure, chr(160), '')
+)
+SELECT code, ym, gb, bool_or(est) AS is_estimate,
+       {", ".join(f"max(CASE WHEN m = '{m}' THEN v END) AS {m}" for m in MEASURES)}
+FROM named2 GROUP BY code, ym, gb
+"""
+
+ORACLE["merge_fundamentals"] = f"""
+WITH {CELLS},
+c AS (SELECT * FROM fund WHERE ym < '2000'),
+b AS (SELECT * REPLACE (SALES + 1 AS SALES) FROM fund WHERE ym >= '1999')
+SELECT coalesce(c.code, b.code) AS code, coalesce(c.ym, b.ym) AS ym, coalesce(c.gb, b.gb) AS gb,
+       CASE WHEN b.code IS NOT NULL THEN b.is_estimate ELSE c.is_estimate END AS is_estimate,
+       {", ".join(f"CASE WHEN b.code IS NOT NULL THEN b.{m} ELSE c.{m} END AS {m}" for m in MEASURES)},
+       'sys' AS reg_id, 'sys' AS upd_id,
+       strftime(CASE WHEN b.code IS NOT NULL THEN {RUN_TS} ELSE {OLD_TS} END, '%Y-%m-%d %H:%M:%S') AS reg_dt,
+       strftime(CASE WHEN b.code IS NOT NULL THEN {RUN_TS} ELSE {OLD_TS} END, '%Y-%m-%d %H:%M:%S') AS upd_dt
+FROM c FULL OUTER JOIN b ON c.code = b.code AND c.ym = b.ym AND c.gb = b.gb
+"""
+
+ORACLE["html_quotes"] = f"""
+WITH {bars_cte()},
+s AS (
+  SELECT code, date, ymd, open, high, low, close, volume,
+         coalesce(close - lag(close) OVER (PARTITION BY code ORDER BY date), 0) AS diff,
+         row_number() OVER (PARTITION BY code ORDER BY date DESC) - 1 AS rd
+  FROM bars
+)
+SELECT code, date, ymd, open, high, low, close, diff, volume FROM s WHERE rd < 50
+"""

@@ -154,7 +154,7 @@ def fin_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.format_number(F.sum("l_quantity"), 0).alias("text")))
 
 
-def upsert_pair(spark: SparkSession, sf_dir: str, cut: str = "1999-01-04",
+def upsert_pair(b: DataFrame, cut: str = "1999-01-04",
                 overlap_weeks: int = 4) -> tuple[DataFrame, DataFrame]:
     """(current, batch) for the upsert operators.
 
@@ -162,7 +162,6 @@ def upsert_pair(spark: SparkSession, sf_dir: str, cut: str = "1999-01-04",
     the cut onwards with close + 1 (overlap = restated, rest = new), plus the
     bars of the cut week a second time with close + 2 and a later ``_seq``.
     """
-    b = bars(spark, sf_dir)
     current = b.filter(F.col("date") < F.lit(cut).cast("date"))
     start = F.date_sub(F.lit(cut).cast("date"), 7 * overlap_weeks)
     restated = (b.filter(F.col("date") >= start)
@@ -172,3 +171,13 @@ def upsert_pair(spark: SparkSession, sf_dir: str, cut: str = "1999-01-04",
               .withColumn("close", F.col("close") + 2)
               .withColumn("_seq", F.lit(2)))
     return current, restated.unionByName(again)
+
+
+def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simple master (code, company, last_update) from the listing: last_update is
+    2021-01-01 plus the part size in days."""
+    from ..functions.scalar import pad_code
+    p = read(spark, sf_dir, "part")
+    return p.select(pad_code("p_partkey").alias("code"), F.col("p_name").alias("company"),
+                    F.date_add(F.lit("2021-01-01").cast("date"), F.col("p_size")).alias("last_update"),
+                    F.col("p_size").alias("size"))
