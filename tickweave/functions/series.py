@@ -22,12 +22,13 @@ All helper columns start with ``_``.  ``finish`` drops them and the halo.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEGMENT_ROWS = 4096
+SEGMENT_ROWS = int(os.environ.get("TICKWEAVE_SEGMENT_ROWS", "4096"))
 HELPERS = ("_rn", "_seg", "_home")
 # largest exponent (natural log) allowed for the local EWM weights; e^600 is far
 # from the double limit (e^709) and keeps a margin for the multiplied values
@@ -60,8 +61,9 @@ def sequence(df: DataFrame, keys: Sequence[str] | str = ("code",), order: str =
              .drop("_b", "_off"))
 
 
-def segment(df: DataFrame, halo: int, seg_rows: int = SEGMENT_ROWS) -> DataFrame:
+def segment(df: DataFrame, halo: int, seg_rows: int | None = None) -> DataFrame:
     """Cut a sequenced frame into segments of ``seg_rows`` rows plus a halo."""
+    seg_rows = seg_rows or SEGMENT_ROWS
     if not 0 <= halo < seg_rows:
         raise ValueError(f"halo {halo} must be below the segment size {seg_rows}")
     seg = F.expr(f"_rn DIV {seg_rows}")
@@ -73,7 +75,7 @@ def segment(df: DataFrame, halo: int, seg_rows: int = SEGMENT_ROWS) -> DataFrame
 
 
 def open_series(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
-                order: str = "date", seg_rows: int = SEGMENT_ROWS,
+                order: str = "date", seg_rows: int | None = None,
                 bucket: Column | None = None) -> DataFrame:
     return segment(sequence(df, keys, order, bucket), halo, seg_rows)
 

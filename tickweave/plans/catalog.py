@@ -48,7 +48,7 @@ def _bars(spark, sf_dir, freq="week"):
     return X.stored_bars(spark, sf_dir, freq)
 
 
-def _series(spark, sf_dir, halo, freq="week", seg_rows=S.SEGMENT_ROWS):
+def _series(spark, sf_dir, halo, freq="week", seg_rows=None):
     return S.open_series(_bars(spark, sf_dir, freq), halo=halo, seg_rows=seg_rows)
 
 
