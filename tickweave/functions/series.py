@@ -76,16 +76,46 @@ def segment(df: DataFrame, halo: int, seg_rows: int | None = None) -> DataFrame:
 
 def open_series(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
                 order: str = "date", seg_rows: int | None = None,
-                bucket: Column | None = None) -> DataFrame:
+                bucket: Column | None = None, mode: str = "auto") -> DataFrame:
+    """Number and segment a frame for series windows.
+
+    ``mode="auto"`` looks at one small aggregate — the largest number of rows
+    of any key — before planning: when every key fits in one segment no key
+    can dominate a task, and the frame gets the single-segment layout (plain
+    ``row_number`` per key; no halo copies, carries or renumbering shuffles).
+    Otherwise, or with ``mode="segmented"``, rows are cut into segments.
+    """
+    seg_rows = seg_rows or SEGMENT_ROWS
+    keys = _keys(keys)
+    if mode == "auto":
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        mode = "single" if largest <= seg_rows else "segmented"
+    if mode == "single":
+        return single_segment(df, halo, keys, order, seg_rows)
     return segment(sequence(df, keys, order, bucket), halo, seg_rows)
 
 
+def single_segment(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
+                   order: str = "date", seg_rows: int | None = None) -> DataFrame:
+    """Layout for keys known to hold at most ``seg_rows`` rows: one segment per key."""
+    keys = _keys(keys)
+    meta = {"halo": halo, "seg_rows": seg_rows or SEGMENT_ROWS, "single": 1}
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    return (df.withColumn("_rn", rn.cast("bigint"))
+              .withColumn("_home", F.lit(0).cast("bigint").alias("_home", metadata=meta))
+              .withColumn("_seg", F.lit(0).cast("bigint")))
+
+
 def layout(df: DataFrame) -> tuple[int, int]:
     """(halo, seg_rows) of a segmented frame."""
     meta = df.schema["_home"].metadata
     return int(meta["halo"]), int(meta["seg_rows"])
 
 
+def is_single(df: DataFrame) -> bool:
+    return bool(df.schema["_home"].metadata.get("single", 0))
+
+
 def is_segmented(df: DataFrame) -> bool:
     return "_home" in df.columns and "_rn" in df.columns
 
@@ -161,6 +191,8 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     """
     keys = _keys(keys)
     halo, S = layout(df)
+    if is_single(df):
+        return _ewm_single(df, specs, keys, S)
     df = df.repartition(*keys, "_seg")
     start = F.col("_seg") * S - halo                       # first row of the partition
     j = (F.col("_rn") - start).cast("double")              # local index >= 0
@@ -205,14 +237,36 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     return res.select("*", *finals).drop(*tmps)
 
 
+def _ewm_single(df: DataFrame, specs, keys, S: int) -> DataFrame:
+    """EWM when each key is one partition starting at row 0: running sums only."""
+    j = F.col("_rn").cast("double")
+    run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    cols = []
+    for col, span, out in specs:
+        q = 1.0 - 2.0 / (span + 1.0)
+        if S * -math.log(q) > _EXP_LIMIT:
+            raise ValueError(f"segment size {S} too large for span {span}; "
+                             f"use seg_rows <= {max_rows_for_span(span, 0)}")
+        x = F.col(col).cast("double")
+        wj = F.pow(F.lit(q), -j)
+        qj = F.pow(F.lit(q), j)
+        num = qj * F.coalesce(F.sum(F.when(x.isNotNull(), x * wj)).over(run), F.lit(0.0))
+        den = qj * F.coalesce(F.sum(F.when(x.isNotNull(), wj)).over(run), F.lit(0.0))
+        cols.append(F.when(den > 0, num / den).alias(out))
+    return df.select("*", *cols)
+
+
 def forward_fill(df: DataFrame, col: str, out: str,
                  keys: Sequence[str] | str = ("code",)) -> DataFrame:
     """Last non-null value at or before each row (pandas ``ffill``), halo rows included."""
     keys = _keys(keys)
     halo, S = layout(df)
+    x = F.col(col)
+    if is_single(df):
+        run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.last(x, ignorenulls=True).over(run))
     df = df.repartition(*keys, "_seg")
     pos = F.col("_rn") - F.col("_home") * S
-    x = F.col(col)
     # value at the largest position holding a non-null value (NULL ordering keys are skipped)
     summ = (df.filter(core()).groupBy(*keys, "_seg")
               .agg(F.max_by(x, F.when(x.isNotNull() & (pos <= S - halo - 1), F.col("_rn"))).alias("_pre"),
@@ -238,6 +292,12 @@ def resequence(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
     keys = _keys(keys)
     _, old_s = layout(df)
     s = seg_rows or old_s
+    if is_single(df):
+        # survivors stay in their partition: renumber in place, no shuffle
+        meta = {"halo": halo, "seg_rows": s, "single": 1}
+        rn = F.row_number().over(seg_window(keys)) - 1
+        return (df.withColumn("_rn", rn.cast("bigint"))
+                  .withColumn("_home", F.col("_home").alias("_home", metadata=meta)))
     base = finish_keep(df).repartition(*keys, "_home")
     counts = base.groupBy(*keys, "_home").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_home").rowsBetween(Window.unboundedPreceding, -1)

@@ -46,8 +46,8 @@ def aligned_returns(bars: DataFrame, universe: DataFrame) -> DataFrame:
     """
     codes = universe_codes(universe)
     first = _first_code(codes)
-    idx = S.sequence(bars.filter(F.col("code") == first).select("code", "date"))
-    idx = idx.select(F.col("_rn").alias("k"), "date")
+    idx = S.open_series(bars.filter(F.col("code") == first).select("code", "date"), halo=0)
+    idx = S.finish_keep(idx).select(F.col("_rn").alias("k"), "date")
     n_idx = idx.select(F.max("k")).scalar()
     present = (bars.join(codes, "code", "left_semi").join(idx, "date", "inner")
                    .select("code", "k", "date", "close"))
