@@ -89,6 +89,16 @@ def _and(conds):
     return out
 
 
+def ensure_table(spark, path: str, schema) -> DataFrame:
+    """K1 ``CREATE TABLE IF NOT EXISTS``: an empty Parquet table with the
+    given schema on first use; keys are enforced by the merges, not the store."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception:  # noqa: BLE001 - no table at the path yet
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+
 def stamp(ts: str | dt.datetime) -> Column:
     """An audit timestamp passed in by the caller (never ``now()`` inside a
     merge: a re-run must give the same table)."""

@@ -446,3 +446,46 @@ def q_html_quotes(spark, sf_dir):
     """S9/T4/D6 quote pages (10 rows a page, newest first) parsed back; 5-page cap."""
     pages = QP.render_quote_pages(_bars(spark, sf_dir))
     return QP.extract_quotes(pages, pages_to_fetch=5)
+
+
+# --- remaining inventory items ---------------------------------------------------------
+@query("chart_frame")
+def q_chart_frame(spark, sf_dir):
+    """W22 chart inputs: OHLC, volume and Bollinger bands after the 19-row trim."""
+    s = I.bollinger(_series(spark, sf_dir, 19))
+    out = S.finish(G.drop_first(s, 19))
+    return _round(G.chart_frame(out, ["code", "date", "open", "high", "low", "close", "volume",
+                                      "center", "upper", "lower"]), **PRICE_LEVEL)
+
+
+@query("vendor_bars")
+def q_vendor_bars(spark, sf_dir):
+    """S11/S12 staged vendor OHLCV files (with Adj Close) read back since a date."""
+    from ..session import materialize
+    b = _bars(spark, sf_dir)
+    vendor = b.select("code", F.col("date").alias("Date"),
+                      *[F.col(a).cast("double").alias(v) for a, v in
+                        (("open", "Open"), ("high", "High"), ("low", "Low"), ("close", "Close"))],
+                      (F.col("close") * F.lit(0.5)).alias("Adj Close"),
+                      F.col("volume").cast("double").alias("Volume"))
+    staged = materialize(vendor, "vendor")
+    path = staged.inputFiles()[0].rsplit("/", 1)[0]
+    out = L.read_vendor_bars(spark, path, "2000-01-01", adj=True)
+    return out.select("code", "date", "ymd", "open", "high", "low", "close", "volume", "adj_close")
+
+
+@query("ingest_quotes")
+def q_ingest_quotes(spark, sf_dir):
+    """K8 quote pages of every known code parsed (5-page cap) and merged by K5."""
+    b = _bars(spark, sf_dir)
+    current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
+    quotes = QP.extract_quotes(QP.render_quote_pages(b), pages_to_fetch=5)
+    merged = U.merge_bars(current, quotes, RUN_TS)
+    return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
+
+
+@query("ingest_fundamentals")
+def q_ingest_fundamentals(spark, sf_dir):
+    """K9 statements of every active code in one job; unparseable cells set aside."""
+    rows, _bad = FD.ingest_fundamentals(X.fin_cells(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
+    return rows

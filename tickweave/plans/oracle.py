@@ -692,3 +692,36 @@ s AS (
 )
 SELECT code, date, ymd, open, high, low, close, diff, volume FROM s WHERE rd < 50
 """
+
+# --- remaining inventory items ---------------------------------------------------------
+ORACLE["chart_frame"] = f"""
+WITH {bars_cte()}, {BANDS}
+SELECT code, date, open, high, low, close, volume,
+       {_r('center', PRICE_PLACES)} AS center, {_r('upper', PRICE_PLACES)} AS upper,
+       {_r('lower', PRICE_PLACES)} AS lower
+FROM bands2 WHERE rn > 19
+"""
+
+ORACLE["vendor_bars"] = f"""
+WITH {bars_cte()}
+SELECT code, date, ymd, open, high, low, close, volume, close * 0.5 AS adj_close
+FROM bars WHERE date >= DATE '2000-01-01'
+"""
+
+ORACLE["ingest_quotes"] = f"""
+WITH {bars_cte()},
+cur AS (SELECT * FROM bars WHERE date < {CUT}),
+bb AS (
+  SELECT * FROM (
+    SELECT code, date, open, high, low, close, volume,
+           row_number() OVER (PARTITION BY code ORDER BY date DESC) - 1 AS rd
+    FROM bars)
+  WHERE rd < 50
+)
+{MERGE_BARS_SELECT}
+"""
+
+ORACLE["ingest_fundamentals"] = f"""
+WITH {ITEMS_CTE}, {CELLS}
+SELECT * FROM fund WHERE code IN (SELECT code FROM items WHERE status = 'Y')
+"""

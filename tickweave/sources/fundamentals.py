@@ -43,6 +43,23 @@ def cells_to_rows(cells: DataFrame) -> DataFrame:
     return wide.join(est, ["code", "ym", "gb"]).select("code", "ym", "gb", "is_estimate", *MEASURES)
 
 
+def quarantine(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """K9 error isolation: (good cells, bad cells).  A cell is bad when its row
+    header is not a known measure or its text is not a number after cleaning;
+    bad cells are kept aside instead of failing the whole batch."""
+    v = clean_measure(empty_to_zero(F.coalesce(F.col("text"), F.lit(""))))
+    ok = measure_name("measure").isNotNull() & v.isNotNull()
+    flagged = cells.withColumn("_ok", ok)
+    return flagged.filter("_ok").drop("_ok"), flagged.filter(~F.col("_ok")).drop("_ok")
+
+
+def ingest_fundamentals(cells: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """K9 Y and Q statements of every active code in one job -> (rows, quarantined cells)."""
+    mine = cells.join(active.select("code"), "code", "left_semi")
+    good, bad = quarantine(mine)
+    return cells_to_rows(good), bad
+
+
 def with_audit(rows: DataFrame, ts: str, user: str = "sys") -> DataFrame:
     """P12 literal audit columns of a fundamentals batch."""
     t = F.lit(ts).cast("timestamp")
