@@ -46,8 +46,10 @@ def aligned_returns(bars: DataFrame, universe: DataFrame) -> DataFrame:
     """
     codes = universe_codes(universe)
     first = _first_code(codes)
-    idx = S.open_series(bars.filter(F.col("code") == first).select("code", "date"), halo=0)
-    idx = S.finish_keep(idx).select(F.col("_rn").alias("k"), "date")
+    idx_s = S.open_series(bars.filter(F.col("code") == first).select("code", "date"), halo=0)
+    # the grid holds at most as many rows per code as the index has: same layout decision
+    grid_mode = "single" if S.is_single(idx_s) else "segmented"
+    idx = S.finish_keep(idx_s).select(F.col("_rn").alias("k"), "date")
     n_idx = idx.select(F.max("k")).scalar()
     present = (bars.join(codes, "code", "left_semi").join(idx, "date", "inner")
                    .select("code", "k", "date", "close"))
@@ -56,7 +58,7 @@ def aligned_returns(bars: DataFrame, universe: DataFrame) -> DataFrame:
     grid = (first_k.select("code", F.explode(F.sequence(F.col("_k0"), n_idx)).alias("k"))
                    .join(idx, "k", "inner"))
     g = grid.join(present.select("code", "k", "close"), ["code", "k"], "left")
-    s = S.open_series(g, halo=1, order="k", bucket=F.expr("k DIV 256"))
+    s = S.open_series(g, halo=1, order="k", bucket=F.expr("k DIV 256"), mode=grid_mode)
     s = S.forward_fill(s, "close", "_ff")
     prev = S.lag("_ff")
     s = s.withColumn("ret", F.try_divide(F.col("_ff").cast("double"), prev.cast("double")) - F.lit(1.0))

@@ -422,20 +422,20 @@ def q_measure_clean(spark, sf_dir):
 @query("fundamentals_pivot")
 def q_fundamentals_pivot(spark, sf_dir):
     """J9/F6/F7 statement cells -> one row per (code, ym, gb) with 28 measures."""
-    return FD.cells_to_rows(X.fin_cells(spark, sf_dir))
+    return FD.cells_to_rows(X.stored_fin_cells(spark, sf_dir))
 
 
 @query("statement_pages")
 def q_statement_pages(spark, sf_dir):
     """S13 statement pages rendered from the cells, parsed back into fundamentals."""
-    pages = FD.render_statement_pages(X.fin_cells(spark, sf_dir))
+    pages = FD.render_statement_pages(X.stored_fin_cells(spark, sf_dir))
     return FD.extract_fundamentals(pages)
 
 
 @query("merge_fundamentals")
 def q_merge_fundamentals(spark, sf_dir):
     """U2/K6 fundamentals MERGE: every column (reg_dt too) overwritten on match."""
-    rows = FD.cells_to_rows(X.fin_cells(spark, sf_dir))
+    rows = FD.cells_to_rows(X.stored_fin_cells(spark, sf_dir))
     current = FD.with_audit(rows.filter(F.col("ym") < "2000"), OLD_TS)
     batch = rows.filter(F.col("ym") >= "1999").withColumn("SALES", F.col("SALES") + 1)
     return _ts_text(U.merge_fundamentals(current, batch, RUN_TS))
@@ -487,5 +487,5 @@ def q_ingest_quotes(spark, sf_dir):
 @query("ingest_fundamentals")
 def q_ingest_fundamentals(spark, sf_dir):
     """K9 statements of every active code in one job; unparseable cells set aside."""
-    rows, _bad = FD.ingest_fundamentals(X.fin_cells(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
+    rows, _bad = FD.ingest_fundamentals(X.stored_fin_cells(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
     return rows

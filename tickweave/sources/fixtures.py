@@ -60,6 +60,15 @@ def bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFrame:
 _STORED: dict[tuple, DataFrame] = {}
 
 
+def stored_fin_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fin_cells`` written once per session and data folder (the staged-cells table)."""
+    from ..session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "fin_cells")
+    if key not in _STORED:
+        _STORED[key] = materialize(fin_cells(spark, sf_dir), "fin_cells")
+    return _STORED[key]
+
+
 def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFrame:
     """``bars`` written once per session and data folder as a year-partitioned
     Parquet table (sorted by code, date) in the shared checkpoint folder — the
@@ -139,18 +148,18 @@ def fin_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _trades(spark, sf_dir)
     headers = F.array(*[F.lit(h) for h in MEASURE_HEADERS])
     measure = F.element_at(headers, ((F.col("l_linenumber") - 1) * 4 + 1).cast("int"))
-    year = F.year("l_shipdate")
-    qmonth = F.quarter("l_shipdate") * 3
-    est = F.when(year >= 2001, F.lit("(E)")).otherwise(F.lit(""))
-    q = t.select(F.col("p_brand").alias("code"), F.lit("Q").alias("gb"),
-                 F.concat(year.cast("string"), F.lit("/"), F.lpad(qmonth.cast("string"), 2, "0"), est)
-                  .alias("period_header"),
-                 measure.alias("measure"), "l_quantity")
-    y = t.select(F.col("p_brand").alias("code"), F.lit("Y").alias("gb"),
-                 F.concat(year.cast("string"), F.lit("/12"), est).alias("period_header"),
-                 F.concat(F.lit("\u00a0"), measure).alias("measure"), "l_quantity")
-    return (q.unionByName(y)
-             .groupBy("code", "gb", "period_header", "measure")
+    year = F.year("l_shipdate").cast("string")
+    est = F.when(F.year("l_shipdate") >= 2001, F.lit("(E)")).otherwise(F.lit(""))
+    quarter_end = F.lpad((F.quarter("l_shipdate") * 3).cast("string"), 2, "0")
+    # one scan: every trade feeds its quarterly and its yearly cell
+    variants = F.array(
+        F.struct(F.lit("Q").alias("gb"), F.concat(year, F.lit("/"), quarter_end, est).alias("p"),
+                 measure.alias("m")),
+        F.struct(F.lit("Y").alias("gb"), F.concat(year, F.lit("/12"), est).alias("p"),
+                 F.concat(F.lit("\u00a0"), measure).alias("m")))
+    v = t.select(F.col("p_brand").alias("code"), "l_quantity", F.explode(variants).alias("v"))
+    return (v.groupBy(F.col("code"), F.col("v.gb").alias("gb"), F.col("v.p").alias("period_header"),
+                      F.col("v.m").alias("measure"))
              .agg(F.format_number(F.sum("l_quantity"), 0).alias("text")))
 
 

@@ -38,9 +38,11 @@ def cells_to_rows(cells: DataFrame) -> DataFrame:
         measure_name("measure").alias("_m"),
         clean_measure(empty_to_zero(F.coalesce(F.col("text"), F.lit("")))).alias("_v"))
     c = c.filter(F.col("_m").isNotNull())
-    est = c.groupBy("code", "ym", "gb").agg(F.max("_est").alias("is_estimate"))
-    wide = c.groupBy("code", "ym", "gb").pivot("_m", MEASURES).agg(F.max("_v"))
-    return wide.join(est, ["code", "ym", "gb"]).select("code", "ym", "gb", "is_estimate", *MEASURES)
+    # the pivot written out: one aggregation for the 28 measure columns and the flag
+    cells_of = [F.max(F.when(F.col("_m") == m, F.col("_v"))).alias(m) for m in MEASURES]
+    return (c.groupBy("code", "ym", "gb")
+             .agg(F.max("_est").alias("is_estimate"), *cells_of)
+             .select("code", "ym", "gb", "is_estimate", *MEASURES))
 
 
 def quarantine(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
