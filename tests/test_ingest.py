@@ -88,3 +88,23 @@ def test_stream_upsert_equals_batch_upsert(spark):
     key = lambda df: sorted((r.code, r.date, r.close) for r in df.collect())
     assert key(out) == key(expect)
     assert [c for _, _, c in key(out)] == [1, 20, 99, 40]
+
+
+def test_ensure_table_creates_empty_then_reads(spark):
+    from tickweave.schemas import COMPANY_INFO
+    from tickweave.session import scratch_path
+    path = scratch_path(spark, "k1")
+    t = U.ensure_table(spark, path, COMPANY_INFO)
+    assert t.count() == 0 and t.schema.names == COMPANY_INFO.names
+    spark.createDataFrame([("000001", "A", dt.date(2021, 1, 1))], COMPANY_INFO).write.mode("append").parquet(path)
+    assert U.ensure_table(spark, path, COMPANY_INFO).count() == 1
+
+
+def test_vendor_bars_since_and_adjusted(spark):
+    from tickweave.session import scratch_path
+    path = scratch_path(spark, "vendor")
+    rows = [("005930", dt.date(2020, 12, 30), 1.0, 3.0, 0.5, 2.5, 2.4, 100.0),
+            ("005930", dt.date(2021, 1, 4), 2.0, 4.0, 1.5, 3.9, 3.8, 200.0)]
+    spark.createDataFrame(rows, L.VENDOR_SCHEMA).write.parquet(path)
+    got = L.read_vendor_bars(spark, path, "2021-01-01", adj=True).collect()
+    assert len(got) == 1 and got[0].close == 3 and got[0].ymd == "20210104" and got[0].adj_close == 3.8
