@@ -125,3 +125,21 @@ def test_ingest_for_listing_semi_join(spark):
     m = U.ingest_for_listing(cur, staged, listing, "2020-01-13", "2021-02-01 17:00:00").toPandas()
     assert set(m.code) == {"A"}
     assert sorted(m.close) == [1, 6, 7]
+
+
+def test_upsert_rewrites_only_touched_partitions(spark):
+    from tickweave.session import scratch_path
+    root = scratch_path(spark, "parts")
+    cur = spark.createDataFrame([("A", 2019, 1.0), ("A", 2020, 2.0), ("B", 2020, 3.0)],
+                                "code string, year int, v double")
+    cur.write.partitionBy("year").parquet(f"{root}/v1")
+    stored = spark.read.parquet(f"{root}/v1")
+    batch = spark.createDataFrame([("A", 2020, 9.0, 1), ("C", 2020, 5.0, 1)],
+                                  "code string, year int, v double, _seq int")
+    part = U.upsert_partitions(stored.select("code", "year", "v"), batch, ["code", "year"], ["year"])
+    assert sorted(map(tuple, part.collect())) == [("A", 2020, 9.0), ("B", 2020, 3.0), ("C", 2020, 5.0)]
+    # new snapshot: copy, then replace the touched partition only
+    U.write_partitions(stored.select("code", "v", "year"), f"{root}/v2", ["year"])
+    U.write_partitions(part.select("code", "v", "year"), f"{root}/v2", ["year"])
+    out = sorted(map(tuple, spark.read.parquet(f"{root}/v2").select("code", "year", "v").collect()))
+    assert out == [("A", 2019, 1.0), ("A", 2020, 9.0), ("B", 2020, 3.0), ("C", 2020, 5.0)]

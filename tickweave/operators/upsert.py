@@ -89,6 +89,34 @@ def _and(conds):
     return out
 
 
+def touched(current: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``current`` in the storage partitions (e.g. ``year``) a batch touches.
+
+    A semi join on the partition columns: with a partitioned Parquet table,
+    Spark prunes the untouched partitions at runtime (dynamic partition
+    pruning), so a daily batch reads one or two years, not the history.
+    """
+    keys = batch.select(*partition_cols).distinct()
+    return current.join(keys, list(partition_cols), "left_semi").select(*current.columns)
+
+
+def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
+
+    Write the merge of ``touched(...)`` to a new snapshot folder first when
+    the target is also being read (Spark refuses to overwrite a path it reads).
+    """
+    (df.write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_cols).parquet(path))
+
+
+def upsert_partitions(current: DataFrame, batch: DataFrame, keys: Sequence[str],
+                      partition_cols: Sequence[str], seq: str = SEQ) -> DataFrame:
+    """U1 restricted to the partitions the batch touches (the rows to rewrite)."""
+    return upsert(touched(current, batch, partition_cols), batch, keys, seq)
+
+
 def ensure_table(spark, path: str, schema) -> DataFrame:
     """K1 ``CREATE TABLE IF NOT EXISTS``: an empty Parquet table with the
     given schema on first use; keys are enforced by the merges, not the store."""

@@ -77,7 +77,9 @@ def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFra
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), freq)
     if key not in _STORED:
         b = bars(spark, sf_dir, freq).withColumn("year", F.year("date"))
-        stored = materialize(b.repartition("year"), "bars", freq,
+        # (year, code) spreads every year over many tasks; one code-year is at
+        # most 366 daily bars, so no task grows with a hot code
+        stored = materialize(b.repartition("year", "code"), "bars", freq,
                              partition_by=["year"], sort_by=["code", "date"])
         _STORED[key] = stored.select(*[c for c in stored.columns if c != "year"])
     return _STORED[key]
