@@ -76,7 +76,7 @@ def relative_momentum(bars: DataFrame, items: DataFrame, start: str, end: str, k
            .orderBy(F.desc("returns"), F.asc("code")).limit(k))
     # the frame below holds at most k rows (after the limit)
     rank = F.row_number().over(Window.orderBy(F.desc("returns"), F.asc("code")))
-    return top.withColumn("rank", rank)
+    return top.withColumn("rank", rank.cast("bigint"))
 
 
 def absolute_momentum(bars: DataFrame, items: DataFrame, selected: DataFrame,

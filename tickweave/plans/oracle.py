@@ -704,7 +704,7 @@ FROM bands2 WHERE rn > 19
 
 ORACLE["vendor_bars"] = f"""
 WITH {bars_cte()}
-SELECT code, date, ymd, open, high, low, close, volume, close * 0.5 AS adj_close
+SELECT code, date, ymd, open, high, low, close, volume, CAST(close AS DOUBLE) * 0.5 AS adj_close
 FROM bars WHERE date >= DATE '2000-01-01'
 """
 
