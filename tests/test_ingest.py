@@ -108,3 +108,24 @@ def test_vendor_bars_since_and_adjusted(spark):
     spark.createDataFrame(rows, L.VENDOR_SCHEMA).write.parquet(path)
     got = L.read_vendor_bars(spark, path, "2021-01-01", adj=True).collect()
     assert len(got) == 1 and got[0].close == 3 and got[0].ymd == "20210104" and got[0].adj_close == 3.8
+
+
+def test_stream_refreshes_touched_codes(spark):
+    from tickweave.operators import indicators as I
+    from tickweave.session import scratch_path
+    root = scratch_path(spark, "stream-refresh")
+    cur = bars_frame(spark, series_rows("A", [1, 2, 3], start="2020-01-06")
+                     + series_rows("B", [5, 6, 7], start="2020-01-06"))
+    cur.write.parquet(f"{root}/initial")
+    b1 = bars_frame(spark, series_rows("A", [30], start="2020-01-20")).withColumn("_seq", F.lit(1))
+    ST.stage_batches([b1], f"{root}/in")
+    seen = []
+
+    def hook(snapshot, codes, batch_id):
+        fresh = ST.refresh_for_codes(snapshot, codes, lambda b: I.ewm(b, "close", 3, "e3"))
+        seen.append(sorted((r.code, r.date.isoformat(), round(r.e3, 6)) for r in fresh.collect()))
+
+    schema = spark.read.parquet(f"{root}/in").schema
+    ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", on_snapshot=hook)
+    assert len(seen) == 1 and {c for c, _, _ in seen[0]} == {"A"}
+    assert seen[0][-1][2] == pytest.approx(((30 + 0.5 * 2 + 0.25 * 1) / 1.75))

@@ -30,11 +30,13 @@ def snapshot_path(table_root: str, batch_id: int) -> str:
 
 def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructType,
                        initial_table: str, table_root: str, keys: Sequence[str] = ("code", "date"),
-                       checkpoint: str | None = None, max_files_per_trigger: int = 1) -> str:
+                       checkpoint: str | None = None, max_files_per_trigger: int = 1,
+                       on_snapshot=None) -> str:
     """Drain ``source_dir`` into snapshots under ``table_root``; returns the final snapshot path.
 
     ``schema`` is the staged file schema (a ``_seq`` arrival number included);
-    the file source never infers it.
+    the file source never infers it.  ``on_snapshot(snapshot_df, touched_codes_df,
+    batch_id)`` runs after each batch (e.g. ``refresh_for_codes`` + a write).
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     last = {"path": initial_table}
@@ -46,6 +48,8 @@ def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructTyp
         out = snapshot_path(table_root, batch_id)
         merged.write.mode("overwrite").parquet(out)
         last["path"] = out
+        if on_snapshot is not None:
+            on_snapshot(spark.read.parquet(out), touched_codes(batch), batch_id)
 
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -79,8 +83,14 @@ def replay_upserts(spark: SparkSession, current: DataFrame, batches: Sequence[Da
     return spark.read.parquet(final)
 
 
-def split_by_year(df: DataFrame) -> list[DataFrame]:
-    """Helper for replays: one staged batch per calendar year present (driver-side
-    list of years, bounded by the calendar)."""
-    years = sorted(r[0] for r in df.select(F.year("date")).distinct().collect())
-    return [df.filter(F.year("date") == y) for y in years]
+def touched_codes(batch: DataFrame) -> DataFrame:
+    return batch.select("code").distinct()
+
+
+def refresh_for_codes(snapshot: DataFrame, codes: DataFrame, indicator) -> DataFrame:
+    """Recompute a (batch) indicator for the codes a micro-batch touched.
+
+    EWMs depend on the whole history of a code, so the touched codes are
+    recomputed whole from the new snapshot; other codes keep their values.
+    """
+    return indicator(snapshot.join(codes, "code", "left_semi"))
