@@ -98,3 +98,18 @@ def test_momentum_ties_broken_by_code(spark):
     got = M.relative_momentum(b, items, "2020-01-06", "2020-01-13", 1).collect()
     assert [r.code for r in got] == ["A"]
     assert F is not None
+
+
+def test_date_text_round_trip_and_raw_scan(spark, items):
+    from tickweave.functions import scalar as C
+    df = spark.createDataFrame([("20210131",), ("20210231",), ("junk",)], "t string")
+    got = df.select(C.ymd_to_date("t").alias("d")).collect()
+    assert [r.d for r in got] == [dt.date(2021, 1, 31), None, None]
+    back = spark.createDataFrame([(dt.date(2021, 1, 31),)], "d date").select(C.date_to_ymd("d").alias("t")).first()
+    assert back.t == "20210131"
+    bars = bars_frame(spark, series_rows("000001", [1, 2, 3], start="2021-01-30", step_days=1))
+    raw = K.daily_price_raw(bars, "000001", "20210131", "20210201").select("ymd").collect()
+    assert [r.ymd for r in raw] == ["20210131", "20210201"]
+    assert K.read_items(items).columns == ["code", "name"]
+    info = spark.createDataFrame([("000001", "A", dt.date(2021, 1, 1))], "code string, company string, last_update date")
+    assert K.read_company_info(info).columns == ["code", "company"]

@@ -57,7 +57,7 @@ def clean_measure(text) -> Column:
     """F9 text containing 'N' (N/A) -> 0, otherwise commas removed; then a number."""
     t = _c(text).cast("string")
     cleaned = F.when(t.contains("N"), F.lit("0")).otherwise(F.regexp_replace(t, ",", ""))
-    return F.try_cast(cleaned, "double") if hasattr(F, "try_cast") else cleaned.try_cast("double")
+    return cleaned.try_cast("double")
 
 
 def after_last_equals(text) -> Column:

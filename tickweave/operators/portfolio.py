@@ -28,7 +28,7 @@ MAX_UNIVERSE = 2000
 
 
 def universe_codes(universe: DataFrame) -> DataFrame:
-    """Ordered universe: ``code`` plus ``pos`` (0-based, by code)."""
+    """Universe as distinct codes; every array over it is in code order."""
     return universe.select("code").distinct()
 
 
