@@ -13,8 +13,10 @@ def _c(x) -> Column:
 
 
 def pad_code(code) -> Column:
-    """F1/C13 zero-pad an integer code to 6 digits; longer codes stay whole."""
-    return F.format_string("%06d", _c(code).cast("bigint"))
+    """F1/C13 zero-pad an integer code to 6 digits; longer codes stay whole;
+    a code that is not an integer becomes NULL."""
+    n = _c(code).try_cast("bigint")
+    return F.when(n.isNotNull(), F.format_string("%06d", n))
 
 
 def date_to_ymd(d) -> Column:

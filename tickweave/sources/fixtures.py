@@ -86,7 +86,7 @@ def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFra
 
 
 def brand_number(code: Column) -> Column:
-    return F.regexp_extract(code, r"#(\d+)$", 1).cast("int")
+    return F.regexp_extract(code, r"#(\d+)$", 1).try_cast("int")
 
 
 def items(spark: SparkSession, sf_dir: str, ymd: str = "20210201") -> DataFrame:
