@@ -81,7 +81,8 @@ def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFra
         # most 366 daily bars, so no task grows with a hot code
         stored = materialize(b.repartition("year", "code"), "bars", freq,
                              partition_by=["year"], sort_by=["code", "date"])
-        _STORED[key] = stored.select(*[c for c in stored.columns if c != "year"])
+        # ``year`` stays: filters on it prune whole partition folders
+        _STORED[key] = stored.select(*[c for c in stored.columns if c != "year"], "year")
     return _STORED[key]
 
 

@@ -91,7 +91,8 @@ def daily_price(bars: DataFrame, codes: DataFrame, start: str | None = None,
     wanted = codes.select("code").filter(F.col("code").isNotNull()).distinct()
     if strict and wanted.isEmpty():
         raise ValueError("no code resolved")
-    year = F.year("date")
+    # on a year-partitioned table the predicate on the partition column prunes folders
+    year = F.col("year") if "year" in bars.columns else F.year("date")
     return (bars.filter((F.col("ymd") >= start) & (F.col("ymd") <= end)
                         & (year >= int(start[:4])) & (year <= int(end[:4])))
                 .join(wanted, "code", "left_semi"))
