@@ -16,11 +16,11 @@ from tickweave.streaming import bar_stream as ST
 
 
 def test_listing_pads_and_never_truncates(spark):
-    raw = spark.createDataFrame([(5930, "Samsung", None), (1234567, "Long", "x")],
+    raw = spark.createDataFrame([(123, "Alpha Co", None), (1234567, "Long", "x")],
                                 "`종목코드` bigint, `회사명` string, `업종` string")
     got = {r.code: r for r in L.read_listing(raw).collect()}
-    assert set(got) == {"005930", "1234567"}
-    assert got["005930"].name == "Samsung" and got["005930"].sector is None
+    assert set(got) == {"000123", "1234567"}
+    assert got["000123"].name == "Alpha Co" and got["000123"].sector is None
 
 
 def test_measure_cleaning(spark):
@@ -38,7 +38,7 @@ def test_period_and_header_cleaning(spark):
 
 def test_quote_pages_round_trip_with_cap(spark):
     closes = list(range(1000, 1027))
-    bars = bars_frame(spark, series_rows("005930", closes, start="2021-01-04", step_days=1))
+    bars = bars_frame(spark, series_rows("000123", closes, start="2021-01-04", step_days=1))
     pages = Q.render_quote_pages(bars, rows_per_page=10)
     assert pages.count() == 3
     html = pages.filter("page = 1").first().html
@@ -50,14 +50,14 @@ def test_quote_pages_round_trip_with_cap(spark):
 
 
 def test_quote_page_parser_skips_blank_rows(spark):
-    html = ('<table class="type2"><tr><th>날짜</th><th>종가</th><th>전일비</th><th>시가</th>'
+    html = ('<table class="quotes"><tr><th>날짜</th><th>종가</th><th>전일비</th><th>시가</th>'
             '<th>고가</th><th>저가</th><th>거래량</th></tr><tr><td colspan="7"></td></tr>'
             '<tr><td>2021.02.01</td><td>82,000</td><td>1,100</td><td>81,000</td><td>83,000</td>'
             '<td>80,500</td><td>1,234,567</td></tr><tr><td>2021.01.29</td><td></td><td></td><td></td>'
             '<td></td><td></td><td></td></tr></table>'
-            '<table><tr><td class="pgRR"><a href="/item/sise_day.nhn?code=005930&amp;page=412">x</a>'
+            '<table><tr><td class="pgRR"><a href="/quotes?code=000123&amp;page=412">x</a>'
             '</td></tr></table>')
-    pages = spark.createDataFrame([("005930", 1, html)], "code string, page int, html string")
+    pages = spark.createDataFrame([("000123", 1, html)], "code string, page int, html string")
     got = Q.extract_quotes(pages).collect()
     assert len(got) == 1 and got[0].close == 82000 and got[0].volume == 1234567
     raw = Q.parse_quote_pages(pages).first()
@@ -103,8 +103,8 @@ def test_ensure_table_creates_empty_then_reads(spark):
 def test_vendor_bars_since_and_adjusted(spark):
     from tickweave.session import scratch_path
     path = scratch_path(spark, "vendor")
-    rows = [("005930", dt.date(2020, 12, 30), 1.0, 3.0, 0.5, 2.5, 2.4, 100.0),
-            ("005930", dt.date(2021, 1, 4), 2.0, 4.0, 1.5, 3.9, 3.8, 200.0)]
+    rows = [("000123", dt.date(2020, 12, 30), 1.0, 3.0, 0.5, 2.5, 2.4, 100.0),
+            ("000123", dt.date(2021, 1, 4), 2.0, 4.0, 1.5, 3.9, 3.8, 200.0)]
     spark.createDataFrame(rows, L.VENDOR_SCHEMA).write.parquet(path)
     got = L.read_vendor_bars(spark, path, "2021-01-01", adj=True).collect()
     assert len(got) == 1 and got[0].close == 3 and got[0].ymd == "20210104" and got[0].adj_close == 3.8

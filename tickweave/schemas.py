@@ -56,6 +56,8 @@ LISTING_HEADERS = {
     "상장일": "listing_day", "결산월": "fiscal_month", "대표자명": "ceo",
     "홈페이지": "homepage", "지역": "region",
 }
+# CSS class of the pager cell whose link ends in '=<last page>' on quote pages.
+PAGER_CLASS = "pgRR"
 # Daily quote table headers -> canonical bar columns.
 QUOTE_HEADERS = {
     "날짜": "date", "종가": "close", "전일비": "diff", "시가": "open",

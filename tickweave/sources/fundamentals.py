@@ -150,7 +150,7 @@ def render_statement_pages(cells: DataFrame) -> DataFrame:
     page = (j.groupBy("code", "gb", "_p")
              .agg(F.array_join(F.sort_array(F.collect_list(F.struct("measure", tr.alias("r"))))
                                .getField("r"), "").alias("_body")))
-    head = F.concat(F.lit('<table class="gHead01 all-width"><thead><tr><th>main</th></tr><tr>'),
+    head = F.concat(F.lit('<table class="statement"><thead><tr><th>main</th></tr><tr>'),
                     F.array_join(F.transform("_p", lambda p: F.concat(F.lit("<th>"), p, F.lit("</th>"))), ""),
                     F.lit("</tr></thead><tbody>"), F.col("_body"), F.lit("</tbody></table>"))
     return page.select("code", "gb", head.alias("html"))

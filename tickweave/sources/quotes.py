@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import after_last_equals, dotted_to_date, parse_int_text
-from ..schemas import QUOTE_HEADERS
+from ..schemas import PAGER_CLASS, QUOTE_HEADERS
 
 RAW_SCHEMA = ("code string, page int, date string, close string, diff string, open string, "
               "high string, low string, volume string, last_page string")
 
 
 class _QuotePage(HTMLParser):
-    """Collects the rows of the first <table> and the href of the pgRR pager cell."""
+    """Collects the rows of the first <table> and the href of the pager cell."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -47,9 +47,9 @@ class _QuotePage(HTMLParser):
         elif tag in ("td", "th") and self._row is not None:
             self._cell = []
             self._row_is_header |= tag == "th"
-            if "pgRR" in (a.get("class") or "").split():
+            if PAGER_CLASS in (a.get("class") or "").split():
                 self._in_pager = True
-        elif tag == "td" and "pgRR" in (a.get("class") or "").split():
+        elif tag == "td" and PAGER_CLASS in (a.get("class") or "").split():
             self._in_pager = True
         elif tag == "a" and self._in_pager and self.pager_href is None:
             self.pager_href = a.get("href")
@@ -142,8 +142,8 @@ def render_quote_pages(bars: DataFrame, rows_per_page: int = 10) -> DataFrame:
     g = (s.groupBy("code", "page", n_pages.alias("_pages"))
           .agg(F.sort_array(F.collect_list(F.struct(F.col("date"), row.alias("r"))), asc=False).alias("_rows")))
     body = F.array_join(F.transform("_rows", lambda e: e["r"]), '<tr><td colspan="7"></td></tr>')
-    html = F.concat(F.lit(f'<table class="type2"><tr>{heads}</tr><tr><td colspan="7"></td></tr>'),
-                    body, F.lit('</table><table class="Nnavi"><tr><td class="pgRR"><a href="/item/sise_day.nhn?code='),
+    html = F.concat(F.lit(f'<table class="quotes"><tr>{heads}</tr><tr><td colspan="7"></td></tr>'),
+                    body, F.lit(f'</table><table class="pager"><tr><td class="{PAGER_CLASS}"><a href="/quotes?code='),
                     F.col("code"), F.lit("&amp;page="), F.col("_pages").cast("string"),
                     F.lit('">last</a></td></tr></table>'))
     return g.select("code", "page", html.alias("html"))
