@@ -293,8 +293,9 @@ def _weights(spark, sf_dir):
 def q_candidate_weights(spark, sf_dir):
     """M4/F14 20,000 normalised md5-uniform weight vectors over all master codes."""
     w = _weights(spark, sf_dir)
-    return w.select("portfolio_id",
-                    F.transform("weights", lambda x: F.round(x, WEIGHT_PLACES)).alias("weights"))
+    long = w.select("portfolio_id", F.explode(F.arrays_zip("codes", "weights")).alias("cw"))
+    return long.select("portfolio_id", F.col("cw.codes").alias("code"),
+                       F.round(F.col("cw.weights"), WEIGHT_PLACES).alias("weight"))
 
 
 def _scores(spark, sf_dir):

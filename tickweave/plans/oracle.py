@@ -462,7 +462,7 @@ SELECT code_i, code_j, {_r('cov')} AS cov FROM covm
 
 ORACLE["candidate_weights"] = f"""
 WITH {ITEMS_CTE}, {WEIGHTS_CTE}
-SELECT portfolio_id, list_transform(weights, lambda x: round(x, 10)) AS weights FROM wts
+SELECT portfolio_id, code, round(w, 10) AS weight FROM wl
 """
 
 ORACLE["portfolio_scores"] = f"""
