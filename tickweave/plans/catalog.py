@@ -260,11 +260,23 @@ N_CANDIDATES = 20000
 WEIGHT_PLACES = 10
 
 
-def _rets(spark, sf_dir):
+_RETURNS: dict[tuple, DataFrame] = {}
+
+
+def stored_returns(spark, sf_dir):
+    """Aligned returns of the master's codes, written once per session and data
+    folder (shared by the portfolio reports, like the bars table; μ, Σ and the
+    best-row filters are scalar subqueries over it)."""
     from ..session import materialize
-    rets = P.aligned_returns(_bars(spark, sf_dir), _items(spark, sf_dir).select("code"))
-    # μ, Σ and the best-row filters are scalar subqueries over these returns
-    return materialize(rets, "returns")
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RETURNS:
+        rets = P.aligned_returns(_bars(spark, sf_dir), _items(spark, sf_dir).select("code"))
+        _RETURNS[key] = materialize(rets, "returns")
+    return _RETURNS[key]
+
+
+def _rets(spark, sf_dir):
+    return stored_returns(spark, sf_dir)
 
 
 @query("daily_returns")
