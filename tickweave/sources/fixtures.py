@@ -77,9 +77,11 @@ def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFra
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), freq)
     if key not in _STORED:
         b = bars(spark, sf_dir, freq).withColumn("year", F.year("date"))
-        # (year, code) spreads every year over many tasks; one code-year is at
-        # most 366 daily bars, so no task grows with a hot code
-        stored = materialize(b.repartition("year", "code"), "bars", freq,
+        # range slices of (year, code): every task writes about one file holding a
+        # narrow code range (min/max statistics then skip files on code
+        # predicates); one code-year is at most 366 daily bars, so a hot code is
+        # split across tasks
+        stored = materialize(b.repartitionByRange("year", "code"), "bars", freq,
                              partition_by=["year"], sort_by=["code", "date"])
         # ``year`` stays: filters on it prune whole partition folders
         _STORED[key] = stored.select(*[c for c in stored.columns if c != "year"], "year")
