@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import os
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,13 +89,26 @@ def open_series(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
     seg_rows = seg_rows or SEGMENT_ROWS
     keys = _keys(keys)
     if mode == "auto":
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        mode = "single" if largest <= seg_rows else "segmented"
+        mode = "single" if longest_key(df, keys) <= seg_rows else "segmented"
     if mode == "single":
         return single_segment(df, halo, keys, order, seg_rows)
     return segment(sequence(df, keys, order, bucket), halo, seg_rows)
 
 
+_LONGEST: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
+def longest_key(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the longest key (one small aggregate).  Remembered per DataFrame
+    object: a stored table read once answers every later series query on it;
+    any derived frame is a new object and is counted again."""
+    memo = _LONGEST.setdefault(df, {})
+    k = tuple(keys)
+    if k not in memo:
+        memo[k] = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return memo[k]
+
+
 def single_segment(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
                    order: str = "date", seg_rows: int | None = None) -> DataFrame:
     """Layout for keys known to hold at most ``seg_rows`` rows: one segment per key."""
