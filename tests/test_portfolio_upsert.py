@@ -143,3 +143,17 @@ def test_upsert_rewrites_only_touched_partitions(spark):
     U.write_partitions(part.select("code", "v", "year"), f"{root}/v2", ["year"])
     out = sorted(map(tuple, spark.read.parquet(f"{root}/v2").select("code", "year", "v").collect()))
     assert out == [("A", 2019, 1.0), ("A", 2020, 9.0), ("B", 2020, 3.0), ("C", 2020, 5.0)]
+
+
+def test_incremental_upsert_equals_full_upsert(spark):
+    cur = spark.createDataFrame([("A", 2019, 1.0), ("A", 2020, 2.0), ("B", 2020, 3.0), ("B", 2018, 4.0)],
+                                "code string, year int, v double")
+    batch = spark.createDataFrame([("A", 2020, 9.0, 1), ("C", 2021, 5.0, 1)],
+                                  "code string, year int, v double, _seq int")
+    full = U.upsert(cur, batch, ["code", "year"])
+    inc = U.upsert_incremental(cur, batch, ["code", "year"], ["year"])
+    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
+    b2 = batch.drop("_seq")
+    m_full = U.merge(cur, b2, ["code", "year"], seq=None)
+    m_inc = U.merge_incremental(cur, b2, ["year"], lambda c, b: U.merge(c, b, ["code", "year"], seq=None))
+    assert sorted(map(tuple, m_inc.collect())) == sorted(map(tuple, m_full.collect()))

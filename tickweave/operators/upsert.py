@@ -117,6 +117,29 @@ def upsert_partitions(current: DataFrame, batch: DataFrame, keys: Sequence[str],
     return upsert(touched(current, batch, partition_cols), batch, keys, seq)
 
 
+def untouched(current: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``current`` outside the partitions a batch touches (pass through unshuffled)."""
+    keys = batch.select(*partition_cols).distinct()
+    return current.join(keys, list(partition_cols), "left_anti").select(*current.columns)
+
+
+def upsert_incremental(current: DataFrame, batch: DataFrame, keys: Sequence[str],
+                       partition_cols: Sequence[str], seq: str = SEQ) -> DataFrame:
+    """U1 over a partitioned table: the whole new table, but only the touched
+    partitions go through the key shuffle; the rest streams through an anti join
+    against the (small) set of touched partition values.  The partition columns
+    must be functions of the key (``year`` of ``date`` for bars)."""
+    return untouched(current, batch, partition_cols).unionByName(
+        upsert_partitions(current, batch, keys, partition_cols, seq))
+
+
+def merge_incremental(current: DataFrame, batch: DataFrame, partition_cols: Sequence[str],
+                      merge_fn, *args) -> DataFrame:
+    """U2 counterpart of ``upsert_incremental``: ``merge_fn(touched, batch, *args)``."""
+    return untouched(current, batch, partition_cols).unionByName(
+        merge_fn(touched(current, batch, partition_cols), batch, *args))
+
+
 def ensure_table(spark, path: str, schema) -> DataFrame:
     """K1 ``CREATE TABLE IF NOT EXISTS``: an empty Parquet table with the
     given schema on first use; keys are enforced by the merges, not the store."""

@@ -357,14 +357,15 @@ def _with_audit(df: DataFrame, ts: str) -> DataFrame:
 def q_upsert_replace(spark, sf_dir):
     """U1/K3 full-row replace by (code, date): restated overlap, new weeks, a key twice."""
     current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
-    return U.upsert(current, batch, ["code", "date"]).select(*UPSERT_COLS)
+    # only the year partitions the batch touches are shuffled by key
+    return U.upsert_incremental(current, batch, ["code", "date"], ["year"]).select(*UPSERT_COLS)
 
 
 @query("merge_bars")
 def q_merge_bars(spark, sf_dir):
     """U2/K5 MERGE by (code, date): matched rows keep reg_dt and get upd_dt."""
     current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
-    merged = U.merge_bars(_with_audit(current, OLD_TS), batch, RUN_TS)
+    merged = U.merge_incremental(_with_audit(current, OLD_TS), batch, ["year"], U.merge_bars, RUN_TS)
     return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
@@ -421,7 +422,9 @@ def q_ingest_filtered(spark, sf_dir):
     current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
     staged = b.withColumn("close", F.col("close") + 1)
     listing = K.active_universe(_items(spark, sf_dir))
-    merged = U.ingest_for_listing(current, staged, listing, "1998-12-07", RUN_TS)
+    picked = (staged.filter(F.col("date") >= F.lit("1998-12-07").cast("date"))
+                    .join(listing.select("code"), "code", "left_semi"))
+    merged = U.merge_incremental(current, picked, ["year"], U.merge_bars, RUN_TS)
     return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
