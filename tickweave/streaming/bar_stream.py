@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.upsert import SEQ, upsert
+from ..operators.upsert import SEQ, upsert, upsert_incremental
 from ..session import scratch_path
 
 
@@ -30,12 +30,14 @@ def snapshot_path(table_root: str, batch_id: int) -> str:
 def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructType,
                        initial_table: str, table_root: str, keys: Sequence[str] = ("code", "date"),
                        checkpoint: str | None = None, max_files_per_trigger: int = 1,
-                       on_snapshot=None) -> str:
+                       on_snapshot=None, partition_cols: Sequence[str] | None = None) -> str:
     """Drain ``source_dir`` into snapshots under ``table_root``; returns the final snapshot path.
 
     ``schema`` is the staged file schema (a ``_seq`` arrival number included);
     the file source never infers it.  ``on_snapshot(snapshot_df, touched_codes_df,
     batch_id)`` runs after each batch (e.g. ``refresh_for_codes`` + a write).
+    With ``partition_cols`` (e.g. ``["year"]``) snapshots are partitioned and each
+    batch shuffles only the partitions it touches.
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     last = {"path": initial_table}
@@ -43,9 +45,16 @@ def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructTyp
     def apply(batch: DataFrame, batch_id: int) -> None:
         prev = initial_table if batch_id == 0 else snapshot_path(table_root, batch_id - 1)
         current = spark.read.parquet(prev)
-        merged = upsert(current, batch.select(*current.columns, SEQ), list(keys))
+        rows = batch.select(*current.columns, SEQ)
+        if partition_cols:
+            merged = upsert_incremental(current, rows, list(keys), list(partition_cols))
+        else:
+            merged = upsert(current, rows, list(keys))
         out = snapshot_path(table_root, batch_id)
-        merged.write.mode("overwrite").parquet(out)
+        writer = merged.write.mode("overwrite")
+        if partition_cols:
+            writer = writer.partitionBy(*partition_cols)
+        writer.parquet(out)
         last["path"] = out
         if on_snapshot is not None:
             on_snapshot(spark.read.parquet(out), touched_codes(batch), batch_id)
@@ -73,12 +82,15 @@ def replay_upserts(spark: SparkSession, current: DataFrame, batches: Sequence[Da
                    keys: Sequence[str] = ("code", "date")) -> DataFrame:
     """Stage ``batches``, stream them into ``current`` and read the result back."""
     root = scratch_path(spark, "stream")
+    parts = ["year"] if "year" in current.columns else None
     initial = f"{root}/initial"
-    current.write.mode("overwrite").parquet(initial)
+    w = current.write.mode("overwrite")
+    (w.partitionBy(*parts) if parts else w).parquet(initial)
     source = f"{root}/incoming"
     stage_batches(batches, source)
     schema = spark.read.parquet(source).schema
-    final = stream_upsert_bars(spark, source, schema, initial, f"{root}/bars", keys)
+    final = stream_upsert_bars(spark, source, schema, initial, f"{root}/bars", keys,
+                               partition_cols=parts)
     return spark.read.parquet(final)
 
 
