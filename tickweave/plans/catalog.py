@@ -495,8 +495,9 @@ def q_ingest_quotes(spark, sf_dir):
     """K8 quote pages of every known code parsed (5-page cap) and merged by K5."""
     b = _bars(spark, sf_dir)
     current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
-    quotes = QP.extract_quotes(QP.render_quote_pages(b), pages_to_fetch=5)
-    merged = U.merge_bars(current, quotes, RUN_TS)
+    quotes = QP.extract_quotes(QP.render_quote_pages(b), pages_to_fetch=5) \
+        .withColumn("year", F.year("date"))
+    merged = U.merge_incremental(current, quotes, ["year"], U.merge_bars, RUN_TS)
     return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
