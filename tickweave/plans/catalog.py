@@ -14,10 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import scalar as C
+from ..functions import series as S
 from ..operators import indicators as I
+from ..operators import momentum as M
+from ..operators import portfolio as P
 from ..operators import signals as G
-from ..functions import series as S
+from ..operators import upsert as U
 from ..sources import fixtures as X
+from ..sources import fundamentals as FD
+from ..sources import listing as L
+from ..sources import market as K
+from ..sources import quotes as QP
+from ..streaming import bar_stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -169,9 +178,6 @@ def q_triple_screen(spark, sf_dir):
 
 
 # --- security master and scans ------------------------------------------------
-from ..operators import momentum as M  # noqa: E402
-from ..operators import portfolio as P  # noqa: E402
-from ..sources import market as K  # noqa: E402
 
 SCAN_TOKENS = ["CO BRAND#24", "Brand#3", "CO BRAND#7", "NO SUCH CO"]
 BAR_COLS = ["code", "date", "ymd", "open", "high", "low", "close", "volume"]
@@ -329,12 +335,6 @@ def q_portfolio_best(spark, sf_dir):
 
 
 # --- upserts and ingest ---------------------------------------------------------------
-from ..functions import scalar as C  # noqa: E402
-from ..operators import upsert as U  # noqa: E402
-from ..sources import fundamentals as FD  # noqa: E402
-from ..sources import listing as L  # noqa: E402
-from ..sources import quotes as QP  # noqa: E402
-from ..streaming import bar_stream as ST  # noqa: E402
 
 CUT = "1999-01-04"
 OLD_TS = "2020-01-01 00:00:00"
