@@ -157,3 +157,10 @@ def test_incremental_upsert_equals_full_upsert(spark):
     m_full = U.merge(cur, b2, ["code", "year"], seq=None)
     m_inc = U.merge_incremental(cur, b2, ["year"], lambda c, b: U.merge(c, b, ["code", "year"], seq=None))
     assert sorted(map(tuple, m_inc.collect())) == sorted(map(tuple, m_full.collect()))
+
+
+def test_returns_aligned_on_chosen_first_code(spark, three):
+    uni = three.select("code").distinct()
+    rets = P.aligned_returns(three, uni, first="C").toPandas()
+    c_dates = sorted(three.filter("code = 'C'").toPandas().date)
+    assert sorted(rets.date.unique()) == c_dates          # the index is C's dates

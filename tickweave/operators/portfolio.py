@@ -36,16 +36,19 @@ def _first_code(universe: DataFrame):
     return universe.select(F.min("code")).scalar()
 
 
-def aligned_returns(bars: DataFrame, universe: DataFrame) -> DataFrame:
+def aligned_returns(bars: DataFrame, universe: DataFrame, first: str | None = None) -> DataFrame:
     """J3 + A2: daily returns of each universe code on the first code's dates.
 
+    ``first`` is the security whose trading dates form the index (the first
+    of the caller's list); by default the smallest code of the universe.
+
     Later series are re-indexed onto the first security's trading dates
     (extra dates drop, missing dates become gaps); gaps are padded forward
     before differencing, so a missing day gives a 0 return and leading gaps
     stay NULL.  Output: code, k (date index), date, ret.
     """
     codes = universe_codes(universe)
-    first = _first_code(codes)
+    first = F.lit(first) if first is not None else _first_code(codes)
     idx_s = S.open_series(bars.filter(F.col("code") == first).select("code", "date"), halo=0)
     # the grid holds at most as many rows per code as the index has: same layout decision
     grid_mode = "single" if S.is_single(idx_s) else "segmented"
