@@ -31,6 +31,7 @@ def get_spark(master: str | None = None, app: str = "tickweave",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -84,3 +85,31 @@ def materialize(df, *name: str, partition_by: list[str] | None = None,
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickweave`` importable in Python workers (``mapInPandas`` tasks).
+
+    Zips the package once per application and registers it with
+    ``addPyFile``; Spark serves the zip to every executor, so workers do not
+    depend on the driver's working directory or ``sys.path``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="tickweave-pkg-"), "tickweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
