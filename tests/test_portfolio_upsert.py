@@ -164,3 +164,15 @@ def test_returns_aligned_on_chosen_first_code(spark, three):
     rets = P.aligned_returns(three, uni, first="C").toPandas()
     c_dates = sorted(three.filter("code = 'C'").toPandas().date)
     assert sorted(rets.date.unique()) == c_dates          # the index is C's dates
+
+
+def test_company_info_refresh_is_gated(spark):
+    import datetime as dt
+    cur = spark.createDataFrame([("000001", "Old", dt.date(2021, 2, 1))], "code string, company string, last_update date")
+    listing = spark.createDataFrame([("000001", "New"), ("000002", "Second")], "code string, name string")
+    same, refreshed = U.refresh_company_info(cur, listing, "2021-02-01")
+    assert not refreshed and [r.company for r in same.collect()] == ["Old"]
+    new, refreshed = U.refresh_company_info(cur, listing, "2021-02-02")
+    assert refreshed
+    assert sorted((r.code, r.company, r.last_update) for r in new.collect()) == [
+        ("000001", "New", dt.date(2021, 2, 2)), ("000002", "Second", dt.date(2021, 2, 2))]

@@ -193,6 +193,16 @@ def replace_company_info(current: DataFrame, listing: DataFrame, today: str) ->
     return upsert(current.select("code", "company", "last_update"), batch, ["code"])
 
 
+def refresh_company_info(current: DataFrame, listing: DataFrame, today: str) -> tuple[DataFrame, bool]:
+    """K2 with its gate: replace from the listing only when the master is stale
+    (A7).  The gate is one driver-side decision read from a one-row aggregate;
+    returns (table, refreshed)."""
+    stale = needs_refresh(current, today).first()["needs_refresh"]
+    if not stale:
+        return current.select("code", "company", "last_update"), False
+    return replace_company_info(current, listing, today), True
+
+
 def ingest_for_listing(current: DataFrame, staged: DataFrame, listing: DataFrame,
                        since: str, ts: str) -> DataFrame:
     """K7/K8 bars since a date for the codes of a (fresh) listing, merged by K5."""
