@@ -113,3 +113,18 @@ def test_date_text_round_trip_and_raw_scan(spark, items):
     assert K.read_items(items).columns == ["code", "name"]
     info = spark.createDataFrame([("000001", "A", dt.date(2021, 1, 1))], "code string, company string, last_update date")
     assert K.read_company_info(info).columns == ["code", "company"]
+
+
+def test_warmup_reads_earlier_rows_then_trims(spark, items):
+    from tickweave.operators import indicators as I
+    rows = series_rows("000001", list(range(100, 130)), start="2020-01-06", step_days=7)
+    bars = bars_frame(spark, rows)
+    codes = spark.createDataFrame([("000001",)], "code string")
+    cold = I.sma(K.daily_price(bars, codes, "20200406", "20200727"), "close", 5)
+    warm = K.trim_warmup(I.sma(K.daily_price(bars, codes, "20200406", "20200727", warmup_days=60), "close", 5))
+    c = [r.ma5 for r in cold.orderBy("date").collect()]
+    w = [r.ma5 for r in warm.orderBy("date").collect()]
+    assert len(c) == len(w) == 17
+    assert c[:4] == [None] * 4 and c[4] is not None            # cold start at the range start
+    assert all(x is not None for x in w)                       # warmed up from earlier rows
+    assert w[4:] == c[4:]

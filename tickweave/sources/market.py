@@ -75,7 +75,7 @@ def resolve_tokens(tokens: DataFrame, items: DataFrame) -> DataFrame:
 
 def daily_price(bars: DataFrame, codes: DataFrame, start: str | None = None,
                 end: str | None = None, as_of: dt.date | None = None,
-                strict: bool = False) -> DataFrame:
+                strict: bool = False, warmup_days: int = 0) -> DataFrame:
     """S3 bars of the given codes in an inclusive ``ymd`` range.
 
     ``codes`` is a DataFrame with a ``code`` column (e.g. ``resolve_tokens``
@@ -83,19 +83,34 @@ def daily_price(bars: DataFrame, codes: DataFrame, start: str | None = None,
     driver instead, which needs one small action).  The range compares the
     ``yyyyMMdd`` text, so impossible days still bound the scan; a ``year``
     predicate is added for partition pruning of year-partitioned bars.
+
+    Indicators computed on the result start cold at ``start`` (C10).  With
+    ``warmup_days`` the scan also reads that many calendar days before
+    ``start``; those rows carry ``warmup = true`` and ``trim_warmup`` drops them
+    after the windows are computed.
     """
     if start is None or end is None:
         d0, d1 = default_range(as_of or dt.date.today())
         start, end = start or d0, end or d1
     start, end = parse_date_arg(start), parse_date_arg(end, end=True)
+    first = start
+    if warmup_days:
+        first = (dt.date(int(start[:4]), int(start[4:6]), 1)
+                 + dt.timedelta(days=min(int(start[6:]), 28) - 1 - warmup_days)).strftime("%Y%m%d")
     wanted = codes.select("code").filter(F.col("code").isNotNull()).distinct()
     if strict and wanted.isEmpty():
         raise ValueError("no code resolved")
     # on a year-partitioned table the predicate on the partition column prunes folders
     year = F.col("year") if "year" in bars.columns else F.year("date")
-    return (bars.filter((F.col("ymd") >= start) & (F.col("ymd") <= end)
-                        & (year >= int(start[:4])) & (year <= int(end[:4])))
-                .join(wanted, "code", "left_semi"))
+    out = (bars.filter((F.col("ymd") >= first) & (F.col("ymd") <= end)
+                       & (year >= int(first[:4])) & (year <= int(end[:4])))
+               .join(wanted, "code", "left_semi"))
+    return out.withColumn("warmup", F.col("ymd") < start) if warmup_days else out
+
+
+def trim_warmup(df: DataFrame) -> DataFrame:
+    """Drop the warm-up rows of a ``daily_price(..., warmup_days=...)`` scan."""
+    return df.filter(~F.col("warmup")).drop("warmup") if "warmup" in df.columns else df
 
 
 def daily_price_raw(bars: DataFrame, code: str, start: str, end: str) -> DataFrame:
