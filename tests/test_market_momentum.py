@@ -128,3 +128,17 @@ def test_warmup_reads_earlier_rows_then_trims(spark, items):
     assert c[:4] == [None] * 4 and c[4] is not None            # cold start at the range start
     assert all(x is not None for x in w)                       # warmed up from earlier rows
     assert w[4:] == c[4:]
+
+
+def test_asof_days_carries_across_years(spark):
+    rows = (series_rows("000001", [1, 2], start="2019-12-23", step_days=7)       # 2019-12-23, 2019-12-30
+            + series_rows("000001", [3], start="2020-01-13", step_days=7)        # 2020-01-13
+            + series_rows("000001", [4], start="2022-03-07", step_days=7))       # nothing in 2021
+    b = bars_frame(spark, rows)
+    req = spark.createDataFrame([(dt.date(2020, 1, 2),), (dt.date(2020, 1, 13),), (dt.date(2021, 6, 1),),
+                                 (dt.date(2022, 1, 3),), (dt.date(2019, 1, 1),)], "requested date")
+    got = {r.requested: r.trading_day for r in M.asof_days(req, b).collect()}
+    assert got == {dt.date(2020, 1, 2): dt.date(2019, 12, 30),     # carried from the previous year
+                   dt.date(2020, 1, 13): dt.date(2020, 1, 13),     # same day counts
+                   dt.date(2021, 6, 1): dt.date(2020, 1, 13),      # a year without trading days
+                   dt.date(2022, 1, 3): dt.date(2020, 1, 13)}      # before the year's first bar

@@ -35,9 +35,10 @@ def asof_days(requested: DataFrame, bars: DataFrame, col: str = "requested") ->
             .withColumn("_req", F.col("_t").isNull())
     within = Window.partitionBy("_y").orderBy("d", F.col("_req").asc()) \
                    .rowsBetween(Window.unboundedPreceding, 0)
-    per_year = days.groupBy(F.year("d").alias("_y")).agg(F.max("d").alias("_last"))
+    # one row per calendar year that holds a trading or a requested date (years
+    # without trading days included), so the global frame over it is small
+    per_year = u.groupBy("_y").agg(F.max("_t").alias("_last"))
     before = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
-    # per-year table: one row per calendar year of history, so the global frame is small
     carry = per_year.select("_y", F.max("_last").over(before).alias("_carry"))
     out = (u.withColumn("_hit", F.max("_t").over(within))
             .filter("_req")
