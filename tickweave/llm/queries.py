@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tickweave.llm import line_dedup, pack, shard
+from tickweave.llm import ann, langid, line_dedup, pack, shard, toxicity
 
 #: Byte limit of a shard in op9.
 SHARD_BYTES = 2 << 20
@@ -22,6 +22,27 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every row whose id is divisible by 20."""
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of each document; remainder 1 of 3 is held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.learn(docs, labels.where(langid.fold("doc_id", 3) != 1))
+    return toxicity.score(docs, model).drop("text").withColumn("held_out", langid.fold("doc_id", 3) == 1)
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of each document; remainder 2 of 4 is held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = langid.fold("doc_id", 4) == 2
+    found = langid.identify(docs, docs.where(~held_out))
+    return found.withColumn("held_out", held_out)
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of each document under the byte limit."""
     return shard.shards(_documents(spark, sf_dir).select("doc_id", "text"), SHARD_BYTES).drop("text")
@@ -33,7 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op9_shard, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_pack, op6_ann, op7_toxicity, op8_langid, op9_shard, op10_line_dedup)}
 
 ORACLE = {
     "op9_shard": f"""
