@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tickweave.llm import ann, langid, line_dedup, pack, shard, toxicity
+from tickweave.llm import ann, langid, line_dedup, pack, perplexity, shard, toxicity
 
 #: Byte limit of a shard in op9.
 SHARD_BYTES = 2 << 20
@@ -17,6 +17,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the perplexity verdict of each document."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return perplexity.judge(docs).drop("lang", "n_chars_scored")
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2,048 tokens."""
     return pack.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -54,7 +60,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op6_ann, op7_toxicity, op8_langid, op9_shard, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_perplexity, op2_pack, op6_ann, op7_toxicity, op8_langid, op9_shard, op10_line_dedup)}
 
 ORACLE = {
     "op9_shard": f"""
