@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tickweave.llm import ann, byte_bpe, langid, line_dedup, ngram_join, pack, perplexity, shard, toxicity
+from tickweave.llm import ann, byte_bpe, langid, line_dedup, ngram_join, pack, perplexity, shard, suffix_dedup, toxicity
 
 #: Byte limit of a shard in op9.
 SHARD_BYTES = 2 << 20
@@ -38,6 +38,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document under 50-byte strings that start in smaller documents, and what is left."""
+    return suffix_dedup.digests(_documents(spark, sf_dir))
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows found for every row whose id is divisible by 20."""
     return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -70,7 +75,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_perplexity, op2_pack, op3_ngram_join, op4_byte_bpe, op6_ann, op7_toxicity, op8_langid, op9_shard, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_perplexity, op2_pack, op3_ngram_join, op4_byte_bpe, op5_suffix_dedup, op6_ann, op7_toxicity, op8_langid, op9_shard, op10_line_dedup)}
 
 ORACLE = {
     "op9_shard": f"""
