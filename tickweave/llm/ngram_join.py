@@ -90,17 +90,17 @@ def _measure(k: int):
     """Task function: set sizes and digests, and the task's part of the frequency sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.uint32)
-        names = ["piece", "doc_id", "n", "sid", "check", "counters"]
+        names = ["piece", "doc_id", "digest", "n", "sid", "check", "counters"]
         for batch in batches:
-            for i, j, key, off in _parts(batch, 1, k):
+            for i, j, key, off in _parts(batch, 2, k):
                 sid, check = set_ids(key, off)
                 np.add.at(sketch, (key & np.uint64(SKETCH - 1)).astype(np.int64), np.uint32(1))
-                yield pa.RecordBatch.from_arrays([pa.nulls(j - i, pa.int32()), batch.column(0).slice(i, j - i), pa.array(np.diff(off).astype(np.int64)),
+                yield pa.RecordBatch.from_arrays([pa.nulls(j - i, pa.int32()), batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(np.diff(off).astype(np.int64)),
                                                   pa.array(sid.view(np.int64)), pa.array(check.view(np.int64)), pa.nulls(j - i, pa.binary())], names=names)
         if sketch.any():
             pieces = [pa.compress(p.tobytes(), "zstd", asbytes=True) for p in sketch.reshape(SKETCH_PIECES, -1)]
             n, empty = SKETCH_PIECES, pa.nulls(SKETCH_PIECES, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), empty, empty, empty, empty, pa.array(pieces, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), empty, empty, empty, empty, empty, pa.array(pieces, pa.binary())], names=names)
     return run
 
 
@@ -223,13 +223,39 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, n_links, component_id): links are counted between different sets."""
+    return _linked(docs, k, num, den, text_col, id_col).drop("digest", "group")
+
+
+def keep_one(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The documents without all but one of each component: the one of the least id (null ids last, then by digest).
+
+    Texts without words all stay.  Rows equal in id and text are one document.
+    """
+    linked = materialize(_linked(docs, k, num, den, text_col, id_col), "join")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("first")
+    chosen = linked.where(F.col("group").isNotNull()).groupBy("group").agg(first).select("first.doc_id", "first.digest")
+    chosen = chosen.unionByName(linked.where(F.col("group").isNull()).select("doc_id", "digest"))
+    chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("digest").alias("chosen_digest")).distinct()
+    own = [F.col(f"row_in.`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_in"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), _digest(text_col))
+    rows = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("digest") == F.col("chosen_digest")))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy(F.lit(0)))
+    return rows.withColumn("nth", nth).where(F.col("nth") == 1).select(*own)
+
+
+def _digest(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("digest")
+
+
+def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col: str) -> DataFrame:
+    """One row per document, with its digest, its component's least set id as ``group`` (null without words), and its id."""
     spark = docs.sparkSession
     ship_package(spark)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text)
-    measured = materialize(rows.mapInArrow(_measure(k), "piece int, doc_id long, n long, sid long, check long, counters binary"), "join")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _digest(text_col), text)
+    measured = materialize(rows.mapInArrow(_measure(k), "piece int, doc_id long, digest long, n long, sid long, check long, counters binary"), "join")
     sketch = spark.sparkContext.broadcast(_sketch(measured))  # SKETCH counters
-    sizes = measured.where(F.col("piece").isNull()).select("doc_id", "n", "sid", "check")
+    sizes = measured.where(F.col("piece").isNull()).select("doc_id", "digest", "n", "sid", "check")
     classes = sizes.where(F.col("n") > 0).groupBy("sid", "check").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     classes = materialize(classes, "join")
 
@@ -319,7 +345,7 @@ def _members(sizes: DataFrame, classes: DataFrame, links: DataFrame) -> DataFram
     label = materialize(node.join(labels, "sid").select("sid", "component", "rep"), "join")
     least = label.groupBy("component").agg(F.min("rep").alias("component_id"))
     degree = links.select(F.col("a").alias("sid")).unionByName(links.select(F.col("b").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
-    owner = classes.select("sid", "check", "rep").join(label.join(least, "component").select("sid", "component_id"), "sid", "left").join(degree, "sid", "left")
-    owner = owner.select(F.col("sid").alias("s"), F.col("check").alias("c"), F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    owner = classes.select("sid", "check", "rep").join(label.join(least, "component").select("sid", "component", "component_id"), "sid", "left").join(degree, "sid", "left")
+    owner = owner.select(F.col("sid").alias("s"), F.col("check").alias("c"), F.coalesce("component", "sid").alias("group"), F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = sizes.join(owner, (F.col("n") > 0) & (F.col("sid") == F.col("s")) & (F.col("check") == F.col("c")), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "digest", "group", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
