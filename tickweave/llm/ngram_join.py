@@ -256,7 +256,8 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
     measured = materialize(rows.mapInArrow(_measure(k), "piece int, doc_id long, digest long, n long, sid long, check long, counters binary"), "join")
     sketch = spark.sparkContext.broadcast(_sketch(measured))  # SKETCH counters
     sizes = measured.where(F.col("piece").isNull()).select("doc_id", "digest", "n", "sid", "check")
-    classes = sizes.where(F.col("n") > 0).groupBy("sid", "check").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("least")
+    classes = sizes.where(F.col("n") > 0).groupBy("sid", "check").agg(least).select("sid", "check", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("rep_digest"))
     classes = materialize(classes, "join")
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -268,7 +269,7 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
 
     # the sets to compare, from one document of each class
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(lists.select("sid")).distinct()
-    wanted = materialize(classes.join(wanted, "sid", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "join")
+    wanted = materialize(classes.join(wanted, "sid", "left_semi").select("rep", "rep_digest"), "join")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +277,8 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
                 sid, _ = set_ids(key, off)
                 yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array([key[i:j].tobytes() for i, j in zip(off, off[1:])], pa.binary())], names=["sid", "members"])
 
-    sets = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(members, "sid long, members binary")
+    chosen = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("digest") == F.col("rep_digest")), "left_semi")
+    sets = chosen.select("text").mapInArrow(members, "sid long, members binary")
     sets = materialize(sets.dropDuplicates(["sid"]), "join")
 
     need = F.ceil(num * (F.col("n_a") + F.col("n_b")) / (num + den))

@@ -330,7 +330,7 @@ def judge(docs: DataFrame, band: float = 6.0, margin: float = 0.25, short_margin
     bands = bands.select("of", (F.col("q")[1] - band * (F.col("q")[1] - F.col("q")[0]) - margin).alias("band_low"),
                          (F.col("q")[1] + band * (F.col("q")[2] - F.col("q")[1]) + margin).alias("band_high"))
     rows = rows.join(F.broadcast(bands), F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")  # one row per language
-    wider = F.coalesce(short_margin / F.sqrt(F.col("n_chars_scored")), F.lit(0.0))
+    wider = F.coalesce(F.try_divide(F.lit(short_margin), F.sqrt(F.col("n_chars_scored"))), F.lit(0.0))
     rows = rows.withColumns({"band_low": F.col("band_low") - wider, "band_high": F.col("band_high") + wider})
     inside = F.coalesce(F.col("log_perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(False))
     return rows.withColumn("kept", ~F.col("base_failed") & inside)

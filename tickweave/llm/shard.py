@@ -81,7 +81,7 @@ def _numbered_parts(rows: DataFrame, limit: int) -> DataFrame:
     at = F.col("base") + F.coalesce(F.sum("n_bytes").over(inside), F.lit(0))
     rows = rows.join(bases, ["h", "task"]).withColumn("part", F.floor(at / (limit / 2)).cast("long"))
     sums = rows.groupBy("h", "part").agg(F.sum("n_bytes").alias("part_bytes"))
-    return rows.join(sums, ["h", "part"]).withColumn("shard_bytes", F.col("part_bytes")).drop("task", "row", "part_bytes")
+    return rows.join(sums, ["h", "part"]).withColumn("shard_bytes", F.col("part_bytes"))
 
 
 def shards(docs: DataFrame, limit: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -94,9 +94,11 @@ def shards(docs: DataFrame, limit: int, text_col: str = "text", id_col: str = "d
     at = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(F.col("h"), F.lit(d)).alias("prefix")) for d in depths]))
     # buckets are disjoint, so a document meets exactly one; hash prefixes are even, so no key is hot
     placed = rows.withColumn("at", at).select("row_in", "h", "n_bytes", "at.*").join(tree, ["depth", "prefix"])
-    placed = placed.withColumn("part", F.lit(0).cast("long"))
+    names = ["row_in", "h", "n_bytes", "depth", "prefix", "shard_bytes"]
+    placed = placed.select(*names, F.lit(0).cast("long").alias("part"))
     if not tree.where(F.col("shard_bytes") > limit).isEmpty():
-        placed = placed.where(F.col("shard_bytes") <= limit).unionByName(_numbered_parts(placed.where(F.col("shard_bytes") > limit), limit))
+        cut = _numbered_parts(placed.where(F.col("shard_bytes") > limit).select(*names), limit)
+        placed = placed.where(F.col("shard_bytes") <= limit).unionByName(cut.select(*names, "part"))
     bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.expr(f"substr(lpad(bin(prefix << ({HASH_BITS} - depth)), {HASH_BITS}, '0'), 1, depth)"))
     return placed.select(*[F.col(f"row_in.`{c}`") for c in own if c not in ("shard", "part", "depth", "n_bytes", "shard_bytes")],
                          bits.alias("shard"), "part", "depth", "n_bytes", "shard_bytes")

@@ -63,7 +63,7 @@ def pack_bytes(values: np.ndarray, ascending: bool = False) -> bytes:
     """Numbers as compressed byte planes; ascending ones as differences."""
     if ascending and len(values):
         values = np.concatenate((values[:1], values[1:] - values[:-1]))
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
