@@ -16,8 +16,9 @@ not read.  The last window may be short; all others are full.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +29,91 @@ from tickweave.session import materialize, ship_package
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
-#: Distinct words whose ids a task keeps before it starts anew; bounds memory, not results.
-#: The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in turn.
-WORD_TABLE_LIMIT = 400_000
-
-
-def word_encoder(tokenizer_file: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Encodes single words with the tokenizer of a ``tokenizers`` JSON file."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
+#: Distinct words whose ids a Python worker keeps before it starts anew; bounds memory, not results.
+WORD_TABLE_LIMIT = 1_200_000
+#: Words encoded in one call.
+WORDS_AT_ONCE = 2_000
+#: A run of sentence marks that ends a word after a letter or digit is a piece of its own
+#: (the last class: Latin-1 letters in UTF-8, without the two signs among them).
+_TAIL_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[.,;:!?]+\Z")
+
+
+class WordTable:
+    """Ids of distinct words, as little-endian bytes.
+
+    For tokenizers like the public one: text is lower-cased, white space only
+    separates, runs of letters and runs of marks are pieces of their own, and
+    a piece's last token ends with ``</w>``.  A text's ids are then its words'
+    ids in turn, and each word needs encoding once, its sentence marks apart.
+    Words of letters are encoded many at a time and told apart by the word ends; should their
+    number not agree, and for all other words, each is encoded alone.
+    """
 
-    def encode(batch: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in batch], add_special_tokens=False)]
-    return encode
+    def __init__(self, tokenizer_file: str, id_type: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer.encode_special_tokens = True
+        self.id_type = id_type
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def _alone(self, words: list[bytes]) -> None:
+        for e, w in zip(self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), words):
+            self.known[w] = np.array(e.ids, self.id_type).tobytes()
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        known, new, tails = self.known, {}, []
+        for w in words:
+            if w not in known:
+                if w[-1] < 64 and (m := _TAIL_MARKS.search(w)):
+                    parts = w[:m.start()], m.group()
+                    tails.append((w, *parts))
+                    new.update((p, None) for p in parts if p not in known)
+                else:
+                    new[w] = None
+        self._encode(list(new))
+        known.update((w, known[body] + known[marks]) for w, body, marks in tails)
+
+    def _encode(self, words: list[bytes]) -> None:
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            texts = [(w, w.decode()) for w in words[i:i + WORDS_AT_ONCE]]
+            together = [x for x in texts if x[1].isalpha()]
+            if together:
+                joined = self.tokenizer.encode_batch_fast([" ".join(t for _, t in together)], add_special_tokens=False)[0].ids
+                ids = np.array(joined, self.id_type)
+                ends = (np.flatnonzero(self.is_end[ids]) + 1).tolist()
+                if len(ends) == len(together) and ends[-1] == len(ids):
+                    raw, width = ids.tobytes(), ids.itemsize
+                    self.known.update((w, raw[a * width:b * width]) for (w, _), a, b in zip(together, [0, *ends], ends))
+                else:
+                    self._alone([w for w, _ in together])
+            if rest := [w for w, t in texts if not t.isalpha()]:
+                self._alone(rest)
+
+    def ids(self, text: bytes) -> bytes:
+        """The ids of a text, its white space as the six ASCII characters or inside words."""
+        words = text.lower().split()
+        parts = [*map(self.known.get, words)]
+        if None in parts:
+            if len(self.known) > WORD_TABLE_LIMIT:
+                self.known.clear()
+            self._learn(dict.fromkeys(words))
+            parts = map(self.known.__getitem__, words)
+        return b"".join(parts)
+
+
+_tables: dict[tuple[str, str], WordTable] = {}
+
+
+def word_table(tokenizer_file: str, id_type: str) -> WordTable:
+    """The worker's table, kept from task to task."""
+    key = (tokenizer_file, id_type)
+    if key not in _tables:
+        _tables[key] = WordTable(tokenizer_file, id_type)
+    return _tables[key]
 
 
 def _token_rows(tokenizer_file: str, end_id: int, id_type: str):
@@ -50,24 +121,12 @@ def _token_rows(tokenizer_file: str, end_id: int, id_type: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = word_encoder(tokenizer_file)
+        table = word_table(tokenizer_file, id_type)
         task, start = TaskContext.get().partitionId(), 0
-        known: dict[bytes, bytes] = {}
         tail = np.array([end_id], id_type).tobytes()
         width = len(tail)
         for batch in batches:
-            blobs = []
-            for text in batch.column(1).cast(pa.binary()):
-                words = (text.as_py() or b"").split()
-                new = [w for w in dict.fromkeys(words) if w not in known]
-                if new:
-                    if len(known) + len(new) > WORD_TABLE_LIMIT:
-                        known.clear()
-                        new = list(dict.fromkeys(words))
-                    for i in range(0, len(new), 8192):
-                        part = new[i:i + 8192]
-                        known.update((w, np.array(ids, id_type).tobytes()) for w, ids in zip(part, encode(part)))
-                blobs.append(b"".join([*map(known.__getitem__, words), tail]))
+            blobs = [table.ids(t.as_py() or b"") + tail for t in batch.column(1).cast(pa.binary())]
             n = np.fromiter((len(b) // width for b in blobs), np.int64, len(blobs))
             ends = start + np.cumsum(n)
             yield pa.RecordBatch.from_arrays(
