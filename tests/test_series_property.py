@@ -1,5 +1,5 @@
-"""Property test: segmented windows equal whole-series pandas for random
-series, NULL patterns, segment sizes and halos."""
+"""Property test: series windows equal whole-series pandas for random
+series, NULL patterns, spans and frames."""
 
 import numpy as np
 import pandas as pd
@@ -15,11 +15,11 @@ from tickweave.functions import series as S
 def cases(draw):
     n_a = draw(st.integers(1, 90))
     n_b = draw(st.integers(1, 40))
-    seg = draw(st.sampled_from([4, 8, 16, 64]))
-    halo = draw(st.integers(0, min(seg - 1, 6)))
+    span = draw(st.sampled_from([1, 2, 9, 130]))
+    halo = draw(st.integers(0, 6))
     seed = draw(st.integers(0, 10_000))
     null_rate = draw(st.sampled_from([0.0, 0.1, 0.4]))
-    return n_a, n_b, seg, halo, seed, null_rate
+    return n_a, n_b, span, halo, seed, null_rate
 
 
 def _closes(n, rng, null_rate):
@@ -29,13 +29,13 @@ def _closes(n, rng, null_rate):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(c=cases())
-def test_segmented_equals_pandas(spark, c):
-    n_a, n_b, seg, halo, seed, null_rate = c
+def test_series_equals_pandas(spark, c):
+    n_a, n_b, span, halo, seed, null_rate = c
     rng = np.random.default_rng(seed)
     rows = series_rows("A", _closes(n_a, rng, null_rate)) + series_rows("B", _closes(n_b, rng, null_rate))
     df = bars_frame(spark, rows)
-    s = S.open_series(df, halo=halo, seg_rows=seg, mode="segmented")
-    s = S.ewm_mean(s, "close", 9, "e")
+    s = S.open_series(df)
+    s = S.ewm_mean(s, "close", span, "e")
     s = S.forward_fill(s, "close", "ff")
     w = halo + 1
     s = (s.withColumn("m", S.rolling(F.col("close").cast("double"), w, F.avg))
@@ -45,7 +45,7 @@ def test_segmented_equals_pandas(spark, c):
         .sort_values(["code", "date"])
     for code, g in got.groupby("code"):
         c = g["close"].astype(float)
-        np.testing.assert_allclose(g["e"].astype(float), c.ewm(span=9).mean(), rtol=1e-9, equal_nan=True)
+        np.testing.assert_allclose(g["e"].astype(float), c.ewm(span=span).mean(), rtol=1e-9, equal_nan=True)
         np.testing.assert_allclose(g["ff"].astype(float), c.ffill(), equal_nan=True)
         if halo >= 1:
             np.testing.assert_allclose(g["m"].astype(float), c.rolling(w).mean(), rtol=1e-12, equal_nan=True)

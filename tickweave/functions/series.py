@@ -1,156 +1,58 @@
-"""Segmented time-series windows.
-
-A window ``partitionBy('code')`` puts a whole security into one task; one
-security holding a third of all rows would then be one third of the job in
-a single task.  Instead every series is cut into fixed-size *row segments*:
-
-1. ``sequence`` numbers rows 0.. per key by order without a per-key task:
-   counts per (key, month) -> running offsets on that small table -> join
-   back -> ``row_number`` inside each (key, month) group.  A (code, month)
-   group holds at most 31 daily bars because (code, date) is the table key.
-2. ``segment`` assigns ``_seg = _rn div S`` and copies the last ``halo``
-   rows of each segment into the next one (``explode`` of a 1- or 2-element
-   array).  Every window is then ``partitionBy(key, _seg).orderBy(_rn)``;
-   core rows (``_seg == _home``) see their full look-back.
-3. Running scans that look back without bound (EWM, forward fill) are cut
-   the same way: each segment scans locally and takes a *carry* — the scan
-   state just before its first row — from a small per-segment summary table.
-
-All helper columns start with ``_``.  ``finish`` drops them and the halo.
+"""Time-series windows over bars of all securities.
+
+One layout for every size: a security is one window partition, ordered by
+date, and a whole stack of windows shares the one exchange on its key.  Bars
+are keyed by (code, date), so a partition grows with the calendar — at most
+366 rows a year — and never with the number of securities or trades.
+
+``open_series`` adds the row position ``_rn``; ``finish`` drops it.  A filter
+between the two (``dropna``) leaves the partitioning as it is: later windows
+see the rows that are left, with no further exchange.
 """
 
 from __future__ import annotations
 
 import math
-import os
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEGMENT_ROWS = int(os.environ.get("TICKWEAVE_SEGMENT_ROWS", "4096"))
-HELPERS = ("_rn", "_seg", "_home")
-# largest exponent (natural log) allowed for the local EWM weights; e^600 is far
-# from the double limit (e^709) and keeps a margin for the multiplied values
-_EXP_LIMIT = 600.0
-_UNDERFLOW = 800.0
+HELPERS = ("_rn",)
+# largest exponent (natural log) of the local EWM weights: e^300 squared is still
+# far from the double limit (e^709)
+_EXP_LIMIT = 300.0
 
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def sequence(df: DataFrame, keys: Sequence[str] | str = ("code",), order: str = "date",
-             bucket: Column | None = None) -> DataFrame:
+def series_window(keys: Sequence[str] | str = ("code",), order: str = "date"):
+    return Window.partitionBy(*_keys(keys)).orderBy(order)
+
+
+def open_series(df: DataFrame, keys: Sequence[str] | str = ("code",), order: str = "date") -> DataFrame:
     """Add ``_rn``: 0-based position of each row within ``keys`` by ``order``.
 
     ``order`` must be unique within a key (it is: bars are keyed by code, date).
-    ``bucket`` is a coarse, order-preserving function of ``order`` whose groups
-    are small; the default is the calendar month of a date column.
     """
-    keys = _keys(keys)
-    if bucket is None:
-        bucket = F.trunc(F.col(order), "month")
-    b = df.withColumn("_b", bucket)
-    counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(order))
-    return (b.join(offsets, on=[*keys, "_b"], how="inner")
-             .withColumn("_rn", (local - 1 + F.col("_off")).cast("bigint"))
-             .drop("_b", "_off"))
-
-
-def segment(df: DataFrame, halo: int, seg_rows: int | None = None) -> DataFrame:
-    """Cut a sequenced frame into segments of ``seg_rows`` rows plus a halo."""
-    seg_rows = seg_rows or SEGMENT_ROWS
-    if not 0 <= halo < seg_rows:
-        raise ValueError(f"halo {halo} must be below the segment size {seg_rows}")
-    seg = F.expr(f"_rn DIV {seg_rows}")
-    pos = F.expr(f"pmod(_rn, {seg_rows})")
-    targets = F.when(pos >= seg_rows - halo, F.array(seg, seg + 1)).otherwise(F.array(seg))
-    meta = {"halo": halo, "seg_rows": seg_rows}
-    return (df.withColumn("_home", seg.alias("_home", metadata=meta))
-              .withColumn("_seg", F.explode(targets)))
-
-
-def open_series(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
-                order: str = "date", seg_rows: int | None = None,
-                bucket: Column | None = None, mode: str = "auto") -> DataFrame:
-    """Number and segment a frame for series windows.
-
-    ``mode="auto"`` looks at one small aggregate — the largest number of rows
-    of any key — before planning: when every key fits in one segment no key
-    can dominate a task, and the frame gets the single-segment layout (plain
-    ``row_number`` per key; no halo copies, carries or renumbering shuffles).
-    Otherwise, or with ``mode="segmented"``, rows are cut into segments.
-    """
-    seg_rows = seg_rows or SEGMENT_ROWS
-    keys = _keys(keys)
-    if mode == "auto":
-        mode = "single" if longest_key(df, keys) <= seg_rows else "segmented"
-    if mode == "single":
-        return single_segment(df, halo, keys, order, seg_rows)
-    return segment(sequence(df, keys, order, bucket), halo, seg_rows)
-
-
-_LONGEST: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
-
-
-def longest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the longest key (one small aggregate).  Remembered per DataFrame
-    object: a stored table read once answers every later series query on it;
-    any derived frame is a new object and is counted again."""
-    memo = _LONGEST.setdefault(df, {})
-    k = tuple(keys)
-    if k not in memo:
-        memo[k] = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    return memo[k]
-
-
-def single_segment(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
-                   order: str = "date", seg_rows: int | None = None) -> DataFrame:
-    """Layout for keys known to hold at most ``seg_rows`` rows: one segment per key."""
-    keys = _keys(keys)
-    meta = {"halo": halo, "seg_rows": seg_rows or SEGMENT_ROWS, "single": 1}
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
-    return (df.withColumn("_rn", rn.cast("bigint"))
-              .withColumn("_home", F.lit(0).cast("bigint").alias("_home", metadata=meta))
-              .withColumn("_seg", F.lit(0).cast("bigint")))
-
+    return df.withColumn("_rn", (F.row_number().over(series_window(keys, order)) - 1).cast("bigint"))
 
-def layout(df: DataFrame) -> tuple[int, int]:
-    """(halo, seg_rows) of a segmented frame."""
-    meta = df.schema["_home"].metadata
-    return int(meta["halo"]), int(meta["seg_rows"])
 
-
-def is_single(df: DataFrame) -> bool:
-    return bool(df.schema["_home"].metadata.get("single", 0))
-
-
-def is_segmented(df: DataFrame) -> bool:
-    return "_home" in df.columns and "_rn" in df.columns
-
-
-def core() -> Column:
-    return F.col("_seg") == F.col("_home")
+def is_open(df: DataFrame) -> bool:
+    return "_rn" in df.columns
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Keep core rows only and drop helper columns."""
-    return df.filter(core()).drop(*HELPERS)
-
+    """Drop helper columns."""
+    return df.drop(*HELPERS)
 
-def seg_window(keys: Sequence[str] | str = ("code",)):
-    return Window.partitionBy(*_keys(keys), "_seg").orderBy("_rn")
 
-
-def rolling(col: Column | str, n: int, agg, keys=("code",), min_periods: int | None = None) -> Column:
+def rolling(col: Column | str, n: int, agg, keys=("code",), min_periods: int | None = None, order: str = "date") -> Column:
     """pandas ``rolling(window=n, min_periods=...)``: NULL until enough valid values."""
     c = F.col(col) if isinstance(col, str) else col
-    w = seg_window(keys).rowsBetween(-(n - 1), 0)
+    w = series_window(keys, order).rowsBetween(-(n - 1), 0)
     value = agg(c).over(w)
     need = n if min_periods is None else min_periods
     if need <= 1:
@@ -158,171 +60,89 @@ def rolling(col: Column | str, n: int, agg, keys=("code",), min_periods: int | N
     return F.when(F.count(c).over(w) >= need, value)
 
 
-def lag(col: Column | str, k: int = 1, keys=("code",)) -> Column:
+def lag(col: Column | str, k: int = 1, keys=("code",), order: str = "date") -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.lag(c, k).over(seg_window(keys))
+    return F.lag(c, k).over(series_window(keys, order))
 
 
 def row_position() -> Column:
-    """0-based position of the row within its security (after ``sequence``)."""
+    """0-based position of the row within its security (after ``open_series``)."""
     return F.col("_rn")
 
 
-# ---------------------------------------------------------------------------
-# Running scans with a carry from earlier segments
-# ---------------------------------------------------------------------------
-
-def max_rows_for_span(span: float, halo: int) -> int:
-    """Largest power-of-two segment size the EWM local weights allow."""
-    lnq = -math.log(1.0 - 2.0 / (span + 1.0))
-    s = 1
-    while (2 * s + halo) * lnq <= _EXP_LIMIT:
-        s *= 2
-    return s
-
-
 def ewm_mean(df: DataFrame, col: str, span: float, out: str,
-             keys: Sequence[str] | str = ("code",)) -> DataFrame:
+             keys: Sequence[str] | str = ("code",), order: str = "date") -> DataFrame:
     """pandas ``ewm(span=span, adjust=True, ignore_na=False).mean()``; see ``ewm_many``."""
-    return ewm_many(df, [(col, span, out)], keys)
+    return ewm_many(df, [(col, span, out)], keys, order)
 
 
 def ewm_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
-             keys: Sequence[str] | str = ("code",)) -> DataFrame:
-    """Several exponentially weighted means ``(col, span, out)`` in one pass,
-    for every row (halo rows included, so later windows of the same
-    segmentation can read them).
+             keys: Sequence[str] | str = ("code",), order: str = "date") -> DataFrame:
+    """Several exponentially weighted means ``(col, span, out)`` over one numbering.
 
     y_t = sum_{i<=t} q^(t-i) x_i / sum_{i<=t, x_i valid} q^(t-i), q = 1 - 2/(span+1).
-    Partition (key, _seg) starts at row _seg*S - halo.  Inside it the sums are
-    running window sums with weights q^-j (j = local index < S + halo, so no
-    overflow).  The state just before the partition comes from a per-segment
-    summary table (one row per segment) folded over the previous segments.
-
-    The frame is re-shuffled on (key, _seg) first: the summary branch and the
-    main branch then read the same exchange (Spark reuses it) instead of each
-    recomputing everything upstream.
+
+    Running sums with weights q^-j would overflow on a long series, so positions
+    are cut into blocks of as many rows as the weights allow (6,900 at span 45).
+    At its end a block leaves (mean, log of the weight sum); a row folds the
+    states of earlier blocks and adds its own block's running sums.  Means are
+    carried through any run of missing values, as pandas carries them.  The
+    blocks stay inside the security's window partition: no exchange, no join.
     """
     keys = _keys(keys)
-    halo, S = layout(df)
-    if is_single(df):
-        return _ewm_single(df, specs, keys, S)
-    df = df.repartition(*keys, "_seg")
-    start = F.col("_seg") * S - halo                       # first row of the partition
-    j = (F.col("_rn") - start).cast("double")              # local index >= 0
-    pos = F.col("_rn") - F.col("_home") * S                # position inside the home segment
-    in_pre = pos <= S - halo - 1
-    run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    prev_cols, aggs, folds, finals, tmps = [], [], [], [], []
+    span_of = {}
+    for _, span, _ in specs:
+        if span < 1:
+            raise ValueError(f"span {span} must be at least 1")
+        if span > 1:
+            lnq = -math.log1p(-2.0 / (span + 1.0))
+            span_of[span] = (lnq, max(1, int(_EXP_LIMIT / lnq)))
+    whole = series_window(keys, order)
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    t = F.col("_rn").cast("bigint")
+    temporary, finals = [], []
     for i, (col, span, out) in enumerate(specs):
-        q = 1.0 - 2.0 / (span + 1.0)
-        lnq = -math.log(q)
-        if (S + halo) * lnq > _EXP_LIMIT:
-            raise ValueError(f"segment size {S} too large for span {span}; "
-                             f"use seg_rows <= {max_rows_for_span(span, halo)}")
-        x = F.col(col).cast("double")
-        valid = x.isNotNull()
-        wj = F.pow(F.lit(q), -j)
-        ta, tb, fn, fd, pn, pd, cn, cd = (f"_e{i}{t}" for t in ("a", "b", "fn", "fd", "pn", "pd", "cn", "cd"))
-        prev_cols += [F.coalesce(F.sum(F.when(valid, x * wj)).over(run), F.lit(0.0)).alias(ta),
-                      F.coalesce(F.sum(F.when(valid, wj)).over(run), F.lit(0.0)).alias(tb)]
-        # full = state at the segment end; pre = state at position S-halo-1
-        wf = F.pow(F.lit(q), F.lit(float(S - 1)) - pos)
-        wp = F.pow(F.lit(q), F.lit(float(S - halo - 1)) - pos)
-        aggs += [F.coalesce(F.sum(F.when(valid, x * wf)), F.lit(0.0)).alias(fn),
-                 F.coalesce(F.sum(F.when(valid, wf)), F.lit(0.0)).alias(fd),
-                 F.coalesce(F.sum(F.when(valid & in_pre, x * wp)), F.lit(0.0)).alias(pn),
-                 F.coalesce(F.sum(F.when(valid & in_pre, wp)), F.lit(0.0)).alias(pd)]
-        # end-of-previous-segment state: sum_d (q^S)^(d-1) full_{k-d}; older terms underflow
-        m = int(math.ceil(_UNDERFLOW / (S * lnq))) + 1
-        prev = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(-m, -1)
-        qs, qh = F.lit(q ** S), F.lit(q ** (S - halo))
-        fold = (lambda arr, qs=qs: F.aggregate(arr, F.lit(0.0), lambda acc, v: acc * qs + v))
-        folds += [(F.col(pn) + qh * fold(F.collect_list(fn).over(prev))).alias(cn),
-                  (F.col(pd) + qh * fold(F.collect_list(fd).over(prev))).alias(cd)]
-        qj = F.pow(F.lit(q), j)
-        num = qj * F.col(ta) + qj * F.lit(q) * F.coalesce(F.col(cn), F.lit(0.0))
-        den = qj * F.col(tb) + qj * F.lit(q) * F.coalesce(F.col(cd), F.lit(0.0))
-        finals.append(F.when(den > 0, num / den).alias(out))
-        tmps += [ta, tb, cn, cd]
-    summ = df.filter(core()).groupBy(*keys, "_seg").agg(*aggs)
-    carry = summ.select(*keys, (F.col("_seg") + 1).alias("_seg"), *folds)
-    res = df.select("*", *prev_cols).join(carry, on=[*keys, "_seg"], how="left")
-    return res.select("*", *finals).drop(*tmps)
-
-
-def _ewm_single(df: DataFrame, specs, keys, S: int) -> DataFrame:
-    """EWM when each key is one partition starting at row 0: running sums only."""
-    j = F.col("_rn").cast("double")
-    run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    cols = []
-    for col, span, out in specs:
-        q = 1.0 - 2.0 / (span + 1.0)
-        if S * -math.log(q) > _EXP_LIMIT:
-            raise ValueError(f"segment size {S} too large for span {span}; "
-                             f"use seg_rows <= {max_rows_for_span(span, 0)}")
         x = F.col(col).cast("double")
-        wj = F.pow(F.lit(q), -j)
-        qj = F.pow(F.lit(q), j)
-        num = qj * F.coalesce(F.sum(F.when(x.isNotNull(), x * wj)).over(run), F.lit(0.0))
-        den = qj * F.coalesce(F.sum(F.when(x.isNotNull(), wj)).over(run), F.lit(0.0))
-        cols.append(F.when(den > 0, num / den).alias(out))
-    return df.select("*", *cols)
+        if span == 1:
+            finals.append(F.last(x, ignorenulls=True).over(whole.rowsBetween(Window.unboundedPreceding, 0)).alias(out))
+            continue
+        lnq, rows = span_of[span]
+        block, num, den, states = (f"_e{i}{s}" for s in ("k", "n", "d", "s"))
+        df = df.withColumn(block, F.expr(f"_rn DIV {rows}"))
+        j = (t - F.col(block) * rows).cast("double")
+        inside = Window.partitionBy(*keys, block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        up, down = F.exp(j * lnq), F.exp(-j * lnq)
+        df = df.withColumns({num: down * F.coalesce(F.sum(F.when(x.isNotNull(), x * up)).over(inside), F.lit(0.0)),
+                             den: down * F.coalesce(F.sum(F.when(x.isNotNull(), up)).over(inside), F.lit(0.0))})
+        # what the last row of a block leaves, at its own position
+        last_row = F.lead(block).over(whole) != F.col(block)
+        state = F.struct((F.col(num) / F.nullif(F.col(den), F.lit(0.0))).alias("mean"), F.log(F.nullif(F.col(den), F.lit(0.0))).alias("weight"), t.alias("at"))
+        df = df.withColumn(states, F.collect_list(F.when(last_row & (F.col(den) > 0), state)).over(before))
+
+        kind = "struct<mean:double,weight:double,at:bigint>"
+        carried = F.aggregate(F.col(states), F.lit(None).cast(kind), _fold(lnq))
+        df = df.withColumn(states, carried)
+        c = F.col(states)
+        weight = F.exp(c["weight"] - (t - c["at"]).cast("double") * lnq)
+        temporary += [block, num, den, states]
+        finals.append(F.when(c.isNull(), F.col(num) / F.nullif(F.col(den), F.lit(0.0)))
+                       .when(F.col(den) == 0, c["mean"])
+                       .otherwise((F.col(num) + c["mean"] * weight) / (F.col(den) + weight)).alias(out))
+    return df.select("*", *finals).drop(*temporary)
+
+
+def _fold(lnq: float):
+    """Combine the state of earlier blocks with that of the next one."""
+    def merge(acc, s):
+        ratio = F.exp(acc["weight"] - (s["at"] - acc["at"]).cast("double") * lnq - s["weight"])
+        both = F.struct(((s["mean"] + acc["mean"] * ratio) / (1.0 + ratio)).alias("mean"),
+                        (s["weight"] + F.log1p(ratio)).alias("weight"), s["at"].alias("at"))
+        return F.when(acc.isNull(), s).otherwise(both)
+    return merge
 
 
 def forward_fill(df: DataFrame, col: str, out: str,
-                 keys: Sequence[str] | str = ("code",)) -> DataFrame:
-    """Last non-null value at or before each row (pandas ``ffill``), halo rows included."""
-    keys = _keys(keys)
-    halo, S = layout(df)
-    x = F.col(col)
-    if is_single(df):
-        run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.last(x, ignorenulls=True).over(run))
-    df = df.repartition(*keys, "_seg")
-    pos = F.col("_rn") - F.col("_home") * S
-    # value at the largest position holding a non-null value (NULL ordering keys are skipped)
-    summ = (df.filter(core()).groupBy(*keys, "_seg")
-              .agg(F.max_by(x, F.when(x.isNotNull() & (pos <= S - halo - 1), F.col("_rn"))).alias("_pre"),
-                   F.max_by(x, F.when(x.isNotNull(), F.col("_rn"))).alias("_all")))
-    prev = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summ.withColumn("_ffc", F.coalesce(F.col("_pre"),
-                                               F.last(F.col("_all"), ignorenulls=True).over(prev)))
-                 .select(*keys, (F.col("_seg") + 1).alias("_seg"), "_ffc"))
-    run = seg_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    return (df.join(carry, on=[*keys, "_seg"], how="left")
-              .withColumn(out, F.coalesce(F.last(x, ignorenulls=True).over(run), F.col("_ffc")))
-              .drop("_ffc"))
-
-
-def resequence(df: DataFrame, halo: int, keys: Sequence[str] | str = ("code",),
-               seg_rows: int | None = None) -> DataFrame:
-    """Renumber the surviving rows of a segmented frame after a row filter
-    (e.g. ``dropna``) so that later windows see only survivors, then re-segment.
-
-    Counting per old segment and the running offsets work on the small
-    per-segment table; the new numbering stays inside the old partitions.
-    """
-    keys = _keys(keys)
-    _, old_s = layout(df)
-    s = seg_rows or old_s
-    if is_single(df):
-        # survivors stay in their partition: renumber in place, no shuffle
-        meta = {"halo": halo, "seg_rows": s, "single": 1}
-        rn = F.row_number().over(seg_window(keys)) - 1
-        return (df.withColumn("_rn", rn.cast("bigint"))
-                  .withColumn("_home", F.col("_home").alias("_home", metadata=meta)))
-    base = finish_keep(df).repartition(*keys, "_home")
-    counts = base.groupBy(*keys, "_home").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_home").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_home", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_home").orderBy("_rn"))
-    renum = (base.join(offsets, on=[*keys, "_home"], how="inner")
-                 .withColumn("_rn", (local - 1 + F.col("_off")).cast("bigint"))
-                 .drop("_off", "_home", "_seg"))
-    return segment(renum, halo, s)
-
-
-def finish_keep(df: DataFrame) -> DataFrame:
-    """Core rows only, helper columns kept (``_home`` identifies the old segment)."""
-    return df.filter(core())
+                 keys: Sequence[str] | str = ("code",), order: str = "date") -> DataFrame:
+    """Last non-null value at or before each row (pandas ``ffill``)."""
+    run = series_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(out, F.last(F.col(col), ignorenulls=True).over(run))

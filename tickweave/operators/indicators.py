@@ -1,9 +1,9 @@
 """Technical indicators over bars of all securities at once.
 
 Each operator takes a bars DataFrame and adds columns.  Given a plain frame
-it segments it itself (``series.open_series``) and returns a plain frame; given
-an already segmented frame it adds columns in place, so a stack of
-indicators shares one shuffle.  Numeric rules follow pandas: rolling windows
+it numbers the rows itself (``series.open_series``) and returns a plain frame;
+given a numbered frame it adds columns in place, so a stack of indicators
+shares one numbering and one shuffle.  Numeric rules follow pandas: rolling windows
 are NULL until ``n`` valid values are in the frame, x/0 is NULL (never an
 ANSI error), std is the sample std.
 """
@@ -18,13 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import series as S
 
 
-def _apply(df: DataFrame, lookback: int, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    if S.is_segmented(df):
-        halo, _ = S.layout(df)
-        if halo < lookback:
-            raise ValueError(f"segmented frame has halo {halo}, operator needs {lookback}")
-        return fn(df)
-    return S.finish(fn(S.open_series(df, halo=lookback)))
+def _apply(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return fn(df) if S.is_open(df) else S.finish(fn(S.open_series(df)))
 
 
 def _d(name: str):
@@ -34,12 +29,12 @@ def _d(name: str):
 def sma(df: DataFrame, col: str = "close", n: int = 20, out: str | None = None) -> DataFrame:
     """W1 rolling mean."""
     out = out or f"ma{n}"
-    return _apply(df, n - 1, lambda s: s.withColumn(out, S.rolling(_d(col), n, F.avg)))
+    return _apply(df, lambda s: s.withColumn(out, S.rolling(_d(col), n, F.avg)))
 
 
 def rolling_std(df: DataFrame, col: str = "close", n: int = 20, out: str = "stddev") -> DataFrame:
     """W2 rolling sample standard deviation (ddof=1)."""
-    return _apply(df, n - 1, lambda s: s.withColumn(out, S.rolling(_d(col), n, F.stddev_samp)))
+    return _apply(df, lambda s: s.withColumn(out, S.rolling(_d(col), n, F.stddev_samp)))
 
 
 def bollinger(df: DataFrame, n: int = 20, sigma: float = 2.0, col: str = "close") -> DataFrame:
@@ -49,7 +44,7 @@ def bollinger(df: DataFrame, n: int = 20, sigma: float = 2.0, col: str = "close"
         s = s.withColumn("stddev", S.rolling(_d(col), n, F.stddev_samp))
         return (s.withColumn("upper", F.col("center") + F.col("stddev") * F.lit(float(sigma)))
                  .withColumn("lower", F.col("center") - F.col("stddev") * F.lit(float(sigma))))
-    return _apply(df, n - 1, fn)
+    return _apply(df, fn)
 
 
 def percent_b(df: DataFrame, col: str = "close") -> DataFrame:
@@ -86,7 +81,7 @@ def money_flow(df: DataFrame, truncate: bool = True) -> DataFrame:
         zero = F.lit(0).cast("bigint") if truncate else F.lit(0.0)
         return (s.withColumn("pmf", F.when(first, zero).when(up, flow).otherwise(zero))
                  .withColumn("nmf", F.when(first, zero).when(up, zero).otherwise(flow)))
-    return _apply(df, 1, fn)
+    return _apply(df, fn)
 
 
 def mfi(df: DataFrame, n: int = 10) -> DataFrame:
@@ -102,7 +97,7 @@ def mfi(df: DataFrame, n: int = 10) -> DataFrame:
         val = (F.when(q == 0, F.when(p > 0, F.lit(100.0)))
                 .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + p / q)))
         return s.withColumn(f"mfi{n}", val)
-    return _apply(df, n, fn)
+    return _apply(df, fn)
 
 
 def intraday_intensity(df: DataFrame) -> DataFrame:
@@ -119,16 +114,13 @@ def ii_percent(df: DataFrame, n: int = 21) -> DataFrame:
         num = S.rolling(F.col("ii"), n, F.sum)
         den = S.rolling(_d("volume"), n, F.sum)
         return s.withColumn(f"iip{n}", F.try_divide(num, den) * F.lit(100.0))
-    return _apply(df, n - 1, fn)
+    return _apply(df, fn)
 
 
 def ewm(df: DataFrame, col: str = "close", span: float = 60, out: str | None = None) -> DataFrame:
     """W10 exponentially weighted mean (pandas adjust=True, ignore_na=False)."""
     out = out or f"ema{int(span)}"
-    if S.is_segmented(df):
-        return S.ewm_mean(df, col, span, out)
-    seg = min(S.SEGMENT_ROWS, S.max_rows_for_span(span, 0))
-    return S.finish(S.ewm_mean(S.open_series(df, halo=0, seg_rows=seg), col, span, out))
+    return _apply(df, lambda s: S.ewm_mean(s, col, span, out))
 
 
 def macd(df: DataFrame, fast: int = 60, slow: int = 130, signal: int = 45,
@@ -139,10 +131,7 @@ def macd(df: DataFrame, fast: int = 60, slow: int = 130, signal: int = 45,
         s = s.withColumn("macd", F.col(f"ema{fast}") - F.col(f"ema{slow}"))
         s = S.ewm_mean(s, "macd", signal, "signal")
         return s.withColumn("macdhist", F.col("macd") - F.col("signal"))
-    if S.is_segmented(df):
-        return fn(df)
-    seg = min(S.SEGMENT_ROWS, *(S.max_rows_for_span(x, 0) for x in (fast, slow, signal)))
-    return S.finish(fn(S.open_series(df, halo=0, seg_rows=seg)))
+    return _apply(df, fn)
 
 
 def stochastic(df: DataFrame, n: int = 14, d: int = 3) -> DataFrame:
@@ -154,4 +143,4 @@ def stochastic(df: DataFrame, n: int = 14, d: int = 3) -> DataFrame:
                               F.col("ndays_high") - F.col("ndays_low")) * F.lit(100.0)
         s = s.withColumn("fast_k", fast_k)
         return s.withColumn("slow_d", S.rolling(F.col("fast_k"), d, F.avg))
-    return _apply(df, (n - 1) + (d - 1), fn)
+    return _apply(df, fn)

@@ -44,15 +44,13 @@ def aligned_returns(bars: DataFrame, universe: DataFrame, first: str | None = No
 
     Later series are re-indexed onto the first security's trading dates
     (extra dates drop, missing dates become gaps); gaps are padded forward
-    before differencing, so a missing day gives a 0 return and leading gaps
-    stay NULL.  Output: code, k (date index), date, ret.
+    before differencing, so a missing day gives a 0 return.  A code's rows begin
+    at its first aligned date, whose return is NULL.  Output: code, k (date
+    index), date, ret.
     """
     codes = universe_codes(universe)
     first = F.lit(first) if first is not None else _first_code(codes)
-    idx_s = S.open_series(bars.filter(F.col("code") == first).select("code", "date"), halo=0)
-    # the grid holds at most as many rows per code as the index has: same layout decision
-    grid_mode = "single" if S.is_single(idx_s) else "segmented"
-    idx = S.finish_keep(idx_s).select(F.col("_rn").alias("k"), "date")
+    idx = S.open_series(bars.filter(F.col("code") == first).select("code", "date")).select(F.col("_rn").alias("k"), "date")
     n_idx = idx.select(F.max("k")).scalar()
     present = (bars.join(codes, "code", "left_semi").join(idx, "date", "inner")
                    .select("code", "k", "date", "close"))
@@ -61,11 +59,10 @@ def aligned_returns(bars: DataFrame, universe: DataFrame, first: str | None = No
     grid = (first_k.select("code", F.explode(F.sequence(F.col("_k0"), n_idx)).alias("k"))
                    .join(idx, "k", "inner"))
     g = grid.join(present.select("code", "k", "close"), ["code", "k"], "left")
-    s = S.open_series(g, halo=1, order="k", bucket=F.expr("k DIV 256"), mode=grid_mode)
-    s = S.forward_fill(s, "close", "_ff")
-    prev = S.lag("_ff")
+    s = S.forward_fill(g, "close", "_ff", order="k")
+    prev = S.lag("_ff", order="k")
     s = s.withColumn("ret", F.try_divide(F.col("_ff").cast("double"), prev.cast("double")) - F.lit(1.0))
-    return S.finish(s).select("code", "k", "date", "ret")
+    return s.select("code", "k", "date", "ret")
 
 
 def annual_returns(rets: DataFrame) -> DataFrame:

@@ -1,9 +1,8 @@
 """Trade signals and the triple-screen bundles.
 
-Each function runs a whole indicator stack for all securities in one
-segmentation (one shuffle on (code, segment)); a ``dropna`` followed by more
-windows re-numbers the survivors first (``series.resequence``), so frames
-and lags see surviving rows only, as the source scripts do.
+Each function runs a whole indicator stack for all securities after one
+shuffle on the code; a ``dropna`` between windows filters in place, so later
+frames and lags see surviving rows only, as the source scripts do.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ def trend_following(bars: DataFrame, n: int = 20, sigma: float = 2.0, mfi_n: int
                     only_signals: bool = True) -> DataFrame:
     """W17 Bollinger %B + MFI: buy on %B > 0.8 and MFI > 80, sell on %B < 0.2 and MFI < 20,
     after the first n-1 rows are dropped."""
-    s = S.open_series(bars, halo=max(n - 1, mfi_n))
+    s = S.open_series(bars)
     s = I.percent_b(I.bollinger(s, n, sigma))
     s = I.mfi(I.money_flow(I.typical_price(s)), mfi_n)
     s = drop_first(s, n - 1)
@@ -48,7 +47,7 @@ def reversal(bars: DataFrame, n: int = 20, sigma: float = 2.0, ii_n: int = 21,
              buy_pb: float = 0.05, sell_pb: float = 0.95, only_signals: bool = True) -> DataFrame:
     """W18 Bollinger %B + II%: after dropna, buy on %B < 0.05 and II% > 0,
     sell on %B > 0.95 and II% < 0."""
-    s = S.open_series(bars, halo=max(n - 1, ii_n - 1))
+    s = S.open_series(bars)
     s = I.percent_b(I.bollinger(s, n, sigma))
     s = I.ii_percent(I.intraday_intensity(s), ii_n)
     s = S.finish(s)
@@ -64,8 +63,7 @@ FIRST_SCREEN_COLS = ["ema130", "ema60", "macd", "signal", "macdhist"]
 
 
 def _first_screen(bars: DataFrame, fast: int, slow: int, signal: int) -> DataFrame:
-    seg = min(S.SEGMENT_ROWS, *(S.max_rows_for_span(x, 16) for x in (fast, slow, signal)))
-    s = S.open_series(bars, halo=0, seg_rows=seg)
+    s = S.open_series(bars)
     s = I.macd(s, fast, slow, signal)
     if fast != 60 or slow != 130:
         s = s.withColumnRenamed(f"ema{fast}", "ema60").withColumnRenamed(f"ema{slow}", "ema130")
@@ -78,22 +76,18 @@ def first_screen(bars: DataFrame, fast: int = 60, slow: int = 130, signal: int =
 
 
 def _second_screen(bars: DataFrame, fast: int, slow: int, signal: int,
-                   n: int, d: int, extra_halo: int) -> DataFrame:
+                   n: int, d: int) -> DataFrame:
     s = _first_screen(bars, fast, slow, signal)
-    s = S.resequence(s, halo=(n - 1) + (d - 1))
     s = I.stochastic(s, n, d)
-    s = s.dropna(how="any", subset=_price_cols(s) + FIRST_SCREEN_COLS
-                 + ["ndays_high", "ndays_low", "fast_k", "slow_d"])
-    if extra_halo:
-        s = S.resequence(s, halo=extra_halo)
-    return s
+    return s.dropna(how="any", subset=_price_cols(s) + FIRST_SCREEN_COLS
+                    + ["ndays_high", "ndays_low", "fast_k", "slow_d"])
 
 
 def second_screen(bars: DataFrame, fast: int = 60, slow: int = 130, signal: int = 45,
                   n: int = 14, d: int = 3) -> DataFrame:
     """W21 first screen, then the n-row stochastic (computed on the rows the
     first dropna kept), then dropna again."""
-    return S.finish(_second_screen(bars, fast, slow, signal, n, d, 0))
+    return S.finish(_second_screen(bars, fast, slow, signal, n, d))
 
 
 def triple_screen(bars: DataFrame, fast: int = 60, slow: int = 130, signal: int = 45,
@@ -102,7 +96,7 @@ def triple_screen(bars: DataFrame, fast: int = 60, slow: int = 130, signal: int
     """W19 on the rows left by the second screen: buy when EMA130 rises and
     slow %D crosses down through 20; sell when EMA130 falls and slow %D
     crosses up through 80 (previous surviving row vs this one)."""
-    s = _second_screen(bars, fast, slow, signal, n, d, 1)
+    s = _second_screen(bars, fast, slow, signal, n, d)
     pe, ps = S.lag("ema130"), S.lag("slow_d")
     e, sd = F.col("ema130"), F.col("slow_d")
     sig = (F.when((pe < e) & (ps >= low) & (sd < low), F.lit("buy"))

@@ -57,8 +57,8 @@ def _bars(spark, sf_dir, freq="week"):
     return X.stored_bars(spark, sf_dir, freq)
 
 
-def _series(spark, sf_dir, halo, freq="week", seg_rows=None):
-    return S.open_series(_bars(spark, sf_dir, freq), halo=halo, seg_rows=seg_rows)
+def _series(spark, sf_dir, freq="week"):
+    return S.open_series(_bars(spark, sf_dir, freq))
 
 
 BAND_COLS = ["code", "date", "close", "center", "stddev", "upper", "lower"]
@@ -70,7 +70,7 @@ EWM_LEVEL = {c: EWM_PLACES for c in EWM_COLS}
 @query("percent_b")
 def q_percent_b(spark, sf_dir):
     """§7.2 minimum slice: Bollinger(20, 2) and %B for every code, first 19 rows dropped."""
-    s = I.percent_b(I.bollinger(_series(spark, sf_dir, 19)))
+    s = I.percent_b(I.bollinger(_series(spark, sf_dir)))
     out = S.finish(G.drop_first(s, 19))
     return _round(out.select(*BAND_COLS, "pb"), **PRICE_LEVEL)
 
@@ -468,7 +468,7 @@ def q_html_quotes(spark, sf_dir):
 @query("chart_frame")
 def q_chart_frame(spark, sf_dir):
     """W22 chart inputs: OHLC, volume and Bollinger bands after the 19-row trim."""
-    s = I.bollinger(_series(spark, sf_dir, 19))
+    s = I.bollinger(_series(spark, sf_dir))
     out = S.finish(G.drop_first(s, 19))
     return _round(G.chart_frame(out, ["code", "date", "open", "high", "low", "close", "volume",
                                       "center", "upper", "lower"]), **PRICE_LEVEL)

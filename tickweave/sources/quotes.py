@@ -125,7 +125,7 @@ def render_quote_pages(bars: DataFrame, rows_per_page: int = 10) -> DataFrame:
     the segmented numbering provides without a per-code task.
     """
     from ..functions import series as S
-    s = S.open_series(bars.select("code", "date", "open", "high", "low", "close", "volume"), halo=1)
+    s = S.open_series(bars.select("code", "date", "open", "high", "low", "close", "volume"))
     prev = S.lag("close")
     s = s.withColumn("diff", F.coalesce(F.col("close") - prev, F.lit(0)))
     s = S.finish(s.withColumn("_pos", S.row_position()))
