@@ -9,6 +9,7 @@ from conftest import bars_frame, series_rows
 from tickweave.functions import scalar as C
 from tickweave.operators import upsert as U
 from tickweave.schemas import MEASURES
+from tickweave.sources import fixtures as X
 from tickweave.sources import fundamentals as FD
 from tickweave.sources import listing as L
 from tickweave.sources import quotes as Q
@@ -39,7 +40,7 @@ def test_period_and_header_cleaning(spark):
 def test_quote_pages_round_trip_with_cap(spark):
     closes = list(range(1000, 1027))
     bars = bars_frame(spark, series_rows("000123", closes, start="2021-01-04", step_days=1))
-    pages = Q.render_quote_pages(bars, rows_per_page=10)
+    pages = X.render_quote_pages(bars, rows_per_page=10)
     assert pages.count() == 3
     html = pages.filter("page = 1").first().html
     assert "pgRR" in html and "2021.01.30" in html
@@ -66,11 +67,11 @@ def test_quote_page_parser_skips_blank_rows(spark):
 
 def test_statement_pages_round_trip(spark):
     cells = spark.createDataFrame(
-        [("A", "Y", "2019/12", "매출액", "1,000"), ("A", "Y", "2020/12(E)", "매출액", "N/A"),
-         ("A", "Y", "2019/12", "\u00a0ROE(%)", "12.5"), ("A", "Y", "2020/12(E)", "\u00a0ROE(%)", "")],
-        "code string, gb string, period_header string, measure string, text string")
+        [("A", "Y", "2019/12", 0, "매출액", "1,000"), ("A", "Y", "2020/12(E)", 1, "매출액", "N/A"),
+         ("A", "Y", "2019/12", 0, "\u00a0ROE(%)", "12.5"), ("A", "Y", "2020/12(E)", 1, "\u00a0ROE(%)", "")],
+        FD.CELL_SCHEMA)
     direct = {r.ym: r for r in FD.cells_to_rows(cells).collect()}
-    parsed = {r.ym: r for r in FD.extract_fundamentals(FD.render_statement_pages(cells)).collect()}
+    parsed = {r.ym: r for r in FD.extract_fundamentals(X.render_statement_pages(cells)).collect()}
     assert direct["2019-12"].SALES == 1000.0 and direct["2019-12"].ROE == 12.5
     assert direct["2020-12"].SALES == 0.0 and direct["2020-12"].ROE == 0.0
     assert direct["2020-12"].is_estimate and not direct["2019-12"].is_estimate
@@ -79,6 +80,47 @@ def test_statement_pages_round_trip(spark):
         assert [direct[ym][m] for m in MEASURES] == [parsed[ym][m] for m in MEASURES]
 
 
+def test_last_statement_of_a_period_wins(spark):
+    """An actual and an estimate of one period: the column further right, whole; nothing is blended."""
+    cells = spark.createDataFrame(
+        [("A", "Y", "2020/12", 0, "매출액", "100"), ("A", "Y", "2020/12", 0, "영업이익", "5"), ("A", "Y", "2020/12", 0, "CAPEX", "1"),
+         ("A", "Y", "2020/12(E)", 1, "매출액", "90"), ("A", "Y", "2020/12(E)", 1, "영업이익", "7")], FD.CELL_SCHEMA)
+    row, = FD.cells_to_rows(cells).collect()
+    assert (row.SALES, row.PROFIT, row.CAPEX, row.is_estimate) == (90.0, 7.0, None, True)
+
+
+def test_statement_page_takes_the_right_table(spark):
+    cells = spark.createDataFrame([("A", "Y", "2020/12", 0, "매출액", "100")], FD.CELL_SCHEMA)
+    page = X.render_statement_pages(cells)
+    assert page.first().html.index("77") < page.first().html.index("100")   # another table stands in front
+    row, = FD.extract_fundamentals(page).collect()
+    assert (row.ym, row.SALES, row.CAPEX) == ("2020-12", 100.0, None)
+
+
+def test_quote_page_without_pager_gives_nothing(spark):
+    bars = bars_frame(spark, series_rows("000123", [10, 11], start="2021-01-04", step_days=1))
+    pages = X.render_quote_pages(bars)
+    assert Q.extract_quotes(pages).count() == 2
+    bare = pages.withColumn("html", F.regexp_replace("html", "pgRR", "other"))
+    assert Q.extract_quotes(bare).count() == 0
+
+
+def test_integer_text_is_truncated(spark):
+    df = spark.createDataFrame([("1,000.0",), ("82,000",), ("-3.9",), ("",), ("x",), ("9,007,199,254,740,993",)], "t string")
+    assert [r.v for r in df.select(C.parse_int_text("t").alias("v")).collect()] == [1000, 82000, -3, None, None, 9007199254740993]
+
+
+def test_ingest_quotes_replaces_whole_bars_of_the_master(spark):
+    stored = bars_frame(spark, series_rows("000123", [10, 11], start="2021-01-04", step_days=1)
+                        + series_rows("000456", [20, 21], start="2021-01-04", step_days=1)).withColumn("year", F.year("date"))
+    fresh = bars_frame(spark, series_rows("000123", [70, 72, 75], start="2021-01-04", step_days=1)
+                       + series_rows("000456", [1, 2], start="2021-01-04", step_days=1))
+    master = spark.createDataFrame([("000123",)], "code string")
+    out = Q.ingest_quotes(stored, X.render_quote_pages(fresh), master)
+    got = sorted((r.code, r.close, r["diff"]) for r in out.collect())
+    assert got == [("000123", 70, 0), ("000123", 72, 2), ("000123", 75, 3), ("000456", 20, None), ("000456", 21, None)]
+
+
 def test_stream_upsert_equals_batch_upsert(spark):
     cur = bars_frame(spark, series_rows("A", [1, 2, 3], start="2020-01-06"))
     b1 = bars_frame(spark, series_rows("A", [20, 30, 40], start="2020-01-13")).withColumn("_seq", F.lit(1))

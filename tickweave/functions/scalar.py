@@ -68,8 +68,10 @@ def after_last_equals(text) -> Column:
 
 
 def parse_int_text(text) -> Column:
-    """'1,234' -> 1234 (BIGINT); blanks -> NULL."""
-    return F.regexp_replace(F.trim(_c(text)), ",", "").try_cast("bigint")
+    """F11 '1,234' -> 1234 (BIGINT), '1,000.9' -> 1000 (truncated); blanks -> NULL."""
+    plain = F.regexp_replace(F.trim(_c(text)), ",", "")
+    whole = plain.try_cast("bigint")  # exact beyond 2^53
+    return F.coalesce(whole, plain.try_cast("double").try_cast("bigint"))
 
 
 def measure_name(header) -> Column:

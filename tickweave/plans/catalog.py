@@ -443,9 +443,8 @@ def q_fundamentals_pivot(spark, sf_dir):
 
 @query("statement_pages")
 def q_statement_pages(spark, sf_dir):
-    """S13 statement pages rendered from the cells, parsed back into fundamentals."""
-    pages = FD.render_statement_pages(X.stored_fin_cells(spark, sf_dir))
-    return FD.extract_fundamentals(pages)
+    """S13 staged statement pages parsed into fundamentals."""
+    return FD.extract_fundamentals(X.stored_statement_pages(spark, sf_dir))
 
 
 @query("merge_fundamentals")
@@ -459,9 +458,14 @@ def q_merge_fundamentals(spark, sf_dir):
 
 @query("html_quotes")
 def q_html_quotes(spark, sf_dir):
-    """S9/T4/D6 quote pages (10 rows a page, newest first) parsed back; 5-page cap."""
-    pages = QP.render_quote_pages(_bars(spark, sf_dir))
-    return QP.extract_quotes(pages, pages_to_fetch=5)
+    """S9/D6 every staged quote page (10 rows a page, newest first) parsed into bars."""
+    return QP.extract_quotes(X.stored_quote_pages(spark, sf_dir))
+
+
+@query("html_quotes_capped")
+def q_html_quotes_capped(spark, sf_dir):
+    """T4 the same with a cap of 5 pages a code, applied before the parse."""
+    return QP.extract_quotes(X.stored_quote_pages(spark, sf_dir), pages_to_fetch=5)
 
 
 # --- remaining inventory items ---------------------------------------------------------
@@ -492,13 +496,10 @@ def q_vendor_bars(spark, sf_dir):
 
 @query("ingest_quotes")
 def q_ingest_quotes(spark, sf_dir):
-    """K8 quote pages of every known code parsed (5-page cap) and merged by K5."""
-    b = _bars(spark, sf_dir)
-    current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
-    quotes = QP.extract_quotes(QP.render_quote_pages(b), pages_to_fetch=5) \
-        .withColumn("year", F.year("date"))
-    merged = U.merge_incremental(current, quotes, ["year"], U.merge_bars, RUN_TS)
-    return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
+    """K8/K3 quote pages of the active codes replace their bars, ``diff`` included."""
+    current = _bars(spark, sf_dir).filter(F.col("date") < F.lit(CUT).cast("date"))
+    out = QP.ingest_quotes(current, X.stored_quote_pages(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
+    return out.select(*UPSERT_COLS, F.col("diff").cast("string").alias("diff"))  # as text: stored bars have none
 
 
 @query("ingest_fundamentals")
@@ -506,3 +507,10 @@ def q_ingest_fundamentals(spark, sf_dir):
     """K9 statements of every active code in one job; unparseable cells set aside."""
     rows, _bad = FD.ingest_fundamentals(X.stored_fin_cells(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
     return rows
+
+
+@query("fundamentals_quarantine")
+def q_fundamentals_quarantine(spark, sf_dir):
+    """K9 the cells of active codes that no number can be read from."""
+    _rows, bad = FD.ingest_fundamentals(X.stored_fin_cells(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
+    return bad

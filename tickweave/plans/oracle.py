@@ -609,40 +609,54 @@ SELECT key, text, {CLEAN.replace('t', "(CASE WHEN text = '' THEN '0' ELSE text E
 
 HDR = ", ".join(f"({i + 1}, '{h}', '{m}')" for i, (h, m) in enumerate(zip(MEASURE_HEADERS, MEASURES)))
 
+CLEAN_TEXT = CLEAN.replace('t', "(CASE WHEN c.text = '' THEN '0' ELSE c.text END)")
+
 CELLS = f"""
 hdr(i, h, m) AS (VALUES {HDR}),
-t AS (SELECT p_brand AS code, l_shipdate, l_linenumber, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey),
+t AS (
+  SELECT p_brand AS code, l_shipdate, l_quantity, hdr.h,
+         CASE WHEN year(l_shipdate) >= 2001 OR (year(l_shipdate) = 1998 AND l_suppkey % 3 = 0) THEN 1 ELSE 0 END AS e
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN hdr ON hdr.i = (l_linenumber - 1) * 4 + l_partkey % 4 + 1),
 raw AS (
   SELECT code, 'Q' AS gb,
          CAST(year(l_shipdate) AS VARCHAR) || '/' || lpad(CAST(quarter(l_shipdate) * 3 AS VARCHAR), 2, '0')
-           || CASE WHEN year(l_shipdate) >= 2001 THEN '(E)' ELSE '' END AS period_header,
-         hdr.h AS measure, l_quantity
-  FROM t JOIN hdr ON hdr.i = (l_linenumber - 1) * 4 + 1
+           || CASE e WHEN 1 THEN '(E)' ELSE '' END AS period_header,
+         CAST((year(l_shipdate) * 100 + quarter(l_shipdate) * 3) * 2 + e AS INTEGER) AS pos, h AS measure, l_quantity
+  FROM t
   UNION ALL
   SELECT code, 'Y' AS gb,
-         CAST(year(l_shipdate) AS VARCHAR) || '/12'
-           || CASE WHEN year(l_shipdate) >= 2001 THEN '(E)' ELSE '' END AS period_header,
-         chr(160) || hdr.h AS measure, l_quantity
-  FROM t JOIN hdr ON hdr.i = (l_linenumber - 1) * 4 + 1
+         CAST(year(l_shipdate) AS VARCHAR) || '/12' || CASE e WHEN 1 THEN '(E)' ELSE '' END AS period_header,
+         CAST((year(l_shipdate) * 100 + 12) * 2 + e AS INTEGER) AS pos, chr(160) || h AS measure, l_quantity
+  FROM t
 ),
 cells AS (
-  SELECT code, gb, period_header, measure, format('{{:,}}', CAST(sum(l_quantity) AS BIGINT)) AS text
-  FROM raw GROUP BY ALL
+  SELECT code, gb, period_header, pos, measure,
+         format('{{:,}}', CAST(sum(l_quantity) AS BIGINT)) || CASE WHEN CAST(sum(l_quantity) AS BIGINT) % 100 = 13 THEN 'x' ELSE '' END AS text
+  FROM raw GROUP BY code, gb, period_header, pos, measure
+)"""
+
+
+def _statements(cells: str) -> str:
+    """Rows of the statements in ``cells``: of two columns with one ym, the one further right."""
+    return f"""named AS (
+  SELECT c.code, c.gb, c.pos, replace(regexp_replace(c.period_header, '[^0-9/]', '', 'g'), '/', '-') AS ym,
+         contains(c.period_header, '(E)') AS est, hdr.m, {CLEAN_TEXT} AS v
+  FROM {cells} c JOIN hdr ON hdr.h = replace(c.measure, chr(160), '')
 ),
-named AS (
-  SELECT c.code, c.gb, replace(regexp_replace(c.period_header, '[^0-9/]', '', 'g'), '/', '-') AS ym,
-         contains(c.period_header, '(E)') AS est, hdr.m,
-         {CLEAN.replace('t', "(CASE WHEN c.text = '' THEN '0' ELSE c.text END)")} AS v
-  FROM cells c JOIN hdr ON hdr.h = replace(c.measure, chr(160), '')
+columns_ AS (
+  SELECT code, ym, gb, pos, est, {", ".join(f"any_value(v) FILTER (WHERE m = '{m}') AS {m}" for m in MEASURES)}
+  FROM named GROUP BY code, ym, gb, pos, est
 ),
 fund AS (
-  SELECT code, ym, gb, bool_or(est) AS is_estimate,
-         {", ".join(f"max(CASE WHEN m = '{m}' THEN v END) AS {m}" for m in MEASURES)}
-  FROM named GROUP BY code, ym, gb
+  SELECT code, ym, gb, est AS is_estimate, {", ".join(MEASURES)}
+  FROM columns_ QUALIFY row_number() OVER (PARTITION BY code, ym, gb ORDER BY pos DESC) = 1
 )"""
 
+
+STATEMENTS = f"{CELLS},\n{_statements('cells')}"
+
 ORACLE["fundamentals_pivot"] = f"""
-WITH {CELLS}
+WITH {STATEMENTS}
 SELECT * FROM fund
 """
 
@@ -651,27 +665,20 @@ SELECT * FROM fund
 ORACLE["statement_pages"] = f"""
 WITH {CELLS},
 grid AS (
-  SELECT p.code, p.gb, p.period_header, m.measure
-  FROM (SELECT DISTINCT code, gb, period_header FROM cells) p
+  SELECT p.code, p.gb, p.period_header, p.pos, m.measure
+  FROM (SELECT DISTINCT code, gb, period_header, pos FROM cells) p
   JOIN (SELECT DISTINCT code, gb, measure FROM cells) m USING (code, gb)
 ),
 full_cells AS (
-  SELECT g.code, g.gb, g.period_header, g.measure, coalesce(c.text, '') AS text
-  FROM grid g LEFT JOIN cells c USING (code, gb, period_header, measure)
+  SELECT g.code, g.gb, g.period_header, g.pos, g.measure, coalesce(c.text, '') AS text
+  FROM grid g LEFT JOIN cells c USING (code, gb, period_header, pos, measure)
 ),
-named2 AS (
-  SELECT c.code, c.gb, replace(regexp_replace(c.period_header, '[^0-9/]', '', 'g'), '/', '-') AS ym,
-         contains(c.period_header, '(E)') AS est, hdr.m,
-         {CLEAN.replace('t', "(CASE WHEN c.text = '' THEN '0' ELSE c.text END)")} AS v
-  FROM full_cells c JOIN hdr ON hdr.h = replace(c.measure, chr(160), '')
-)
-SELECT code, ym, gb, bool_or(est) AS is_estimate,
-       {", ".join(f"max(CASE WHEN m = '{m}' THEN v END) AS {m}" for m in MEASURES)}
-FROM named2 GROUP BY code, ym, gb
+{_statements('full_cells')}
+SELECT * FROM fund
 """
 
 ORACLE["merge_fundamentals"] = f"""
-WITH {CELLS},
+WITH {STATEMENTS},
 c AS (SELECT * FROM fund WHERE ym < '2000'),
 b AS (SELECT * REPLACE (SALES + 1 AS SALES) FROM fund WHERE ym >= '1999')
 SELECT coalesce(c.code, b.code) AS code, coalesce(c.ym, b.ym) AS ym, coalesce(c.gb, b.gb) AS gb,
@@ -683,14 +690,21 @@ SELECT coalesce(c.code, b.code) AS code, coalesce(c.ym, b.ym) AS ym, coalesce(c.
 FROM c FULL OUTER JOIN b ON c.code = b.code AND c.ym = b.ym AND c.gb = b.gb
 """
 
-ORACLE["html_quotes"] = f"""
-WITH {bars_cte()},
+QUOTES = """
 s AS (
   SELECT code, date, ymd, open, high, low, close, volume,
          coalesce(close - lag(close) OVER (PARTITION BY code ORDER BY date), 0) AS diff,
          row_number() OVER (PARTITION BY code ORDER BY date DESC) - 1 AS rd
   FROM bars
-)
+)"""
+
+ORACLE["html_quotes"] = f"""
+WITH {bars_cte()}, {QUOTES}
+SELECT code, date, ymd, open, high, low, close, diff, volume FROM s
+"""
+
+ORACLE["html_quotes_capped"] = f"""
+WITH {bars_cte()}, {QUOTES}
 SELECT code, date, ymd, open, high, low, close, diff, volume FROM s WHERE rd < 50
 """
 
@@ -710,19 +724,25 @@ FROM bars WHERE date >= DATE '2000-01-01'
 """
 
 ORACLE["ingest_quotes"] = f"""
-WITH {bars_cte()},
-cur AS (SELECT * FROM bars WHERE date < {CUT}),
-bb AS (
-  SELECT * FROM (
-    SELECT code, date, open, high, low, close, volume,
-           row_number() OVER (PARTITION BY code ORDER BY date DESC) - 1 AS rd
-    FROM bars)
-  WHERE rd < 50
-)
-{MERGE_BARS_SELECT}
+WITH {bars_cte()}, {ITEMS_CTE}, {QUOTES},
+b AS (SELECT * FROM s WHERE code IN (SELECT code FROM items WHERE status = 'Y')),
+cur AS (SELECT * FROM bars WHERE date < {CUT})
+SELECT code, date, open, high, low, close, volume, CAST(diff AS VARCHAR) AS diff FROM b
+UNION ALL
+SELECT code, date, open, high, low, close, volume, CAST(NULL AS VARCHAR) AS diff FROM cur ANTI JOIN b USING (code, date)
 """
 
+READABLE = f"""good AS (
+  SELECT c.* FROM cells c JOIN hdr ON hdr.h = replace(c.measure, chr(160), '') WHERE {CLEAN_TEXT} IS NOT NULL
+)"""
+
 ORACLE["ingest_fundamentals"] = f"""
-WITH {ITEMS_CTE}, {CELLS}
+WITH {ITEMS_CTE}, {CELLS}, {READABLE}, {_statements('good')}
 SELECT * FROM fund WHERE code IN (SELECT code FROM items WHERE status = 'Y')
 """
+
+ORACLE["fundamentals_quarantine"] = f"""
+WITH {ITEMS_CTE}, {CELLS}, {READABLE}
+SELECT code, gb, period_header, pos, measure, text FROM cells ANTI JOIN good USING (code, gb, period_header, pos, measure)
+WHERE code IN (SELECT code FROM items WHERE status = 'Y')
+"""

@@ -58,6 +58,9 @@ LISTING_HEADERS = {
 }
 # CSS class of the pager cell whose link ends in '=<last page>' on quote pages.
 PAGER_CLASS = "pgRR"
+# Class and summary of the statement table among the tables of its page.
+STATEMENT_CLASS = "gHead01 all-width"
+STATEMENT_SUMMARY = "주요재무정보를 제공합니다."
 # Daily quote table headers -> canonical bar columns.
 QUOTE_HEADERS = {
     "날짜": "date", "종가": "close", "전일비": "diff", "시가": "open",

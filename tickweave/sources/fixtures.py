@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import MEASURE_HEADERS
+from ..schemas import MEASURE_HEADERS, PAGER_CLASS, QUOTE_HEADERS, STATEMENT_CLASS, STATEMENT_SUMMARY
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,25 @@ def stored_fin_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _STORED[key]
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A table written once per session and data folder."""
+    from ..session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _STORED:
+        _STORED[key] = materialize(build(), name)
+    return _STORED[key]
+
+
+def stored_quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged quote pages of the weekly bars."""
+    return _stored(spark, sf_dir, "quote_pages", lambda: render_quote_pages(stored_bars(spark, sf_dir)))
+
+
+def stored_statement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged statement pages of the cells."""
+    return _stored(spark, sf_dir, "statement_pages", lambda: render_statement_pages(stored_fin_cells(spark, sf_dir)))
+
+
 def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFrame:
     """``bars`` written once per session and data folder as a year-partitioned
     Parquet table (sorted by code, date) in the shared checkpoint folder — the
@@ -143,29 +162,36 @@ def measure_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fin_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statement cells (code, gb, period_header, measure, text).
-
-    Quarterly ('Q') and yearly ('Y') periods of l_shipdate; l_linenumber picks
-    the measure (every 4th of the 28); text is the thousands-separated sum of
-    l_quantity.  Periods of 2001 carry the '(E)' estimate marker, yearly row
-    headers carry a leading no-break space, as scraped pages do.
+    """Statement cells (code, gb, period_header, pos, measure, text).
+
+    Quarterly ('Q') and yearly ('Y') periods of l_shipdate; l_linenumber and
+    l_partkey pick one of the 28 measures; text is the thousands-separated sum
+    of l_quantity.  Periods of 2001 carry the '(E)' estimate marker, and a
+    third of the trades of 1998 do, so 1998 has an actual and an estimate of
+    the same period; ``pos`` is the period's place on the page.  Yearly row
+    headers carry a leading no-break space, as scraped pages do.  Sums that end
+    in 13 are written with a stray letter: cells that no number can be read from.
     """
     t = _trades(spark, sf_dir)
     headers = F.array(*[F.lit(h) for h in MEASURE_HEADERS])
-    measure = F.element_at(headers, ((F.col("l_linenumber") - 1) * 4 + 1).cast("int"))
-    year = F.year("l_shipdate").cast("string")
-    est = F.when(F.year("l_shipdate") >= 2001, F.lit("(E)")).otherwise(F.lit(""))
-    quarter_end = F.lpad((F.quarter("l_shipdate") * 3).cast("string"), 2, "0")
+    measure = F.element_at(headers, ((F.col("l_linenumber") - 1) * 4 + F.col("l_partkey") % 4 + 1).cast("int"))
+    year = F.year("l_shipdate")
+    guess = (year >= 2001) | ((year == 1998) & (F.col("l_suppkey") % 3 == 0))
+    est = F.when(guess, F.lit("(E)")).otherwise(F.lit(""))
+    month = F.quarter("l_shipdate") * 3
+    place = (lambda m: ((year * 100 + m) * 2 + guess.cast("int")).cast("int").alias("pos"))
     # one scan: every trade feeds its quarterly and its yearly cell
     variants = F.array(
-        F.struct(F.lit("Q").alias("gb"), F.concat(year, F.lit("/"), quarter_end, est).alias("p"),
-                 measure.alias("m")),
-        F.struct(F.lit("Y").alias("gb"), F.concat(year, F.lit("/12"), est).alias("p"),
-                 F.concat(F.lit("\u00a0"), measure).alias("m")))
+        F.struct(F.lit("Q").alias("gb"), F.concat(year.cast("string"), F.lit("/"), F.lpad(month.cast("string"), 2, "0"), est).alias("p"),
+                 place(month), measure.alias("m")),
+        F.struct(F.lit("Y").alias("gb"), F.concat(year.cast("string"), F.lit("/12"), est).alias("p"),
+                 place(F.lit(12)), F.concat(F.lit("\u00a0"), measure).alias("m")))
     v = t.select(F.col("p_brand").alias("code"), "l_quantity", F.explode(variants).alias("v"))
+    total = F.sum("l_quantity")
+    stray = F.when(total.cast("bigint") % 100 == 13, F.lit("x")).otherwise(F.lit(""))
     return (v.groupBy(F.col("code"), F.col("v.gb").alias("gb"), F.col("v.p").alias("period_header"),
-                      F.col("v.m").alias("measure"))
-             .agg(F.format_number(F.sum("l_quantity"), 0).alias("text")))
+                      F.col("v.pos").alias("pos"), F.col("v.m").alias("measure"))
+             .agg(F.concat(F.format_number(total, 0), stray).alias("text")))
 
 
 def upsert_pair(b: DataFrame, cut: str = "1999-01-04",
@@ -195,3 +221,55 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(pad_code("p_partkey").alias("code"), F.col("p_name").alias("company"),
                     F.date_add(F.lit("2021-01-01").cast("date"), F.col("p_size")).alias("last_update"),
                     F.col("p_size").alias("size"))
+
+
+def render_quote_pages(bars: DataFrame, rows_per_page: int = 10) -> DataFrame:
+    """Staged quote pages in the quote-site layout, built from bars (newest
+    first, ``rows_per_page`` rows per page, a pager link to the last page)."""
+    from ..functions import series as S
+    s = S.open_series(bars.select("code", "date", "open", "high", "low", "close", "volume"))
+    prev = S.lag("close")
+    s = s.withColumn("diff", F.coalesce(F.col("close") - prev, F.lit(0)))
+    s = S.finish(s.withColumn("_pos", S.row_position()))
+    counts = s.groupBy("code").agg(F.count(F.lit(1)).alias("_n"))
+    s = s.join(counts, "code").withColumn(
+        "page", (F.expr(f"(_n - 1 - _pos) DIV {rows_per_page}") + 1).cast("int"))
+    n_pages = F.expr(f"CAST((_n - 1) DIV {rows_per_page} + 1 AS INT)")
+    heads = "".join(f"<th>{h}</th>" for h in QUOTE_HEADERS)
+    num = lambda c: F.format_number(F.col(c).cast("double"), 0)
+    row = F.concat(F.lit("<tr><td>"), F.date_format("date", "yyyy.MM.dd"), F.lit("</td><td>"),
+                   num("close"), F.lit("</td><td>"), num("diff"), F.lit("</td><td>"),
+                   num("open"), F.lit("</td><td>"), num("high"), F.lit("</td><td>"),
+                   num("low"), F.lit("</td><td>"), num("volume"), F.lit("</td></tr>"))
+    g = (s.groupBy("code", "page", n_pages.alias("_pages"))
+          .agg(F.sort_array(F.collect_list(F.struct(F.col("date"), row.alias("r"))), asc=False).alias("_rows")))
+    body = F.array_join(F.transform("_rows", lambda e: e["r"]), '<tr><td colspan="7"></td></tr>')
+    html = F.concat(F.lit(f'<table class="quotes"><tr>{heads}</tr><tr><td colspan="7"></td></tr>'),
+                    body, F.lit(f'</table><table class="pager"><tr><td class="{PAGER_CLASS}"><a href="/quotes?code='),
+                    F.col("code"), F.lit("&amp;page="), F.col("_pages").cast("string"),
+                    F.lit('">last</a></td></tr></table>'))
+    return g.select("code", "page", html.alias("html"))
+
+
+def render_statement_pages(cells: DataFrame) -> DataFrame:
+    """Statement pages in the source layout from cells (periods across, measures down).
+
+    One page per (code, gb); its periods and measures are bounded by the
+    statement layout (a few years or quarters, 28 rows).
+    """
+    periods = (cells.groupBy("code", "gb")
+                    .agg(F.sort_array(F.collect_set(F.struct("pos", "period_header"))).getField("period_header").alias("_p")))
+    rows = (cells.groupBy("code", "gb", "measure")
+                 .agg(F.map_from_entries(F.collect_list(F.struct("period_header", "text"))).alias("_v")))
+    j = rows.join(periods, ["code", "gb"])
+    tds = F.array_join(F.transform("_p", lambda p: F.concat(
+        F.lit("<td>"), F.coalesce(F.element_at(F.col("_v"), p), F.lit("")), F.lit("</td>"))), "")
+    tr = F.concat(F.lit("<tr><th>"), F.col("measure"), F.lit("</th>"), tds, F.lit("</tr>"))
+    page = (j.groupBy("code", "gb", "_p")
+             .agg(F.array_join(F.sort_array(F.collect_list(F.struct("measure", tr.alias("r"))))
+                               .getField("r"), "").alias("_body")))
+    head = F.concat(F.lit('<table class="menu"><thead><tr><th>x</th></tr><tr><th>1999/01</th></tr></thead><tbody><tr><th>CAPEX</th><td>77</td></tr></tbody></table>'
+                         f'<table class="{STATEMENT_CLASS}" summary="{STATEMENT_SUMMARY}"><thead><tr><th>main</th></tr><tr>'),
+                    F.array_join(F.transform("_p", lambda p: F.concat(F.lit("<th>"), p, F.lit("</th>"))), ""),
+                    F.lit("</tr></thead><tbody>"), F.col("_body"), F.lit("</tbody></table>"))
+    return page.select("code", "gb", head.alias("html"))

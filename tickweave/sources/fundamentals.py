@@ -1,7 +1,7 @@
 """Company financial statements.
 
 A scraped statement is a grid: measures down, periods across.  Staged as
-cells (code, gb, period_header, measure, text), it becomes one row per
+cells (code, gb, period_header, pos, measure, text), it becomes one row per
 (code, period, gb) with the 28 measures as columns through a pivot whose
 column list is fixed (no extra job to discover values).  Statement pages
 in HTML are turned into cells inside ``mapInPandas`` with the standard
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import (clean_measure, empty_to_zero, is_estimate, measure_name,
                                 period_to_ym)
-from ..schemas import MEASURES
+from ..schemas import MEASURES, STATEMENT_CLASS, STATEMENT_SUMMARY
 
-CELL_SCHEMA = "code string, gb string, period_header string, measure string, text string"
+CELL_SCHEMA = "code string, gb string, period_header string, pos int, measure string, text string"
 
 
 def cells_to_rows(cells: DataFrame) -> DataFrame:
@@ -31,18 +31,21 @@ def cells_to_rows(cells: DataFrame) -> DataFrame:
     estimate marker is kept as ``is_estimate`` (D12); row headers lose
     no-break spaces (F7) and map to canonical names; empty cells read 0 (F8);
     'N/A'-like text reads 0 and thousands separators go (F9).
+
+    Two statements of one ym (an actual and an estimate) never mix: the one
+    further right on the page (largest ``pos``) is the row, the other is gone.
     """
     c = cells.select(
-        "code", "gb", period_to_ym("period_header").alias("ym"),
+        "code", "gb", period_to_ym("period_header").alias("ym"), "pos",
         is_estimate("period_header").alias("_est"),
         measure_name("measure").alias("_m"),
         clean_measure(empty_to_zero(F.coalesce(F.col("text"), F.lit("")))).alias("_v"))
     c = c.filter(F.col("_m").isNotNull())
-    # the pivot written out: one aggregation for the 28 measure columns and the flag
-    cells_of = [F.max(F.when(F.col("_m") == m, F.col("_v"))).alias(m) for m in MEASURES]
-    return (c.groupBy("code", "ym", "gb")
-             .agg(F.max("_est").alias("is_estimate"), *cells_of)
-             .select("code", "ym", "gb", "is_estimate", *MEASURES))
+    # the pivot written out: one aggregation for the 28 measures, each with the column it stands in
+    cells_of = [F.max(F.when(F.col("_m") == m, F.struct("pos", "_v"))).alias(m) for m in MEASURES]
+    wide = c.groupBy("code", "ym", "gb").agg(F.max(F.struct("pos", "_est")).alias("_last"), *cells_of)
+    of_last = [F.when(F.col(f"{m}.pos") == F.col("_last.pos"), F.col(f"{m}._v")).alias(m) for m in MEASURES]
+    return wide.select("code", "ym", "gb", F.col("_last._est").alias("is_estimate"), *of_last)
 
 
 def quarantine(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,11 +73,14 @@ def with_audit(rows: DataFrame, ts: str, user: str = "sys") -> DataFrame:
 
 
 class _Statement(HTMLParser):
-    """Header periods (second header row) and body rows (th = measure, td = values)."""
+    """Header periods (second header row) and body rows (th = measure, td = values) of the
+    statement table: the first one of its class and summary; other tables are passed over."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.section = None
+        self._table: list[bool] = []
+        self._found = False
         self.head_rows: list[list[str]] = []
         self.body: list[tuple[str, list[str]]] = []
         self._row = None
@@ -82,8 +88,18 @@ class _Statement(HTMLParser):
         self._cell = None
         self._kind = None
 
+    def _inside(self) -> bool:
+        return bool(self._table) and self._table[-1]
+
     def handle_starttag(self, tag, attrs):
-        if tag in ("thead", "tbody"):
+        if tag == "table":
+            a = dict(attrs)
+            mine = not self._found and a.get("class") == STATEMENT_CLASS and a.get("summary") == STATEMENT_SUMMARY
+            self._found |= mine
+            self._table.append(mine)
+        elif not self._inside():
+            return
+        elif tag in ("thead", "tbody"):
             self.section = tag
         elif tag == "tr":
             self._row, self._th = [], None
@@ -91,7 +107,9 @@ class _Statement(HTMLParser):
             self._cell, self._kind = [], tag
 
     def handle_endtag(self, tag):
-        if tag in ("th", "td") and self._cell is not None:
+        if tag == "table" and self._table:
+            self._table.pop()
+        elif tag in ("th", "td") and self._cell is not None:
             text = "".join(self._cell)
             if self.section == "tbody" and self._kind == "th":
                 self._th = text
@@ -118,9 +136,9 @@ def _statement_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             p.feed(html or "")
             periods = p.head_rows[1] if len(p.head_rows) > 1 else (p.head_rows[0] if p.head_rows else [])
             for measure, values in p.body:
-                for period, text in zip(periods, values):
-                    out.append([code, gb, period, measure, text])
-        yield pd.DataFrame(out, columns=["code", "gb", "period_header", "measure", "text"])
+                for pos, (period, text) in enumerate(zip(periods, values)):
+                    out.append([code, gb, period, pos, measure, text])
+        yield pd.DataFrame(out, columns=["code", "gb", "period_header", "pos", "measure", "text"])
 
 
 def extract_statement_cells(pages: DataFrame) -> DataFrame:
@@ -131,26 +149,3 @@ def extract_statement_cells(pages: DataFrame) -> DataFrame:
 def extract_fundamentals(pages: DataFrame) -> DataFrame:
     """S13 + J9 statement pages -> fundamentals rows."""
     return cells_to_rows(extract_statement_cells(pages))
-
-
-def render_statement_pages(cells: DataFrame) -> DataFrame:
-    """Statement pages in the source layout from cells (periods across, measures down).
-
-    One page per (code, gb); its periods and measures are bounded by the
-    statement layout (a few years or quarters, 28 rows).
-    """
-    periods = (cells.groupBy("code", "gb")
-                    .agg(F.sort_array(F.collect_set("period_header")).alias("_p")))
-    rows = (cells.groupBy("code", "gb", "measure")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("period_header", "text"))).alias("_v")))
-    j = rows.join(periods, ["code", "gb"])
-    tds = F.array_join(F.transform("_p", lambda p: F.concat(
-        F.lit("<td>"), F.coalesce(F.element_at(F.col("_v"), p), F.lit("")), F.lit("</td>"))), "")
-    tr = F.concat(F.lit("<tr><th>"), F.col("measure"), F.lit("</th>"), tds, F.lit("</tr>"))
-    page = (j.groupBy("code", "gb", "_p")
-             .agg(F.array_join(F.sort_array(F.collect_list(F.struct("measure", tr.alias("r"))))
-                               .getField("r"), "").alias("_body")))
-    head = F.concat(F.lit('<table class="statement"><thead><tr><th>main</th></tr><tr>'),
-                    F.array_join(F.transform("_p", lambda p: F.concat(F.lit("<th>"), p, F.lit("</th>"))), ""),
-                    F.lit("</tr></thead><tbody>"), F.col("_body"), F.lit("</tbody></table>"))
-    return page.select("code", "gb", head.alias("html"))

@@ -37,18 +37,14 @@ def parse_date_arg(text: str, end: bool = False) -> str:
     1–12, days in 1–31 (an impossible day such as Feb 31 passes and is
     compared as text).  Violations raise ``ValueError``.
     """
-    digits = re.sub(r"\D", "", text) if re.fullmatch(r"\d{4}-\d{1,2}-\d{1,2}", text) is None \
-        else "".join(p.zfill(2) if i else p for i, p in enumerate(text.split("-")))
-    if not re.fullmatch(r"\d{8}", digits):
+    form = re.fullmatch(r"(\d{4})(\d{2})(\d{2})|(\d{4})-(\d{1,2})-(\d{1,2})", text, re.ASCII)
+    if form is None:
         raise ValueError(f"date {text!r} is not yyyyMMdd or yyyy-MM-dd")
-    year, month, day = int(digits[:4]), int(digits[4:6]), int(digits[6:])
-    lo = 1800 if end else 1900
-    if not lo <= year <= 2200:
-        raise ValueError(f"{'end' if end else 'start'}_year({year}) is wrong.")
-    if not 1 <= month <= 12:
-        raise ValueError(f"{'end' if end else 'start'}_month({month}) is wrong.")
-    if not 1 <= day <= 31:
-        raise ValueError(f"{'end' if end else 'start'}_day({day}) is wrong.")
+    year, month, day = (int(x) for x in form.groups() if x is not None)
+    bound = "range end" if end else "range start"
+    for name, value, low, high in (("year", year, 1800 if end else 1900, 2200), ("month", month, 1, 12), ("day", day, 1, 31)):
+        if not low <= value <= high:
+            raise ValueError(f"{bound} {text!r}: {name} {value} lies outside {low} to {high}")
     return f"{year:04d}{month:02d}{day:02d}"
 
 

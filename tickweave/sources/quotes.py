@@ -96,18 +96,21 @@ def parse_quote_pages(pages: DataFrame) -> DataFrame:
     return pages.select("code", "page", "html").mapInPandas(_parse_pages, RAW_SCHEMA)
 
 
-def extract_quotes(pages: DataFrame, pages_to_fetch: int = 5) -> DataFrame:
+def extract_quotes(pages: DataFrame, pages_to_fetch: int | None = None) -> DataFrame:
     """S9 clean bars from quote pages.
 
-    last page = text after the last '=' of the pager link (F10); pages beyond
-    min(last page, ``pages_to_fetch``) are ignored (T4); rows with any missing
-    cell drop (P7); numbers lose their thousands separators and become
-    integers (F11); 'yyyy.MM.dd' dates become dates (D6).
+    last page = text after the last '=' of the pager link (F10); a page without
+    a pager gives nothing; pages beyond min(last page, ``pages_to_fetch``) are
+    ignored (T4; by default every staged page up to the last counts); rows with
+    any missing cell drop (P7); numbers lose their thousands separators and
+    become integers (F11); 'yyyy.MM.dd' dates become dates (D6).
     """
+    if pages_to_fetch is not None:
+        pages = pages.filter(F.col("page") <= pages_to_fetch)  # before any page is parsed
     raw = parse_quote_pages(pages)
-    # every page of a code carries the same pager link, so the cap is per row
+    # every page of a code carries the same pager link
     last = after_last_equals(F.col("last_page")).try_cast("int")
-    kept = raw.filter(F.col("page") <= F.least(last, F.lit(pages_to_fetch)))
+    kept = raw.filter(last.isNotNull() & (F.col("page") <= last))
     cleaned = kept.select(
         "code", dotted_to_date("date").alias("date"),
         *[parse_int_text(c).alias(c) for c in ("open", "high", "low", "close", "diff", "volume")])
@@ -116,34 +119,17 @@ def extract_quotes(pages: DataFrame, pages_to_fetch: int = 5) -> DataFrame:
                           "open", "high", "low", "close", "diff", "volume")
 
 
-def render_quote_pages(bars: DataFrame, rows_per_page: int = 10) -> DataFrame:
-    """Staged quote pages in the quote-site layout, built from bars (newest
-    first, ``rows_per_page`` rows per page, a pager link to the last page).
+def ingest_quotes(current: DataFrame, pages: DataFrame, master: DataFrame, pages_to_fetch: int | None = None) -> DataFrame:
+    """K8 the quote pages of the master's codes, replacing whole bars by (code, date) (K3, ``diff`` included).
 
-    Used to stage pages from data Spark already holds (tests, replays).  The
-    page of a bar comes from its position counted from the newest bar, which
-    the segmented numbering provides without a per-code task.
+    Only pages of the master's codes are parsed.  The parsed batch is written
+    once; the replace then reads it as often as it has to.  ``current`` is
+    partitioned by ``year``.
     """
-    from ..functions import series as S
-    s = S.open_series(bars.select("code", "date", "open", "high", "low", "close", "volume"))
-    prev = S.lag("close")
-    s = s.withColumn("diff", F.coalesce(F.col("close") - prev, F.lit(0)))
-    s = S.finish(s.withColumn("_pos", S.row_position()))
-    counts = s.groupBy("code").agg(F.count(F.lit(1)).alias("_n"))
-    s = s.join(counts, "code").withColumn(
-        "page", (F.expr(f"(_n - 1 - _pos) DIV {rows_per_page}") + 1).cast("int"))
-    n_pages = F.expr(f"CAST((_n - 1) DIV {rows_per_page} + 1 AS INT)")
-    heads = "".join(f"<th>{h}</th>" for h in QUOTE_HEADERS)
-    num = lambda c: F.format_number(F.col(c).cast("double"), 0)
-    row = F.concat(F.lit("<tr><td>"), F.date_format("date", "yyyy.MM.dd"), F.lit("</td><td>"),
-                   num("close"), F.lit("</td><td>"), num("diff"), F.lit("</td><td>"),
-                   num("open"), F.lit("</td><td>"), num("high"), F.lit("</td><td>"),
-                   num("low"), F.lit("</td><td>"), num("volume"), F.lit("</td></tr>"))
-    g = (s.groupBy("code", "page", n_pages.alias("_pages"))
-          .agg(F.sort_array(F.collect_list(F.struct(F.col("date"), row.alias("r"))), asc=False).alias("_rows")))
-    body = F.array_join(F.transform("_rows", lambda e: e["r"]), '<tr><td colspan="7"></td></tr>')
-    html = F.concat(F.lit(f'<table class="quotes"><tr>{heads}</tr><tr><td colspan="7"></td></tr>'),
-                    body, F.lit(f'</table><table class="pager"><tr><td class="{PAGER_CLASS}"><a href="/quotes?code='),
-                    F.col("code"), F.lit("&amp;page="), F.col("_pages").cast("string"),
-                    F.lit('">last</a></td></tr></table>'))
-    return g.select("code", "page", html.alias("html"))
+    from ..operators.upsert import SEQ, upsert_incremental
+    from ..session import materialize
+    batch = extract_quotes(pages.join(master.select("code").distinct(), "code", "left_semi"), pages_to_fetch)
+    batch = materialize(batch.withColumn("year", F.year("date")), "quotes")
+    missing = [c for c in current.columns if c not in batch.columns]
+    batch = batch.select("*", *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in missing], F.lit(0).alias(SEQ))
+    return upsert_incremental(current, batch, ["code", "date"], ["year"])
