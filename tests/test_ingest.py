@@ -121,15 +121,54 @@ def test_ingest_quotes_replaces_whole_bars_of_the_master(spark):
     assert got == [("000123", 70, 0), ("000123", 72, 2), ("000123", 75, 3), ("000456", 20, None), ("000456", 21, None)]
 
 
+def _by_year(df):
+    return df.withColumn("year", F.year("date"))
+
+
+def _closes(df):
+    return sorted((r.code, r.date.isoformat(), r.close) for r in df.collect())
+
+
 def test_stream_upsert_equals_batch_upsert(spark):
-    cur = bars_frame(spark, series_rows("A", [1, 2, 3], start="2020-01-06"))
-    b1 = bars_frame(spark, series_rows("A", [20, 30, 40], start="2020-01-13")).withColumn("_seq", F.lit(1))
-    b2 = bars_frame(spark, series_rows("A", [99], start="2020-01-20")).withColumn("_seq", F.lit(2))
-    out = ST.replay_upserts(spark, cur, [b1, b2])
-    expect = U.upsert(cur, b1.unionByName(b2), ["code", "date"])
-    key = lambda df: sorted((r.code, r.date, r.close) for r in df.collect())
-    assert key(out) == key(expect)
-    assert [c for _, _, c in key(out)] == [1, 20, 99, 40]
+    cur = _by_year(bars_frame(spark, series_rows("A", [1, 2, 3], start="2020-01-06")))
+    b1 = _by_year(bars_frame(spark, series_rows("A", [20, 30, 40], start="2020-01-13")).withColumn("_seq", F.lit(1)))
+    b2 = _by_year(bars_frame(spark, series_rows("A", [99], start="2020-01-20")).withColumn("_seq", F.lit(2)))
+    expect = _closes(U.upsert(cur, b1.unionByName(b2), ["code", "date"]))
+    for files in (None, 1):
+        assert _closes(ST.replay_upserts(spark, cur, [b1, b2], max_files_per_trigger=files)) == expect
+    assert [c for _, _, c in expect] == [1, 20, 99, 40]
+
+
+def test_stream_runs_again_where_it_stopped(spark):
+    """Nightly runs on one checkpoint: new files merge, an idle run changes nothing, untouched years are not written."""
+    import glob
+    from tickweave.session import local_path, scratch_path
+    root = scratch_path(spark, "stream-again")
+    stamp = lambda df: df.withColumn("reg_dt", U.stamp("2019-01-01 00:00:00")).withColumn("upd_dt", U.stamp("2019-01-01 00:00:00"))
+    cur = stamp(_by_year(bars_frame(spark, series_rows("A", [1, 2], start="2019-12-23") + series_rows("A", [5], start="2018-01-01"))))
+    cur.write.partitionBy("year").parquet(f"{root}/initial")
+
+    def night(rows, ts):
+        if rows:
+            ST.stage_batches([_by_year(bars_frame(spark, rows)).withColumn("_seq", F.lit(1))], f"{root}/in")
+        schema = spark.read.parquet(f"{root}/in").schema
+        return ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", f"{root}/ck", ts=ts)
+
+    first = night(series_rows("A", [20, 3], start="2019-12-30"), "2020-02-01 00:00:00")
+    want = [("A", "2018-01-01", 5), ("A", "2019-12-23", 1), ("A", "2019-12-30", 20), ("A", "2020-01-06", 3)]
+    assert _closes(first) == want
+    kept = {r.date.isoformat(): (str(r.reg_dt)[:4], str(r.upd_dt)[:4]) for r in first.collect()}
+    assert kept == {"2018-01-01": ("2019", "2019"), "2019-12-23": ("2019", "2019"), "2019-12-30": ("2019", "2020"), "2020-01-06": ("2020", "2020")}
+    assert _closes(night([], "2020-02-02 00:00:00")) == want
+    last = night(series_rows("A", [33], start="2020-01-06"), "2020-02-03 00:00:00")
+    assert _closes(last) == [*want[:3], ("A", "2020-01-06", 33)]
+    written = sorted(p.split("/bars/")[1] for p in glob.glob(local_path(f"{root}/bars/v=*/year=*")))
+    assert [w.split("/")[1] for w in written] == ["year=2019", "year=2020", "year=2020"]
+
+
+def test_stream_needs_a_checkpoint(spark):
+    with pytest.raises(TypeError):
+        ST.stream_upsert_bars(spark, "in", None, "initial", "root")
 
 
 def test_ensure_table_creates_empty_then_reads(spark):
@@ -158,8 +197,8 @@ def test_stream_refreshes_touched_codes(spark):
     root = scratch_path(spark, "stream-refresh")
     cur = bars_frame(spark, series_rows("A", [1, 2, 3], start="2020-01-06")
                      + series_rows("B", [5, 6, 7], start="2020-01-06"))
-    cur.write.parquet(f"{root}/initial")
-    b1 = bars_frame(spark, series_rows("A", [30], start="2020-01-20")).withColumn("_seq", F.lit(1))
+    _by_year(cur).write.partitionBy("year").parquet(f"{root}/initial")
+    b1 = _by_year(bars_frame(spark, series_rows("A", [30], start="2020-01-20")).withColumn("_seq", F.lit(1)))
     ST.stage_batches([b1], f"{root}/in")
     seen = []
 
@@ -168,6 +207,6 @@ def test_stream_refreshes_touched_codes(spark):
         seen.append(sorted((r.code, r.date.isoformat(), round(r.e3, 6)) for r in fresh.collect()))
 
     schema = spark.read.parquet(f"{root}/in").schema
-    ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", on_snapshot=hook)
+    ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", f"{root}/ck", on_snapshot=hook)
     assert len(seen) == 1 and {c for c, _, _ in seen[0]} == {"A"}
     assert seen[0][-1][2] == pytest.approx(((30 + 0.5 * 2 + 0.25 * 1) / 1.75))

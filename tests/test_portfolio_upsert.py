@@ -39,7 +39,7 @@ def test_returns_mean_and_cov_match_pandas(spark, three):
     ann = dict(P.annual_returns(rets).collect())
     for c in exp.columns:
         assert ann[c] == pytest.approx(exp[c].mean() * 252)
-    cov = {(r.code_i, r.code_j): r.cov for r in P.covariance(rets, partitions=3).collect()}
+    cov = {(r.code_i, r.code_j): r.cov for r in P.covariance(rets).collect()}
     ec = exp.cov() * 252
     for i in exp.columns:
         for j in exp.columns:
@@ -73,6 +73,33 @@ def test_scores_and_best(spark, three):
     assert best[best.kind == "min_risk"].risk.iloc[0] == pytest.approx(scores.risk.min())
 
 
+def test_scores_of_a_part_of_the_covered_codes(spark, three):
+    """Statistics over more codes than the universe, and in any order, are matched by code."""
+    rets = P.aligned_returns(three, three.select("code").distinct())
+    ann, cov = P.annual_returns(rets), P.covariance(rets)
+    uni = spark.createDataFrame([("C",), ("A",)], "code string")
+    got = P.portfolio_scores(P.candidate_weights(spark, uni, 20), ann, cov, uni).collect()
+    mu, cm = dict(ann.collect()), {(r.code_i, r.code_j): r.cov for r in cov.collect()}
+    sig = np.array([[cm[(i, j)] for j in "AC"] for i in "AC"])
+    for r in got:
+        w = np.array(r.weights)
+        assert r.returns == pytest.approx(w @ np.array([mu["A"], mu["C"]]))
+        assert r.risk == pytest.approx(np.sqrt(w @ sig @ w))
+
+
+def test_covariance_over_several_blocks_and_large_means(spark):
+    rng = np.random.default_rng(2)
+    n, days = 2 * P.BLOCK + 40, 12
+    x = 1e6 + rng.normal(0, 1e-3, (days, n))
+    x[rng.random((days, n)) < 0.1] = np.nan
+    codes = [f"c{i:04d}" for i in range(n)]
+    rows = [(codes[i], d, float(x[d, i])) for d in range(days) for i in range(n) if not np.isnan(x[d, i])]
+    got = P.covariance(spark.createDataFrame(rows, "code string, k long, ret double")).toPandas()
+    want = (pd.DataFrame(x - 1e6, columns=codes).cov() * 252).to_numpy()
+    found = got.pivot(index="code_i", columns="code_j", values="cov").loc[codes, codes].to_numpy(dtype=float)
+    np.testing.assert_allclose(found, want, rtol=1e-6, atol=1e-9)
+
+
 def _cur_batch(spark):
     cur = spark.createDataFrame([("A", 1, 10.0), ("B", 1, 20.0)], "code string, k int, v double")
     batch = spark.createDataFrame([("B", 1, 21.0, 1), ("B", 1, 22.0, 2), ("C", 1, 30.0, 1)],

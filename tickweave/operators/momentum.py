@@ -16,8 +16,15 @@ from ..sources.market import attach_names
 
 
 def asof_trading_day(bars: DataFrame, day: str) -> Column:
-    """J4/A4 latest bar date on or before ``day`` across the whole table (scalar)."""
-    return bars.filter(F.col("date") <= F.lit(day).cast("date")).select(F.max("date")).scalar()
+    """J4/A4 latest bar date on or before ``day`` across the whole table (scalar).
+
+    On year-partitioned bars, later years are not read.
+    """
+    at = F.lit(day).cast("date")
+    old = bars.filter(F.col("date") <= at)
+    if "year" in bars.columns:
+        old = old.filter(F.col("year") <= int(day[:4]))
+    return old.select(F.max("date")).scalar()
 
 
 def asof_days(requested: DataFrame, bars: DataFrame, col: str = "requested") -> DataFrame:
@@ -48,8 +55,13 @@ def asof_days(requested: DataFrame, bars: DataFrame, col: str = "requested") ->
 
 
 def two_date_prices(bars: DataFrame, d0: Column, d1: Column) -> DataFrame:
-    """J5 close at d0 and at d1 per code; codes missing either day drop out."""
+    """J5 close at d0 and at d1 per code; codes missing either day drop out.
+
+    On year-partitioned bars only the two years are read.
+    """
     picked = bars.filter((F.col("date") == d0) | (F.col("date") == d1))
+    if "year" in bars.columns:
+        picked = picked.filter((F.col("year") == F.year(d0)) | (F.col("year") == F.year(d1)))
     g = picked.groupBy("code").agg(
         F.max(F.when(F.col("date") == d0, F.col("close"))).alias("old_price"),
         F.max(F.when(F.col("date") == d1, F.col("close"))).alias("new_price"))

@@ -3,28 +3,22 @@
 The source builds a date × security close matrix for a handful of
 securities, then scores 20,000 random weight vectors in a Python loop.
 Here the universe is a DataFrame of codes, returns stay long
-(code, k, ret), the covariance is accumulated per partition with numpy
-Gram products (no pair rows are emitted), and candidates are a distributed
+(code, k, ret), the covariance is accumulated in blocks of codes with numpy
+(no pair rows are emitted before the end), and candidates are a distributed
 table scored with array functions against μ and Σ, which reach every row
-as scalar subqueries whose size is bounded by the universe size.
+as scalar subqueries of one entry per security and pair of securities.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import series as S
 
 TRADING_DAYS = 252
-# μ (N doubles) and Σ (N² doubles) travel with every candidate row; the
-# universe size caps what that costs.
-MAX_UNIVERSE = 2000
 
 
 def universe_codes(universe: DataFrame) -> DataFrame:
@@ -70,52 +64,82 @@ def annual_returns(rets: DataFrame) -> DataFrame:
     return rets.groupBy("code").agg((F.avg("ret") * F.lit(float(TRADING_DAYS))).alias("annual_ret"))
 
 
-_GRAM_SCHEMA = T.StructType([
-    T.StructField("code_i", T.StringType()), T.StructField("code_j", T.StringType()),
-    T.StructField("n", T.LongType()), T.StructField("sx", T.DoubleType()),
-    T.StructField("sy", T.DoubleType()), T.StructField("sxy", T.DoubleType()),
-])
-
-
-def _partial_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairwise-complete sums of one partition of dates (rows: code, k, ret)."""
-    parts = [b for b in batches if len(b)]
-    if not parts:
-        return
-    pdf = pd.concat(parts, ignore_index=True)
-    wide = pdf.pivot_table(index="k", columns="code", values="ret", aggfunc="first")
-    codes = list(wide.columns)
-    x = wide.to_numpy(dtype=float)
-    m = ~np.isnan(x)
-    x0 = np.where(m, x, 0.0)
-    mf = m.astype(float)
-    n = mf.T @ mf                 # rows where both are present
-    sx = x0.T @ mf                # sum of x_i over those rows
-    sxy = x0.T @ x0
-    ii, jj = np.meshgrid(np.arange(len(codes)), np.arange(len(codes)), indexing="ij")
-    out = pd.DataFrame({
-        "code_i": np.array(codes, dtype=object)[ii.ravel()],
-        "code_j": np.array(codes, dtype=object)[jj.ravel()],
-        "n": n.ravel().astype("int64"), "sx": sx.ravel(), "sy": sx.T.ravel(), "sxy": sxy.ravel()})
-    yield out[out["n"] > 0]
-
-
-def covariance(rets: DataFrame, partitions: int | None = None) -> DataFrame:
+#: Codes of a covariance block, and the parts that dates are dealt into.
+BLOCK = 256
+DATE_PARTS = 16
+
+
+def _centred(x: np.ndarray, y: np.ndarray):
+    """Pairwise-complete n, means and centred co-moments of the columns of x and y."""
+    mx, my = ~np.isnan(x), ~np.isnan(y)
+    # shifted by each column's mean first, so that large means cost no digits
+    cx, cy = (np.where(m.any(0), np.where(m, v, 0).sum(0) / np.maximum(1, m.sum(0)), 0.0) for v, m in ((x, mx), (y, my)))
+    x0, y0 = np.where(mx, x - cx, 0.0), np.where(my, y - cy, 0.0)
+    fx, fy = mx.astype(float), my.astype(float)
+    n = fx.T @ fy
+    with np.errstate(invalid="ignore", divide="ignore"):
+        ax, ay = x0.T @ fy / n, fx.T @ y0 / n
+        moment = x0.T @ y0 - n * ax * ay
+    return n, cx[:, None] + ax, cy[None, :] + ay, np.where(n > 0, moment, 0.0)
+
+
+def _combine(a, b):
+    """Co-moments of two disjoint sets of dates."""
+    na, xa, ya, ma = a
+    nb, xb, yb, mb = b
+    n = na + nb
+    with np.errstate(invalid="ignore", divide="ignore"):
+        dx, dy = xb - xa, yb - ya
+        moment = ma + mb + np.where((na > 0) & (nb > 0), dx * dy * na * nb / n, 0.0)
+        x = np.where(na == 0, xb, np.where(nb == 0, xa, xa + dx * nb / n))
+        y = np.where(na == 0, yb, np.where(nb == 0, ya, ya + dy * nb / n))
+    return n, x, y, moment
+
+
+def _block_part(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    bi, bj, _ = key
+    wide = pdf.pivot(index="k", columns="i", values="ret")
+    x, y = (wide.reindex(columns=range(b * BLOCK, (b + 1) * BLOCK)).to_numpy(dtype=float) for b in (bi, bj))
+    return pd.DataFrame({"bi": [bi], "bj": [bj], "part": [np.stack(_centred(x, y)).tobytes()]})
+
+
+def _block_sum(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    bi, bj = key
+    total = None
+    for blob in pdf["part"]:
+        part = tuple(np.frombuffer(blob).reshape(4, BLOCK, BLOCK))
+        total = part if total is None else _combine(total, part)
+    n, _, _, moment = total
+    i, j = np.nonzero(n >= 1)
+    cov = np.full(len(i), np.nan)
+    enough = n[i, j] >= 2
+    cov[enough] = moment[i, j][enough] / (n[i, j][enough] - 1) * TRADING_DAYS
+    out = pd.DataFrame({"i": i + bi * BLOCK, "j": j + bj * BLOCK, "cov": cov})
+    return out if bi == bj else pd.concat([out, out.rename(columns={"i": "j", "j": "i"})[["i", "j", "cov"]]])
+
+
+def covariance(rets: DataFrame) -> DataFrame:
     """A3/J8 annualised sample covariance, pairwise complete (pandas ``cov``).
 
-    Dates are hash-partitioned; each task pivots its dates into a small
-    matrix and accumulates Gram sums with numpy; the per-task sums (N² rows
-    per task) are added by one aggregation.  Output: code_i, code_j, cov.
+    Codes are numbered and cut into blocks, dates are dealt into parts; one
+    task holds one pair of blocks over one part of the dates, and only upper
+    pairs are computed.  Parts leave centred co-moments, which are combined
+    pairwise.  Output: code_i, code_j, cov (NULL below two common dates).
     """
     valid = rets.filter(F.col("ret").isNotNull()).select("code", "k", "ret")
-    parts = valid.repartition(partitions, "k") if partitions else valid.repartition("k")
-    sums = (parts.mapInPandas(_partial_gram, _GRAM_SCHEMA)
-                 .groupBy("code_i", "code_j")
-                 .agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"),
-                      F.sum("sy").alias("sy"), F.sum("sxy").alias("sxy")))
-    cov = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - F.lit(1))
-    return sums.select("code_i", "code_j",
-                       F.when(F.col("n") >= 2, cov * F.lit(float(TRADING_DAYS))).alias("cov"))
+    # one row per security
+    number = F.row_number().over(Window.orderBy("code")) - 1
+    codes = valid.select("code").distinct().withColumn("i", number.cast("bigint"))
+    last = F.floor(codes.select(F.max("i")).scalar() / BLOCK)
+    numbered = valid.join(codes, "code").select("i", "k", "ret", F.floor(F.col("i") / BLOCK).alias("b"), last.alias("last"))
+    # a block meets every block: as row block from itself on, as column block before
+    pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("last")),
+                        lambda o: F.struct(F.least(F.col("b"), o).alias("bi"), F.greatest(F.col("b"), o).alias("bj")))
+    dealt = numbered.withColumn("p", F.explode(pairs)).select("p.bi", "p.bj", F.pmod(F.hash("k"), F.lit(DATE_PARTS)).alias("dates"), "i", "k", "ret")
+    parts = dealt.groupBy("bi", "bj", "dates").applyInPandas(_block_part, "bi long, bj long, part binary")
+    found = parts.groupBy("bi", "bj").applyInPandas(_block_sum, "i long, j long, cov double")
+    name = (lambda side: codes.select(F.col("i").alias(side), F.col("code").alias(f"code_{side}")))
+    return found.join(name("i"), "i").join(name("j"), "j").select("code_i", "code_j", F.when(~F.isnan("cov"), F.col("cov")).alias("cov"))
 
 
 def _uniform(id_col, code_col):
@@ -125,11 +149,8 @@ def _uniform(id_col, code_col):
 
 
 def _universe_array(universe: DataFrame):
-    codes = universe_codes(universe)
-    arr = codes.select(F.sort_array(F.collect_list("code")).alias("a"))
-    checked = arr.select(F.when(F.size("a") <= MAX_UNIVERSE, F.col("a"))
-                          .otherwise(F.raise_error(F.lit(f"universe above {MAX_UNIVERSE} codes"))))
-    return checked.scalar()
+    """The universe's codes in order: one value, of one entry per security."""
+    return universe_codes(universe).select(F.sort_array(F.collect_list("code")).alias("a")).scalar()
 
 
 def candidate_weights(spark: SparkSession, universe: DataFrame, n: int = 20000) -> DataFrame:
@@ -149,17 +170,23 @@ def candidate_weights(spark: SparkSession, universe: DataFrame, n: int = 20000)
 
 
 def _stat_arrays(annual: DataFrame, cov: DataFrame, universe: DataFrame):
-    """μ as ARRAY<DOUBLE> and Σ as ARRAY<ARRAY<DOUBLE>> in universe (code) order."""
+    """μ as ARRAY<DOUBLE> and Σ as ARRAY<ARRAY<DOUBLE>> over the universe, matched by code.
+
+    Codes outside the universe are left out on both sides; what the universe
+    has and the statistics lack is NULL.
+    """
     codes = universe_codes(universe)
-    mu = (annual.join(codes, "code", "right")
-                .select(F.sort_array(F.collect_list(F.struct("code", "annual_ret"))).alias("s"))
-                .select(F.transform("s", lambda e: e["annual_ret"]).alias("mu")))
-    rows = (cov.join(codes.withColumnRenamed("code", "code_i"), "code_i", "inner")
-               .groupBy("code_i")
-               .agg(F.sort_array(F.collect_list(F.struct("code_j", "cov"))).alias("r"))
-               .select("code_i", F.transform("r", lambda e: e["cov"]).alias("row")))
-    sigma = rows.select(F.sort_array(F.collect_list(F.struct("code_i", "row"))).alias("m")) \
-                .select(F.transform("m", lambda e: e["row"]).alias("sigma"))
+    order = _universe_array(universe)
+    mu = (annual.join(codes, "code").select(F.map_from_entries(F.collect_list(F.struct("code", "annual_ret"))).alias("m"))
+                .select(F.col("m"), order.alias("order"))
+                .select(F.transform("order", lambda c: F.element_at(F.col("m"), c)).alias("mu")))
+    rows = (cov.join(codes.withColumnRenamed("code", "code_i"), "code_i").join(codes.withColumnRenamed("code", "code_j"), "code_j")
+               .groupBy("code_i").agg(F.map_from_entries(F.collect_list(F.struct("code_j", "cov"))).alias("m"))
+               .select("code_i", "m", order.alias("order"))
+               .select("code_i", F.transform("order", lambda c: F.element_at(F.col("m"), c)).alias("row")))
+    sigma = rows.select(F.map_from_entries(F.collect_list(F.struct("code_i", "row"))).alias("m")) \
+                .select(F.col("m"), order.alias("order")) \
+                .select(F.transform("order", lambda c: F.coalesce(F.element_at(F.col("m"), c), F.array_repeat(F.lit(None).cast("double"), F.size("order")))).alias("sigma"))
     return mu.scalar(), sigma.scalar()
 
 
@@ -184,14 +211,10 @@ def portfolio_scores(weights: DataFrame, annual: DataFrame, cov: DataFrame,
 def portfolio_best(scores: DataFrame) -> DataFrame:
     """M5/P9 rows of maximum ratio and of minimum risk (ties all kept).
 
-    The scored candidates are written once (shared checkpoint folder) so the
-    two extreme values and the two filters read a table instead of each
-    re-running the scoring plan.
+    One aggregate gives both extremes, one join marks their rows.
     """
-    from ..session import materialize
-    scores = materialize(scores, "scores")
-    best = scores.filter(F.col("sharpe") == scores.select(F.max("sharpe")).scalar()) \
-                 .withColumn("kind", F.lit("max_sharpe"))
-    safe = scores.filter(F.col("risk") == scores.select(F.min("risk")).scalar()) \
-                 .withColumn("kind", F.lit("min_risk"))
-    return best.unionByName(safe)
+    best = scores.agg(F.max("sharpe").alias("_top"), F.min("risk").alias("_low"))
+    # one row
+    marked = scores.join(F.broadcast(best), (F.col("sharpe") == F.col("_top")) | (F.col("risk") == F.col("_low")))
+    kinds = F.array_compact(F.array(F.when(F.col("sharpe") == F.col("_top"), F.lit("max_sharpe")), F.when(F.col("risk") == F.col("_low"), F.lit("min_risk"))))
+    return marked.withColumn("kind", F.explode(kinds)).drop("_top", "_low")

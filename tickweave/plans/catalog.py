@@ -231,12 +231,12 @@ def q_asof_day(spark, sf_dir):
 @query("two_date_prices")
 def q_two_date_prices(spark, sf_dir):
     """J5 close at both snapped dates per code; codes missing either drop."""
-    b = _bars(spark, sf_dir)
+    b = _bars(spark, sf_dir, "day")
     return M.two_date_prices(b, M.asof_trading_day(b, RLTV[0]), M.asof_trading_day(b, RLTV[1]))
 
 
 def _relative(spark, sf_dir):
-    return M.relative_momentum(_bars(spark, sf_dir), _items(spark, sf_dir), *RLTV)
+    return M.relative_momentum(_bars(spark, sf_dir, "day"), _items(spark, sf_dir), *RLTV)
 
 
 @query("relative_momentum")
@@ -248,7 +248,7 @@ def q_relative_momentum(spark, sf_dir):
 @query("absolute_momentum")
 def q_absolute_momentum(spark, sf_dir):
     """M2/J6/T3 return of the relative-momentum codes over the next year, all of them."""
-    out = M.absolute_momentum(_bars(spark, sf_dir), _items(spark, sf_dir),
+    out = M.absolute_momentum(_bars(spark, sf_dir, "day"), _items(spark, sf_dir),
                               _relative(spark, sf_dir), *ABS)
     return _round(out)
 
@@ -256,7 +256,7 @@ def q_absolute_momentum(spark, sf_dir):
 @query("momentum_summary")
 def q_momentum_summary(spark, sf_dir):
     """A6 mean return of the absolute-momentum selection."""
-    out = M.absolute_momentum(_bars(spark, sf_dir), _items(spark, sf_dir),
+    out = M.absolute_momentum(_bars(spark, sf_dir, "day"), _items(spark, sf_dir),
                               _relative(spark, sf_dir), *ABS)
     return _round(M.momentum_summary(out))
 
@@ -371,14 +371,14 @@ def q_merge_bars(spark, sf_dir):
 
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
-    """R1 the upsert batch arriving as three staged files, merged by a streaming query."""
+    """R1/U2 the upsert batch arriving as staged files, merged by a streaming query with audit stamps."""
     current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
     cut = F.lit(CUT).cast("date")
     first = batch.filter((F.col("_seq") == 1) & (F.col("date") < cut))
     second = batch.filter((F.col("_seq") == 1) & (F.col("date") >= cut))
     third = batch.filter(F.col("_seq") == 2)
-    out = ST.replay_upserts(spark, current, [first, second, third])
-    return out.select(*UPSERT_COLS)
+    out = ST.replay_upserts(spark, _with_audit(current, OLD_TS), [first, second, third], ts=RUN_TS)
+    return _ts_text(out.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
 def _listing(spark, sf_dir):

@@ -372,22 +372,22 @@ ABS_CTE = RLTV_CTE.replace("\nd AS", "\nd1x AS", 0) + "," + MOMENTUM.format(
 absm AS (SELECT * FROM m2 WHERE code IN (SELECT code FROM top))"""
 
 ORACLE["two_date_prices"] = f"""
-WITH {bars_cte()}, {MOMENTUM.format(s='1996-01-03', e='1998-12-31', name='unused')}
+WITH {bars_cte('day')}, {MOMENTUM.format(s='1996-01-03', e='1998-12-31', name='unused')}
 SELECT code, old_price, new_price FROM p
 """
 
 ORACLE["relative_momentum"] = f"""
-WITH {bars_cte()}, {ITEMS_CTE}, {RLTV_CTE}
+WITH {bars_cte('day')}, {ITEMS_CTE}, {RLTV_CTE}
 SELECT code, company, old_price, new_price, {_r('returns')} AS returns, rank FROM top
 """
 
 ORACLE["absolute_momentum"] = f"""
-WITH {bars_cte()}, {ITEMS_CTE}, {ABS_CTE}
+WITH {bars_cte('day')}, {ITEMS_CTE}, {ABS_CTE}
 SELECT code, company, old_price, new_price, {_r('returns')} AS returns FROM absm
 """
 
 ORACLE["momentum_summary"] = f"""
-WITH {bars_cte()}, {ITEMS_CTE}, {ABS_CTE}
+WITH {bars_cte('day')}, {ITEMS_CTE}, {ABS_CTE}
 SELECT count(*) AS n_codes, {_r('avg(returns)')} AS mean_returns FROM absm
 """
 
@@ -518,7 +518,6 @@ SELECT code, date, open, high, low, close, volume FROM (
 WHERE rn = 1
 """
 
-ORACLE["stream_upsert"] = ORACLE["upsert_replace"]
 
 MERGE_BARS_SELECT = f"""
 SELECT coalesce(c.code, b.code) AS code, coalesce(c.date, b.date) AS date,
@@ -537,6 +536,8 @@ WITH {bars_cte()}, {PAIR}
 {MERGE_BARS_SELECT}
 """
 
+ORACLE["stream_upsert"] = ORACLE["merge_bars"]
+
 ORACLE["ingest_filtered"] = f"""
 WITH {bars_cte()}, {ITEMS_CTE},
 cur AS (SELECT * FROM bars WHERE date < {CUT}),

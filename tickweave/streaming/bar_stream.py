@@ -1,97 +1,107 @@
 """R1 continuous bar upserts with Structured Streaming.
 
 Staged bar files arrive in a folder; each micro-batch is merged into the
-bars table by key (last write wins, however old the bar: no lateness
-cut-off, as the daily re-runs of the source behave).  Every batch writes a
-new snapshot ``<table>/v=<batch_id>`` computed from ``v=<batch_id - 1>``
-(or the initial table), so a batch replayed after a failure recomputes the
-same snapshot from the same input: the sink is idempotent by batch id.
+bars table by key, however old the bar (no lateness cut-off, as the daily
+re-runs of the source behave): with audit columns a matched bar keeps
+``reg_dt`` and gets ``upd_dt`` (U2), without them the last write wins (U1).
+
+A batch writes ``<root>/v=<batch_id>/<partition>=...`` for the partitions it
+touches, and nothing else: what a batch writes follows the batch, not the
+table.  The table is, for each partition, its newest version, and the initial
+table where there is none.  A batch replayed after a failure reads only older
+versions and writes the same files again, so the sink is idempotent by batch
+id.  A run without new files leaves the table as it is.
 
 Row windows (lag, rolling frames) are not allowed on a streaming frame;
-indicators for the touched codes are recomputed from the new snapshot with
-the batch operators.
+indicators for the touched codes are recomputed from the table with the batch
+operators.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import SEQ, upsert, upsert_incremental
+from ..operators.upsert import SEQ, latest_per_key, merge_bars, touched, upsert
 from ..session import scratch_path
 
 
-def snapshot_path(table_root: str, batch_id: int) -> str:
-    return f"{table_root.rstrip('/')}/v={batch_id:010d}"
-
-
-def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructType,
-                       initial_table: str, table_root: str, keys: Sequence[str] = ("code", "date"),
-                       checkpoint: str | None = None, max_files_per_trigger: int = 1,
-                       on_snapshot=None, partition_cols: Sequence[str] | None = None) -> str:
-    """Drain ``source_dir`` into snapshots under ``table_root``; returns the final snapshot path.
+def table_now(spark: SparkSession, initial_table: str, table_root: str, partition_cols: Sequence[str] = ("year",),
+              before: int | None = None) -> DataFrame:
+    """The table after all batches (or those below ``before``)."""
+    initial = spark.read.parquet(initial_table)
+    try:
+        versions = spark.read.option("basePath", table_root).parquet(table_root)
+    except AnalysisException:  # no batch has written yet
+        return initial
+    if before is not None:
+        versions = versions.filter(F.col("v") < before)
+    keys = list(partition_cols)
+    # partition columns alone: one row per partition value
+    newest = versions.select("v", *keys).groupBy(*keys).agg(F.max("v").alias("v"))
+    kept = versions.join(newest, [*keys, "v"], "left_semi").select(*initial.columns)
+    return initial.join(newest.select(*keys), keys, "left_anti").select(*initial.columns).unionByName(kept)
+
+
+def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructType, initial_table: str, table_root: str,
+                       checkpoint: str, keys: Sequence[str] = ("code", "date"), partition_cols: Sequence[str] = ("year",),
+                       ts: str | None = None, max_files_per_trigger: int | None = None, on_snapshot=None) -> DataFrame:
+    """Drain ``source_dir`` into the table under ``table_root``; returns the table.
 
     ``schema`` is the staged file schema (a ``_seq`` arrival number included);
-    the file source never infers it.  ``on_snapshot(snapshot_df, touched_codes_df,
+    the file source never infers it.  ``checkpoint`` is the caller's and stays
+    from run to run: it knows which files have been taken.  ``partition_cols``
+    are functions of the key (``year`` of ``date``).  With ``ts``, batches merge
+    with audit stamps.  All files at hand make one batch unless
+    ``max_files_per_trigger`` says otherwise.  ``on_snapshot(table, touched_codes,
     batch_id)`` runs after each batch (e.g. ``refresh_for_codes`` + a write).
-    With ``partition_cols`` (e.g. ``["year"]``) snapshots are partitioned and each
-    batch shuffles only the partitions it touches.
     """
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    last = {"path": initial_table}
+    parts = list(partition_cols)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        prev = initial_table if batch_id == 0 else snapshot_path(table_root, batch_id - 1)
-        current = spark.read.parquet(prev)
-        rows = batch.select(*current.columns, SEQ)
-        if partition_cols:
-            merged = upsert_incremental(current, rows, list(keys), list(partition_cols))
+        current = table_now(spark, initial_table, table_root, parts, before=batch_id)
+        old = touched(current, batch, parts)
+        if ts is not None:
+            rows = latest_per_key(batch.select(*[c for c in current.columns if c in batch.columns], SEQ), keys).drop(SEQ)
+            merged = merge_bars(old, rows, ts)
         else:
-            merged = upsert(current, rows, list(keys))
-        out = snapshot_path(table_root, batch_id)
-        writer = merged.write.mode("overwrite")
-        if partition_cols:
-            writer = writer.partitionBy(*partition_cols)
-        writer.parquet(out)
-        last["path"] = out
+            merged = upsert(old, batch.select(*current.columns, SEQ), list(keys))
+        merged.write.mode("overwrite").partitionBy(*parts).parquet(f"{table_root.rstrip('/')}/v={batch_id:010d}")
         if on_snapshot is not None:
-            on_snapshot(spark.read.parquet(out), touched_codes(batch), batch_id)
+            on_snapshot(table_now(spark, initial_table, table_root, parts), touched_codes(batch), batch_id)
 
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", str(max_files_per_trigger))
-              .parquet(source_dir))
-    q = (stream.writeStream.foreachBatch(apply)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    q = (reader.parquet(source_dir).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return last["path"]
+    return table_now(spark, initial_table, table_root, parts)
 
 
 def stage_batches(batches: Sequence[DataFrame], source_dir: str) -> None:
-    """Write staged batches as files in arrival order (one file each)."""
+    """Write staged batches as files, in arrival order."""
     for b in batches:
-        b.coalesce(1).write.mode("append").parquet(source_dir)
+        b.write.mode("append").parquet(source_dir)
 
 
-def replay_upserts(spark: SparkSession, current: DataFrame, batches: Sequence[DataFrame],
-                   keys: Sequence[str] = ("code", "date")) -> DataFrame:
-    """Stage ``batches``, stream them into ``current`` and read the result back."""
+def replay_upserts(spark: SparkSession, current: DataFrame, batches: Sequence[DataFrame], keys: Sequence[str] = ("code", "date"),
+                   ts: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stage ``batches`` and stream them into ``current``, which is partitioned by ``year``."""
     root = scratch_path(spark, "stream")
-    parts = ["year"] if "year" in current.columns else None
-    initial = f"{root}/initial"
-    w = current.write.mode("overwrite")
-    (w.partitionBy(*parts) if parts else w).parquet(initial)
-    source = f"{root}/incoming"
-    stage_batches(batches, source)
-    schema = spark.read.parquet(source).schema
-    final = stream_upsert_bars(spark, source, schema, initial, f"{root}/bars", keys,
-                               partition_cols=parts)
-    return spark.read.parquet(final)
+    current.write.partitionBy("year").parquet(f"{root}/initial")
+    stage_batches(batches, f"{root}/incoming")
+    schema = spark.read.parquet(f"{root}/incoming").schema
+    return stream_upsert_bars(spark, f"{root}/incoming", schema, f"{root}/initial", f"{root}/bars", f"{root}/checkpoint", keys,
+                              ts=ts, max_files_per_trigger=max_files_per_trigger)
 
 
 def touched_codes(batch: DataFrame) -> DataFrame:
