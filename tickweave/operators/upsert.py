@@ -205,7 +205,22 @@ def refresh_company_info(current: DataFrame, listing: DataFrame, today: str) ->
 
 def ingest_for_listing(current: DataFrame, staged: DataFrame, listing: DataFrame,
                        since: str, ts: str) -> DataFrame:
-    """K7/K8 bars since a date for the codes of a (fresh) listing, merged by K5."""
+    """K7 bars since a date for the codes of a (fresh) listing, merged by K5.
+
+    On year-partitioned bars only the touched years go through the merge.
+    """
     picked = (staged.filter(F.col("date") >= F.lit(since).cast("date"))
                     .join(listing.select("code"), "code", "left_semi"))
+    if "year" in current.columns:
+        return merge_incremental(current, picked, ["year"], merge_bars, ts)
     return merge_bars(current, picked, ts)
+
+
+def ingest_listing_then_bars(items: DataFrame, raw_listing: DataFrame, current: DataFrame, staged: DataFrame,
+                             ymd: str, since: str, ts: str) -> tuple[DataFrame, DataFrame]:
+    """K7 the whole chain: the listing refreshes the item master (K4), then bars
+    since a date arrive for the codes of that listing -> (items, bars)."""
+    from ..sources.listing import listing_to_items, read_listing
+    listing = read_listing(raw_listing)
+    return (merge_items(items, listing_to_items(listing, ymd), ts),
+            ingest_for_listing(current, staged, listing, since, ts))

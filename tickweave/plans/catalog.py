@@ -8,6 +8,8 @@ despite different summation orders.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -422,9 +424,7 @@ def q_ingest_filtered(spark, sf_dir):
     current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
     staged = b.withColumn("close", F.col("close") + 1)
     listing = K.active_universe(_items(spark, sf_dir))
-    picked = (staged.filter(F.col("date") >= F.lit("1998-12-07").cast("date"))
-                    .join(listing.select("code"), "code", "left_semi"))
-    merged = U.merge_incremental(current, picked, ["year"], U.merge_bars, RUN_TS)
+    merged = U.ingest_for_listing(current, staged, listing, "1998-12-07", RUN_TS)
     return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
@@ -514,3 +514,62 @@ def q_fundamentals_quarantine(spark, sf_dir):
     """K9 the cells of active codes that no number can be read from."""
     _rows, bad = FD.ingest_fundamentals(X.stored_fin_cells(spark, sf_dir), K.active_universe(_items(spark, sf_dir)))
     return bad
+
+
+@query("read_items")
+def q_read_items(spark, sf_dir):
+    """S1 code and name of every security."""
+    return K.read_items(_items(spark, sf_dir))
+
+
+@query("read_company_info")
+def q_read_company_info(spark, sf_dir):
+    """S2 code and company of the simple master."""
+    return K.read_company_info(X.company_info(spark, sf_dir))
+
+
+@query("price_raw")
+def q_price_raw(spark, sf_dir):
+    """S4 one code between two text bounds, no checks or defaults."""
+    return K.daily_price_raw(_bars(spark, sf_dir), "Brand#3", "19960101", "19981231").select(*BAR_COLS)
+
+
+@query("price_last_year")
+def q_price_last_year(spark, sf_dir):
+    """S3/F5 the 365 days up to a day, the default range of the price scan."""
+    codes = K.active_universe(_items(spark, sf_dir))
+    return K.daily_price(_bars(spark, sf_dir), codes, as_of=dt.date(1998, 12, 31)).select(*BAR_COLS)
+
+
+@query("listing_simple")
+def q_listing_simple(spark, sf_dir):
+    """S7 the two-column listing."""
+    return L.read_listing(X.listing_raw(spark, sf_dir), full=False)
+
+
+@query("ymd_dates")
+def q_ymd_dates(spark, sf_dir):
+    """F3/F2 the dates of the bars' yyyyMMdd text."""
+    return _bars(spark, sf_dir).select("code", "ymd", C.ymd_to_date("ymd").alias("parsed"))
+
+
+@query("company_info_refresh")
+def q_company_info_refresh(spark, sf_dir):
+    """K2/A7 the gated replace: the master is stale on the day, so the listing replaces it."""
+    info = X.company_info(spark, sf_dir)
+    return U.refresh_company_info(info.filter(F.col("size") <= 25), _listing(spark, sf_dir), "2021-02-01")[0]
+
+
+@query("percent_b_scaled")
+def q_percent_b_scaled(spark, sf_dir):
+    """F18 %B times 100, as the chart shows it."""
+    s = I.percent_b(I.bollinger(_series(spark, sf_dir)))
+    return _round(S.finish(G.drop_first(s, 19)).select("code", "date", (F.col("pb") * 100).alias("pb_percent")))
+
+
+@query("ewm_gaps")
+def q_ewm_gaps(spark, sf_dir):
+    """W10 over closes with gaps, at spans 1, 2 and 60: the mean is carried through missing days."""
+    b = _bars(spark, sf_dir).select("code", "date", F.when(F.col("volume") % 3 != 0, F.col("close")).alias("close"))
+    s = S.ewm_many(S.open_series(b), [("close", 1, "ema1"), ("close", 2, "ema2"), ("close", 60, "ema60")])
+    return _round(S.finish(s).select("code", "date", "ema1", "ema2", "ema60"), ema1=EWM_PLACES, ema2=EWM_PLACES, ema60=EWM_PLACES)

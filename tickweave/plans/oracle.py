@@ -747,3 +747,50 @@ WITH {ITEMS_CTE}, {CELLS}, {READABLE}
 SELECT code, gb, period_header, pos, measure, text FROM cells ANTI JOIN good USING (code, gb, period_header, pos, measure)
 WHERE code IN (SELECT code FROM items WHERE status = 'Y')
 """
+
+ORACLE["read_items"] = f"WITH {ITEMS_CTE} SELECT code, name FROM items"
+
+ORACLE["read_company_info"] = "SELECT printf('%06d', p_partkey) AS code, p_name AS company FROM part"
+
+ORACLE["price_raw"] = f"""
+WITH {bars_cte()}
+SELECT code, date, ymd, open, high, low, close, volume FROM bars
+WHERE code = 'Brand#3' AND ymd BETWEEN '19960101' AND '19981231'
+"""
+
+ORACLE["price_last_year"] = f"""
+WITH {bars_cte()}, {ITEMS_CTE}
+SELECT code, date, ymd, open, high, low, close, volume FROM bars
+WHERE date BETWEEN DATE '1998-12-31' - 365 AND DATE '1998-12-31' AND code IN (SELECT code FROM items WHERE status = 'Y')
+"""
+
+ORACLE["listing_simple"] = f"WITH {LISTING} SELECT code, name FROM listing"
+
+ORACLE["ymd_dates"] = f"WITH {bars_cte()} SELECT code, ymd, CAST(strptime(ymd, '%Y%m%d') AS DATE) AS parsed FROM bars"
+
+ORACLE["company_info_refresh"] = ORACLE["company_info_replace"]
+
+ORACLE["percent_b_scaled"] = f"""
+WITH {bars_cte()}, {BANDS}
+SELECT code, date, {_r('pb * 100')} AS pb_percent FROM bands2 WHERE rn > 19
+"""
+
+
+def _ewm_sum(span: int) -> str:
+    """The definition: weights fall by q a row; sums run over all earlier rows with a close."""
+    q = f"(1.0 - 2.0 / ({span} + 1.0))"
+    return (f"(SELECT sum(power({q}, a.rn - b.rn) * b.close) / sum(power({q}, a.rn - b.rn)) FROM g b "
+            f"WHERE b.code = a.code AND b.rn <= a.rn AND b.rn > a.last_rn - 2000 AND b.close IS NOT NULL)")
+
+
+# where the weights of all earlier closes have vanished, the mean is that of the last close's row
+ORACLE["ewm_gaps"] = f"""
+WITH {bars_cte()},
+g AS (SELECT code, date, CASE WHEN volume % 3 <> 0 THEN CAST(close AS DOUBLE) END AS close,
+             row_number() OVER (PARTITION BY code ORDER BY date) AS rn FROM bars),
+a AS (SELECT *, max(CASE WHEN close IS NOT NULL THEN rn END) OVER (PARTITION BY code ORDER BY rn) AS last_rn,
+             last_value(close IGNORE NULLS) OVER (PARTITION BY code ORDER BY rn) AS last_close FROM g)
+SELECT code, date, round(last_close, {EWM_PLACES}) AS ema1,
+       round({_ewm_sum(2)}, {EWM_PLACES}) AS ema2, round({_ewm_sum(60)}, {EWM_PLACES}) AS ema60
+FROM a
+"""

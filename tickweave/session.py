@@ -38,13 +38,16 @@ def get_spark(master: str | None = None, app: str = "tickweave",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A cluster names it; only when it is unset (unit tests, a laptop) do we
-    pick a scratch folder ourselves.
+    A cluster names it.  Where it is unset, a local session (unit tests, a
+    laptop) gets a scratch folder; any other session is refused, as executors
+    would not see the driver's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tickweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
