@@ -76,7 +76,7 @@ def materialize(df, *name: str, partition_by: list[str] | None = None,
 
     Cuts lineage (later branches and scalar subqueries read the files instead
     of recomputing the plan) and survives executor loss, unlike a cache or a
-    local checkpoint.
+    local checkpoint.  The folder goes when the application ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, *name)
@@ -87,6 +87,8 @@ def materialize(df, *name: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.parquet(path)
 
 
