@@ -38,13 +38,15 @@ from tickweave.session import materialize, ship_package
 CHUNK = 1 << 20
 #: Counters of the frequency sketch (fixed: 8 MB, whatever the input), and the pieces that it is summed in.
 SKETCH = 1 << 21
-SKETCH_PIECES = 64
+PIECES = 64
+#: Bits of the filter for documents whose sets are wanted (fixed: 4 MB); what it lets through too much is never asked for.
+FILTER_BITS = 1 << 25
 #: Lists up to this length give all their pairs at once.
 SHORT_LIST = 64
 #: Sets of one comparison group at most, on average.
 GROUP_SETS = 256
 #: Pivots of long lists by round; the last round takes what is left.
-PIVOTS = (1, 8, 64, 512)
+PIVOTS = (1, 16, 256)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,29 +100,54 @@ def _measure(k: int):
                 yield pa.RecordBatch.from_arrays([pa.nulls(j - i, pa.int32()), batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(np.diff(off).astype(np.int64)),
                                                   pa.array(sid.view(np.int64)), pa.array(check.view(np.int64)), pa.nulls(j - i, pa.binary())], names=names)
         if sketch.any():
-            pieces = [pa.compress(p.tobytes(), "zstd", asbytes=True) for p in sketch.reshape(SKETCH_PIECES, -1)]
-            n, empty = SKETCH_PIECES, pa.nulls(SKETCH_PIECES, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), empty, empty, empty, empty, empty, pa.array(pieces, pa.binary())], names=names)
+            n, empty = PIECES, pa.nulls(PIECES, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), empty, empty, empty, empty, empty, _pieces(sketch)], names=names)
     return run
 
 
-def _sketch(parts: DataFrame) -> np.ndarray:
-    """The summed sketch: always SKETCH counters."""
-    size = SKETCH // SKETCH_PIECES * 4
+def _gathered(parts: DataFrame, kind, size: int, combine) -> np.ndarray:
+    """Per-task arrays of ``size`` numbers, sent as PIECES compressed pieces, combined into one."""
+    n_bytes = size // PIECES * np.dtype(kind).itemsize
 
     def add(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size // 4, np.uint32)
+        total = np.zeros(size // PIECES, kind)
         for blob in table.column("counters"):
-            total += np.frombuffer(pa.decompress(blob.as_buffer(), size, "zstd"), np.uint32)
+            combine(total, np.frombuffer(pa.decompress(blob.as_buffer(), n_bytes, "zstd"), kind), out=total)
         yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["piece", "counters"])
 
-    rows = by_group(parts.where(F.col("piece").isNotNull()).select("piece", "counters"), ["piece"], [], add, "piece int, counters binary").collect()
-    out = np.zeros((SKETCH_PIECES, size // 4), np.uint32)
-    for r in rows:
-        out[r["piece"]] = np.frombuffer(r["counters"], np.uint32)
+    out = np.zeros((PIECES, size // PIECES), kind)
+    for r in by_group(parts.select("piece", "counters"), ["piece"], [], add, "piece int, counters binary").collect():  # always ``size`` numbers
+        out[r["piece"]] = np.frombuffer(r["counters"], kind)
     return out.ravel()
 
 
+def _pieces(values: np.ndarray) -> pa.Array:
+    return pa.array([pa.compress(p.tobytes(), "zstd", asbytes=True) for p in values.reshape(PIECES, -1)], pa.binary())
+
+
+def _document_bits(doc_id: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """The filter bit of each document."""
+    return (mix(mix(doc_id.view(np.uint64)) + digest.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _document_filter(wanted: DataFrame) -> np.ndarray:
+    """Bits of the wanted (rep, rep_digest)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            bits[_document_bits(*_keys(batch))] = True
+        if bits.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PIECES, dtype=np.int32)), _pieces(np.packbits(bits))], names=["piece", "counters"])
+
+    parts = wanted.select("rep", "rep_digest").mapInArrow(run, "piece int, counters binary")
+    return np.unpackbits(_gathered(parts, np.uint8, FILTER_BITS // 8, np.bitwise_or)).astype(bool)
+
+
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (a null one as the least) and digests, the first two columns."""
+    return np.array(batch.column(0).fill_null(-(1 << 63)), np.int64), np.array(batch.column(1), np.int64)
+
+
 def _needed(n, m, num: int, den: int):
     """Least overlap at which sets of n and m members reach the threshold num/den."""
     return -(-num * (n + m) // (num + den))
@@ -199,6 +226,7 @@ def _scan_lists(num: int, den: int):
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, n_a, n_b, overlap) of each pair: one set of a group is compared with up to GROUP_SETS others."""
+    sets = sets.hint("merge")  # neither side has a bound: the same plan at every size
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).cast("int").alias("parts"))
     held = groups.join(sets, groups["a"] == sets["sid"]).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("b"), "members")
     asked = pairs.join(groups, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -206,16 +234,17 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def compare(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch]:
         members = table.column("members")
-        mine = np.frombuffer(members[0].as_buffer(), np.uint64)
-        others = [np.frombuffer(members[i].as_buffer(), np.uint64) for i in range(1, len(members))]
-        if not others:
+        held = table.column("kind").to_pylist().count(0)  # more than one if copies of the set came along
+        if held in (0, len(members)):
             return
+        mine = np.frombuffer(members[0].as_buffer(), np.uint64)
+        others = [np.frombuffer(members[i].as_buffer(), np.uint64) for i in range(held, len(members))]
         size = np.array([len(o) for o in others])
         flat = np.concatenate(others)
         at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
         both = row_sums(mine[at] == flat, np.concatenate(([0], np.cumsum(size))))
         n = len(others)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[0])), table.column("b").combine_chunks().slice(1), pa.array(np.full(n, len(mine))), pa.array(size), pa.array(both)],
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[0])), table.column("b").combine_chunks().slice(held), pa.array(np.full(n, len(mine))), pa.array(size), pa.array(both)],
                                          names=["a", "b", "n_a", "n_b", "overlap"])
 
     return by_group(held.unionByName(asked), ["a", "part"], ["kind"], compare, "a long, b long, n_a long, n_b long, overlap long")
@@ -254,7 +283,8 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _digest(text_col), text)
     measured = materialize(rows.mapInArrow(_measure(k), "piece int, doc_id long, digest long, n long, sid long, check long, counters binary"), "join")
-    sketch = spark.sparkContext.broadcast(_sketch(measured))  # SKETCH counters
+    counts = _gathered(measured.where(F.col("piece").isNotNull()), np.uint32, SKETCH, np.add)
+    sketch = spark.sparkContext.broadcast(counts)  # SKETCH counters
     sizes = measured.where(F.col("piece").isNull()).select("doc_id", "digest", "n", "sid", "check")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("least")
     classes = sizes.where(F.col("n") > 0).groupBy("sid", "check").agg(least).select("sid", "check", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("rep_digest"))
@@ -269,54 +299,64 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
 
     # the sets to compare, from one document of each class
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(lists.select("sid")).distinct()
-    wanted = materialize(classes.join(wanted, "sid", "left_semi").select("rep", "rep_digest"), "join")
+    bits = spark.sparkContext.broadcast(_document_filter(classes.join(wanted, "sid", "left_semi")))  # FILTER_BITS bits
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, key, off in _parts(batch, 0, k):
+            chosen = batch.filter(pa.array(bits.value[_document_bits(*_keys(batch))]))
+            for _, _, key, off in _parts(chosen, 2, k):
                 sid, _ = set_ids(key, off)
                 yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array([key[i:j].tobytes() for i, j in zip(off, off[1:])], pa.binary())], names=["sid", "members"])
 
-    chosen = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("digest") == F.col("rep_digest")), "left_semi")
-    sets = chosen.select("text").mapInArrow(members, "sid long, members binary")
-    sets = materialize(sets.dropDuplicates(["sid"]), "join")
+    sets = materialize(rows.mapInArrow(members, "sid long, members binary"), "join")
 
     need = F.ceil(num * (F.col("n_a") + F.col("n_b")) / (num + den))
     linked = F.col("overlap") >= need
     longest = lists.groupBy("token").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    overlaps = materialize(_overlaps(pairs.unionByName(_pivot_pairs(lists, 0, 1, num, den)).distinct() if longest else pairs, sets), "join")
+    first = _pivot_pairs(lists.withColumn("component", F.col("sid")), 0, PIVOTS[0], num, den).select("a", "b")
+    overlaps = materialize(_overlaps(pairs.unionByName(first).distinct() if longest else pairs, sets), "join")
     links = overlaps.where(linked).select("a", "b")
-    # each long list's first pivot, and its known overlaps
-    known = overlaps.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), F.col("n_a").alias("n_pivot"), "overlap") if longest else None
+    # the overlaps with each long list's first pivot
+    known = overlaps.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), F.col("n_a").alias("n_pivot"), "overlap")
     low = PIVOTS[0]
     for high in [*PIVOTS[1:], max(longest, 1)]:
         if longest <= low:
             break
-        labels = components(links)
-        more, derived = _skipped(_pivot_pairs(lists, low, high, num, den, known), labels, num, den)
-        found = _overlaps(more, sets).where(linked).select("a", "b")
-        links = materialize(links.unionByName(derived).unionByName(found).distinct(), "join")
+        # lists within one component have nothing left to tell
+        labels = components(links).withColumnRenamed("node", "sid")
+        own = materialize(lists.join(labels, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "join")
+        mixed = own.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size"))
+        mixed = materialize(mixed.where((F.col("least") != F.col("most")) & (F.col("size") > low)), "join")
+        longest = mixed.agg(F.max("size").alias("m")).first()["m"] or 0
+        if not longest:
+            break
+        lists = materialize(own.join(mixed.select("token"), "token", "left_semi"), "join")
+        found = materialize(_pivot_pairs(lists, low, high, num, den, known), "join")
+        lists = lists.drop("component")
+        more = _overlaps(found.where(F.col("open") & ~F.col("sure")).select("a", "b"), sets).where(linked).select("a", "b")
+        links = materialize(links.unionByName(found.where("sure").select("a", "b")).unionByName(more).distinct(), "join")
         low = high
     return _members(sizes, classes, links)
 
 
 def _pivot_pairs(lists: DataFrame, low: int, high: int, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of each long list's pivots from rank ``low`` to ``high`` with its later members.
+    """Pairs (a, b) of each long list's pivots from rank ``low`` to ``high`` with its later members of other components.
 
-    With ``known``, the overlaps of both with the list's first pivot come along.
+    With ``known`` (overlaps with first pivots), a pair is ``sure`` if they
+    prove its link, and not ``open`` if they rule it out.
     """
     nth = F.row_number().over(Window.partitionBy("token").orderBy("sid"))
-    ranked = lists.withColumn("nth", nth).where(F.col("nth") <= high).select("token", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("position").alias("i"), "nth")
+    ranked = lists.withColumn("nth", nth).where(F.col("nth") <= high)
+    ranked = ranked.select("token", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("position").alias("i"), F.col("component").alias("c_a"), "nth")
     pivots = ranked.where(F.col("nth") > low)
-    own = lists.select("token", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("position").alias("j"))
+    own = lists.select("token", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("position").alias("j"), F.col("component").alias("c_b"))
     room = 1 + F.least(F.col("n_a") - F.col("i") - 1, F.col("n_b") - F.col("j") - 1)
     need = F.ceil(num * (F.col("n_a") + F.col("n_b")) / (num + den))
-    fits = (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (room >= need)
+    fits = (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (room >= need) & (F.col("c_a") != F.col("c_b"))
     if known is not None:
         first = ranked.where(F.col("nth") == 1).select("token", F.col("a").alias("pivot"))
-        known = known.withColumnRenamed("sid", "of")
         pivots = _with_known(pivots.join(first, "token"), known, "a")
-        own = _with_known(own.join(first.withColumnRenamed("pivot", "p"), "token").withColumnRenamed("p", "pivot"), known, "b").drop("pivot", "n_pivot_b")
+        own = _with_known(own.join(first, "token"), known, "b").drop("pivot", "n_pivot_b")
     pairs = pivots.join(own, "token").where((F.col("a") < F.col("b")) & fits)
     if known is None:
         return pairs.select("a", "b").distinct()
@@ -327,19 +367,10 @@ def _pivot_pairs(lists: DataFrame, low: int, high: int, num: int, den: int, know
 
 
 def _with_known(rows: DataFrame, known: DataFrame, side: str) -> DataFrame:
-    have = known.select(F.col("pivot").alias("kp"), F.col("of").alias("ks"), F.col("n_pivot").alias(f"n_pivot_{side}"), F.col("overlap").alias(f"overlap_{side}"))
+    have = known.select(F.col("pivot").alias("kp"), F.col("sid").alias("ks"), F.col("n_pivot").alias(f"n_pivot_{side}"), F.col("overlap").alias(f"overlap_{side}"))
     return rows.join(have, (F.col("pivot") == F.col("kp")) & (F.col(side) == F.col("ks")), "left").drop("kp", "ks")
 
 
-def _skipped(pairs: DataFrame, labels: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs still to compare, links that follow from known overlaps): pairs of one component need nothing."""
-    for side in ("a", "b"):
-        own = labels.select(F.col("node").alias("at"), F.col("component").alias(f"c_{side}"))
-        pairs = pairs.join(own, F.col(side) == F.col("at"), "left").drop("at").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-    pairs = materialize(pairs.where(F.col("c_a") != F.col("c_b")).select("a", "b", "sure", "open"), "join")
-    return pairs.where(F.col("open") & ~F.col("sure")).select("a", "b"), pairs.where("sure").select("a", "b")
-
-
 def _members(sizes: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     """One row per document, from its class's component."""
     node = classes.select("sid", F.col("rep"))
