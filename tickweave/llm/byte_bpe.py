@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm.exchange import by_group
+from tickweave.llm.textops import pack_bytes, unpack_bytes
 from tickweave.session import ship_package
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
@@ -149,9 +150,9 @@ def _word_requests(pattern_text: str, buckets: int):
             for b in some.tolist():
                 at = order[cuts[b]:cuts[b + 1]]
                 mine = [raw[i] for i in at.tolist()]
-                out[0].append(at.astype(np.uint32).tobytes())
-                out[1].append(np.fromiter(map(len, mine), np.uint32, len(mine)).tobytes())
-                out[2].append(b"".join(mine))
+                out[0].append(pack_bytes(at.astype(np.uint32), ascending=True))
+                out[1].append(pack_bytes(np.fromiter(map(len, mine), np.uint32, len(mine))))
+                out[2].append(pack_bytes(np.frombuffer(b"".join(mine), np.uint8)))
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), chunk.number)), *[pa.array(o, pa.binary()) for o in out]],
                                              names=["bucket", "chunk", "numbers", "sizes", "words"])
     return run
@@ -194,8 +195,8 @@ def _encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str, id_c
         ranks, known = vocabulary.value, {}
         for batch in table.to_batches():
             for chunk, numbers, sizes, words in zip(batch.column("chunk").to_pylist(), batch.column("numbers"), batch.column("sizes"), batch.column("words")):
-                raw = words.as_py()
-                ends = np.cumsum(np.frombuffer(sizes.as_buffer(), np.uint32), dtype=np.int64).tolist()
+                raw = unpack_bytes(words.as_py(), np.uint8).tobytes()
+                ends = np.cumsum(unpack_bytes(sizes.as_py(), np.uint32), dtype=np.int64).tolist()
                 found = []
                 for i, j in zip([0, *ends], ends):
                     word = raw[i:j]
@@ -206,7 +207,7 @@ def _encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str, id_c
                 flat = np.fromiter((x for ids in found for x in ids), np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk]), pa.array([0], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([numbers.as_py()], pa.binary()),
-                     pa.array([np.fromiter(map(len, found), np.uint32, len(found)).tobytes()], pa.binary()), pa.array([flat.tobytes()], pa.binary())],
+                     pa.array([pack_bytes(np.fromiter(map(len, found), np.uint32, len(found)))], pa.binary()), pa.array([pack_bytes(flat)], pa.binary())],
                     names=["chunk", "kind", "doc_id", "n_bytes", "positions", "counts", "ids"])
 
     shape = "chunk long, kind int, doc_id long, n_bytes long, positions binary, counts binary, ids binary"
@@ -221,9 +222,9 @@ def _encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str, id_c
             out: list[list] = [[], [], [], []]
             for kind, doc_id, size, positions, counts, ids in zip(*[batch.column(c) for c in ("kind", "doc_id", "n_bytes", "positions", "counts", "ids")]):
                 if kind.as_py() == 0:
-                    ends = np.cumsum(np.frombuffer(counts.as_buffer(), np.uint32), dtype=np.int64).tolist()
-                    flat = np.frombuffer(ids.as_buffer(), np.uint32).tolist()
-                    names.update(zip(np.frombuffer(positions.as_buffer(), np.uint32).tolist(), (flat[i:j] for i, j in zip([0, *ends], ends))))
+                    ends = np.cumsum(unpack_bytes(counts.as_py(), np.uint32), dtype=np.int64).tolist()
+                    flat = unpack_bytes(ids.as_py(), np.uint32).tolist()
+                    names.update(zip(unpack_bytes(positions.as_py(), np.uint32, True).tolist(), (flat[i:j] for i, j in zip([0, *ends], ends))))
                     continue
                 if done is None:
                     order = range(len(names))

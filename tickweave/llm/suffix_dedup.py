@@ -42,8 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tickweave.llm.exchange import by_group
-from tickweave.llm.textops import column_bytes, mix, powers, prefix_hash, row_of, row_sums, slices, span_hash
+from tickweave.llm.exchange import by_group, give_back
+from tickweave.llm.textops import column_bytes, mix, pack_bytes, powers, prefix_hash, row_of, row_sums, slices, span_hash, unpack_bytes
 from tickweave.session import ship_package
 
 LENGTH = 50
@@ -59,21 +59,6 @@ LAST_ID = (1 << 63) - 1
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def pack_bytes(values: np.ndarray, ascending: bool = False) -> bytes:
-    """Numbers as compressed byte planes; ascending ones as differences."""
-    if ascending and len(values):
-        values = np.concatenate((values[:1], values[1:] - values[:-1]))
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
-    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
-
-
-def unpack_bytes(blob: bytes, kind, ascending: bool = False) -> np.ndarray:
-    n, width = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(blob[8:], n * width, "zstd", asbytes=True), np.uint8)
-    values = np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
-    return np.cumsum(values, dtype=kind) if ascending and n else values
-
-
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, low, high, name, stretch): strings starting at low..high share an anchor, whose name is a 64-bit hash."""
     out: list[tuple] = []
@@ -205,6 +190,7 @@ def _numbered(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple
         for i, j in slices(offsets, CHUNK):
             yield number, batch.slice(i, j - i)
             number += 1
+    give_back()
 
 
 def _chunk(rows: pa.RecordBatch, id_at: int, text_at: int) -> Chunk:
