@@ -146,7 +146,7 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def nearest(table: DataFrame, k: int = 20, is_query=lambda i: i % 20 == 0, n_trees: int = 16, leaf_rows: int = 256,
-            sample_rows: int = 20_000, search_share: float = 0.55, search_least: int = 4_000, seed: int = 7,
+            sample_rows: int = 20_000, search_share: float = 0.6, search_least: int = 4_000, seed: int = 7,
             id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's ``k`` nearest found by inner product."""
     spark = table.sparkSession

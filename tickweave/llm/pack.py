@@ -19,18 +19,22 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickweave.llm.exchange import give_back
 from tickweave.session import materialize, ship_package
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
-#: Distinct words whose ids a Python worker keeps before it starts anew; bounds memory, not results.
-WORD_TABLE_LIMIT = 1_200_000
+#: Distinct words whose ids a task keeps, and those that its worker keeps for the next task (the
+#: first ones met, so the frequent ones); they bound memory, not results.
+WORD_TABLE_LIMIT = 800_000
+WORDS_KEPT = 50_000
 #: Words encoded in one call.
 WORDS_AT_ONCE = 2_000
 #: A run of sentence marks that ends a word after a letter or digit is a piece of its own
@@ -93,13 +97,18 @@ class WordTable:
             if rest := [w for w, t in texts if not t.isalpha()]:
                 self._alone(rest)
 
+    def trim(self) -> None:
+        """Keep the words met first."""
+        if len(self.known) > WORDS_KEPT:
+            self.known = dict(islice(self.known.items(), WORDS_KEPT))
+
     def ids(self, text: bytes) -> bytes:
         """The ids of a text, its white space as the six ASCII characters or inside words."""
         words = text.lower().split()
         parts = [*map(self.known.get, words)]
         if None in parts:
             if len(self.known) > WORD_TABLE_LIMIT:
-                self.known.clear()
+                self.trim()
             self._learn(dict.fromkeys(words))
             parts = map(self.known.__getitem__, words)
         return b"".join(parts)
@@ -134,6 +143,8 @@ def _token_rows(tokenizer_file: str, end_id: int, id_type: str):
                  pa.array(np.full(len(n), task, np.int32))],
                 names=["doc_id", "ids", "n", "local_start", "task"])
             start = int(ends[-1]) if len(n) else start
+        table.trim()
+        give_back()
     return run
 
 
