@@ -197,6 +197,29 @@ def test_join_of_a_large_group(spark, monkeypatch):
     assert sorted(kept) == sorted({c for _, _, c in joined(pairs, 3, 90, 100)})
 
 
+@pytest.mark.parametrize("block", [512, 40])
+def test_join_counts_all_links(spark, monkeypatch, block):
+    """Groups over and under the length of a short list, single texts, and repeated rows and texts."""
+    import random
+    rng = random.Random(11)
+    pairs = []
+    for size in (150, 40, 3, 1, 1):
+        body = [f"w{rng.randrange(10_000)}" for _ in range(60)]
+        for _ in range(size):
+            own = list(body)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                own[rng.randrange(60)] = f"x{rng.randrange(50)}"
+            pairs.append((len(pairs), " ".join(own)))
+    pairs += [*pairs[5:8], *pairs[152:154], (900, pairs[6][1]), (901, pairs[153][1])]
+    sets = {i: shingles(t, 3) for i, t in pairs}
+    classes = set(sets.values())
+    want = {i: sum(100 * len(x & y) >= 90 * len(x | y) for y in classes if y != x) for i, x in sets.items()}
+    assert max(want.values()) > 64
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", block)
+    out = rows_of(ngram_join.link_classes(spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)))
+    assert len(out) == len(pairs) and all(r["n_links"] == want[r["doc_id"]] for r in out)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (7, 200), (5, 5)]
     out = {r["node"]: r["component"] for r in rows_of(components.components(spark.createDataFrame(edges, "a long, b long")))}

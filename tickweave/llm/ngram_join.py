@@ -15,6 +15,9 @@ of the other sets follow without comparing them: x and y overlap in at least
 min(|x|-|x∩q|, |y|-|y∩q|).  Pairs that are already in one component are not
 compared either; all others are, so no link between different groups is lost.
 
+Links are counted whole: where both sets of a pair are in long lists, the sets
+of a component are dealt to blocks, and each two blocks are compared in full.
+
 Defined results: a text without words (or null) has no shingles and links with
 nothing; fewer words than ``k`` are one shingle; repeated rows have equal sets
 and so one component; a null id never names a component unless all ids of a
@@ -45,6 +48,10 @@ FILTER_BITS = 1 << 25
 SHORT_LIST = 64
 #: Sets of one comparison group at most, on average.
 GROUP_SETS = 256
+#: Sets of a counting block, and members of all its sets, at most on average.
+BLOCK_SETS, BLOCK_MEMBERS = 512, 1 << 20
+#: Shingles that two blocks are compared on at a time.
+BLOCK_COLUMNS = 4096
 #: Pivots of long lists by round; the last round takes what is left.
 PIVOTS = (1, 16, 256)
 
@@ -238,21 +245,69 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         if held in (0, len(members)):
             return
         mine = np.frombuffer(members[0].as_buffer(), np.uint64)
-        others = [np.frombuffer(members[i].as_buffer(), np.uint64) for i in range(held, len(members))]
+        b, once = np.unique(table.column("b").slice(held).to_numpy(), return_index=True)  # copies of the others
+        others = [np.frombuffer(members[held + i].as_buffer(), np.uint64) for i in once.tolist()]
         size = np.array([len(o) for o in others])
         flat = np.concatenate(others)
         at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
         both = row_sums(mine[at] == flat, np.concatenate(([0], np.cumsum(size))))
         n = len(others)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[0])), table.column("b").combine_chunks().slice(held), pa.array(np.full(n, len(mine))), pa.array(size), pa.array(both)],
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[0])), pa.array(b), pa.array(np.full(n, len(mine))), pa.array(size), pa.array(both)],
                                          names=["a", "b", "n_a", "n_b", "overlap"])
 
     return by_group(held.unionByName(asked), ["a", "part"], ["kind"], compare, "a long, b long, n_a long, n_b long, overlap long")
 
 
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Members that each of the ``left`` sets shares with each other set of the ``right`` ones."""
+    both = np.zeros((len(left), len(right)), np.int64)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    token, at = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.bincount(at, minlength=len(token)) > 1
+    keep = shared[at]
+    owner, at = owner[keep], (np.cumsum(shared) - 1)[at[keep]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for low in range(0, int(shared.sum()), BLOCK_COLUMNS):
+        i, j = np.searchsorted(at, (low, low + BLOCK_COLUMNS))
+        has = np.zeros((len(sets), BLOCK_COLUMNS), np.float32)
+        has[owner[i:j], at[i:j] - low] = 1
+        both += (has[left] @ has[right].T).astype(np.int64)  # whole numbers up to BLOCK_COLUMNS are exact
+    return both
+
+
+def _block_links(dealt: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(sid, n_links): links of each set of (sid, component, n) with the others of its component there."""
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("parts")
+    large = dealt.groupBy("component").agg(parts).where(F.col("parts") > 1)
+    # a row for BLOCK_SETS sets, or BLOCK_MEMBERS members, of the input at most
+    dealt = dealt.join(F.broadcast(large), "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")).drop("n")
+    rows = dealt.join(sets.hint("merge"), "sid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "members")
+
+    def count(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        sid, once = np.unique(table.column("sid").to_numpy(), return_index=True)  # copies of a set came along
+        block = table.column("block").to_numpy()[once]
+        sets = [np.frombuffer(table.column("members")[i].as_buffer(), np.uint64) for i in once.tolist()]
+        size = np.array([len(s) for s in sets], np.int64)
+        _, i, j = key
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        linked = _common(sets, left, right) >= _needed(size[left][:, None], size[right], num, den)
+        n_links = np.zeros(len(sid), np.int64)
+        if i == j:
+            np.fill_diagonal(linked, False)
+            n_links[left] = linked.sum(axis=1)
+        else:
+            n_links[left], n_links[right] = linked.sum(axis=1), linked.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array(n_links)], names=["sid", "n_links"])
+
+    return by_group(rows, ["component", "i", "j"], [], count, "sid long, n_links long").groupBy("sid").agg(F.sum("n_links").alias("n_links"))
+
+
 def link_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, n_links, component_id): links are counted between different sets."""
-    return _linked(docs, k, num, den, text_col, id_col).drop("digest", "group")
+    return _linked(docs, k, num, den, text_col, id_col, count=True).drop("digest", "group")
 
 
 def keep_one(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -260,7 +315,7 @@ def keep_one(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text_co
 
     Texts without words all stay.  Rows equal in id and text are one document.
     """
-    linked = materialize(_linked(docs, k, num, den, text_col, id_col), "join")
+    linked = materialize(_linked(docs, k, num, den, text_col, id_col, count=False), "join")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("first")
     chosen = linked.where(F.col("group").isNotNull()).groupBy("group").agg(first).select("first.doc_id", "first.digest")
     chosen = chosen.unionByName(linked.where(F.col("group").isNull()).select("doc_id", "digest"))
@@ -276,8 +331,8 @@ def _digest(text_col: str):
     return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("digest")
 
 
-def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col: str) -> DataFrame:
-    """One row per document, with its digest, its component's least set id as ``group`` (null without words), and its id."""
+def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col: str, count: bool) -> DataFrame:
+    """One row per document, with its digest, its component's least set id as ``group`` (null without words), its id, and with ``count`` its links."""
     spark = docs.sparkSession
     ship_package(spark)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
@@ -287,7 +342,7 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
     sketch = spark.sparkContext.broadcast(counts)  # SKETCH counters
     sizes = measured.where(F.col("piece").isNull()).select("doc_id", "digest", "n", "sid", "check")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("least")
-    classes = sizes.where(F.col("n") > 0).groupBy("sid", "check").agg(least).select("sid", "check", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("rep_digest"))
+    classes = sizes.where(F.col("n") > 0).groupBy("sid", "check", "n").agg(least).select("sid", "check", "n", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("rep_digest"))
     classes = materialize(classes, "join")
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -296,6 +351,7 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
     scanned = materialize(scanned, "join")
     pairs = scanned.where(F.col("token").isNull()).select("a", "b").distinct()
     lists = scanned.where(F.col("token").isNotNull()).select("token", F.col("a").alias("sid"), "n", "position")
+    in_long = lists.select(F.col("sid").alias("long_sid")).distinct()
 
     # the sets to compare, from one document of each class
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(lists.select("sid")).distinct()
@@ -336,7 +392,9 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
         more = _overlaps(found.where(F.col("open") & ~F.col("sure")).select("a", "b"), sets).where(linked).select("a", "b")
         links = materialize(links.unionByName(found.where("sure").select("a", "b")).unionByName(more).distinct(), "join")
         low = high
-    return _members(sizes, classes, links)
+    links = materialize(links, "join")
+    label = materialize(classes.select("sid", "n", "rep").join(components(links).withColumnRenamed("node", "sid"), "sid").select("sid", "component", "rep", "n"), "join")
+    return _members(sizes, classes, label, _counted(label, links, in_long, sets, num, den) if count else None)
 
 
 def _pivot_pairs(lists: DataFrame, low: int, high: int, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
@@ -371,14 +429,22 @@ def _with_known(rows: DataFrame, known: DataFrame, side: str) -> DataFrame:
     return rows.join(have, (F.col("pivot") == F.col("kp")) & (F.col(side) == F.col("ks")), "left").drop("kp", "ks")
 
 
-def _members(sizes: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _counted(label: DataFrame, links: DataFrame, in_long: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(sid, n_links) from all links: those found, but by blocks where both sets are in long lists, as not all of these pairs were compared."""
+    in_long = materialize(in_long, "join")
+    a_long, b_long = in_long.withColumnRenamed("long_sid", "a_long"), in_long.withColumnRenamed("long_sid", "b_long")
+    found = links.join(a_long, F.col("a") == F.col("a_long"), "left").join(b_long, F.col("b") == F.col("b_long"), "left")
+    found = found.where(F.col("a_long").isNull() | F.col("b_long").isNull())
+    found = found.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
+    dealt = label.join(in_long, F.col("sid") == F.col("long_sid"), "left_semi").select("sid", "component", "n")
+    return found.unionByName(_block_links(materialize(dealt, "join"), sets, num, den)).groupBy("sid").agg(F.sum("n_links").alias("n_links"))
+
+
+def _members(sizes: DataFrame, classes: DataFrame, label: DataFrame, degree: DataFrame | None) -> DataFrame:
     """One row per document, from its class's component."""
-    node = classes.select("sid", F.col("rep"))
-    labels = components(links).withColumnRenamed("node", "sid")
-    label = materialize(node.join(labels, "sid").select("sid", "component", "rep"), "join")
     least = label.groupBy("component").agg(F.min("rep").alias("component_id"))
-    degree = links.select(F.col("a").alias("sid")).unionByName(links.select(F.col("b").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
-    owner = classes.select("sid", "check", "rep").join(label.join(least, "component").select("sid", "component", "component_id"), "sid", "left").join(degree, "sid", "left")
+    owner = classes.select("sid", "check", "rep").join(label.join(least, "component").select("sid", "component", "component_id"), "sid", "left")
+    owner = owner.join(degree, "sid", "left") if degree is not None else owner.withColumn("n_links", F.lit(None).cast("long"))
     owner = owner.select(F.col("sid").alias("s"), F.col("check").alias("c"), F.coalesce("component", "sid").alias("group"), F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = sizes.join(owner, (F.col("n") > 0) & (F.col("sid") == F.col("s")) & (F.col("check") == F.col("c")), "left")
     return out.select("doc_id", "digest", "group", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
