@@ -226,6 +226,26 @@ def test_components_of_a_long_chain(spark):
     assert all(out[i] == 0 for i in [*range(61), 200]) and out[101] == out[100] == 100
 
 
+def test_components_in_star_rounds(spark, monkeypatch, tmp_path):
+    """With many tasks: a hub, a chain over all tasks and small groups; no task gets a hub's edges alone."""
+    contract, folder = components._contract, str(tmp_path)
+
+    def counted(batches):
+        import os
+        import uuid
+        batches = list(batches)
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(str(sum(b.num_rows for b in batches)))
+        yield from contract(iter(batches))
+
+    monkeypatch.setattr(components, "_contract", counted)
+    monkeypatch.setattr(components, "EDGES_PER_TASK", 100)
+    edges = [(0, i) for i in range(1, 600)] + [(i, i + 1) for i in range(1000, 1100)] + [(i, i + 1) for i in range(2000, 2200, 2)]
+    out = {r["node"]: r["component"] for r in rows_of(components.components(spark.createDataFrame(edges, "a long, b long")))}
+    assert out == {i: 0 if i < 600 else 1000 if i < 2000 else i - i % 2 for e in edges for i in e}
+    assert max(int(f.read_text()) for f in tmp_path.iterdir()) <= 200
+
+
 def test_keep_one_keeps_wordless_and_one_of_each(spark, odd):
     kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows_of(ngram_join.keep_one(odd)))
     ids = [i for null, i in kept if not null]

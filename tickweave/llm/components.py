@@ -43,7 +43,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of ``edges`` (a, b) reaches.
 
-    Each task first replaces its edges by stars.  If one task held all edges
+    Edges are dealt evenly, whatever their nodes, and each task first replaces its edges by stars.  If one task held all edges
     (``EDGES_PER_TASK``), the stars are the components.  Otherwise rounds hang
     neighbours to their least neighbour, first those above a node, then those
     below, until the edges stay as they are; minima are taken with partial
@@ -54,7 +54,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.where(F.col("u").isNotNull() & F.col("v").isNotNull()), "components")
     tasks = -(-edges.count() // EDGES_PER_TASK)
     loops = edges.where(F.col("u") == F.col("v")).select(F.col("u").alias("node"), F.col("v").alias("component"))
-    dealt = edges.coalesce(1) if tasks <= 1 else edges.repartition(tasks, "v")
+    dealt = edges.coalesce(1) if tasks <= 1 else edges.repartition(tasks)
     edges = materialize(dealt.where(F.col("u") != F.col("v")).mapInArrow(_contract, "u long, v long"), "components")
     mark = None
     while tasks > 1:
