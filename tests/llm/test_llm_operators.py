@@ -401,6 +401,24 @@ def test_language_parse_equals_greedy_parse():
         assert np.rint(costs[row] * n / parser.bits).astype(int).tolist() == want
 
 
+def test_language_learns_from_texts_of_any_length(spark):
+    """Whole documents in hash order until the characters are reached: long ones, short ones, and some without letters."""
+    import random
+    rng = random.Random(4)
+
+    def say(letters, words):
+        return " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(words))
+    rows = [(i, say("abcdef", 4_000), "long") for i in range(4)] + [(100 + i, say("ghijkl", 8), "short") for i in range(600)]
+    rows += [(1000 + i, "12 34 " * 50, "long") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    seen = langid.taught(docs, "text", "lang", "doc_id", 10_000)
+    assert {lang: sum(map(len, some)) for lang, some in seen.items()} == {"long": 10_000, "short": 10_000}
+    whole = {" ".join(t.split()) for _, t, lang in rows if lang == "short"}
+    assert len(seen["long"]) == 1 and set(seen["short"][:-1]) <= whole and len(seen["short"]) > 200
+    assert langid.taught(docs.repartition(1), "text", "lang", "doc_id", 10_000) == seen
+    assert all(r["lang_pred"] == ("long" if r["doc_id"] < 100 else "short") for r in rows_of(langid.identify(docs.where("doc_id < 1000"), docs, 10_000)))
+
+
 def test_language_odd_rows(odd, empty):
     out = rows_of(langid.identify(odd, odd.where("doc_id < 3")))
     by = {r["doc_id"]: r for r in out}

@@ -7,9 +7,11 @@ cross-entropy.  The language with the least estimate wins (ties: the lesser
 name).
 
 Texts are lower-cased; runs of non-letters become one space.  The automata
-learn from whole labelled documents, taken in hash order until a language's
-text reaches ``chars_per_language`` characters, which also bounds the tables
-that are sent to the tasks.  A text is parsed whole, in stretches of
+learn from labelled documents of any length, taken whole in hash order until a
+language's text reaches ``chars_per_language`` characters (letters, and
+one space for each run of others); the last one is cut there, which bounds
+the tables that are sent to the tasks.  Texts without a letter teach nothing.  A
+text is parsed whole, in stretches of
 ``STRETCH`` symbols side by side; a phrase ends at a stretch's end.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
@@ -171,20 +173,57 @@ class Parser:
         return total * self.bits / sizes[:, None]
 
 
-def learn(labelled: DataFrame, text_col: str, label_col: str, id_col: str, chars_per_language: int) -> Parser:
-    """Automata from whole labelled documents in hash order; the driver gets a bounded text per language."""
-    rows = labelled.select(F.col(f"`{label_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h"))
-    size = F.length("text")
-    rows = rows.where(F.col("lang").isNotNull() & (size > 0) & (size <= chars_per_language // 4))
-    # 64 rows a language at most leave a task, by the window's group limit; then as many as the characters allow
-    nth = Window.partitionBy("lang").orderBy("h", "text")
-    some = rows.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= 64)
-    before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    some = some.withColumn("upto", before).where(F.col("upto") <= chars_per_language)
+def _first_texts(chars: int):
+    """Task function: by language, the task's first texts in hash order until they reach ``chars`` characters, as the learner sees them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letter = is_letter()
+        held: dict[str, list[tuple[int, int, str, bool]]] = {}
+        for batch in batches:
+            by: dict[str, list[tuple[int, int, str, bool]]] = {}
+            for lang, text, h, digest in zip(*(c.to_pylist() for c in batch.columns)):
+                by.setdefault(lang, []).append((h, digest, text, False))
+            for lang, rows in by.items():
+                kept, upto = [], 0
+                # what has this many characters before it here has them before it in the whole table
+                for h, digest, text, plain in sorted(held.get(lang, []) + rows):
+                    if upto >= chars:
+                        break
+                    text = text if plain else _plain(text, letter)[:chars]
+                    if text:
+                        kept.append((h, digest, text, True))
+                        upto += len(text)
+                held[lang] = kept
+        for lang, rows in held.items():
+            h, digest, text, _ = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array(text, pa.string()), pa.array(h, pa.int64()), pa.array(digest, pa.int64())], names=["lang", "text", "h", "digest"])
+    return run
+
+
+def _plain(text: str, letter: np.ndarray) -> str:
+    """The lower-cased letters, one space for each run of anything else, none at the ends."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return " ".join(np.where(letter[points], points, 32).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").split())
+
+
+def taught(labelled: DataFrame, text_col: str, label_col: str, id_col: str, chars_per_language: int) -> dict[str, list[str]]:
+    """The texts of each language that its automaton learns from: ``chars_per_language`` characters, or all there are."""
+    ship_package(labelled.sparkSession)
+    h = F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h")
+    rows = labelled.select(F.col(f"`{label_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), h, F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("digest"))
+    rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0))
+    rows = rows.mapInArrow(_first_texts(chars_per_language), "lang string, text string, h long, digest long")
+    turn = Window.partitionBy("lang").orderBy("h", "digest", "text")
+    before = F.sum(F.length("text")).over(turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.length("text")
+    rows = rows.withColumn("before", before).where(F.col("before") < chars_per_language)
     texts: dict[str, list[str]] = {}
-    for r in some.orderBy("lang", "nth").select("lang", "text").collect():
-        texts.setdefault(r["lang"], []).append(r["text"])
-    return Parser(texts)
+    for r in rows.orderBy("lang", "h", "digest", "text").collect():
+        texts.setdefault(r["lang"], []).append(r["text"][:chars_per_language - r["before"]])
+    return texts
+
+
+def learn(labelled: DataFrame, text_col: str, label_col: str, id_col: str, chars_per_language: int) -> Parser:
+    """Automata from labelled documents in hash order; the driver gets a bounded text per language."""
+    return Parser(taught(labelled, text_col, label_col, id_col, chars_per_language))
 
 
 def _answers(model):
