@@ -1,4 +1,9 @@
-"""Repeated-substring removal by distributed prefix doubling.
+"""Repeated-substring removal by anchor fingerprints.
+
+This replaces prefix doubling: there is no sort of (rank at i, rank at i+h)
+pairs with growing offsets.  Anchors (the least hash of the windows of a string)
+are fingerprinted instead, as ranking every position would shuffle many times
+the input (see the README).
 
 Every byte that a ``LENGTH``-byte string covers is removed if that string also
 starts in a document with a smaller id.  Positions are ranked by the string
