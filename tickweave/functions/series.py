@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HELPERS = ("_rn",)
-# largest exponent (natural log) of the local EWM weights: e^300 squared is still
-# far from the double limit (e^709)
-_EXP_LIMIT = 300.0
+#: An EWM block holds so many rows that what lies before the preceding block weighs less than e^-45 of a
+#: block's own rows, and at most eight times as many, so that the weights within it stay below e^360.
+_LEAST_DECAY = 45.0
+_BLOCK_BASE = 8
 
 
 def _keys(keys) -> list[str]:
@@ -76,6 +77,23 @@ def ewm_mean(df: DataFrame, col: str, span: float, out: str,
     return ewm_many(df, [(col, span, out)], keys, order)
 
 
+def ewm_block(span: float) -> int:
+    """Rows of an EWM block: the least power of eight over which a weight falls by e^-45.
+
+    Spans of like size share a length (60, 130 and 45 all take 4,096 rows), and
+    with it one sort order and one set of window operators.
+    """
+    rows = 1
+    while rows * decay(span) < _LEAST_DECAY:
+        rows *= _BLOCK_BASE
+    return rows
+
+
+def decay(span: float) -> float:
+    """-log of the weight that a value loses a row."""
+    return -math.log1p(-2.0 / (span + 1.0))
+
+
 def ewm_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
              keys: Sequence[str] | str = ("code",), order: str = "date") -> DataFrame:
     """Several exponentially weighted means ``(col, span, out)`` over one numbering.
@@ -83,62 +101,49 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     y_t = sum_{i<=t} q^(t-i) x_i / sum_{i<=t, x_i valid} q^(t-i), q = 1 - 2/(span+1).
 
     Running sums with weights q^-j would overflow on a long series, so positions
-    are cut into blocks of as many rows as the weights allow (6,900 at span 45).
-    At its end a block leaves (mean, log of the weight sum); a row folds the
-    states of earlier blocks and adds its own block's running sums.  Means are
-    carried through any run of missing values, as pandas carries them.  The
-    blocks stay inside the security's window partition: no exchange, no join.
+    are cut into blocks (``ewm_block``).  A row with a value adds its own block's
+    running sums to the sums of the block before; beside the value itself,
+    everything older is below the rounding of a double.  A row without a value
+    takes the mean of the last row that has one, as pandas carries it through
+    any run of missing values.  A row holds two numbers a block, whatever the
+    length of the series, and the blocks stay inside the security's window
+    partition: no exchange, no join.
     """
     keys = _keys(keys)
-    span_of = {}
     for _, span, _ in specs:
         if span < 1:
             raise ValueError(f"span {span} must be at least 1")
-        if span > 1:
-            lnq = -math.log1p(-2.0 / (span + 1.0))
-            span_of[span] = (lnq, max(1, int(_EXP_LIMIT / lnq)))
-    whole = series_window(keys, order)
-    before = whole.rowsBetween(Window.unboundedPreceding, -1)
-    t = F.col("_rn").cast("bigint")
-    temporary, finals = [], []
+    out = df
+    for rows in sorted({ewm_block(span) for _, span, _ in specs if span > 1}):
+        out = _ewm_blocks(out, [s for s in specs if s[1] > 1 and ewm_block(s[1]) == rows], rows, keys, order)
+    last = series_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    ones = {name: F.last(F.col(col).cast("double"), ignorenulls=True).over(last) for col, span, name in specs if span == 1}
+    out = out.withColumns(ones) if ones else out
+    return out.select(*df.columns, *[name for _, _, name in specs if name not in df.columns])
+
+
+def _ewm_blocks(df: DataFrame, specs: Sequence[tuple[str, float, str]], rows: int, keys: list[str], order: str) -> DataFrame:
+    """The means of specs that share one block length."""
+    block = f"_block{rows}"
+    df = df.withColumn(block, F.expr(f"_rn DIV {rows}"))
+    j = (F.col("_rn") - F.col(block) * rows).cast("double")
+    # one sort order (keys, block, order) serves all three windows
+    own = Window.partitionBy(*keys, block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy(block).rangeBetween(-1, -1)
+    whole = Window.partitionBy(*keys).orderBy(block, order).rowsBetween(Window.unboundedPreceding, 0)
+    sums, old, means = {}, {}, {}
     for i, (col, span, out) in enumerate(specs):
-        x = F.col(col).cast("double")
-        if span == 1:
-            finals.append(F.last(x, ignorenulls=True).over(whole.rowsBetween(Window.unboundedPreceding, 0)).alias(out))
-            continue
-        lnq, rows = span_of[span]
-        block, num, den, states = (f"_e{i}{s}" for s in ("k", "n", "d", "s"))
-        df = df.withColumn(block, F.expr(f"_rn DIV {rows}"))
-        j = (t - F.col(block) * rows).cast("double")
-        inside = Window.partitionBy(*keys, block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        up, down = F.exp(j * lnq), F.exp(-j * lnq)
-        df = df.withColumns({num: down * F.coalesce(F.sum(F.when(x.isNotNull(), x * up)).over(inside), F.lit(0.0)),
-                             den: down * F.coalesce(F.sum(F.when(x.isNotNull(), up)).over(inside), F.lit(0.0))})
-        # what the last row of a block leaves, at its own position
-        last_row = F.lead(block).over(whole) != F.col(block)
-        state = F.struct((F.col(num) / F.nullif(F.col(den), F.lit(0.0))).alias("mean"), F.log(F.nullif(F.col(den), F.lit(0.0))).alias("weight"), t.alias("at"))
-        df = df.withColumn(states, F.collect_list(F.when(last_row & (F.col(den) > 0), state)).over(before))
-
-        kind = "struct<mean:double,weight:double,at:bigint>"
-        carried = F.aggregate(F.col(states), F.lit(None).cast(kind), _fold(lnq))
-        df = df.withColumn(states, carried)
-        c = F.col(states)
-        weight = F.exp(c["weight"] - (t - c["at"]).cast("double") * lnq)
-        temporary += [block, num, den, states]
-        finals.append(F.when(c.isNull(), F.col(num) / F.nullif(F.col(den), F.lit(0.0)))
-                       .when(F.col(den) == 0, c["mean"])
-                       .otherwise((F.col(num) + c["mean"] * weight) / (F.col(den) + weight)).alias(out))
-    return df.select("*", *finals).drop(*temporary)
-
-
-def _fold(lnq: float):
-    """Combine the state of earlier blocks with that of the next one."""
-    def merge(acc, s):
-        ratio = F.exp(acc["weight"] - (s["at"] - acc["at"]).cast("double") * lnq - s["weight"])
-        both = F.struct(((s["mean"] + acc["mean"] * ratio) / (1.0 + ratio)).alias("mean"),
-                        (s["weight"] + F.log1p(ratio)).alias("weight"), s["at"].alias("at"))
-        return F.when(acc.isNull(), s).otherwise(both)
-    return merge
+        lnq, x = decay(span), F.col(col).cast("double")
+        up, from_end = F.exp(j * lnq), F.exp((j - (rows - 1)) * lnq)
+        there = x.isNotNull()
+        sums |= {f"_n{i}": F.sum(F.when(there, x * up)).over(own), f"_d{i}": F.sum(F.when(there, up)).over(own)}
+        old |= {f"_m{i}": F.sum(F.when(there, x * from_end)).over(before), f"_w{i}": F.sum(F.when(there, from_end)).over(before)}
+        down, past = F.exp(-j * lnq), F.exp(-(j + 1) * lnq)
+        num = F.col(f"_n{i}") * down + F.coalesce(F.col(f"_m{i}") * past, F.lit(0.0))
+        den = F.col(f"_d{i}") * down + F.coalesce(F.col(f"_w{i}") * past, F.lit(0.0))
+        means[out] = F.last(F.when(there, num / den), ignorenulls=True).over(whole)
+    df = df.withColumns(sums).withColumns(old)
+    return df.withColumns(means).drop(block, *sums, *old)
 
 
 def forward_fill(df: DataFrame, col: str, out: str,
