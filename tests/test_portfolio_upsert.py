@@ -47,30 +47,43 @@ def test_returns_mean_and_cov_match_pandas(spark, three):
             assert cov[(i, j)] == pytest.approx(cov[(j, i)])
 
 
+def _vectors(weights, universe):
+    """{portfolio: {code: weight}}"""
+    out = {}
+    for r in P.long_weights(weights, universe).collect():
+        out.setdefault(r.portfolio_id, {})[r.code] = r.weight
+    return out
+
+
 def test_weights_sum_to_one_and_are_stable(spark, three):
     uni = three.select("code").distinct()
-    w1 = P.candidate_weights(spark, uni, 50).orderBy("portfolio_id").collect()
-    w2 = P.candidate_weights(spark, uni.repartition(3), 50).orderBy("portfolio_id").collect()
-    assert [r.weights for r in w1] == [r.weights for r in w2]
-    assert all(abs(sum(r.weights) - 1) < 1e-12 for r in w1)
-    assert w1[0].codes == ["A", "B", "C"]
+    w1, w2 = (_vectors(P.candidate_weights(spark, u, 50), u) for u in (uni, uni.repartition(3)))
+    assert w1 == w2 and len(w1) == 50
+    assert all(set(w) == set("ABC") and abs(sum(w.values()) - 1) < 1e-12 for w in w1.values())
+
+
+def _check_scores(got, vectors, ann, cov, codes):
+    mu, cm = dict(ann.collect()), {(r.code_i, r.code_j): r.cov for r in cov.collect()}
+    mu, sig = np.array([mu[c] for c in codes]), np.array([[cm[(i, j)] for j in codes] for i in codes])
+    for r in got:
+        w = np.array([vectors[r.portfolio_id][c] for c in codes])
+        assert r.returns == pytest.approx(w @ mu)
+        assert r.risk == pytest.approx(np.sqrt(w @ sig @ w))
+        assert r.sharpe == pytest.approx(r.returns / r.risk)
 
 
 def test_scores_and_best(spark, three):
     uni = three.select("code").distinct()
     rets = P.aligned_returns(three, uni)
     ann, cov = P.annual_returns(rets), P.covariance(rets)
-    scores = P.portfolio_scores(P.candidate_weights(spark, uni, 200), ann, cov, uni).toPandas()
-    mu = np.array([dict(ann.collect())[c] for c in "ABC"])
-    cm = {(r.code_i, r.code_j): r.cov for r in cov.collect()}
-    sig = np.array([[cm[(i, j)] for j in "ABC"] for i in "ABC"])
-    for _, r in scores.head(20).iterrows():
-        w = np.array(r.weights)
-        assert r.returns == pytest.approx(w @ mu)
-        assert r.risk == pytest.approx(np.sqrt(w @ sig @ w))
-    best = P.portfolio_best(P.portfolio_scores(P.candidate_weights(spark, uni, 200), ann, cov, uni)).toPandas()
-    assert best[best.kind == "max_sharpe"].sharpe.iloc[0] == pytest.approx(scores.sharpe.max())
-    assert best[best.kind == "min_risk"].risk.iloc[0] == pytest.approx(scores.risk.min())
+    weights = P.candidate_weights(spark, uni, 200)
+    scores = P.portfolio_scores(weights, ann, cov, uni)
+    rows = scores.collect()
+    assert len(rows) == 200
+    _check_scores(rows, _vectors(weights, uni), ann, cov, "ABC")
+    best = P.portfolio_best(scores).toPandas()
+    assert best[best.kind == "max_sharpe"].sharpe.iloc[0] == pytest.approx(max(r.sharpe for r in rows))
+    assert best[best.kind == "min_risk"].risk.iloc[0] == pytest.approx(min(r.risk for r in rows))
 
 
 def test_scores_of_a_part_of_the_covered_codes(spark, three):
@@ -78,13 +91,36 @@ def test_scores_of_a_part_of_the_covered_codes(spark, three):
     rets = P.aligned_returns(three, three.select("code").distinct())
     ann, cov = P.annual_returns(rets), P.covariance(rets)
     uni = spark.createDataFrame([("C",), ("A",)], "code string")
-    got = P.portfolio_scores(P.candidate_weights(spark, uni, 20), ann, cov, uni).collect()
-    mu, cm = dict(ann.collect()), {(r.code_i, r.code_j): r.cov for r in cov.collect()}
-    sig = np.array([[cm[(i, j)] for j in "AC"] for i in "AC"])
+    weights = P.candidate_weights(spark, uni, 20)
+    _check_scores(P.portfolio_scores(weights, ann, cov, uni).collect(), _vectors(weights, uni), ann, cov, "AC")
+
+
+def test_codes_without_statistics_give_no_score(spark, three):
+    rets = P.aligned_returns(three, three.select("code").distinct())
+    uni = spark.createDataFrame([("A",), ("new",)], "code string")
+    got = P.portfolio_scores(P.candidate_weights(spark, uni, 5), P.annual_returns(rets), P.covariance(rets), uni).collect()
+    assert len(got) == 5 and all(r.returns is None and r.risk is None and r.sharpe is None for r in got)
+
+
+def test_scores_of_3000_codes_in_blocks(spark):
+    """A universe of 3,000: every row holds one block, and blocks and chunks add up to w·μ and wᵀΣw."""
+    rng = np.random.default_rng(8)
+    n = 3000
+    codes = [f"c{i:04d}" for i in range(n)]
+    factor, own, mu = rng.normal(0, 1, n), rng.uniform(0.5, 2, n), rng.normal(0.05, 0.1, n)
+    uni = spark.createDataFrame(pd.DataFrame({"code": codes}))
+    table = spark.createDataFrame(pd.DataFrame({"code": codes, "f": factor, "own": own, "annual_ret": mu})).repartition(4)
+    i, j = (table.select(F.col("code").alias(f"code_{s}"), F.col("f").alias(f"f{s}"), F.col("own").alias(f"o{s}")) for s in "ij")
+    cov = i.crossJoin(j).select("code_i", "code_j", (F.col("fi") * F.col("fj") + F.when(F.col("code_i") == F.col("code_j"), F.col("oi")).otherwise(0.0)).alias("cov"))
+    weights = P.candidate_weights(spark, uni, 40)
+    assert weights.agg(F.max(F.size("weights"))).first()[0] < 2 * P.BLOCK
+    vectors = _vectors(weights, uni)
+    got = P.portfolio_scores(weights, table.select("code", "annual_ret"), cov, uni).collect()
+    assert len(got) == 40
     for r in got:
-        w = np.array(r.weights)
-        assert r.returns == pytest.approx(w @ np.array([mu["A"], mu["C"]]))
-        assert r.risk == pytest.approx(np.sqrt(w @ sig @ w))
+        w = np.array([vectors[r.portfolio_id][c] for c in codes])
+        assert r.returns == pytest.approx(w @ mu, rel=1e-9)
+        assert r.risk == pytest.approx(np.sqrt((w @ factor) ** 2 + (w * w) @ own), rel=1e-9)
 
 
 def test_covariance_over_several_blocks_and_large_means(spark):
@@ -100,6 +136,22 @@ def test_covariance_over_several_blocks_and_large_means(spark):
     np.testing.assert_allclose(found, want, rtol=1e-6, atol=1e-9)
 
 
+def test_covariance_of_parts_with_other_codes(spark, monkeypatch):
+    """Parts of the dates hold different codes; the tree of parts has several levels."""
+    monkeypatch.setattr(P, "BLOCK", 3)
+    monkeypatch.setattr(P, "PART_DATES", 2)
+    rng = np.random.default_rng(3)
+    days, codes = 80, list("abcdefgh")
+    x = pd.DataFrame(rng.normal(0, 1, (days, len(codes))), columns=codes)
+    for i, c in enumerate(codes):
+        x.loc[: 9 * i, c] = np.nan                     # later codes start later
+    x.loc[40:, "a"] = np.nan
+    rows = [(c, d, float(x.loc[d, c])) for d in range(days) for c in codes if not np.isnan(x.loc[d, c])]
+    got = P.covariance(spark.createDataFrame(rows, "code string, k long, ret double")).toPandas()
+    found = got.pivot(index="code_i", columns="code_j", values="cov").reindex(index=codes, columns=codes).to_numpy(dtype=float)
+    np.testing.assert_allclose(found, (x.cov() * 252).to_numpy(), rtol=1e-9, atol=1e-12)
+
+
 def _cur_batch(spark):
     cur = spark.createDataFrame([("A", 1, 10.0), ("B", 1, 20.0)], "code string, k int, v double")
     batch = spark.createDataFrame([("B", 1, 21.0, 1), ("B", 1, 22.0, 2), ("C", 1, 30.0, 1)],

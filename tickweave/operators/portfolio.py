@@ -2,21 +2,23 @@
 
 The source builds a date × security close matrix for a handful of
 securities, then scores 20,000 random weight vectors in a Python loop.
-Here the universe is a DataFrame of codes, returns stay long
-(code, k, ret), the covariance is accumulated in blocks of codes with numpy
-(no pair rows are emitted before the end), and candidates are a distributed
-table scored with array functions against μ and Σ, which reach every row
-as scalar subqueries of one entry per security and pair of securities.
+Here the universe is a DataFrame of codes, dealt by hash into blocks of some
+256.  Returns stay long (code, k, ret); the covariance is accumulated for
+pairs of blocks with numpy; candidates hold one row of weights a block, and
+their risk is a blocked matrix product: tasks hold one pair of blocks and one
+chunk of candidates, and add a partial wᵀΣw per candidate.  No row, task or
+driver holds N values, let alone N².
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import series as S
+from ..session import materialize
 
 TRADING_DAYS = 252
 
@@ -26,6 +28,19 @@ def universe_codes(universe: DataFrame) -> DataFrame:
     return universe.select("code").distinct()
 
 
+def universe_blocks(universe: DataFrame) -> DataFrame:
+    """(block, codes): the universe dealt into blocks of some ``BLOCK`` codes, each in code order."""
+    codes = universe_codes(universe)
+    n_blocks = _n_blocks(codes)
+    return (codes.withColumn("_n", n_blocks).select(F.pmod(F.xxhash64("code"), F.col("_n")).cast("int").alias("block"), "code")
+                 .groupBy("block").agg(F.sort_array(F.collect_list("code")).alias("codes")))
+
+
+def _n_blocks(codes: DataFrame) -> Column:
+    """The number of blocks that distinct ``codes`` are dealt into (scalar)."""
+    return codes.select(F.greatest(F.ceil(F.count("code") / BLOCK), F.lit(1)).cast("bigint")).scalar()
+
+
 def _first_code(universe: DataFrame):
     return universe.select(F.min("code")).scalar()
 
@@ -64,9 +79,11 @@ def annual_returns(rets: DataFrame) -> DataFrame:
     return rets.groupBy("code").agg((F.avg("ret") * F.lit(float(TRADING_DAYS))).alias("annual_ret"))
 
 
-#: Codes of a covariance block, and the parts that dates are dealt into.
+#: Codes of a block (on average), dates of a covariance part, parts combined at a time, weights of a chunk of candidates.
 BLOCK = 256
-DATE_PARTS = 16
+PART_DATES = 1024
+FAN_IN = 16
+CHUNK_WEIGHTS = 1 << 20
 
 
 def _centred(x: np.ndarray, y: np.ndarray):
@@ -96,50 +113,96 @@ def _combine(a, b):
     return n, x, y, moment
 
 
+PART = "bi int, bj int, part int, rows array<string>, cols array<string>, stats binary"
+
+
+def _part_bytes(stats, diagonal: bool) -> bytes:
+    """Four statistics of a block pair; a pair of a block with itself as packed upper triangles."""
+    stats = np.stack(stats)
+    return (stats[:, *np.triu_indices(stats.shape[1])] if diagonal else stats).tobytes()
+
+
+def _part_stats(blob: bytes, n_rows: int, n_cols: int, diagonal: bool) -> np.ndarray:
+    if not diagonal:
+        return np.frombuffer(blob).reshape(4, n_rows, n_cols)
+    upper = np.triu_indices(n_rows)
+    out = np.empty((4, n_rows, n_rows))
+    flat = np.frombuffer(blob).reshape(4, -1)
+    # n and the moments are symmetric; the mean of a row's code over common dates is the transposed mean of the column's
+    for k, mirror in enumerate((0, 2, 1, 3)):
+        out[k].T[upper] = flat[mirror]
+        out[k][upper] = flat[k]
+    return out
+
+
 def _block_part(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    bi, bj, _ = key
-    wide = pdf.pivot(index="k", columns="i", values="ret")
-    x, y = (wide.reindex(columns=range(b * BLOCK, (b + 1) * BLOCK)).to_numpy(dtype=float) for b in (bi, bj))
-    return pd.DataFrame({"bi": [bi], "bj": [bj], "part": [np.stack(_centred(x, y)).tobytes()]})
+    """Co-moments of one pair of blocks over one part of the dates, for the codes present."""
+    bi, bj, part = key
+    wide = pdf.pivot(index="k", columns=["b", "code"], values="ret")
+    x, y = (wide[b].sort_index(axis=1) for b in (bi, bj)) if {bi, bj} <= set(wide.columns.get_level_values(0)) else (None, None)
+    if x is None:
+        return pd.DataFrame(columns=["bi", "bj", "part", "rows", "cols", "stats"])
+    stats = _centred(x.to_numpy(dtype=float), y.to_numpy(dtype=float))
+    return pd.DataFrame({"bi": [bi], "bj": [bj], "part": [part // FAN_IN], "rows": [list(x.columns)], "cols": [list(y.columns)],
+                         "stats": [_part_bytes(stats, bi == bj)]})
+
+
+def _widened(stats: np.ndarray, rows, cols, all_rows: dict, all_cols: dict) -> np.ndarray:
+    if len(rows) == len(all_rows) and len(cols) == len(all_cols):
+        return stats
+    out = np.zeros((4, len(all_rows), len(all_cols)))
+    out[:, [[all_rows[c]] for c in rows], [all_cols[c] for c in cols]] = stats
+    return out
+
+
+def _combined(pdf: pd.DataFrame, diagonal: bool):
+    """(row codes, column codes, statistics) over several parts, combined two by two."""
+    all_rows, all_cols = ({c: i for i, c in enumerate(sorted({c for codes in pdf[side] for c in codes}))} for side in ("rows", "cols"))
+    level = [_widened(_part_stats(b, len(r), len(c), diagonal), r, c, all_rows, all_cols) for r, c, b in zip(pdf["rows"], pdf["cols"], pdf["stats"])]
+    while len(level) > 1:
+        level = [np.stack(_combine(a, b)) for a, b in zip(level[::2], level[1::2])] + level[len(level) // 2 * 2:]
+    return list(all_rows), list(all_cols), level[0]
+
+
+def _block_merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Up to ``FAN_IN`` parts of a block pair as one."""
+    bi, bj, part = key
+    rows, cols, stats = _combined(pdf, bi == bj)
+    return pd.DataFrame({"bi": [bi], "bj": [bj], "part": [0], "rows": [rows], "cols": [cols], "stats": [_part_bytes(stats, bi == bj)]})
 
 
 def _block_sum(key, pdf: pd.DataFrame) -> pd.DataFrame:
     bi, bj = key
-    total = None
-    for blob in pdf["part"]:
-        part = tuple(np.frombuffer(blob).reshape(4, BLOCK, BLOCK))
-        total = part if total is None else _combine(total, part)
-    n, _, _, moment = total
+    rows, cols, (n, _, _, moment) = _combined(pdf, bi == bj)
     i, j = np.nonzero(n >= 1)
     cov = np.full(len(i), np.nan)
     enough = n[i, j] >= 2
     cov[enough] = moment[i, j][enough] / (n[i, j][enough] - 1) * TRADING_DAYS
-    out = pd.DataFrame({"i": i + bi * BLOCK, "j": j + bj * BLOCK, "cov": cov})
-    return out if bi == bj else pd.concat([out, out.rename(columns={"i": "j", "j": "i"})[["i", "j", "cov"]]])
+    out = pd.DataFrame({"code_i": np.array(rows, object)[i], "code_j": np.array(cols, object)[j], "cov": cov})
+    return out if bi == bj else pd.concat([out, out.rename(columns={"code_i": "code_j", "code_j": "code_i"})[["code_i", "code_j", "cov"]]])
 
 
 def covariance(rets: DataFrame) -> DataFrame:
     """A3/J8 annualised sample covariance, pairwise complete (pandas ``cov``).
 
-    Codes are numbered and cut into blocks, dates are dealt into parts; one
-    task holds one pair of blocks over one part of the dates, and only upper
-    pairs are computed.  Parts leave centred co-moments, which are combined
-    pairwise.  Output: code_i, code_j, cov (NULL below two common dates).
+    Codes are dealt into blocks, dates cut into parts; one task holds one pair
+    of blocks over one part of the dates, and only upper pairs are computed.
+    Parts leave centred co-moments of the codes present (packed triangles where
+    a block meets itself), which a tree of combinations brings together.
+    Output: code_i, code_j, cov (NULL below two common dates).
     """
     valid = rets.filter(F.col("ret").isNotNull()).select("code", "k", "ret")
-    # one row per security
-    number = F.row_number().over(Window.orderBy("code")) - 1
-    codes = valid.select("code").distinct().withColumn("i", number.cast("bigint"))
-    last = F.floor(codes.select(F.max("i")).scalar() / BLOCK)
-    numbered = valid.join(codes, "code").select("i", "k", "ret", F.floor(F.col("i") / BLOCK).alias("b"), last.alias("last"))
+    dealt = valid.withColumn("_n", _n_blocks(valid.select("code").distinct()))
+    dealt = dealt.select("code", "k", "ret", "_n", F.pmod(F.xxhash64("code"), F.col("_n")).cast("int").alias("b"))
     # a block meets every block: as row block from itself on, as column block before
-    pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("last")),
+    pairs = F.transform(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")),
                         lambda o: F.struct(F.least(F.col("b"), o).alias("bi"), F.greatest(F.col("b"), o).alias("bj")))
-    dealt = numbered.withColumn("p", F.explode(pairs)).select("p.bi", "p.bj", F.pmod(F.hash("k"), F.lit(DATE_PARTS)).alias("dates"), "i", "k", "ret")
-    parts = dealt.groupBy("bi", "bj", "dates").applyInPandas(_block_part, "bi long, bj long, part binary")
-    found = parts.groupBy("bi", "bj").applyInPandas(_block_sum, "i long, j long, cov double")
-    name = (lambda side: codes.select(F.col("i").alias(side), F.col("code").alias(f"code_{side}")))
-    return found.join(name("i"), "i").join(name("j"), "j").select("code_i", "code_j", F.when(~F.isnan("cov"), F.col("cov")).alias("cov"))
+    part = F.floor(F.col("k") / PART_DATES).cast("int").alias("part")
+    rows = dealt.withColumn("p", F.explode(pairs)).select("p.bi", "p.bj", part, "b", "code", "k", "ret")
+    parts = rows.groupBy("bi", "bj", "part").applyInPandas(_block_part, PART)
+    merged = parts.groupBy("bi", "bj", "part").applyInPandas(_block_merge, PART)
+    found = merged.groupBy("bi", "bj").applyInPandas(_block_sum, "code_i string, code_j string, cov double")
+    return found.select("code_i", "code_j", F.when(~F.isnan("cov"), F.col("cov")).alias("cov"))
 
 
 def _uniform(id_col, code_col):
@@ -148,71 +211,102 @@ def _uniform(id_col, code_col):
     return F.conv(h, 16, 10).cast("bigint").cast("double") / F.lit(4294967296.0)
 
 
-def _universe_array(universe: DataFrame):
-    """The universe's codes in order: one value, of one entry per security."""
-    return universe_codes(universe).select(F.sort_array(F.collect_list("code")).alias("a")).scalar()
-
-
 def candidate_weights(spark: SparkSession, universe: DataFrame, n: int = 20000) -> DataFrame:
-    """M4/F14 ``n`` normalised weight vectors over the universe (code order).
+    """M4/F14 ``n`` normalised weight vectors: (portfolio_id, block, weights), one row a block of the universe.
 
-    Uniforms come from md5 of (id, code), so a vector does not depend on
-    partitioning or on the engine that computes it.
+    ``weights`` follow the block's codes (``universe_blocks``), so a row holds
+    some ``BLOCK`` numbers however large the universe is.  Uniforms come from
+    md5 of (id, code), so a vector does not depend on partitioning or on the
+    engine that computes it.
     """
-    codes = _universe_array(universe)
-    # the scalar subquery is projected first: higher-order functions take columns only
-    ids = spark.range(n).select(F.col("id").alias("portfolio_id"), codes.alias("codes"))
-    raw = F.transform("codes", lambda c: _uniform(F.col("portfolio_id"), c))
-    w = ids.select("portfolio_id", "codes", raw.alias("_u"))
-    total = F.aggregate(F.col("_u"), F.lit(0.0), lambda acc, x: acc + x)
-    return w.select("portfolio_id", "codes",
-                    F.transform(F.col("_u"), lambda x: x / total).alias("weights"))
+    blocks = universe_blocks(universe)
+    n_blocks = _n_blocks(universe_codes(universe))
+    ids = spark.range(n).select(F.col("id").alias("portfolio_id"), n_blocks.alias("_n"))
+    ids = ids.select("portfolio_id", F.explode(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int"))).alias("block"))
+    raw = ids.join(blocks, "block").select("portfolio_id", "block", F.transform("codes", lambda c: _uniform(F.col("portfolio_id"), c)).alias("_u"))
+    total = F.sum(F.aggregate(F.col("_u"), F.lit(0.0), lambda acc, x: acc + x)).over(Window.partitionBy("portfolio_id"))
+    return raw.withColumn("_total", total).select("portfolio_id", "block", F.transform("_u", lambda x: x / F.col("_total")).alias("weights"))
 
 
-def _stat_arrays(annual: DataFrame, cov: DataFrame, universe: DataFrame):
-    """μ as ARRAY<DOUBLE> and Σ as ARRAY<ARRAY<DOUBLE>> over the universe, matched by code.
+def long_weights(weights: DataFrame, universe: DataFrame) -> DataFrame:
+    """Candidates as (portfolio_id, code, weight)."""
+    named = weights.join(universe_blocks(universe), "block").select("portfolio_id", F.explode(F.arrays_zip("codes", "weights")).alias("cw"))
+    return named.select("portfolio_id", F.col("cw.codes").alias("code"), F.col("cw.weights").alias("weight"))
 
-    Codes outside the universe are left out on both sides; what the universe
-    has and the statistics lack is NULL.
-    """
-    codes = universe_codes(universe)
-    order = _universe_array(universe)
-    mu = (annual.join(codes, "code").select(F.map_from_entries(F.collect_list(F.struct("code", "annual_ret"))).alias("m"))
-                .select(F.col("m"), order.alias("order"))
-                .select(F.transform("order", lambda c: F.element_at(F.col("m"), c)).alias("mu")))
-    rows = (cov.join(codes.withColumnRenamed("code", "code_i"), "code_i").join(codes.withColumnRenamed("code", "code_j"), "code_j")
-               .groupBy("code_i").agg(F.map_from_entries(F.collect_list(F.struct("code_j", "cov"))).alias("m"))
-               .select("code_i", "m", order.alias("order"))
-               .select("code_i", F.transform("order", lambda c: F.element_at(F.col("m"), c)).alias("row")))
-    sigma = rows.select(F.map_from_entries(F.collect_list(F.struct("code_i", "row"))).alias("m")) \
-                .select(F.col("m"), order.alias("order")) \
-                .select(F.transform("order", lambda c: F.coalesce(F.element_at(F.col("m"), c), F.array_repeat(F.lit(None).cast("double"), F.size("order")))).alias("sigma"))
-    return mu.scalar(), sigma.scalar()
 
+def _statistics(annual: DataFrame, cov: DataFrame, universe: DataFrame) -> DataFrame:
+    """(bi, bj, n_i, n_j, sigma, mu): Σ of each upper pair of blocks as (place, place, value), μ of a block with itself.
 
-def dot(a, b):
-    """F15 Σ a_i b_i of two arrays."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+    Statistics are matched by code; codes outside the universe are left out,
+    and what the universe has and the statistics lack stays missing.
+    """
+    blocks = universe_blocks(universe)
+    place = blocks.select("block", F.posexplode("codes").alias("at", "code"))
+    side = (lambda s: place.select(F.col("block").alias(f"b{s}"), F.col("at").alias(f"at_{s}"), F.col("code").alias(f"code_{s}")))
+    entries = cov.join(side("i"), "code_i").join(side("j"), "code_j").where(F.col("bi") <= F.col("bj"))
+    sigma = entries.groupBy("bi", "bj").agg(F.collect_list(F.struct("at_i", "at_j", "cov")).alias("sigma"))
+    mu = annual.join(place, "code").groupBy("block").agg(F.collect_list(F.struct("at", "annual_ret")).alias("mu"))
+    size = blocks.select("block", F.size("codes").alias("n"))
+    n_blocks = _n_blocks(universe_codes(universe))
+    pairs = size.select(F.col("block").alias("bi"), F.col("n").alias("n_i"), n_blocks.alias("_n"))
+    pairs = pairs.select("bi", "n_i", F.explode(F.sequence(F.col("bi"), (F.col("_n") - 1).cast("int"))).alias("bj"))
+    pairs = pairs.join(size.select(F.col("block").alias("bj"), F.col("n").alias("n_j")), "bj")
+    return pairs.join(sigma, ["bi", "bj"], "left").join(mu.withColumnRenamed("block", "bi"), "bi", "left").select("bi", "bj", "n_i", "n_j", "sigma", "mu")
+
+
+def _score_pair(weights: pd.DataFrame, stats: pd.DataFrame) -> pd.DataFrame:
+    """A chunk's partial wᵀΣw over one pair of blocks, and w·μ over a block with itself."""
+    names = ["portfolio_id", "risk", "returns"]
+    if weights.empty or stats.empty:
+        return pd.DataFrame(columns=names)
+    s = stats.iloc[0]
+    sigma = np.full((s["n_i"], s["n_j"]), np.nan)
+    if s["sigma"] is not None:
+        i, j, v = zip(*[(e["at_i"], e["at_j"], e["cov"]) for e in s["sigma"]])
+        sigma[list(i), list(j)] = np.array(v, float)
+    left = weights[weights["block"] == s["bi"]].sort_values("portfolio_id")
+    w = np.stack(left["weights"].to_numpy())
+    if s["bi"] != s["bj"]:
+        right = weights[weights["block"] == s["bj"]].sort_values("portfolio_id")
+        v = np.stack(right["weights"].to_numpy())
+        return pd.DataFrame({"portfolio_id": left["portfolio_id"].to_numpy(), "risk": 2 * ((w @ sigma) * v).sum(1), "returns": 0.0})
+    mu = np.full(s["n_i"], np.nan)
+    for e in s["mu"] if s["mu"] is not None else ():
+        mu[e["at"]] = np.nan if e["annual_ret"] is None else e["annual_ret"]
+    return pd.DataFrame({"portfolio_id": left["portfolio_id"].to_numpy(), "risk": ((w @ sigma) * w).sum(1), "returns": w @ mu})
 
 
 def portfolio_scores(weights: DataFrame, annual: DataFrame, cov: DataFrame,
                      universe: DataFrame) -> DataFrame:
-    """M3/F15–F17 expected return w·μ, risk sqrt(wᵀΣw) and ratio return/risk."""
-    mu, sigma = _stat_arrays(annual, cov, universe)
-    w = F.col("weights")
-    staged = weights.select("portfolio_id", "weights", mu.alias("_mu"), sigma.alias("_sigma"))
-    sw = F.transform("_sigma", lambda row: dot(row, w))      # Σw
-    ret = dot(w, F.col("_mu"))
-    risk = F.sqrt(dot(w, sw))
-    return staged.select("portfolio_id", "weights", ret.alias("returns"), risk.alias("risk")) \
-                 .withColumn("sharpe", F.try_divide(F.col("returns"), F.col("risk")))
+    """M3/F15–F17 expected return w·μ, risk sqrt(wᵀΣw) and ratio return/risk of each candidate.
+
+    ``weights`` are blocked (``candidate_weights``).  Chunks of candidates meet
+    the upper pairs of blocks; a candidate with a weight on a code without
+    statistics has NULL scores.
+    """
+    count = weights.where("block = 0").agg(F.count(F.lit(1)))
+    chunks = count.select(F.greatest(F.ceil(F.col("count(1)") * BLOCK / CHUNK_WEIGHTS), F.lit(1)).cast("int").alias("c")).scalar()
+    n_blocks = _n_blocks(universe_codes(universe))
+    own = weights.withColumns({"_c": chunks, "_n": n_blocks})
+    pairs = F.transform(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")),
+                        lambda o: F.struct(F.least(F.col("block"), o).alias("bi"), F.greatest(F.col("block"), o).alias("bj")))
+    dealt = own.withColumn("p", F.explode(pairs)).select("p.bi", "p.bj", F.pmod(F.xxhash64("portfolio_id"), F.col("_c")).cast("int").alias("chunk"),
+                                                         "block", "portfolio_id", "weights")
+    stats = _statistics(annual, cov, universe).withColumn("_c", chunks)
+    stats = stats.select("bi", "bj", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("chunk"), "n_i", "n_j", "sigma", "mu")
+    keys = ["bi", "bj", "chunk"]
+    parts = dealt.groupBy(*keys).cogroup(stats.groupBy(*keys)).applyInPandas(_score_pair, "portfolio_id long, risk double, returns double")
+    total = parts.groupBy("portfolio_id").agg(F.sum("returns").alias("returns"), F.sqrt(F.sum("risk")).alias("risk"))
+    known = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("returns", "risk")]
+    return total.select("portfolio_id", *known).withColumn("sharpe", F.try_divide(F.col("returns"), F.col("risk")))
 
 
 def portfolio_best(scores: DataFrame) -> DataFrame:
     """M5/P9 rows of maximum ratio and of minimum risk (ties all kept).
 
-    One aggregate gives both extremes, one join marks their rows.
+    The scores are written once; one aggregate gives both extremes, one join marks their rows.
     """
+    scores = materialize(scores, "scores")
     best = scores.agg(F.max("sharpe").alias("_top"), F.min("risk").alias("_low"))
     # one row
     marked = scores.join(F.broadcast(best), (F.col("sharpe") == F.col("_top")) | (F.col("risk") == F.col("_low")))

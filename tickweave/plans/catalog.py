@@ -312,10 +312,8 @@ def _weights(spark, sf_dir):
 @query("candidate_weights")
 def q_candidate_weights(spark, sf_dir):
     """M4/F14 20,000 normalised md5-uniform weight vectors over all master codes."""
-    w = _weights(spark, sf_dir)
-    long = w.select("portfolio_id", F.explode(F.arrays_zip("codes", "weights")).alias("cw"))
-    return long.select("portfolio_id", F.col("cw.codes").alias("code"),
-                       F.round(F.col("cw.weights"), WEIGHT_PLACES).alias("weight"))
+    long = P.long_weights(_weights(spark, sf_dir), _items(spark, sf_dir).select("code"))
+    return long.withColumn("weight", F.round("weight", WEIGHT_PLACES))
 
 
 def _scores(spark, sf_dir):
@@ -327,13 +325,13 @@ def _scores(spark, sf_dir):
 @query("portfolio_scores")
 def q_portfolio_scores(spark, sf_dir):
     """M3/F15–F17 return, risk and return/risk of every candidate."""
-    return _round(_scores(spark, sf_dir).drop("weights"))
+    return _round(_scores(spark, sf_dir))
 
 
 @query("portfolio_best")
 def q_portfolio_best(spark, sf_dir):
     """M5/P9 candidates of maximum return/risk and of minimum risk."""
-    return _round(P.portfolio_best(_scores(spark, sf_dir)).drop("weights"))
+    return _round(P.portfolio_best(_scores(spark, sf_dir)))
 
 
 # --- upserts and ingest ---------------------------------------------------------------
