@@ -129,13 +129,17 @@ def _closes(df):
     return sorted((r.code, r.date.isoformat(), r.close) for r in df.collect())
 
 
+def _stage(df, path):
+    df.write.mode("append").parquet(path)
+
+
 def test_stream_upsert_equals_batch_upsert(spark):
     cur = _by_year(bars_frame(spark, series_rows("A", [1, 2, 3], start="2020-01-06")))
     b1 = _by_year(bars_frame(spark, series_rows("A", [20, 30, 40], start="2020-01-13")).withColumn("_seq", F.lit(1)))
     b2 = _by_year(bars_frame(spark, series_rows("A", [99], start="2020-01-20")).withColumn("_seq", F.lit(2)))
     expect = _closes(U.upsert(cur, b1.unionByName(b2), ["code", "date"]))
     for files in (None, 1):
-        assert _closes(ST.replay_upserts(spark, cur, [b1, b2], max_files_per_trigger=files)) == expect
+        assert _closes(X.replay_upserts(spark, cur, [b1, b2], max_files_per_trigger=files)) == expect
     assert [c for _, _, c in expect] == [1, 20, 99, 40]
 
 
@@ -150,7 +154,7 @@ def test_stream_runs_again_where_it_stopped(spark):
 
     def night(rows, ts):
         if rows:
-            ST.stage_batches([_by_year(bars_frame(spark, rows)).withColumn("_seq", F.lit(1))], f"{root}/in")
+            _stage(_by_year(bars_frame(spark, rows)).withColumn("_seq", F.lit(1)), f"{root}/in")
         schema = spark.read.parquet(f"{root}/in").schema
         return ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", f"{root}/ck", ts=ts)
 
@@ -162,10 +166,140 @@ def test_stream_runs_again_where_it_stopped(spark):
     assert _closes(night([], "2020-02-02 00:00:00")) == want
     last = night(series_rows("A", [33], start="2020-01-06"), "2020-02-03 00:00:00")
     assert _closes(last) == [*want[:3], ("A", "2020-01-06", 33)]
-    written = sorted(p.split("/bars/")[1] for p in glob.glob(local_path(f"{root}/bars/v=*/year=*")))
+    written = sorted(p.split("/bars/")[1] for p in glob.glob(local_path(f"{root}/bars/_version=*/year=*")))
     assert [w.split("/")[1] for w in written] == ["year=2019", "year=2020", "year=2020"]
 
 
+def _stream(spark, root, **how):
+    schema = spark.read.parquet(f"{root}/in").schema
+    return ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", f"{root}/ck", **how)
+
+
+def test_half_written_version_is_not_read(spark):
+    """A batch that died before its commit leaves files that nobody reads; its replay writes them anew."""
+    from tickweave.session import scratch_path
+    root = scratch_path(spark, "stream-crash")
+    cur = _by_year(bars_frame(spark, series_rows("A", [1, 2], start="2020-01-06") + series_rows("B", [7], start="2020-01-06")))
+    cur.write.partitionBy("year").parquet(f"{root}/initial")
+    # one of the year's rows, no manifest
+    cur.filter("code = 'A'").limit(1).write.partitionBy("year").parquet(f"{root}/bars/_version=0000000000")
+    assert _closes(ST.table_now(spark, f"{root}/initial", f"{root}/bars")) == _closes(cur)
+    _stage(_by_year(bars_frame(spark, series_rows("A", [10], start="2020-01-06"))).withColumn("_seq", F.lit(1)), f"{root}/in")
+    want = [("A", "2020-01-06", 10), ("A", "2020-01-13", 2), ("B", "2020-01-06", 7)]
+    assert _closes(_stream(spark, root)) == want
+    # the stream's own record is lost after the commit: the batch comes again and changes nothing
+    schema = spark.read.parquet(f"{root}/in").schema
+    again = ST.stream_upsert_bars(spark, f"{root}/in", schema, f"{root}/initial", f"{root}/bars", f"{root}/other-ck")
+    assert _closes(again) == want
+
+
+def test_unreadable_versions_are_an_error(spark):
+    import os
+    from tickweave.session import local_path, scratch_path
+    root = scratch_path(spark, "stream-broken")
+    cur = _by_year(bars_frame(spark, series_rows("A", [1], start="2020-01-06")))
+    cur.write.partitionBy("year").parquet(f"{root}/initial")
+    os.makedirs(local_path(f"{root}/bars/_manifest"))
+    with open(local_path(f"{root}/bars/_manifest/0000000000.json"), "w") as f:
+        f.write("{")
+    with pytest.raises(ValueError):
+        ST.table_now(spark, f"{root}/initial", f"{root}/bars")
+
+
+def test_vacuum_keeps_the_table_and_bounds_its_space(spark):
+    import glob
+    import os
+    from tickweave.session import local_path, scratch_path
+    from tickweave.sources.versions import Versions
+    root = scratch_path(spark, "stream-vacuum")
+    cur = _by_year(bars_frame(spark, series_rows("A", range(1, 90), start="2019-06-03") + series_rows("B", range(1, 90), start="2019-06-03")))
+    cur.write.partitionBy("year").parquet(f"{root}/initial")
+    for night in range(6):
+        _stage(_by_year(bars_frame(spark, series_rows("A", [100 + night], start="2020-01-06"))).withColumn("_seq", F.lit(1)), f"{root}/in")
+        out = _stream(spark, root, vacuum_keep=2)
+    table = _closes(out)
+    assert len(table) == 178 and ("A", "2020-01-06", 105) in table
+    folders = glob.glob(local_path(f"{root}/bars/_version=*/year=*"))
+    assert sorted(os.path.basename(os.path.dirname(f)) for f in folders) == ["_version=0000000004", "_version=0000000005"]
+    versions = Versions(spark, f"{root}/bars")
+    assert versions.batches() == [4, 5] and versions.manifest() == {"": {"year=2020": 5}}
+    # a version above the newest commit may be at work, and stays
+    cur.limit(1).write.partitionBy("year").parquet(f"{root}/bars/_version=0000000009")
+    assert versions.vacuum() == [f"{root}/bars/_version=0000000004"] and versions.vacuum() == []
+    assert _closes(ST.table_now(spark, f"{root}/initial", f"{root}/bars")) == table
+    size = (lambda top: sum(os.path.getsize(f) for f in glob.glob(local_path(f"{root}/{top}/**/*.parquet"), recursive=True)))
+    assert size("bars/_version=0000000005") <= size("initial")
+
+
+def test_partition_values_of_every_kind(spark):
+    from tickweave.session import scratch_path
+    from tickweave.sources.versions import Versions
+    versions = Versions(spark, scratch_path(spark, "versions"))
+    rows = [("x", "a b", 1), ("x", None, 2), ("y", "c/d", 3), ("y", "a b", 4)]
+    table = spark.createDataFrame(rows, "p string, q string, v int").select("v", "p", "q")
+    assert versions.table(table, "t", ["p", "q"]).count() == 4
+    new = table.filter("q is null or q = 'c/d'").withColumn("v", F.col("v") * 10)
+    new.write.partitionBy("p", "q").parquet(versions.folder(3, "t"))
+    assert versions.table(table, "t", ["p", "q"]).agg(F.sum("v")).first()[0] == 10
+    versions.commit(3, {"t": versions.written(3, "t", depth=2)})
+    assert sorted(r.v for r in versions.table(table, "t", ["p", "q"]).collect()) == [1, 4, 20, 30]
+    with pytest.raises(RuntimeError):
+        versions.commit(3, {"t": []})
+
+
+def test_listing_and_bars_become_visible_together(spark, monkeypatch):
+    from tickweave.session import scratch_path
+    from tickweave.sources.versions import Versions
+    stamp = (lambda df, upd: df.withColumn("reg_dt", U.stamp("2019-01-01 00:00:00")).withColumn("upd_dt", U.stamp(upd) if upd else F.lit(None).cast("timestamp")))
+    listing = (lambda *names: spark.createDataFrame([(i, n) for i, n in names], "code int, company string"))
+    items = stamp(L.listing_to_items(L.read_listing(listing((1, "old"), (2, "two"))), "20190101"), None)
+    bars = stamp(_by_year(bars_frame(spark, series_rows("000001", [1, 2], start="2019-12-30") + series_rows("000002", [5], start="2018-01-01"))), "2019-01-01 00:00:00")
+    staged = _by_year(bars_frame(spark, series_rows("000001", [20], start="2020-01-06") + series_rows("000003", [9], start="2020-01-06") + series_rows("000002", [6], start="2020-01-06")))
+    versions = Versions(spark, scratch_path(spark, "chain"))
+    run = (lambda: U.commit_listing_then_bars(versions, 7, items, listing((1, "new"), (3, "three")), bars, staged, "20210201", "2020-01-01", "2021-02-01 17:00:00"))
+    with monkeypatch.context() as m:
+        m.setattr(Versions, "commit", lambda *a: (_ for _ in ()).throw(OSError("the driver died")))
+        with pytest.raises(OSError):
+            run()
+    assert _closes(versions.table(bars, "bars", ["year"])) == _closes(bars) and versions.table(items, "items").count() == 2
+    for _ in range(2):
+        master, out = run()
+        assert {r.code: (r.name, r.upd_dt is not None) for r in master.collect()} == {"000001": ("new", True), "000002": ("two", False), "000003": ("three", False)}
+        assert _closes(out) == [("000001", "2019-12-30", 1), ("000001", "2020-01-06", 20), ("000002", "2018-01-01", 5), ("000003", "2020-01-06", 9)]
+
+
+def _executed(df):
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_statement_pivot_is_hash_aggregated(spark):
+    cells = spark.createDataFrame([("A", "Y", "2020/12", 0, "매출액", "100")], FD.CELL_SCHEMA)
+    plan = _executed(FD.cells_to_rows(cells))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_fundamentals_merge_touches_the_years_of_the_batch(spark):
+    from tickweave.session import scratch_path
+    path = scratch_path(spark, "fundamentals")
+    rows = (lambda *r: FD.with_year(spark.createDataFrame([(c, ym, "Y", False, *v) for c, ym, *v in r], "code string, ym string, gb string, is_estimate boolean, SALES double, CAPEX double")))
+    stored = FD.with_audit(rows(("A", "2018-12", 1.0, 2.0), ("A", "2019-12", 3.0, 4.0), ("B", "2019-12", 5.0, 6.0), ("B", "", 7.0, 8.0)), "2020-01-01 00:00:00")
+    stored.write.partitionBy("year").parquet(path)
+    batch = rows(("A", "2019-12", 30.0, None), ("C", "2020-12", 9.0, 9.0))
+    table = spark.read.parquet(path)
+    before = {f for f in table.inputFiles() if "year=2019" not in f}
+    out = U.store_fundamentals(path, table, batch, "2021-02-01 17:00:00")
+    got = {(r.code, r.ym): (r.SALES, r.CAPEX, str(r.reg_dt)[:4]) for r in out.collect()}
+    assert got == {("A", "2018-12"): (1.0, 2.0, "2020"), ("A", "2019-12"): (30.0, None, "2021"), ("B", "2019-12"): (5.0, 6.0, "2020"),
+                   ("B", ""): (7.0, 8.0, "2020"), ("C", "2020-12"): (9.0, 9.0, "2021")}
+    assert before and before <= set(out.inputFiles())          # other years' files are the same files
+    whole = U.merge_incremental(stored, batch, ["year"], U.merge_fundamentals, "2021-02-01 17:00:00")
+    assert {(r.code, r.ym): (r.SALES, r.CAPEX, str(r.reg_dt)[:4]) for r in whole.collect()} == got
+
+
 def test_stream_needs_a_checkpoint(spark):
     with pytest.raises(TypeError):
         ST.stream_upsert_bars(spark, "in", None, "initial", "root")
@@ -199,7 +333,7 @@ def test_stream_refreshes_touched_codes(spark):
                      + series_rows("B", [5, 6, 7], start="2020-01-06"))
     _by_year(cur).write.partitionBy("year").parquet(f"{root}/initial")
     b1 = _by_year(bars_frame(spark, series_rows("A", [30], start="2020-01-20")).withColumn("_seq", F.lit(1)))
-    ST.stage_batches([b1], f"{root}/in")
+    _stage(b1, f"{root}/in")
     seen = []
 
     def hook(snapshot, codes, batch_id):

@@ -1,6 +1,7 @@
 """Scans, token resolution, as-of dates and momentum edge cases."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,6 +178,24 @@ def test_momentum_scans_prune_years(spark):
     assert 0 < out.count() < 25
 
 
+def test_asof_reads_one_year(spark):
+    """The requested year alone, or the newest one before it where the year starts later; the scan after it reads two years' files."""
+    from tickweave.operators import momentum as M
+    from tickweave.session import scratch_path
+    path = scratch_path(spark, "asof")
+    days = [("A", dt.date(y, m, 3), 10 * y + m) for y in (2015, 2016, 2019) for m in (5, 8)]
+    spark.createDataFrame(days, "code string, date date, close long").withColumn("year", F.year("date")).write.partitionBy("year").parquet(path)
+    bars = spark.read.parquet(path)
+    asof = (lambda day: bars.select(M.asof_trading_day(bars, day).alias("d")).first().d)
+    assert asof("2016-06-01") == dt.date(2016, 5, 3) and asof("2016-12-31") == dt.date(2016, 8, 3)
+    assert asof("2019-01-01") == dt.date(2016, 8, 3) and asof("2018-07-01") == dt.date(2016, 8, 3)
+    assert asof("2015-01-01") is None and asof("2030-01-01") == dt.date(2019, 8, 3)
+    out = M.two_date_prices(bars, M.asof_trading_day(bars, "2016-06-01"), M.asof_trading_day(bars, "2019-12-31"))
+    assert [tuple(r) for r in out.collect()] == [("A", 20165, 20198)]
+    filters = list(set(re.findall(r"PartitionFilters: \[([^\]]*)\]", out._jdf.queryExecution().executedPlan().toString())))
+    assert len(filters) == 1 and "2016" in filters[0] and "2019" in filters[0] and "Subquery" not in filters[0]
+
+
 def test_whole_ingest_chain(spark):
     """K7: the listing refreshes the master, then bars arrive for its codes alone."""
     from conftest import bars_frame, series_rows

@@ -1,9 +1,9 @@
 """Relative and absolute momentum.
 
 The source runs 2 selects per code plus 2 for the dates; here the whole
-ranking is one job: the requested dates snap to trading days by scalar
-subqueries, the bars of those two days are read (a filter Parquet can
-prune), one conditional aggregate per code gives both prices, and a
+ranking is one job: the requested dates snap to trading days by lookups that
+read a year each, the bars of those two days are read (a filter that prunes
+to their years), one conditional aggregate per code gives both prices, and a
 ``TakeOrderedAndProject`` gives the top k.
 """
 
@@ -16,15 +16,25 @@ from ..sources.market import attach_names
 
 
 def asof_trading_day(bars: DataFrame, day: str) -> Column:
-    """J4/A4 latest bar date on or before ``day`` across the whole table (scalar).
+    """J4/A4 latest bar date on or before ``day`` across the whole table; NULL where there is none.
 
-    On year-partitioned bars, later years are not read.
+    The day is looked up when the plan is built, so that scans on it prune by a
+    known year.  On year-partitioned bars the lookup reads the requested year
+    alone, and where that has no day early enough, the newest year before it
+    (known from the partition values).
     """
-    at = F.lit(day).cast("date")
-    old = bars.filter(F.col("date") <= at)
-    if "year" in bars.columns:
-        old = old.filter(F.col("year") <= int(day[:4]))
-    return old.select(F.max("date")).scalar()
+    def newest(rows: DataFrame, col: str = "date"):
+        return rows.agg(F.max(col)).first()[0]
+
+    upto = bars.filter(F.col("date") <= F.lit(day).cast("date"))
+    if "year" not in bars.columns:
+        return F.lit(newest(upto)).cast("date")
+    year = int(day[:4])
+    found = newest(upto.filter(F.col("year") == year))
+    if found is None:
+        earlier = newest(bars.select("year").filter(F.col("year") < year), "year")
+        found = newest(bars.filter(F.col("year") == earlier)) if earlier is not None else None
+    return F.lit(found).cast("date")
 
 
 def asof_days(requested: DataFrame, bars: DataFrame, col: str = "requested") -> DataFrame:

@@ -18,6 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, path_exists
+
 SEQ = "_seq"
 CURRENT_SEQ = -1  # the stored table is older than any batch row
 
@@ -143,11 +145,9 @@ def merge_incremental(current: DataFrame, batch: DataFrame, partition_cols: Sequ
 def ensure_table(spark, path: str, schema) -> DataFrame:
     """K1 ``CREATE TABLE IF NOT EXISTS``: an empty Parquet table with the
     given schema on first use; keys are enforced by the merges, not the store."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - no table at the path yet
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def stamp(ts: str | dt.datetime) -> Column:
@@ -178,6 +178,16 @@ def merge_fundamentals(current: DataFrame, batch: DataFrame, ts: str, user: str
     return merge(current, batch, ["code", "ym", "gb"], on_match=audit, on_insert=audit)
 
 
+def store_fundamentals(path: str, stored: DataFrame, batch: DataFrame, ts: str, user: str = "sys") -> DataFrame:
+    """K6 over the stored table at ``path``, partitioned by ``year``: the years
+    of the batch are read, merged and replaced (dynamic partition overwrite);
+    the other years are neither read nor written.  Returns the table."""
+    spark = stored.sparkSession
+    merged = materialize(merge_fundamentals(touched(stored, batch, ["year"]), batch, ts, user), "fundamentals")
+    write_partitions(merged, path, ["year"])
+    return spark.read.schema(stored.schema).parquet(path)
+
+
 def needs_refresh(company_info: DataFrame, today: str) -> DataFrame:
     """A7 stale when the table is empty or max(last_update) is before ``today``."""
     last = F.max("last_update")
@@ -224,3 +234,25 @@ def ingest_listing_then_bars(items: DataFrame, raw_listing: DataFrame, current:
     listing = read_listing(raw_listing)
     return (merge_items(items, listing_to_items(listing, ymd), ts),
             ingest_for_listing(current, staged, listing, since, ts))
+
+
+def commit_listing_then_bars(versions, batch_id: int, items: DataFrame, raw_listing: DataFrame, bars: DataFrame, staged: DataFrame,
+                             ymd: str, since: str, ts: str) -> tuple[DataFrame, DataFrame]:
+    """K7 as one commit: the new master and the touched years of the bars are
+    written as version ``batch_id`` under ``versions`` (``sources.versions``)
+    and become visible together -> (items, bars) as they are then.
+
+    ``items`` and ``bars`` (partitioned by ``year``) are the tables before any
+    commit.  A batch that is committed changes nothing when it runs again; a
+    batch that died before its commit is not seen and runs from the same state.
+    """
+    from ..sources.listing import listing_to_items, read_listing
+    tables = (lambda before=None: (versions.table(items, "items", before=before), versions.table(bars, "bars", ["year"], before=before)))
+    if batch_id not in versions.batches():
+        master, stored = tables(batch_id)
+        listing = read_listing(raw_listing)
+        merge_items(master, listing_to_items(listing, ymd), ts).write.mode("overwrite").parquet(versions.folder(batch_id, "items"))
+        picked = staged.filter(F.col("date") >= F.lit(since).cast("date")).join(listing.select("code"), "code", "left_semi")
+        merge_bars(touched(stored, picked, ["year"]), picked, ts).write.mode("overwrite").partitionBy("year").parquet(versions.folder(batch_id, "bars"))
+        versions.commit(batch_id, {"items": [""], "bars": versions.written(batch_id, "bars")})
+    return tables()

@@ -28,7 +28,7 @@ from ..sources import fundamentals as FD
 from ..sources import listing as L
 from ..sources import market as K
 from ..sources import quotes as QP
-from ..streaming import bar_stream as ST
+from ..sources.versions import Versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -377,7 +377,7 @@ def q_stream_upsert(spark, sf_dir):
     first = batch.filter((F.col("_seq") == 1) & (F.col("date") < cut))
     second = batch.filter((F.col("_seq") == 1) & (F.col("date") >= cut))
     third = batch.filter(F.col("_seq") == 2)
-    out = ST.replay_upserts(spark, _with_audit(current, OLD_TS), [first, second, third], ts=RUN_TS)
+    out = X.replay_upserts(spark, _with_audit(current, OLD_TS), [first, second, third], ts=RUN_TS)
     return _ts_text(out.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
@@ -426,6 +426,35 @@ def q_ingest_filtered(spark, sf_dir):
     return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
+@query("ingest_chain")
+def q_ingest_chain(spark, sf_dir):
+    """K7 the whole chain in one commit: the listing refreshes the master, then its codes' bars arrive; both tables as rows."""
+    from ..session import scratch_path
+    raw = X.brand_listing(spark, sf_dir)
+    items = (L.listing_to_items(L.read_listing(raw.filter(F.col("size") <= 15)), "20210101")
+             .withColumn("reg_dt", U.stamp(OLD_TS)).withColumn("upd_dt", F.lit(None).cast("timestamp")))
+    b = _bars(spark, sf_dir).withColumn("code", X.listing_code("code"))
+    current = _with_audit(b.filter(F.col("date") < F.lit(CUT).cast("date")), OLD_TS)
+    staged = b.withColumn("close", F.col("close") + 1)
+    versions = Versions(spark, scratch_path(spark, "chain"))
+    master, bars = U.commit_listing_then_bars(versions, 1, items, raw.filter((F.col("size") >= 10) & (F.col("size") <= 20)).withColumn("company", F.upper("company")),
+                                              current, staged, "20210201", "1998-12-07", RUN_TS)
+    rows = master.select(F.lit("item").alias("kind"), "code", "name", "ymd", F.lit(None).cast("string").alias("bar"), *AUDIT_COLS)
+    text = F.concat_ws(" ", *[F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")])
+    return _ts_text(rows.unionByName(bars.select(F.lit("bar").alias("kind"), "code", F.lit(None).cast("string").alias("name"), "ymd", text.alias("bar"), *AUDIT_COLS)))
+
+
+@query("create_tables")
+def q_create_tables(spark, sf_dir):
+    """K1 the company table made empty on first use, filled, and found again as it is."""
+    from ..schemas import COMPANY_INFO
+    from ..session import scratch_path
+    path = scratch_path(spark, "tables")
+    empty = U.ensure_table(spark, path, COMPANY_INFO)
+    U.replace_company_info(empty, _listing(spark, sf_dir), "2021-02-01").write.mode("append").parquet(path)
+    return U.ensure_table(spark, path, COMPANY_INFO)
+
+
 @query("measure_clean")
 def q_measure_clean(spark, sf_dir):
     """F8/F9 scraped measure text -> number ('N/A' -> 0, '' -> 0, commas dropped)."""
@@ -447,11 +476,11 @@ def q_statement_pages(spark, sf_dir):
 
 @query("merge_fundamentals")
 def q_merge_fundamentals(spark, sf_dir):
-    """U2/K6 fundamentals MERGE: every column (reg_dt too) overwritten on match."""
-    rows = FD.cells_to_rows(X.stored_fin_cells(spark, sf_dir))
-    current = FD.with_audit(rows.filter(F.col("ym") < "2000"), OLD_TS)
-    batch = rows.filter(F.col("ym") >= "1999").withColumn("SALES", F.col("SALES") + 1)
-    return _ts_text(U.merge_fundamentals(current, batch, RUN_TS))
+    """U2/K6 fundamentals MERGE: every column (reg_dt too) overwritten on match; only the batch's years are shuffled."""
+    current = FD.with_audit(X.stored_fundamentals(spark, sf_dir).filter(F.col("year") < 2000), OLD_TS)
+    arriving = X.stored_fin_cells(spark, sf_dir).filter(C.period_to_ym("period_header") >= "1999")
+    batch = FD.with_year(FD.cells_to_rows(arriving)).withColumn("SALES", F.col("SALES") + 1)
+    return _ts_text(U.merge_incremental(current, batch, ["year"], U.merge_fundamentals, RUN_TS).drop("year"))
 
 
 @query("html_quotes")

@@ -548,6 +548,28 @@ bb AS (
 {MERGE_BARS_SELECT}
 """
 
+ORACLE["ingest_chain"] = f"""
+WITH {bars_cte()},
+l AS (SELECT DISTINCT CAST(regexp_extract(p_brand, '#([0-9]+)$', 1) AS INTEGER) AS n FROM part),
+b AS (SELECT printf('%06d', CAST(regexp_extract(code, '#([0-9]+)$', 1) AS INTEGER)) AS code, CAST(regexp_extract(code, '#([0-9]+)$', 1) AS INTEGER) AS n,
+             ymd, date, open, high, low, close, volume FROM bars),
+c AS (SELECT * FROM b WHERE date < {CUT}),
+s AS (SELECT * REPLACE (close + 1 AS close) FROM b WHERE date >= DATE '1998-12-07' AND n BETWEEN 10 AND 20),
+rows_ AS (
+  SELECT 'item' AS kind, printf('%06d', n) AS code, CASE WHEN n >= 10 THEN 'COMPANY ' ELSE 'Company ' END || n AS name,
+         CASE WHEN n >= 10 THEN '20210201' ELSE '20210101' END AS ymd, CAST(NULL AS VARCHAR) AS bar,
+         CASE WHEN n <= 15 THEN {OLD_TS} ELSE {RUN_TS} END AS reg_dt, CASE WHEN n BETWEEN 10 AND 15 THEN {RUN_TS} END AS upd_dt
+  FROM l WHERE n <= 20
+  UNION ALL
+  SELECT 'bar', coalesce(c.code, s.code), NULL, coalesce(c.ymd, s.ymd),
+         concat_ws(' ', coalesce(s.open, c.open), coalesce(s.high, c.high), coalesce(s.low, c.low), coalesce(s.close, c.close), coalesce(s.volume, c.volume)),
+         CASE WHEN c.code IS NULL THEN {RUN_TS} ELSE {OLD_TS} END, CASE WHEN s.code IS NULL THEN {OLD_TS} ELSE {RUN_TS} END
+  FROM c FULL OUTER JOIN s ON c.code = s.code AND c.date = s.date)
+SELECT kind, code, name, ymd, bar, {_ts('reg_dt')}, {_ts('upd_dt')} FROM rows_
+"""
+
+ORACLE["create_tables"] = "SELECT printf('%06d', p_partkey) AS code, p_name AS company, DATE '2021-02-01' AS last_update FROM part"
+
 LISTING = """
 listing AS (
   SELECT printf('%06d', p_partkey) AS code, p_name AS name, p_type AS sector, p_brand AS products,

@@ -70,6 +70,12 @@ def exists_local(path: str) -> bool:
     return os.path.exists(local_path(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, in any file system that Spark reaches."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def materialize(df, *name: str, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.

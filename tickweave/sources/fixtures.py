@@ -69,15 +69,35 @@ def stored_fin_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _STORED[key]
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str, name: str, build, **written) -> DataFrame:
     """A table written once per session and data folder."""
     from ..session import materialize
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _STORED:
-        _STORED[key] = materialize(build(), name)
+        _STORED[key] = materialize(build(), name, **written)
     return _STORED[key]
 
 
+def stored_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fundamentals of all cells as the stored table they are in production: partitioned by the year of ``ym``."""
+    from .fundamentals import cells_to_rows, with_year
+    return _stored(spark, sf_dir, "fundamentals", lambda: with_year(cells_to_rows(stored_fin_cells(spark, sf_dir))).repartition("year"), partition_by=["year"])
+
+
+def replay_upserts(spark: SparkSession, current: DataFrame, batches: list[DataFrame], keys=("code", "date"),
+                   ts: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stage ``batches`` as files, in arrival order, and stream them into ``current``, which is partitioned by ``year``."""
+    from ..session import scratch_path
+    from ..streaming.bar_stream import stream_upsert_bars
+    root = scratch_path(spark, "stream")
+    current.write.partitionBy("year").parquet(f"{root}/initial")
+    for b in batches:
+        b.write.mode("append").parquet(f"{root}/incoming")
+    schema = spark.read.parquet(f"{root}/incoming").schema
+    return stream_upsert_bars(spark, f"{root}/incoming", schema, f"{root}/initial", f"{root}/bars", f"{root}/checkpoint", keys,
+                              ts=ts, max_files_per_trigger=max_files_per_trigger)
+
+
 def stored_quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged quote pages of the weekly bars."""
     return _stored(spark, sf_dir, "quote_pages", lambda: render_quote_pages(stored_bars(spark, sf_dir)))
@@ -151,6 +171,20 @@ def listing_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("size"))
 
 
+def listing_code(code: str) -> Column:
+    """A brand as a listed code: its number, padded."""
+    from ..functions.scalar import pad_code
+    return pad_code(brand_number(F.col(code)))
+
+
+def brand_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged listing of the brands, whose codes the bars have (``listing_code``); ``size`` is the number."""
+    n = brand_number(F.col("p_brand"))
+    part = read(spark, sf_dir, "part").groupBy(n.alias("code")).agg(F.min("p_type").alias("sector"), F.min("p_name").alias("products"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("listing_day", "fiscal_month", "ceo", "homepage", "region")]
+    return part.select("code", F.concat(F.lit("Company "), F.col("code").cast("string")).alias("company"), "sector", "products", *none, F.col("code").alias("size"))
+
+
 def measure_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped-looking measure text: thousands separators, 'N/A', empty cells."""
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")

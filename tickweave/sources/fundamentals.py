@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import (clean_measure, empty_to_zero, is_estimate, measure_name,
@@ -41,11 +41,16 @@ def cells_to_rows(cells: DataFrame) -> DataFrame:
         measure_name("measure").alias("_m"),
         clean_measure(empty_to_zero(F.coalesce(F.col("text"), F.lit("")))).alias("_v"))
     c = c.filter(F.col("_m").isNotNull())
-    # the pivot written out: one aggregation for the 28 measures, each with the column it stands in
-    cells_of = [F.max(F.when(F.col("_m") == m, F.struct("pos", "_v"))).alias(m) for m in MEASURES]
-    wide = c.groupBy("code", "ym", "gb").agg(F.max(F.struct("pos", "_est")).alias("_last"), *cells_of)
-    of_last = [F.when(F.col(f"{m}.pos") == F.col("_last.pos"), F.col(f"{m}._v")).alias(m) for m in MEASURES]
-    return wide.select("code", "ym", "gb", F.col("_last._est").alias("is_estimate"), *of_last)
+    # the pivot written out: a statement is one column of the page, 28 maxima of plain doubles
+    cells_of = [F.max(F.when(F.col("_m") == m, F.col("_v"))).alias(m) for m in MEASURES]
+    columns = c.groupBy("code", "ym", "gb", "pos").agg(F.max("_est").alias("is_estimate"), *cells_of)
+    last = F.max("pos").over(Window.partitionBy("code", "ym", "gb"))
+    return columns.withColumn("_last", last).where(F.col("pos") == F.col("_last")).select("code", "ym", "gb", "is_estimate", *MEASURES)
+
+
+def with_year(rows: DataFrame) -> DataFrame:
+    """``year`` of ``ym`` (0 where it has none): the partition column of stored fundamentals."""
+    return rows.withColumn("year", F.coalesce(F.substring("ym", 1, 4).try_cast("int"), F.lit(0)))
 
 
 def quarantine(cells: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,12 +5,13 @@ bars table by key, however old the bar (no lateness cut-off, as the daily
 re-runs of the source behave): with audit columns a matched bar keeps
 ``reg_dt`` and gets ``upd_dt`` (U2), without them the last write wins (U1).
 
-A batch writes ``<root>/v=<batch_id>/<partition>=...`` for the partitions it
-touches, and nothing else: what a batch writes follows the batch, not the
-table.  The table is, for each partition, its newest version, and the initial
-table where there is none.  A batch replayed after a failure reads only older
-versions and writes the same files again, so the sink is idempotent by batch
-id.  A run without new files leaves the table as it is.
+A batch writes the partitions it touches as a new version and commits them with
+a manifest (``sources.versions``): what a batch writes follows the batch, not
+the table, and a batch that dies half-way is never read.  The table is, for each
+partition, the version that the newest manifest names, and the initial table
+where there is none.  A batch that comes again after its commit changes nothing;
+one that died before it runs again from the same state, so the sink is
+idempotent by batch id.  Old versions go with ``Versions.vacuum``.
 
 Row windows (lag, rolling frames) are not allowed on a streaming frame;
 indicators for the touched codes are recomputed from the table with the batch
@@ -21,35 +22,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.upsert import SEQ, latest_per_key, merge_bars, touched, upsert
-from ..session import scratch_path
+from ..sources.versions import Versions
 
 
 def table_now(spark: SparkSession, initial_table: str, table_root: str, partition_cols: Sequence[str] = ("year",),
               before: int | None = None) -> DataFrame:
     """The table after all batches (or those below ``before``)."""
-    initial = spark.read.parquet(initial_table)
-    try:
-        versions = spark.read.option("basePath", table_root).parquet(table_root)
-    except AnalysisException:  # no batch has written yet
-        return initial
-    if before is not None:
-        versions = versions.filter(F.col("v") < before)
-    keys = list(partition_cols)
-    # partition columns alone: one row per partition value
-    newest = versions.select("v", *keys).groupBy(*keys).agg(F.max("v").alias("v"))
-    kept = versions.join(newest, [*keys, "v"], "left_semi").select(*initial.columns)
-    return initial.join(newest.select(*keys), keys, "left_anti").select(*initial.columns).unionByName(kept)
+    return Versions(spark, table_root).table(spark.read.parquet(initial_table), "", list(partition_cols), before)
 
 
 def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructType, initial_table: str, table_root: str,
                        checkpoint: str, keys: Sequence[str] = ("code", "date"), partition_cols: Sequence[str] = ("year",),
-                       ts: str | None = None, max_files_per_trigger: int | None = None, on_snapshot=None) -> DataFrame:
+                       ts: str | None = None, max_files_per_trigger: int | None = None, on_snapshot=None, vacuum_keep: int | None = None) -> DataFrame:
     """Drain ``source_dir`` into the table under ``table_root``; returns the table.
 
     ``schema`` is the staged file schema (a ``_seq`` arrival number included);
@@ -59,18 +47,23 @@ def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructTyp
     with audit stamps.  All files at hand make one batch unless
     ``max_files_per_trigger`` says otherwise.  ``on_snapshot(table, touched_codes,
     batch_id)`` runs after each batch (e.g. ``refresh_for_codes`` + a write).
+    ``vacuum_keep`` drops versions that the newest so many manifests do not name.
     """
-    parts = list(partition_cols)
+    parts, versions = list(partition_cols), Versions(spark, table_root)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current = table_now(spark, initial_table, table_root, parts, before=batch_id)
-        old = touched(current, batch, parts)
-        if ts is not None:
-            rows = latest_per_key(batch.select(*[c for c in current.columns if c in batch.columns], SEQ), keys).drop(SEQ)
-            merged = merge_bars(old, rows, ts)
-        else:
-            merged = upsert(old, batch.select(*current.columns, SEQ), list(keys))
-        merged.write.mode("overwrite").partitionBy(*parts).parquet(f"{table_root.rstrip('/')}/v={batch_id:010d}")
+        if batch_id not in versions.batches():
+            current = table_now(spark, initial_table, table_root, parts, before=batch_id)
+            old = touched(current, batch, parts)
+            if ts is not None:
+                rows = latest_per_key(batch.select(*[c for c in current.columns if c in batch.columns], SEQ), keys).drop(SEQ)
+                merged = merge_bars(old, rows, ts)
+            else:
+                merged = upsert(old, batch.select(*current.columns, SEQ), list(keys))
+            merged.write.mode("overwrite").partitionBy(*parts).parquet(versions.folder(batch_id))
+            versions.commit(batch_id, {"": versions.written(batch_id, depth=len(parts))})
+            if vacuum_keep is not None:
+                versions.vacuum(vacuum_keep)
         if on_snapshot is not None:
             on_snapshot(table_now(spark, initial_table, table_root, parts), touched_codes(batch), batch_id)
 
@@ -87,23 +80,6 @@ def stream_upsert_bars(spark: SparkSession, source_dir: str, schema: T.StructTyp
     return table_now(spark, initial_table, table_root, parts)
 
 
-def stage_batches(batches: Sequence[DataFrame], source_dir: str) -> None:
-    """Write staged batches as files, in arrival order."""
-    for b in batches:
-        b.write.mode("append").parquet(source_dir)
-
-
-def replay_upserts(spark: SparkSession, current: DataFrame, batches: Sequence[DataFrame], keys: Sequence[str] = ("code", "date"),
-                   ts: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stage ``batches`` and stream them into ``current``, which is partitioned by ``year``."""
-    root = scratch_path(spark, "stream")
-    current.write.partitionBy("year").parquet(f"{root}/initial")
-    stage_batches(batches, f"{root}/incoming")
-    schema = spark.read.parquet(f"{root}/incoming").schema
-    return stream_upsert_bars(spark, f"{root}/incoming", schema, f"{root}/initial", f"{root}/bars", f"{root}/checkpoint", keys,
-                              ts=ts, max_files_per_trigger=max_files_per_trigger)
-
-
 def touched_codes(batch: DataFrame) -> DataFrame:
     return batch.select("code").distinct()
 
