@@ -29,16 +29,22 @@ def universe_codes(universe: DataFrame) -> DataFrame:
 
 
 def universe_blocks(universe: DataFrame) -> DataFrame:
-    """(block, codes): the universe dealt into blocks of some ``BLOCK`` codes, each in code order."""
+    """(block, codes, n_blocks): the universe dealt into blocks of some ``BLOCK`` codes, each in code order.
+
+    Written once, so that weights, statistics and scores share it; a universe
+    that is in blocks already is returned as it is.
+    """
+    if "codes" in universe.columns:
+        return universe
     codes = universe_codes(universe)
-    n_blocks = _n_blocks(codes)
-    return (codes.withColumn("_n", n_blocks).select(F.pmod(F.xxhash64("code"), F.col("_n")).cast("int").alias("block"), "code")
-                 .groupBy("block").agg(F.sort_array(F.collect_list("code")).alias("codes")))
+    n = _n_blocks(codes)
+    dealt = codes.withColumn("n_blocks", n).select(F.pmod(F.xxhash64("code"), F.col("n_blocks")).cast("int").alias("block"), "code", "n_blocks")
+    return materialize(dealt.groupBy("block", "n_blocks").agg(F.sort_array(F.collect_list("code")).alias("codes")).select("block", "codes", "n_blocks"), "universe")
 
 
 def _n_blocks(codes: DataFrame) -> Column:
     """The number of blocks that distinct ``codes`` are dealt into (scalar)."""
-    return codes.select(F.greatest(F.ceil(F.count("code") / BLOCK), F.lit(1)).cast("bigint")).scalar()
+    return codes.select(F.greatest(F.ceil(F.count("code") / BLOCK), F.lit(1)).cast("int")).scalar()
 
 
 def _first_code(universe: DataFrame):
@@ -195,7 +201,7 @@ def covariance(rets: DataFrame) -> DataFrame:
     dealt = valid.withColumn("_n", _n_blocks(valid.select("code").distinct()))
     dealt = dealt.select("code", "k", "ret", "_n", F.pmod(F.xxhash64("code"), F.col("_n")).cast("int").alias("b"))
     # a block meets every block: as row block from itself on, as column block before
-    pairs = F.transform(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")),
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_n") - 1),
                         lambda o: F.struct(F.least(F.col("b"), o).alias("bi"), F.greatest(F.col("b"), o).alias("bj")))
     part = F.floor(F.col("k") / PART_DATES).cast("int").alias("part")
     rows = dealt.withColumn("p", F.explode(pairs)).select("p.bi", "p.bj", part, "b", "code", "k", "ret")
@@ -219,10 +225,11 @@ def candidate_weights(spark: SparkSession, universe: DataFrame, n: int = 20000)
     md5 of (id, code), so a vector does not depend on partitioning or on the
     engine that computes it.
     """
+    ids = spark.range(n).select(F.col("id").alias("portfolio_id"))
+    # every id with every block: an equi join on a block number that both sides enumerate
     blocks = universe_blocks(universe)
-    n_blocks = _n_blocks(universe_codes(universe))
-    ids = spark.range(n).select(F.col("id").alias("portfolio_id"), n_blocks.alias("_n"))
-    ids = ids.select("portfolio_id", F.explode(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int"))).alias("block"))
+    n_blocks = blocks.select(F.max("n_blocks")).scalar()
+    ids = ids.withColumn("_n", n_blocks).select("portfolio_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("block"))
     raw = ids.join(blocks, "block").select("portfolio_id", "block", F.transform("codes", lambda c: _uniform(F.col("portfolio_id"), c)).alias("_u"))
     total = F.sum(F.aggregate(F.col("_u"), F.lit(0.0), lambda acc, x: acc + x)).over(Window.partitionBy("portfolio_id"))
     return raw.withColumn("_total", total).select("portfolio_id", "block", F.transform("_u", lambda x: x / F.col("_total")).alias("weights"))
@@ -246,10 +253,8 @@ def _statistics(annual: DataFrame, cov: DataFrame, universe: DataFrame) -> DataF
     entries = cov.join(side("i"), "code_i").join(side("j"), "code_j").where(F.col("bi") <= F.col("bj"))
     sigma = entries.groupBy("bi", "bj").agg(F.collect_list(F.struct("at_i", "at_j", "cov")).alias("sigma"))
     mu = annual.join(place, "code").groupBy("block").agg(F.collect_list(F.struct("at", "annual_ret")).alias("mu"))
-    size = blocks.select("block", F.size("codes").alias("n"))
-    n_blocks = _n_blocks(universe_codes(universe))
-    pairs = size.select(F.col("block").alias("bi"), F.col("n").alias("n_i"), n_blocks.alias("_n"))
-    pairs = pairs.select("bi", "n_i", F.explode(F.sequence(F.col("bi"), (F.col("_n") - 1).cast("int"))).alias("bj"))
+    size = blocks.select("block", F.size("codes").alias("n"), "n_blocks")
+    pairs = size.select(F.col("block").alias("bi"), F.col("n").alias("n_i"), F.explode(F.sequence(F.col("block"), F.col("n_blocks") - 1)).alias("bj"))
     pairs = pairs.join(size.select(F.col("block").alias("bj"), F.col("n").alias("n_j")), "bj")
     return pairs.join(sigma, ["bi", "bj"], "left").join(mu.withColumnRenamed("block", "bi"), "bi", "left").select("bi", "bj", "n_i", "n_j", "sigma", "mu")
 
@@ -284,15 +289,17 @@ def portfolio_scores(weights: DataFrame, annual: DataFrame, cov: DataFrame,
     the upper pairs of blocks; a candidate with a weight on a code without
     statistics has NULL scores.
     """
-    count = weights.where("block = 0").agg(F.count(F.lit(1)))
-    chunks = count.select(F.greatest(F.ceil(F.col("count(1)") * BLOCK / CHUNK_WEIGHTS), F.lit(1)).cast("int").alias("c")).scalar()
-    n_blocks = _n_blocks(universe_codes(universe))
+    blocks = universe_blocks(universe)
+    n_blocks = blocks.select(F.max("n_blocks")).scalar()
+    # candidates of one block: what a chunk is counted from
+    count = weights.where("block = 0").agg(F.count(F.lit(1)).alias("n"))
+    chunks = count.select(F.greatest(F.ceil(F.col("n") * BLOCK / CHUNK_WEIGHTS), F.lit(1)).cast("int")).scalar()
     own = weights.withColumns({"_c": chunks, "_n": n_blocks})
-    pairs = F.transform(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")),
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_n") - 1),
                         lambda o: F.struct(F.least(F.col("block"), o).alias("bi"), F.greatest(F.col("block"), o).alias("bj")))
     dealt = own.withColumn("p", F.explode(pairs)).select("p.bi", "p.bj", F.pmod(F.xxhash64("portfolio_id"), F.col("_c")).cast("int").alias("chunk"),
                                                          "block", "portfolio_id", "weights")
-    stats = _statistics(annual, cov, universe).withColumn("_c", chunks)
+    stats = _statistics(annual, cov, blocks).withColumn("_c", chunks)
     stats = stats.select("bi", "bj", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("chunk"), "n_i", "n_j", "sigma", "mu")
     keys = ["bi", "bj", "chunk"]
     parts = dealt.groupBy(*keys).cogroup(stats.groupBy(*keys)).applyInPandas(_score_pair, "portfolio_id long, risk double, returns double")

@@ -186,7 +186,7 @@ BAR_COLS = ["code", "date", "ymd", "open", "high", "low", "close", "volume"]
 
 
 def _items(spark, sf_dir):
-    return X.items(spark, sf_dir)
+    return X.stored_items(spark, sf_dir)
 
 
 @query("price_scan")
@@ -305,21 +305,18 @@ def q_covariance(spark, sf_dir):
     return _round(P.covariance(_rets(spark, sf_dir)))
 
 
-def _weights(spark, sf_dir):
-    return P.candidate_weights(spark, _items(spark, sf_dir).select("code"), N_CANDIDATES)
-
-
 @query("candidate_weights")
 def q_candidate_weights(spark, sf_dir):
     """M4/F14 20,000 normalised md5-uniform weight vectors over all master codes."""
-    long = P.long_weights(_weights(spark, sf_dir), _items(spark, sf_dir).select("code"))
+    uni = P.universe_blocks(_items(spark, sf_dir).select("code"))
+    long = P.long_weights(P.candidate_weights(spark, uni, N_CANDIDATES), uni)
     return long.withColumn("weight", F.round("weight", WEIGHT_PLACES))
 
 
 def _scores(spark, sf_dir):
     rets = _rets(spark, sf_dir)
-    uni = _items(spark, sf_dir).select("code")
-    return P.portfolio_scores(_weights(spark, sf_dir), P.annual_returns(rets), P.covariance(rets), uni)
+    uni = P.universe_blocks(_items(spark, sf_dir).select("code"))
+    return P.portfolio_scores(P.candidate_weights(spark, uni, N_CANDIDATES), P.annual_returns(rets), P.covariance(rets), uni)
 
 
 @query("portfolio_scores")

@@ -98,6 +98,11 @@ def replay_upserts(spark: SparkSession, current: DataFrame, batches: list[DataFr
                               ts=ts, max_files_per_trigger=max_files_per_trigger)
 
 
+def stored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The security master as the stored table it is in production."""
+    return _stored(spark, sf_dir, "items", lambda: items(spark, sf_dir))
+
+
 def stored_quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged quote pages of the weekly bars."""
     return _stored(spark, sf_dir, "quote_pages", lambda: render_quote_pages(stored_bars(spark, sf_dir)))
