@@ -62,5 +62,5 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("covered"))
     left = F.when(F.col("covered").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
     n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
-    return rows.select(*[left.alias(c) if c == text_col else F.col(f"row_in.`{c}`") for c in own if c not in ("n_lines", "n_removed") or c in (text_col, id_col)],
+    return rows.select(*[left.alias(c) if c == text_col else F.col(f"row_in.`{c}`") for c in own if c.lower() not in ("n_lines", "n_removed") or c in (text_col, id_col)],
                        n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"))

@@ -2,13 +2,18 @@
 
 Rules count words (``[^\\x20\\x09-\\x0D]+``), signs, repeated lines and words
 in repeated eight-word windows.  The language model is a modified Kneser-Ney
-model over characters of the lower-cased text, one per language, counted by
-Spark over all documents: each task counts its own n-grams, Spark adds them
-up, and continuation counts, discounts and interpolated probabilities are
-DataFrame aggregations.  The model is stored as sorted arrays of 64-bit hashes
-with log probabilities.
-
-Scoring looks each n-gram of a document up by binary search.  The arrays are
+model over characters of the lower-cased text, counted by Spark over all
+documents: each task counts its own n-grams, Spark adds them up, and
+continuation counts, discounts and interpolated probabilities are DataFrame
+aggregations.  A language has two models, each counted from one half of its
+documents (by hash of the text, so that copies stay together), and a document
+is scored by the half that it is not in: its own counts never speak for it.
+
+The model is stored as sorted arrays of 64-bit hashes.  A seen n-gram holds the
+log of its probability over what its context would leave it, a seen context the
+log of what it leaves to the next lower order; a symbol's log probability is
+then a plain sum over all orders, whatever was seen.  Scoring looks the
+distinct n-grams of a chunk of texts up by binary search.  The arrays are
 cut into slices of at most ``slice_entries`` entries by hash range; one slice
 at a time is sent to the tasks, and documents' partial sums are added up, so
 what a task holds stays bounded however large the model becomes.
@@ -22,7 +27,8 @@ Symbols are code points below 0xF00 and, above, 256 classes of code points;
 digits count as one, and any white space as one.
 
 Defined results: a null text has no words and fails the base rules; a null
-language is a language of its own; repeated rows are counted and judged each;
+language is a language of its own; repeated rows are counted and judged each; a
+language whose other half holds no text has no perplexity there, and no band rejects;
 an empty table gives no rows; columns clashing with those added give way.
 """
 
@@ -43,6 +49,8 @@ BITS = 12
 CHUNK = 1 << 20
 #: Entries of a task's n-gram counts that it holds before it hands them on.
 HELD_COUNTS = 2_000_000
+#: Least weight that a context leaves to the lower orders, where its discounts come to nothing.
+LEAST_LEFT = 1e-6
 #: The signs that count as symbols.
 SIGNS = b"#*$%&|<>"
 WINDOW_WORDS = 8
@@ -132,9 +140,13 @@ def _merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
     return key[edge], np.add.reduceat(count, edge) if len(edge) else count
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, gram, p): interpolated modified Kneser-Ney probability of each n-gram seen.
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """Interpolated modified Kneser-Ney: (grams, contexts).
 
+    ``grams`` has (lang, n, gram, p, rest) for each n-gram seen, at every order:
+    its probability, and what its context leaves it without its own count.
+    ``contexts`` has (lang, n, context, left, kinds): the weight a context
+    leaves to the next lower order, and the language's number of n-grams.
     Orders below the top count how many symbols precede an n-gram; the
     discounts of an order follow from how many of its n-grams count 1 to 4.
     The lowest order is interpolated with an even share of the symbols seen.
@@ -143,54 +155,78 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     for n in range(order - 1, 0, -1):
         low = F.col("gram").bitwiseAND((1 << (BITS * n)) - 1).alias("gram")
         levels[n] = materialize(levels[n + 1].groupBy("lang", low).agg(F.count(F.lit(1)).alias("c")), "perplexity")
-    lower = None
+    grams = contexts = lower = None
     for n in range(1, order + 1):
         rows = levels[n]
         context = F.shiftright("gram", BITS).alias("context")
         tally = rows.groupBy("lang").agg(*[F.sum((F.col("c") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)], F.count(F.lit(1)).alias("kinds"))
         y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
         cut = [F.least(F.lit(float(k)), F.greatest(F.lit(0.0), F.coalesce(k - (k + 1) * y * F.try_divide(F.col(f"t{k + 1}"), F.col(f"t{k}")), F.lit(0.5)))).alias(f"d{k}") for k in (1, 2, 3)]
-        discount = F.broadcast(tally.select(F.col("lang").alias("of"), "kinds", *cut))  # one row per language
+        discount = F.broadcast(tally.select(F.col("lang").alias("of"), "kinds", *cut))  # one row per language and half
         own = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         rows = rows.select("lang", "gram", "c", context).join(discount, F.col("lang").eqNullSafe(F.col("of"))).withColumn("d", own)
         rows = rows.select("lang", "gram", "c", "context", "d", "kinds")
-        total = rows.groupBy(F.col("lang").alias("l"), F.col("context").alias("x")).agg(F.sum("c").alias("total"), F.sum("d").alias("mass"))
-        rows = rows.join(total, F.col("lang").eqNullSafe(F.col("l")) & (F.col("context") == F.col("x")))
+        total = rows.groupBy(F.col("lang").alias("l"), F.col("context").alias("x")).agg(F.sum("c").alias("total"), F.sum("d").alias("mass"), F.first("kinds").alias("k"))
+        total = materialize(total.withColumn("left", F.greatest(F.col("mass") / F.col("total"), F.lit(LEAST_LEFT))), "perplexity")
+        rows = rows.join(total.drop("k"), F.col("lang").eqNullSafe(F.col("l")) & (F.col("context") == F.col("x")))
         if lower is None:
             below = 1 / F.col("kinds")
         else:
             suffix = F.col("gram").bitwiseAND((1 << (BITS * (n - 1))) - 1)
             rows = rows.join(lower, F.col("lang").eqNullSafe(F.col("low_lang")) & (suffix == F.col("low")))
             below = F.col("low_p")
-        p = (F.col("c") - F.col("d") + F.col("mass") * below) / F.col("total")
-        rows = materialize(rows.select("lang", "gram", p.alias("p")), "perplexity")
+        rest = F.col("left") * below
+        rows = materialize(rows.select("lang", F.lit(n).alias("n"), "gram", ((F.col("c") - F.col("d")) / F.col("total") + rest).alias("p"), rest.alias("rest")), "perplexity")
         lower = rows.select(F.col("lang").alias("low_lang"), F.col("gram").alias("low"), F.col("p").alias("low_p"))
-    return rows
+        of = total.select(F.col("l").alias("lang"), F.lit(n).alias("n"), F.col("x").alias("context"), "left", F.col("k").alias("kinds"))
+        grams, contexts = (rows, of) if grams is None else (grams.unionByName(rows), contexts.unionByName(of))
+    return grams, contexts
 
 
-def _key(lang: str | None, packed: np.ndarray) -> np.ndarray:
-    """64-bit hash of an n-gram of a language."""
-    name = np.frombuffer(("" if lang is None else "=" + lang).encode(), np.uint8)
+def _key(lang: str | None, tag: int, packed: np.ndarray) -> np.ndarray:
+    """64-bit hash of an n-gram (``tag`` its order) or a context (``tag`` its order, negative) of a language."""
+    name = np.frombuffer(f"{tag}{'' if lang is None else '=' + lang}".encode(), np.uint8)
     seed = span_hash(prefix_hash(name), np.array([0]), np.array([len(name)]))
     return mix(packed ^ seed)
 
 
-def hash_arrays(model: DataFrame) -> DataFrame:
+def hash_arrays(grams: DataFrame, contexts: DataFrame) -> DataFrame:
     """(h, logp): the model's entries under their hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(0)
-            gram = batch.column(1).to_numpy().astype(np.uint64)
+            gram = batch.column(2).to_numpy().astype(np.uint64)
             h = np.zeros(len(gram), np.uint64)
-            for lang in langs.unique().to_pylist():
-                of = langs.is_null() if lang is None else pa.compute.fill_null(pa.compute.equal(langs, lang), False)
-                of = of.to_numpy(zero_copy_only=False)
-                h[of] = _key(lang, gram[of])
-            logp = np.log(np.maximum(batch.column(2).to_numpy(), 1e-300)).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(logp)], names=["h", "logp"])
-
-    ship_package(model.sparkSession)
-    return model.mapInArrow(run, "h long, logp float")
+            for lang, rows in _by_model(batch.column(0)):
+                tags = batch.column(1).to_numpy()
+                for tag in np.unique(tags[rows]).tolist():
+                    of = rows & (tags == tag)
+                    h[of] = _key(lang, tag, gram[of])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(batch.column(3).to_numpy().astype(np.float32))], names=["h", "logp"])
+
+    ship_package(grams.sparkSession)
+    seen = grams.select("lang", "n", "gram", F.log(F.col("p") / F.col("rest")).alias("value"))
+    left = contexts.select("lang", (-F.col("n")).alias("n"), F.col("context").alias("gram"), F.log("left").alias("value"))
+    return seen.unionByName(left).mapInArrow(run, "h long, logp float")
+
+
+def _by_model(langs: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
+    for lang in langs.unique().to_pylist():
+        of = langs.is_null() if lang is None else pa.compute.fill_null(pa.compute.equal(langs, lang), False)
+        yield lang, of.to_numpy(zero_copy_only=False)
+
+
+def log_sums(lang: str | None, packed: np.ndarray, keys: np.ndarray, logs: np.ndarray, order: int) -> np.ndarray:
+    """What the entries in ``keys`` (sorted) say of each n-gram: seen suffixes and contexts of all orders, added up."""
+    out = np.zeros(len(packed))
+    if not len(keys):
+        return out
+    for n in range(1, order + 1):
+        suffix = packed & np.uint64((1 << (BITS * n)) - 1)
+        for tag, part in ((n, suffix), (-n, suffix >> np.uint64(BITS))):
+            key = _key(lang, tag, part).view(np.int64)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            out += np.where(keys[at] == key, logs[at], 0.0)
+    return out
 
 
 def base_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -269,13 +305,8 @@ def _scored(docs: DataFrame, part: tuple | None, first: bool, order: int) -> Dat
                         by.setdefault(langs[i + k], []).append(k)
                 for lang, some in by.items():
                     packed, off = grams([texts[k] for k in some], order)
-                    key = _key(lang, packed).view(np.int64)
-                    sort = np.argsort(key)
-                    ordered, value = key[sort], np.zeros(len(key))
-                    if len(keys):
-                        at = np.minimum(np.searchsorted(keys, ordered), len(keys) - 1)
-                        value[sort] = np.where(keys[at] == ordered, logs[at], 0.0)
-                    running = np.concatenate(([0.0], np.cumsum(value)))
+                    kinds, at = np.unique(packed, return_inverse=True)
+                    running = np.concatenate(([0.0], np.cumsum(log_sums(lang, kinds, keys, logs, order)[at])))
                     total[np.array(some) + i] = running[off[1:]] - running[off[:-1]]
                     count[np.array(some) + i] = np.diff(off)
             columns = [batch.column(0), batch.column(1), pa.array(total)]
@@ -291,7 +322,7 @@ def _scored(docs: DataFrame, part: tuple | None, first: bool, order: int) -> Dat
 
 
 def measured(docs: DataFrame, arrays: DataFrame, slice_entries: int, order: int = ORDER) -> DataFrame:
-    """Base counts and log perplexity per character of each document, one pass per slice of the model."""
+    """Base counts and summed entries (``logp``) of each document, one pass per slice of the model."""
     total = arrays.count()
     n_slices = max(1, -(-total * 5 // (slice_entries * 4)))  # a quarter of room: hash ranges are even, not equal
     width = (1 << 64) // n_slices + 1
@@ -311,7 +342,7 @@ def measured(docs: DataFrame, arrays: DataFrame, slice_entries: int, order: int
         more = more.groupBy(F.col("doc_id").alias("more_id"), F.col("row_key").alias("more_key")).agg(F.sum("more").alias("more"))
         rows = rows.join(more, F.col("doc_id").eqNullSafe(F.col("more_id")) & (F.col("row_key") == F.col("more_key")), "left")
         rows = rows.withColumn("logp", F.col("logp") + F.coalesce("more", F.lit(0.0))).drop("more", "more_id", "more_key")
-    return rows.withColumn("log_perplexity", F.try_divide(-F.col("logp"), F.col("n_chars_scored"))).drop("logp", "row_key")
+    return rows.drop("row_key")
 
 
 def judge(docs: DataFrame, band: float = 6.0, margin: float = 0.25, short_margin: float = 4.0, slice_entries: int = 4_000_000, order: int = ORDER,
@@ -320,9 +351,18 @@ def judge(docs: DataFrame, band: float = 6.0, margin: float = 0.25, short_margin
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(*[F.col(f"`{c}`") for c in (id_col, lang_col, text_col)]).alias("row_key"),
                        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    model = kneser_ney(materialize(counted(rows, order), "perplexity"), order)
-    arrays = materialize(hash_arrays(model), "perplexity", sort_by=["h"])
-    rows = materialize(measured(rows, arrays, slice_entries, order), "perplexity")
+    # a text is counted for the other half's model and scored by its own half's: names of models stand in for languages
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    name = (lambda k: F.concat(F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")), F.lit("#"), k.cast("string")))
+    counts = materialize(counted(rows.select(name(1 - half).alias("lang"), "text"), order), "perplexity")
+    grams, contexts = kneser_ney(counts, order)
+    arrays = materialize(hash_arrays(grams, contexts), "perplexity", sort_by=["h"])
+    scored = measured(rows.withColumn("lang", name(half)), arrays, slice_entries, order).withColumnRenamed("lang", "model")
+    models = contexts.where("n = 1").select(F.col("lang").alias("model"), "kinds")  # one row per language and half
+    # every symbol's sum ends in an even share of the symbols seen
+    value = F.try_divide(F.col("n_chars_scored") * F.log(F.col("kinds").cast("double")) - F.col("logp"), F.col("n_chars_scored"))
+    lang = F.expr("if(startswith(model, '='), substr(model, 2, char_length(model) - 3), null)")
+    rows = materialize(scored.join(models, "model", "left").withColumns({"lang": lang, "log_perplexity": value}).drop("logp", "model", "kinds"), "perplexity")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     q = F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10_000)
@@ -332,5 +372,5 @@ def judge(docs: DataFrame, band: float = 6.0, margin: float = 0.25, short_margin
     rows = rows.join(F.broadcast(bands), F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")  # one row per language
     wider = F.coalesce(F.try_divide(F.lit(short_margin), F.sqrt(F.col("n_chars_scored"))), F.lit(0.0))
     rows = rows.withColumns({"band_low": F.col("band_low") - wider, "band_high": F.col("band_high") + wider})
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(False))
+    inside = F.coalesce(F.col("log_perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(True))
     return rows.withColumn("kept", ~F.col("base_failed") & inside)

@@ -100,7 +100,7 @@ def shards(docs: DataFrame, limit: int, text_col: str = "text", id_col: str = "d
         cut = _numbered_parts(placed.where(F.col("shard_bytes") > limit).select(*names), limit)
         placed = placed.where(F.col("shard_bytes") <= limit).unionByName(cut.select(*names, "part"))
     bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.expr(f"substr(lpad(bin(prefix << ({HASH_BITS} - depth)), {HASH_BITS}, '0'), 1, depth)"))
-    return placed.select(*[F.col(f"row_in.`{c}`") for c in own if c not in ("shard", "part", "depth", "n_bytes", "shard_bytes")],
+    return placed.select(*[F.col(f"row_in.`{c}`") for c in own if c.lower() not in ("shard", "part", "depth", "n_bytes", "shard_bytes")],
                          bits.alias("shard"), "part", "depth", "n_bytes", "shard_bytes")
 
 

@@ -377,7 +377,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
     Bytes of a character that is cut in two are dropped with it.
     """
-    own = [c for c in docs.columns if c not in ("n_removed", "n_spans") or c in (text_col, id_col)]
+    own = [c for c in docs.columns if c.lower() not in ("n_removed", "n_spans") or c in (text_col, id_col)]
     rows = docs.select(*[F.col(f"`{c}`") for c in own])
     text_at = own.index(text_col)
 

@@ -224,15 +224,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, lexicon
     trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, seed=11)
     trees = trees.fit(table.where(~F.col("curve")))
     margins = trees.transform(table.where(F.col("curve"))).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
+    # trees leave few different margins, and one may hold most rows: equal ones are one weighted point
+    margins = margins.groupBy("margin").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("rows"), F.count_distinct("label").alias("kinds"))
     share = counts.get(1, 0) / sum(counts.values())
-    n_curve = margins.select(F.count_distinct("label").alias("n")).first()["n"]
-    curve = IsotonicRegression(featuresCol="margin", labelCol="label").fit(margins) if n_curve == 2 else None
+    spread = margins.agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("kinds").alias("kinds")).first()
+    both = spread["kinds"] is not None and (spread["kinds"] == 2 or spread["low"] != spread["high"])
+    curve = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="rows").fit(margins) if both else None
     return {"share": share, "lexicon": lexicon, "weights": weights, "words": words, "trees": trees, "curve": curve}
 
 
 def score(docs: DataFrame, model: dict, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The documents with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on)."""
-    own = [c for c in docs.columns if c not in ("score", "predicted", "features", "vector", "rawPrediction", "probability", "prediction", "margin") or c == text_col]
+    added = {"score", "predicted", "features", "vector", "rawprediction", "probability", "prediction", "margin", "calibrated"}
+    own = [c for c in docs.columns if c.lower() not in added or c == text_col]
     docs = docs.select(*[F.col(f"`{c}`") for c in own])
     if "trees" not in model:
         scored = docs.withColumn("score", F.lit(float(model["share"])))
