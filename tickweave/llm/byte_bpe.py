@@ -103,21 +103,25 @@ class _Chunk:
     """Documents of one chunk as word numbers, and the words in order of first sight."""
 
     def __init__(self, number: int):
-        self.number, self.size = number, 0
+        self.number, self.size, self.rows = number, 0, 0
         self.words: defaultdict = defaultdict()
         self.words.default_factory = self.words.__len__
         self.ids: list = []
         self.positions: list[bytes] = []
 
-    def add(self, doc_id, text: str | None, pattern) -> None:
+    def add(self, doc_id, text: str | None, pattern, words_only: bool) -> None:
         found = pattern.findall(text) if text else []
+        if words_only:
+            for word in dict.fromkeys(found):
+                self.words[word]
+            return
         numbers = np.fromiter(map(self.words.__getitem__, found), np.uint32, len(found))
         planes = numbers.view(np.uint8).reshape(-1, 4).T  # little end first; the planes compress well
         self.ids.append(doc_id)
         self.positions.append(np.ascontiguousarray(planes).tobytes())
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], pattern) -> Iterator[_Chunk]:
+def _chunks(batches: Iterator[pa.RecordBatch], pattern, words_only: bool = False) -> Iterator[_Chunk]:
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
@@ -129,9 +133,10 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern) -> Iterator[_Chunk]:
                 yield chunk
                 number += 1
                 chunk = _Chunk(number)
-            chunk.add(doc_id, text, pattern)
+            chunk.add(doc_id, text, pattern, words_only)
+            chunk.rows += 1
             chunk.size += size
-    if chunk.ids:
+    if chunk.rows:
         yield chunk
 
 
@@ -140,7 +145,7 @@ def _word_requests(pattern_text: str, buckets: int):
     from zlib import crc32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, pre_token_pattern(pattern_text)):
+        for chunk in _chunks(batches, pre_token_pattern(pattern_text), words_only=True):
             raw = [w.encode() for w in chunk.words]
             bucket = np.fromiter((crc32(w) % buckets for w in raw), np.int32, len(raw))
             order = np.argsort(bucket, kind="stable")
