@@ -216,16 +216,28 @@ def _by_model(langs: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
 
 
 def log_sums(lang: str | None, packed: np.ndarray, keys: np.ndarray, logs: np.ndarray, order: int) -> np.ndarray:
-    """What the entries in ``keys`` (sorted) say of each n-gram: seen suffixes and contexts of all orders, added up."""
-    out = np.zeros(len(packed))
-    if not len(keys):
+    """What the entries in ``keys`` (sorted) say of each n-gram: seen suffixes and contexts of all orders, added up.
+
+    ``packed`` holds distinct n-grams; there are ever fewer suffixes and
+    contexts, so each order looks up its own distinct ones.
+    """
+    if not len(keys) or not len(packed):
+        return np.zeros(len(packed))
+
+    def found(tag: int, part: np.ndarray) -> np.ndarray:
+        key = _key(lang, tag, part).view(np.int64)
+        sort = np.argsort(key)
+        key = key[sort]
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        out = np.empty(len(key))
+        out[sort] = np.where(keys[at] == key, logs[at], 0.0)
         return out
-    for n in range(1, order + 1):
-        suffix = packed & np.uint64((1 << (BITS * n)) - 1)
-        for tag, part in ((n, suffix), (-n, suffix >> np.uint64(BITS))):
-            key = _key(lang, tag, part).view(np.int64)
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            out += np.where(keys[at] == key, logs[at], 0.0)
+
+    contexts, place = np.unique(packed >> np.uint64(BITS), return_inverse=True)
+    out = found(order, packed) + found(-order, contexts)[place]
+    if order > 1:
+        lower, place = np.unique(packed & np.uint64((1 << (BITS * (order - 1))) - 1), return_inverse=True)
+        out += log_sums(lang, lower, keys, logs, order - 1)[place]
     return out
 
 
