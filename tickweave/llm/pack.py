@@ -31,10 +31,11 @@ from tickweave.session import materialize, ship_package
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
-#: Distinct words whose ids a task keeps, and those that its worker keeps for the next task (the
-#: first ones met, so the frequent ones); they bound memory, not results.
+#: Distinct words whose ids a task keeps, and those that stay for the worker's next task (the first
+#: ones met, so the frequent ones; between tasks they lie in three byte strings, not in a table of
+#: objects).  They bound memory, not results.
 WORD_TABLE_LIMIT = 800_000
-WORDS_KEPT = 50_000
+WORDS_KEPT = 400_000
 #: Words encoded in one call.
 WORDS_AT_ONCE = 2_000
 #: A run of sentence marks that ends a word after a letter or digit is a piece of its own
@@ -63,6 +64,21 @@ class WordTable:
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.kept = (b"", b"", np.zeros(0, np.int64))
+
+    def open(self) -> "WordTable":
+        """The table for a task: what the last task packed away."""
+        words, ids, ends = self.kept
+        ends = ends.tolist()
+        self.known = dict(zip(words.split(), [ids[i:j] for i, j in zip([0, *ends], ends)]))
+        return self
+
+    def close(self) -> None:
+        """Pack the words met first away until the next task; words hold no white space."""
+        self.trim()
+        ids = list(self.known.values())
+        self.kept = (b" ".join(self.known), b"".join(ids), np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
+        self.known = {}
 
     def _alone(self, words: list[bytes]) -> None:
         for e, w in zip(self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), words):
@@ -109,7 +125,7 @@ class WordTable:
         if None in parts:
             if len(self.known) > WORD_TABLE_LIMIT:
                 self.trim()
-            self._learn(dict.fromkeys(words))
+            self._learn(set(words).difference(self.known))
             parts = map(self.known.__getitem__, words)
         return b"".join(parts)
 
@@ -122,7 +138,7 @@ def word_table(tokenizer_file: str, id_type: str) -> WordTable:
     key = (tokenizer_file, id_type)
     if key not in _tables:
         _tables[key] = WordTable(tokenizer_file, id_type)
-    return _tables[key]
+    return _tables[key].open()
 
 
 def _token_rows(tokenizer_file: str, end_id: int, id_type: str):
@@ -143,7 +159,7 @@ def _token_rows(tokenizer_file: str, end_id: int, id_type: str):
                  pa.array(np.full(len(n), task, np.int32))],
                 names=["doc_id", "ids", "n", "local_start", "task"])
             start = int(ends[-1]) if len(n) else start
-        table.trim()
+        table.close()
         give_back()
     return run
 
@@ -156,7 +172,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = 1, text_col: st
     vocabularies of 65,536 entries or more).
     """
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     tokens = rows.mapInArrow(_token_rows(tokenizer_file, end_id, "<u4" if wide_ids else "<u2"),
                              "doc_id long, ids binary, n long, local_start long, task int")
     return materialize(tokens, "pack")
