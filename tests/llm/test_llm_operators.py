@@ -303,6 +303,55 @@ def test_join_counts_all_links(spark, monkeypatch, block):
     assert len(out) == len(pairs) and all(r["n_links"] == want[r["doc_id"]] for r in out)
 
 
+def test_list_blocks_skip_no_pair():
+    """The pairs of block-skipped lists against every pair of every list."""
+    rng = np.random.default_rng(3)
+    for num, den in ((90, 100), (80, 100)):
+        rows = []
+        for token in range(60):
+            for sid in rng.choice(500, rng.integers(1, 65), replace=False):
+                n = int(rng.integers(1, 60))
+                rows.append((token, n, int(rng.integers(0, n)), int(sid)))
+        token, n, position, sid = (np.array(c) for c in zip(*sorted(rows)))
+        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        at = np.flatnonzero(np.bincount(token)[token] > 1)
+        got = ngram_join._list_pairs(at, starts, sid, n, position, num, den)
+        want = {(min(sid[x], sid[y]), max(sid[x], sid[y])) for x in range(len(sid)) for y in range(x + 1, len(sid))
+                if token[x] == token[y] and ngram_join._fits(n[x], position[x], n[y], position[y], num, den)}
+        assert {tuple(p) for p in got.T.tolist()} == want and want
+
+
+def test_derived_answers_equal_overlaps(monkeypatch):
+    """A set's answers from a similar set's, against plain intersections; near copies look up only what differs."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(300) > 0.02], rng.integers(0, 1 << 62, 3, dtype=np.uint64)))) for _ in range(40)]
+    sets += [np.unique(rng.integers(0, 1 << 62, 20, dtype=np.uint64)), base[:1], np.unique(base)]
+    left, right = np.arange(0, len(sets), 2), np.arange(len(sets))
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    assert ngram_join._answers(sets, left, right).tolist() == want
+    assert ngram_join._answers(sets, left[:1], right[40:41]).tolist() == [[len(np.intersect1d(sets[0], sets[40]))]]
+
+
+def test_keep_one_with_the_pipeline_settings(spark):
+    """Five words, 0.8: planted near copies leave one of each group, clean documents all stay."""
+    import random
+    rng = random.Random(17)
+    pairs, clean = [], []
+    for size in (90, 12, 2, 1, 1, 1):
+        body = [f"w{rng.randrange(10_000)}" for _ in range(80)]
+        for _ in range(size):
+            own = list(body)
+            if size > 1 and rng.random() < 0.8:
+                own[rng.randrange(80)] = f"x{rng.randrange(50)}"
+            pairs.append((len(pairs), " ".join(own)))
+        if size == 1:
+            clean.append(len(pairs) - 1)
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(5)
+    kept = sorted(r["doc_id"] for r in rows_of(ngram_join.keep_one(docs, k=5, num=80, den=100)))
+    assert kept == sorted({c for _, _, c in joined(pairs, 5, 80, 100)}) and set(clean) <= set(kept)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (7, 200), (5, 5)]
     out = {r["node"]: r["component"] for r in rows_of(components.components(spark.createDataFrame(edges, "a long, b long")))}

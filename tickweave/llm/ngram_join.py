@@ -5,9 +5,10 @@ ones first (frequencies from a count sketch of fixed size; any order is exact,
 a good one is quick), and its prefix goes into inverted lists.  Two sets that
 reach the threshold share a shingle in their prefixes.
 
-Lists are sorted by set size.  Scanning a list stops at the first set that is
-too large, and pairs whose positions leave too little room for the needed
-overlap are skipped.  Short lists give their remaining pairs at once.  In long
+Lists are sorted by set size and position and cut into blocks.  Scanning a list
+stops at the first block whose sets are too large, and a block whose least
+position leaves too little room for the needed overlap is skipped whole.  Short
+lists give the pairs of the remaining blocks at once.  In long
 lists — the copies of large groups — a few pivot sets at a time are compared
 with the whole list.  From the overlaps with a list's first pivot, the answers
 of the other sets follow without comparing them: x and y overlap in at least
@@ -16,7 +17,10 @@ min(|x|-|x∩q|, |y|-|y∩q|).  Pairs that are already in one component are not
 compared either; all others are, so no link between different groups is lost.
 
 Links are counted whole: where both sets of a pair are in long lists, the sets
-of a component are dealt to blocks, and each two blocks are compared in full.
+of a component are dealt to blocks, and each two blocks meet once.  There the
+answers of a set, its overlaps with all sets of the other block, are derived
+from those of a highly similar set: only the shingles in which the two differ
+are looked up, added for those gained and taken away for those lost.
 
 Defined results: a text without words (or null) has no shingles and links with
 nothing; fewer words than ``k`` are one shingle; repeated rows have equal sets
@@ -46,12 +50,14 @@ PIECES = 64
 FILTER_BITS = 1 << 25
 #: Lists up to this length give all their pairs at once.
 SHORT_LIST = 64
+#: Entries of a block of a sorted list.
+LIST_BLOCK = 8
+#: Entries whose blocks are looked at together, and bytes of a bucket of lists, on average.
+SCAN_STEP, BUCKET_BYTES = 1 << 18, 64 << 20
 #: Sets of one comparison group at most, on average.
 GROUP_SETS = 256
 #: Sets of a counting block, and members of all its sets, at most on average.
 BLOCK_SETS, BLOCK_MEMBERS = 512, 1 << 20
-#: Shingles that two blocks are compared on at a time.
-BLOCK_COLUMNS = 4096
 #: Pivots of long lists by round; the last round takes what is left.
 PIVOTS = (1, 16, 256)
 
@@ -137,8 +143,8 @@ def _document_bits(doc_id: np.ndarray, digest: np.ndarray) -> np.ndarray:
     return (mix(mix(doc_id.view(np.uint64)) + digest.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def _document_filter(wanted: DataFrame) -> np.ndarray:
-    """Bits of the wanted (rep, rep_digest)."""
+def _filter_bits(wanted: DataFrame) -> np.ndarray:
+    """Packed bits of the wanted keys, the first two columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS, bool)
         for batch in batches:
@@ -146,8 +152,25 @@ def _document_filter(wanted: DataFrame) -> np.ndarray:
         if bits.any():
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(PIECES, dtype=np.int32)), _pieces(np.packbits(bits))], names=["piece", "counters"])
 
-    parts = wanted.select("rep", "rep_digest").mapInArrow(run, "piece int, counters binary")
-    return np.unpackbits(_gathered(parts, np.uint8, FILTER_BITS // 8, np.bitwise_or)).astype(bool)
+    return _gathered(wanted.mapInArrow(run, "piece int, counters binary"), np.uint8, FILTER_BITS // 8, np.bitwise_or)
+
+
+def _passes(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the packed bits at these numbers are set."""
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+
+
+def _asked_for(sets: DataFrame, sid: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that may be among ``sid``, so that a join does not shuffle the others."""
+    asked = sid.toDF("sid")
+    bits = sets.sparkSession.sparkContext.broadcast(_filter_bits(asked.select("sid", F.col("sid").alias("again"))))  # FILTER_BITS bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.array(batch.column(0), np.int64)
+            yield batch.filter(pa.array(_passes(bits.value, _document_bits(own, own))))
+
+    return sets.mapInArrow(run, "sid long, members binary")
 
 
 def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -195,6 +218,37 @@ def _prefixes(sketch, k: int, num: int, den: int, buckets: int):
     return run
 
 
+def _list_pairs(at: np.ndarray, starts: np.ndarray, sid: np.ndarray, n: np.ndarray, position: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Pairs (less, greater) of the entries ``at`` with later ones of their lists; blocks that cannot hold a partner are skipped."""
+    ends = np.append(starts[1:], len(sid))
+    blocks = -(-(ends - starts) // LIST_BLOCK)
+    before = np.cumsum(blocks) - blocks  # the first block of each list
+    of = np.repeat(np.arange(len(starts)), blocks)
+    low = starts[of] + (np.arange(len(of)) - before[of]) * LIST_BLOCK
+    high = np.minimum(low + LIST_BLOCK, ends[of])
+    smallest, largest, earliest = n[low], n[high - 1], np.minimum.reduceat(position, low)
+    own = np.searchsorted(low, at, "right") - 1
+    in_list = of[own]
+    out = [np.zeros((2, 0), np.int64)]
+    while len(at):
+        # sizes ascend, so a block of sets that are all too large ends the scan of the list for good
+        go = np.flatnonzero(n[at] * den >= smallest[own] * num)
+        at, own, in_list = at[go], own[go], in_list[go]
+        room = 1 + np.minimum(n[at] - position[at] - 1, largest[own] - earliest[own] - 1)
+        may = np.flatnonzero(room >= _needed(n[at], smallest[own], num, den))
+        x = np.repeat(at[may], LIST_BLOCK)
+        y = (low[own[may]][:, None] + np.arange(LIST_BLOCK)).ravel()
+        inside = (y < np.repeat(high[own[may]], LIST_BLOCK)) & (y > x)
+        x, y = x[inside], y[inside]
+        ok = _fits(n[x], position[x], n[y], position[y], num, den)
+        x, y = sid[x[ok]], sid[y[ok]]
+        out.append(np.stack((np.minimum(x, y), np.maximum(x, y))))
+        own = own + 1
+        more = np.flatnonzero((own < len(of)) & (of[np.minimum(own, len(of) - 1)] == in_list))
+        at, own, in_list = at[more], own[more], in_list[more]
+    return np.unique(np.concatenate(out, axis=1), axis=1)
+
+
 def _scan_lists(num: int, den: int):
     """Group function: the pairs of short lists, and the members of long ones."""
     names = ["token", "a", "b", "n", "position"]
@@ -203,7 +257,7 @@ def _scan_lists(num: int, den: int):
         token, sid, n, position = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)])
                                    for c, t in (("token", np.uint64), ("sid", np.uint64), ("n", np.uint32), ("position", np.uint32)))
         n, position = n.astype(np.int64), position.astype(np.int64)
-        order = np.lexsort((sid, n, token))
+        order = np.lexsort((sid, position, n, token))
         token, sid, n, position = token[order], sid[order], n[order], position[order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
@@ -215,15 +269,7 @@ def _scan_lists(num: int, den: int):
             yield pa.RecordBatch.from_arrays([pa.array(token[long].view(np.int64)), pa.array(sid[long].view(np.int64)), pa.nulls(len(long), pa.int64()),
                                               pa.array(n[long]), pa.array(position[long])], names=names)
         at = np.flatnonzero((length > 1) & (length <= SHORT_LIST))
-        found = []
-        for step in range(1, SHORT_LIST):
-            at = at[at + step < len(token)]
-            # a larger partner at this distance ends the scan of the list for good
-            at = at[(token[at + step] == token[at]) & (n[at] * den >= n[at + step] * num)]
-            if not len(at):
-                break
-            ok = at[_fits(n[at], position[at], n[at + step], position[at + step], num, den)]
-            found.append(np.stack((np.minimum(sid[ok].view(np.int64), sid[ok + step].view(np.int64)), np.maximum(sid[ok].view(np.int64), sid[ok + step].view(np.int64)))))
+        found = [_list_pairs(at[i:i + SCAN_STEP], starts, sid.view(np.int64), n, position, num, den) for i in range(0, len(at), SCAN_STEP)]
         if found:
             pairs = np.unique(np.concatenate(found, axis=1), axis=1)
             empty = pa.nulls(pairs.shape[1], pa.int64())
@@ -258,21 +304,41 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return by_group(held.unionByName(asked), ["a", "part"], ["kind"], compare, "a long, b long, n_a long, n_b long, overlap long")
 
 
-def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Members that each of the ``left`` sets shares with each other set of the ``right`` ones."""
-    both = np.zeros((len(left), len(right)), np.int64)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    token, at = np.unique(np.concatenate(sets), return_inverse=True)
-    shared = np.bincount(at, minlength=len(token)) > 1
-    keep = shared[at]
-    owner, at = owner[keep], (np.cumsum(shared) - 1)[at[keep]]
+def _answers(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Overlaps of each of the ``left`` sets with each of the ``right`` ones.
+
+    Sets that share their least shingles follow one another, and a set's
+    answers come from those of the set before it by the shingles in which they
+    differ; only a set that differs in more than it holds is looked up whole.
+    """
+    token = np.unique(np.concatenate([sets[i] for i in right]))
+    owner = np.repeat(np.arange(len(right)), [len(sets[i]) for i in right])
+    at = np.searchsorted(token, np.concatenate([sets[i] for i in right]))
     order = np.argsort(at, kind="stable")
-    owner, at = owner[order], at[order]
-    for low in range(0, int(shared.sum()), BLOCK_COLUMNS):
-        i, j = np.searchsorted(at, (low, low + BLOCK_COLUMNS))
-        has = np.zeros((len(sets), BLOCK_COLUMNS), np.float32)
-        has[owner[i:j], at[i:j] - low] = 1
-        both += (has[left] @ has[right].T).astype(np.int64)  # whole numbers up to BLOCK_COLUMNS are exact
+    rows, begin = owner[order], np.searchsorted(at[order], np.arange(len(token) + 1))
+
+    def look_up(members: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(token, members), len(token) - 1)
+        at = at[token[at] == members]
+        size = begin[at + 1] - begin[at]
+        entry = np.arange(size.sum()) + np.repeat(begin[at] - (np.cumsum(size) - size), size)
+        return np.bincount(rows[entry], minlength=len(right))
+
+    least = np.zeros((4, len(left)), np.uint64)
+    for column, i in enumerate(left):
+        some = sets[i][:4]
+        least[:len(some), column] = some
+    both = np.zeros((len(left), len(right)), np.int64)
+    like = answer = None
+    for row in np.lexsort(least[::-1]).tolist():
+        own = sets[left[row]]
+        if like is not None:
+            gained, lost = np.setdiff1d(own, like, assume_unique=True), np.setdiff1d(like, own, assume_unique=True)
+        if like is None or len(gained) + len(lost) > len(own):
+            answer = look_up(own)
+        else:
+            answer = answer + look_up(gained) - look_up(lost)
+        both[row], like = answer, own
     return both
 
 
@@ -280,10 +346,9 @@ def _block_links(dealt: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     """(sid, n_links): links of each set of (sid, component, n) with the others of its component there."""
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("parts")
     large = dealt.groupBy("component").agg(parts).where(F.col("parts") > 1)
-    # a row for BLOCK_SETS sets, or BLOCK_MEMBERS members, of the input at most
-    dealt = dealt.join(F.broadcast(large), "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.join(large, "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")).drop("n")
-    rows = dealt.join(sets.hint("merge"), "sid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = dealt.join(_asked_for(sets, dealt.select("sid")).hint("merge"), "sid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "members")
 
     def count(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -293,7 +358,9 @@ def _block_links(dealt: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
         size = np.array([len(s) for s in sets], np.int64)
         _, i, j = key
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        linked = _common(sets, left, right) >= _needed(size[left][:, None], size[right], num, den)
+        if not len(left) or not len(right):  # a block without sets
+            return
+        linked = _answers(sets, left, right) >= _needed(size[left][:, None], size[right], num, den)
         n_links = np.zeros(len(sid), np.int64)
         if i == j:
             np.fill_diagonal(linked, False)
@@ -345,7 +412,9 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
     classes = sizes.where(F.col("n") > 0).groupBy("sid", "check", "n").agg(least).select("sid", "check", "n", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("rep_digest"))
     classes = materialize(classes, "join")
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a prefix entry is 24 bytes; buckets of one partition are read one after another
+    entry = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + 1)).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-24 * int(entry) // BUCKET_BYTES))
     entries = rows.select("text").mapInArrow(_prefixes(sketch, k, num, den, buckets), "bucket int, token binary, sid binary, n binary, position binary")
     scanned = by_group(entries, ["bucket"], [], _scan_lists(num, den), "token long, a long, b long, n long, position long")
     scanned = materialize(scanned, "join")
@@ -355,11 +424,11 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
 
     # the sets to compare, from one document of each class
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(lists.select("sid")).distinct()
-    bits = spark.sparkContext.broadcast(_document_filter(classes.join(wanted, "sid", "left_semi")))  # FILTER_BITS bits
+    bits = spark.sparkContext.broadcast(_filter_bits(classes.join(wanted, "sid", "left_semi").select("rep", "rep_digest")))  # FILTER_BITS bits
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen = batch.filter(pa.array(bits.value[_document_bits(*_keys(batch))]))
+            chosen = batch.filter(pa.array(_passes(bits.value, _document_bits(*_keys(batch)))))
             for _, _, key, off in _parts(chosen, 2, k):
                 sid, _ = set_ids(key, off)
                 yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array([key[i:j].tobytes() for i, j in zip(off, off[1:])], pa.binary())], names=["sid", "members"])
@@ -389,7 +458,8 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
         lists = materialize(own.join(mixed.select("token"), "token", "left_semi"), "join")
         found = materialize(_pivot_pairs(lists, low, high, num, den, known), "join")
         lists = lists.drop("component")
-        more = _overlaps(found.where(F.col("open") & ~F.col("sure")).select("a", "b"), sets).where(linked).select("a", "b")
+        asked = found.where(F.col("open") & ~F.col("sure")).select("a", "b")
+        more = _overlaps(asked, _asked_for(sets, asked.select(F.explode(F.array("a", "b"))))).where(linked).select("a", "b")
         links = materialize(links.unionByName(found.where("sure").select("a", "b")).unionByName(more).distinct(), "join")
         low = high
     links = materialize(links, "join")
