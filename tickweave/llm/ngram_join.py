@@ -170,7 +170,23 @@ def _asked_for(sets: DataFrame, sid: DataFrame) -> DataFrame:
             own = np.array(batch.column(0), np.int64)
             yield batch.filter(pa.array(_passes(bits.value, _document_bits(own, own))))
 
-    return sets.mapInArrow(run, "sid long, members binary")
+    return sets.mapInArrow(run, "sid long, text binary")
+
+
+def _shrunk(text: bytes) -> bytes:
+    """A text as it is shuffled: less than half the bytes of its shingles' hashes, which the receiver computes."""
+    return len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+
+
+def _sets_of(texts: list[bytes], k: int) -> list[np.ndarray]:
+    """The sorted shingles of each shrunk text."""
+    sizes = np.concatenate(([0], np.cumsum([int.from_bytes(t[:8], "little") for t in texts]))).astype(np.int64)
+    out = []
+    for i, j in slices(sizes, CHUNK):
+        whole = b"".join(pa.decompress(t[8:], int(n), "zstd", asbytes=True) for t, n in zip(texts[i:j], np.diff(sizes[i:j + 1])))
+        key, off = shingle_sets(np.frombuffer(whole, np.uint8), sizes[i:j + 1] - sizes[i], k)
+        out.extend(key[x:y] for x, y in zip(off, off[1:]))
+    return out
 
 
 def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -277,22 +293,21 @@ def _scan_lists(num: int, den: int):
     return run
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _overlaps(pairs: DataFrame, sets: DataFrame, k: int) -> DataFrame:
     """(a, b, n_a, n_b, overlap) of each pair: one set of a group is compared with up to GROUP_SETS others."""
     sets = sets.hint("merge")  # neither side has a bound: the same plan at every size
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).cast("int").alias("parts"))
-    held = groups.join(sets, groups["a"] == sets["sid"]).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("b"), "members")
+    held = groups.join(sets, groups["a"] == sets["sid"]).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("b"), "text")
     asked = pairs.join(groups, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    asked = asked.join(sets, asked["b"] == sets["sid"]).select("a", "part", F.lit(1).alias("kind"), "b", "members")
+    asked = asked.join(sets, asked["b"] == sets["sid"]).select("a", "part", F.lit(1).alias("kind"), "b", "text")
 
     def compare(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        members = table.column("members")
+        texts = table.column("text")
         held = table.column("kind").to_pylist().count(0)  # more than one if copies of the set came along
-        if held in (0, len(members)):
+        if held in (0, len(texts)):
             return
-        mine = np.frombuffer(members[0].as_buffer(), np.uint64)
         b, once = np.unique(table.column("b").slice(held).to_numpy(), return_index=True)  # copies of the others
-        others = [np.frombuffer(members[held + i].as_buffer(), np.uint64) for i in once.tolist()]
+        mine, *others = _sets_of([texts[i].as_py() for i in (0, *(held + once).tolist())], k)
         size = np.array([len(o) for o in others])
         flat = np.concatenate(others)
         at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
@@ -342,19 +357,19 @@ def _answers(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     return both
 
 
-def _block_links(dealt: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _block_links(dealt: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(sid, n_links): links of each set of (sid, component, n) with the others of its component there."""
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("parts")
     large = dealt.groupBy("component").agg(parts).where(F.col("parts") > 1)
     dealt = dealt.join(large, "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")).drop("n")
     rows = dealt.join(_asked_for(sets, dealt.select("sid")).hint("merge"), "sid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "members")
+    rows = rows.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "text")
 
     def count(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch]:
         sid, once = np.unique(table.column("sid").to_numpy(), return_index=True)  # copies of a set came along
         block = table.column("block").to_numpy()[once]
-        sets = [np.frombuffer(table.column("members")[i].as_buffer(), np.uint64) for i in once.tolist()]
+        sets = _sets_of([table.column("text")[i].as_py() for i in once.tolist()], k)
         size = np.array([len(s) for s in sets], np.int64)
         _, i, j = key
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -426,20 +441,21 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(lists.select("sid")).distinct()
     bits = spark.sparkContext.broadcast(_filter_bits(classes.join(wanted, "sid", "left_semi").select("rep", "rep_digest")))  # FILTER_BITS bits
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             chosen = batch.filter(pa.array(_passes(bits.value, _document_bits(*_keys(batch)))))
-            for _, _, key, off in _parts(chosen, 2, k):
+            for i, j, key, off in _parts(chosen, 2, k):
                 sid, _ = set_ids(key, off)
-                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array([key[i:j].tobytes() for i, j in zip(off, off[1:])], pa.binary())], names=["sid", "members"])
+                texts = pa.array([_shrunk(t.as_buffer().to_pybytes()) for t in chosen.column(2).slice(i, j - i)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), texts], names=["sid", "text"])
 
-    sets = materialize(rows.mapInArrow(members, "sid long, members binary"), "join")
+    sets = materialize(rows.mapInArrow(wanted_sets, "sid long, text binary"), "join")
 
     need = F.ceil(num * (F.col("n_a") + F.col("n_b")) / (num + den))
     linked = F.col("overlap") >= need
     longest = lists.groupBy("token").count().agg(F.max("count").alias("m")).first()["m"] or 0
     first = _pivot_pairs(lists.withColumn("component", F.col("sid")), 0, PIVOTS[0], num, den).select("a", "b")
-    overlaps = materialize(_overlaps(pairs.unionByName(first).distinct() if longest else pairs, sets), "join")
+    overlaps = materialize(_overlaps(pairs.unionByName(first).distinct() if longest else pairs, sets, k), "join")
     links = overlaps.where(linked).select("a", "b")
     # the overlaps with each long list's first pivot
     known = overlaps.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), F.col("n_a").alias("n_pivot"), "overlap")
@@ -459,12 +475,12 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, text_col: str, id_col:
         found = materialize(_pivot_pairs(lists, low, high, num, den, known), "join")
         lists = lists.drop("component")
         asked = found.where(F.col("open") & ~F.col("sure")).select("a", "b")
-        more = _overlaps(asked, _asked_for(sets, asked.select(F.explode(F.array("a", "b"))))).where(linked).select("a", "b")
+        more = _overlaps(asked, _asked_for(sets, asked.select(F.explode(F.array("a", "b")))), k).where(linked).select("a", "b")
         links = materialize(links.unionByName(found.where("sure").select("a", "b")).unionByName(more).distinct(), "join")
         low = high
     links = materialize(links, "join")
     label = materialize(classes.select("sid", "n", "rep").join(components(links).withColumnRenamed("node", "sid"), "sid").select("sid", "component", "rep", "n"), "join")
-    return _members(sizes, classes, label, _counted(label, links, in_long, sets, num, den) if count else None)
+    return _members(sizes, classes, label, _counted(label, links, in_long, sets, k, num, den) if count else None)
 
 
 def _pivot_pairs(lists: DataFrame, low: int, high: int, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
@@ -499,7 +515,7 @@ def _with_known(rows: DataFrame, known: DataFrame, side: str) -> DataFrame:
     return rows.join(have, (F.col("pivot") == F.col("kp")) & (F.col(side) == F.col("ks")), "left").drop("kp", "ks")
 
 
-def _counted(label: DataFrame, links: DataFrame, in_long: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _counted(label: DataFrame, links: DataFrame, in_long: DataFrame, sets: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(sid, n_links) from all links: those found, but by blocks where both sets are in long lists, as not all of these pairs were compared."""
     in_long = materialize(in_long, "join")
     a_long, b_long = in_long.withColumnRenamed("long_sid", "a_long"), in_long.withColumnRenamed("long_sid", "b_long")
@@ -507,7 +523,7 @@ def _counted(label: DataFrame, links: DataFrame, in_long: DataFrame, sets: DataF
     found = found.where(F.col("a_long").isNull() | F.col("b_long").isNull())
     found = found.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
     dealt = label.join(in_long, F.col("sid") == F.col("long_sid"), "left_semi").select("sid", "component", "n")
-    return found.unionByName(_block_links(materialize(dealt, "join"), sets, num, den)).groupBy("sid").agg(F.sum("n_links").alias("n_links"))
+    return found.unionByName(_block_links(materialize(dealt, "join"), sets, k, num, den)).groupBy("sid").agg(F.sum("n_links").alias("n_links"))
 
 
 def _members(sizes: DataFrame, classes: DataFrame, label: DataFrame, degree: DataFrame | None) -> DataFrame:
