@@ -164,6 +164,12 @@ def merge_bars(current: DataFrame, batch: DataFrame, ts: str) -> DataFrame:
                  keep_on_match=["reg_dt", "ymd", "diff"])
 
 
+def replace_bars(current: DataFrame, batch: DataFrame) -> DataFrame:
+    """K3 by (code, date) as a join: whole rows of the batch replace stored ones.  The join keeps a
+    stored side that is bucketed by the key where it is, which the union of ``upsert`` does not."""
+    return merge(current, batch, ["code", "date"])
+
+
 def merge_items(current: DataFrame, batch: DataFrame, ts: str) -> DataFrame:
     """K4 by code: matched -> attributes + upd_dt (reg_dt kept); new -> reg_dt, upd_dt NULL."""
     return merge(current, batch, ["code"],

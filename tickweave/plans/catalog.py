@@ -360,12 +360,27 @@ def q_upsert_replace(spark, sf_dir):
 
 @query("merge_bars")
 def q_merge_bars(spark, sf_dir):
-    """U2/K5 MERGE by (code, date): matched rows keep reg_dt and get upd_dt."""
+    """U2/K5 MERGE by (code, date): matched rows keep reg_dt and get upd_dt; the stored bars are bucketed and not shuffled."""
+    current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
+    stored = X.stored_bucketed_bars(spark, sf_dir, CUT, lambda: _with_audit(current, OLD_TS))
+    return _ts_text(stored.after(batch, U.merge_bars, RUN_TS).select(*UPSERT_COLS, *AUDIT_COLS))
+
+
+@query("merge_bars_by_year")
+def q_merge_bars_by_year(spark, sf_dir):
+    """U2/K5 the same MERGE over bars that are partitioned by year alone: the touched years are shuffled by key."""
     current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
     merged = U.merge_incremental(_with_audit(current, OLD_TS), batch, ["year"], U.merge_bars, RUN_TS)
     return _ts_text(merged.select(*UPSERT_COLS, *AUDIT_COLS))
 
 
+@query("upsert_bucketed")
+def q_upsert_bucketed(spark, sf_dir):
+    """U1/K3 full-row replace written into bucketed bars, through the journal, and read back."""
+    current, batch = X.upsert_pair(_bars(spark, sf_dir), CUT)
+    return X.bucketed_bars(spark, current).apply(batch, U.replace_bars).select(*UPSERT_COLS)
+
+
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
     """R1/U2 the upsert batch arriving as staged files, merged by a streaming query with audit stamps."""

@@ -536,7 +536,8 @@ WITH {bars_cte()}, {PAIR}
 {MERGE_BARS_SELECT}
 """
 
-ORACLE["stream_upsert"] = ORACLE["merge_bars"]
+ORACLE["stream_upsert"] = ORACLE["merge_bars_by_year"] = ORACLE["merge_bars"]
+ORACLE["upsert_bucketed"] = ORACLE["upsert_replace"]
 
 ORACLE["ingest_filtered"] = f"""
 WITH {bars_cte()}, {ITEMS_CTE},

@@ -132,6 +132,26 @@ def stored_bars(spark: SparkSession, sf_dir: str, freq: str = "week") -> DataFra
     return _STORED[key]
 
 
+def bucketed_bars(spark: SparkSession, rows: DataFrame, buckets: int = 8):
+    """``rows`` (bars with a ``year``) as a new stored table bucketed by (code, date)."""
+    from ..session import scratch_path
+    from .bucketed import BucketedTable
+    path = scratch_path(spark, "bars_bucketed")
+    stored = BucketedTable(spark, f"bars_{path.rsplit('/', 1)[1]}", path, rows.schema, buckets=buckets)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    stored.load(rows)
+    return stored
+
+
+def stored_bucketed_bars(spark: SparkSession, sf_dir: str, cut: str, build):
+    """``bucketed_bars`` of the rows that ``build`` gives, written once per session, data folder and cut."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "bars_bucketed", cut)
+    if key not in _STORED:
+        _STORED[key] = bucketed_bars(spark, build())
+    return _STORED[key]
+
+
 def brand_number(code: Column) -> Column:
     return F.regexp_extract(code, r"#(\d+)$", 1).try_cast("int")
 
