@@ -573,7 +573,7 @@ def test_language_parse_equals_greedy_parse():
         assert np.rint(costs[row] * n / parser.bits).astype(int).tolist() == want
 
 
-def test_language_learns_from_texts_of_any_length(spark):
+def test_language_learns_from_texts_of_any_length(spark, monkeypatch):
     """Whole documents in hash order until the characters are reached: long ones, short ones, and some without letters."""
     import random
     rng = random.Random(4)
@@ -588,6 +588,9 @@ def test_language_learns_from_texts_of_any_length(spark):
     whole = {" ".join(t.split()) for _, t, lang in rows if lang == "short"}
     assert len(seen["long"]) == 1 and set(seen["short"][:-1]) <= whole and len(seen["short"]) > 200
     assert langid.taught(docs.repartition(1), "text", "lang", "doc_id", 10_000) == seen
+    monkeypatch.setattr(langid, "GROUPS", (1,))                 # the levels only spread the work
+    assert langid.taught(docs, "text", "lang", "doc_id", 10_000) == seen
+    monkeypatch.undo()
     assert all(r["lang_pred"] == ("long" if r["doc_id"] < 100 else "short") for r in rows_of(langid.identify(docs.where("doc_id < 1000"), docs, 10_000)))
 
 

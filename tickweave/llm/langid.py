@@ -35,6 +35,8 @@ from tickweave.session import ship_package
 
 UNKNOWN = "und"
 STRETCH = 512
+#: Groups of a language's candidate texts, level by level: a text among the first of all is among the first of its group.
+GROUPS = (4096, 64, 1)
 #: Symbols parsed side by side at most.
 AT_ONCE = 1 << 21
 SPACE, UNSEEN = 1, 2
@@ -212,9 +214,10 @@ def taught(labelled: DataFrame, text_col: str, label_col: str, id_col: str, char
     rows = labelled.select(F.col(f"`{label_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), h, F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("digest"))
     rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0))
     rows = rows.mapInArrow(_first_texts(chars_per_language), "lang string, text string, h long, digest long")
-    turn = Window.partitionBy("lang").orderBy("h", "digest", "text")
-    before = F.sum(F.length("text")).over(turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.length("text")
-    rows = rows.withColumn("before", before).where(F.col("before") < chars_per_language)
+    for groups in GROUPS:       # each task sends its own first texts, so one window a language would grow with the tasks
+        turn = Window.partitionBy("lang", F.pmod("digest", F.lit(groups))).orderBy("h", "digest", "text")
+        before = F.sum(F.length("text")).over(turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.length("text")
+        rows = rows.withColumn("before", before).where(F.col("before") < chars_per_language)
     texts: dict[str, list[str]] = {}
     for r in rows.orderBy("lang", "h", "digest", "text").collect():
         texts.setdefault(r["lang"], []).append(r["text"][:chars_per_language - r["before"]])
