@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as E
 import corpus_pipeline
 from tickweave.llm import ann, byte_bpe, components, langid, line_dedup, ngram_join, pack, perplexity, shard, suffix_dedup, textops, toxicity
+from tickweave.session import materialize
 
 SF = "/root/testdata/sf0.001"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -687,3 +688,29 @@ def test_pipeline_stages(spark, odd):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert out.agg(F.sum("length")).first()[0] > 0
+
+
+def test_pipeline_stages_against_brute_force(spark, texts, empty):
+    """Stage after stage as the definitions say: lines, one of each group of near copies, repeated strings; nothing else goes."""
+    stage = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def read(df):
+        rows = rows_of(df)
+        assert len({r["doc_id"] for r in rows}) == len(rows) and all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
+        return {r["doc_id"]: r["text"] for r in rows}
+    docs = materialize(stage["line_dedup"](spark, docs, SF), "stages")
+    left = read(docs)
+    assert left == {i: t for i, t, _, _ in lines_left(list(texts.items()))}
+    docs = materialize(stage["ngram_join"](spark, docs, SF), "stages")
+    kept = read(docs)
+    assert kept == {i: left[i] for i in {c for _, _, c in joined(left.items(), 5, 80, 100)}} and 0 < len(kept) < len(left)
+    out = read(stage["suffix_dedup"](spark, docs, SF))
+    want = {i: (size - gone, digest) for i, size, gone, _, digest in cut(kept.items())}
+    assert out.keys() == want.keys()
+    whole = [i for i in out if hashlib.sha256((out[i] or "").encode()).hexdigest() == want[i][1]]
+    assert all("\ufffd" in out[i] or len(out[i].encode()) < want[i][0] for i in out.keys() - set(whole))    # cut inside a character
+    assert len(whole) > 0.9 * len(out) and sum(texts[i] != out[i] for i in whole) > 0
+    columns = spark.read.parquet(f"{SF}/documents.parquet").columns
+    for name in ("line_dedup", "ngram_join", "suffix_dedup"):
+        assert stage[name](spark, empty.select(columns), SF).count() == 0
