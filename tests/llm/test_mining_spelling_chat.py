@@ -229,6 +229,22 @@ def test_layouts_are_chosen_by_the_paths_that_a_record_fills(spark):
     assert [tuple(r) for r in chat.canonical_turns(spark.createDataFrame([(1, "x")], "id long, other string"), "id").collect()] == [(1, None, None, None, None)]
 
 
+def test_turn_rows_are_chosen_by_their_fingerprint(spark):
+    # the table has the columns of one row per turn, but the records say which of them they fill
+    df = spark.createDataFrame(
+        [(1, 0, "user", "a", None, None, None), (1, 1, "assistant", None, None, None, "s"), (1, None, None, None, None, None, None), (2, None, None, None, "p", "c", "s"),
+         (3, 0, None, "x", "p", "c", None), (4, None, None, None, "p", None, None)],
+        "id long, turn int, role string, text string, prompt string, completion string, system string")
+    got = sorted((tuple(r) for r in chat.canonical_turns(df, "id").collect()), key=repr)
+    assert got == sorted([
+        (1, "turn_rows", 0, "user", "a"), (1, "turn_rows", 1, "assistant", ""), (1, "turn_rows", None, "user", ""),
+        (2, "prompt_completion", 0, "system", "s"), (2, "prompt_completion", 1, "user", "p"), (2, "prompt_completion", 2, "assistant", "c"),
+        (3, "turn_rows", 0, "user", "x"), (4, None, None, None, None)], key=repr)
+    # the query's rows are told by their fingerprints as well
+    plan = E.queries()["op13_chat"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert sha("role\ntext\nturn") in plan and sha("") in plan
+
+
 def test_json_records_of_mixed_layouts(spark):
     lines = [(1, '{"prompt": "p", "completion": "c"}'), (2, '{"instruction": "i", "input": "x", "output": "o", "extra": {"a": 1}}'), (3, '{"messages": [{"role": "user", "content": "m"}, {"role": "assistant", "content": "n"}]}'),
              (4, '{"conversations": [{"from": "human", "value": "q"}]}'), (5, "not json"), (6, None), (7, "{}"), (8, '{"question": "q", "answer": "a"}')]

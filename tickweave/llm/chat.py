@@ -12,14 +12,17 @@ written record alone.
 Defined results: a null text is empty; a null role is the role 'user' in a
 layout that gives roles per turn; turns come by turn number (nulls first), ties
 by role and text, repeated rows stay; records of no known layout keep a row
-with a null layout and no turns; columns that no layout names are ignored; a
-record must fit into one value (2 GB).
+with a null layout and no turns; columns that no layout names are ignored; in a
+table with the columns of one row per turn, a record that fills any of them, or
+no known path at all, is a turn, and its other columns are ignored; a record
+must fit into one value (2 GB).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +36,9 @@ class Layout:
 
     ``turns`` lists (role, path) for texts at fixed paths, several paths joined
     by a blank line; ``messages`` is (array, role path, text path) for lists;
-    ``by_row`` is (turn path, role path, text path) for one row per turn, known
-    by the table's schema as any of its values may be null.
+    ``by_row`` is (turn path, role path, text path) for one row per turn; any of
+    its values may be null, so every subset of its paths marks it where the
+    table has them all.
     """
 
     name: str
@@ -96,21 +100,37 @@ def fingerprint(paths: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(paths), "\n"), 256)
 
 
+def _row_layout(schema: T.StructType, layouts: tuple[Layout, ...]) -> Layout | None:
+    """The layout of one row per turn whose paths the table has."""
+    have = set(paths_of(schema))
+    return next((x for x in layouts if x.by_row and set(x.needs) <= have), None)
+
+
 def row_fingerprint(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """The fingerprint of the known paths that a row fills; an array fills its elements' paths unless it is null."""
-    known = _known(layouts)
-    filled = [F.when(_at(p.split("[]")[0]).isNotNull(), F.lit(p)) for p in paths_of(schema) if p in known]
-    return fingerprint(F.filter(F.array(*filled), lambda p: p.isNotNull()) if filled else F.array().cast("array<string>"))
+    """The fingerprint of the known paths that a row fills; an array fills its elements' paths unless it is null.
+
+    A row that fills paths of the table's layout by rows counts with these alone.
+    """
+    def filled(paths: set[str]) -> Column:
+        marks = [F.when(_at(p.split("[]")[0]).isNotNull(), F.lit(p)) for p in paths_of(schema) if p in paths]
+        return F.filter(F.array(*marks), lambda p: p.isNotNull()) if marks else F.array().cast("array<string>")
+
+    paths, rows = filled(_known(layouts)), _row_layout(schema, layouts)
+    if rows:
+        own = filled({*rows.needs, *rows.may})
+        paths = F.when(F.size(own) > 0, own).otherwise(paths)
+    return fingerprint(paths)
 
 
 def _selected(layouts: tuple[Layout, ...]) -> list[tuple[Layout, list[str]]]:
-    """Each layout's path lists: its needed paths with every subset of those that may be missing."""
+    """Each layout's path lists: its needed paths with every subset of those that may be missing (one row per turn: of all)."""
     out = []
     for x in layouts:
+        needs, may = ((), x.needs + x.may) if x.by_row else (x.needs, x.may)
         subsets = [[]]
-        for p in x.may:
+        for p in may:
             subsets += [s + [p] for s in subsets]
-        out += [(x, sorted([*x.needs, *s])) for s in subsets]
+        out += [(x, sorted([*needs, *s])) for s in subsets]
     return out
 
 
@@ -128,6 +148,9 @@ def _mapping(layout: Layout, have: list[str]) -> Column:
             return turn(i, F.coalesce(names[r], r, F.lit("user")) if names is not None else F.coalesce(r, F.lit("user")), m[text].cast("string"))
 
         return F.transform(_at(array), message)
+    if layout.by_row:
+        number, role, text = (_at(p) for p in layout.by_row)
+        return F.array(turn(number, F.coalesce(role.cast("string"), F.lit("user")), text.cast("string")))
     used = [(role, [p for p in paths if p in have]) for role, paths in layout.turns]
     return F.array(*[turn(F.lit(i), F.lit(role), F.concat_ws("\n\n", *[_at(p).cast("string") for p in paths])) for i, (role, paths) in enumerate((r, p) for r, p in used if p)])
 
@@ -135,22 +158,22 @@ def _mapping(layout: Layout, have: list[str]) -> Column:
 def canonical_turns(records: DataFrame, id_col: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(record_id, layout, turn, role, text): the turns of every record, by the mapping that its fingerprint selects."""
     schema = records.schema
-    have = set(paths_of(schema))
-    key = F.col(f"`{id_col}`").alias("record_id")
-    for x in layouts:
-        if x.by_row and set(x.needs) <= have:
-            number, role, text = (_at(p) for p in x.by_row)
-            return records.select(key, F.lit(x.name).alias("layout"), number.cast("long").alias("turn"),
-                                  F.coalesce(role.cast("string"), F.lit("user")).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
-    choices = [(x, paths) for x, paths in _selected(layouts) if not x.by_row and set(paths) <= have]
-    # clashing columns give way: the marks are struct fields, and the record's own columns are read before
-    marked = records.select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("record"), row_fingerprint(schema, layouts).alias("mark"),
-                            *[_mapping(x, paths).alias(f"turns_{i}") for i, (x, paths) in enumerate(choices)])
+    have, rows = set(paths_of(schema)), _row_layout(schema, layouts)
+    choices = [(x, paths) for x, paths in _selected(layouts) if set(paths) <= have and (x is rows or not x.by_row)]
+    # one mapping for each layout and its paths that say where turns are; one row per turn has one for all its path lists
+    mappings: list[tuple[Layout, list[list[str]]]] = []
+    for x, paths in choices:
+        if x.by_row and mappings and mappings[-1][0] is x:
+            mappings[-1][1].append(paths)
+        else:
+            mappings.append((x, [paths]))
+    marked = records.select(F.col(f"`{id_col}`").alias("record_id"), row_fingerprint(schema, layouts).alias("mark"),
+                            *[_mapping(x, lists[0]).alias(f"turns_{i}") for i, (x, lists) in enumerate(mappings)])
     name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<turn:bigint,role:string,text:string>>")
-    for i, (x, paths) in enumerate(choices):
-        hit = F.col("mark") == fingerprint(F.array(*[F.lit(p) for p in paths]))
+    for i, (x, lists) in enumerate(mappings):
+        hit = F.col("mark").isin(*[sha256("\n".join(paths).encode()).hexdigest() for paths in lists])
         name, turns = F.when(hit, F.lit(x.name)).otherwise(name), F.when(hit, F.col(f"turns_{i}")).otherwise(turns)
-    told = marked.select(F.col(f"record.`{id_col}`").alias("record_id"), name.alias("layout"), F.explode_outer(turns).alias("t"))
+    told = marked.select("record_id", name.alias("layout"), F.explode_outer(turns).alias("t"))
     return told.select("record_id", "layout", "t.turn", "t.role", "t.text")
 
 
