@@ -1,6 +1,7 @@
 """The operators against brute force on the smallest tables, and on rows of every odd kind."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -227,6 +228,50 @@ def test_word_table_equals_tokenizer(texts):
         assert np.frombuffer(table.ids(x.encode()), "<u4").tolist() == table.tokenizer.encode(x, add_special_tokens=False).ids
 
 
+def test_word_table_ends_of_marks_equal_tokenizer():
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    rnd = random.Random(11)
+    bodies = ["word", "3", "x3", "été", "It's", "l'a", "É", "a.b", "<|endoftext", "ß", "×", "σας", "ΣΑΣ", "", "e\u0301", "y\x1c", "\u4e2d", "don't", "o'"]
+    words = [b + m for b in bodies for m in marks] + [b + "".join(rnd.choices(marks, k=rnd.randint(1, 5))) for b in bodies for _ in range(60)]
+    rnd.shuffle(words)
+    table = pack.WordTable(WORD_BPE, "<u4")
+    for x in [" ".join(words), *words, "<|endoftext|> <|startoftext|>, a<|endoftext|>"]:
+        table.known = {}
+        assert np.frombuffer(table.ids(x.encode()), "<u4").tolist() == table.tokenizer.encode(x, add_special_tokens=False).ids
+
+
+def test_word_table_looks_up_and_encodes_no_word_twice():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            self.asked += 1
+            return super().get(*a)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    class Encoder:
+        def __init__(self, inner):
+            self.inner, self.seen = inner, []
+
+        def encode_batch_fast(self, texts, **kw):
+            self.seen += [w for t in texts for w in t.split()]
+            return self.inner.encode_batch_fast(texts, **kw)
+
+    table = pack.WordTable(WORD_BPE, "<u4")
+    table.ids(b"alpha beta")
+    plain = table.tokenizer
+    table.known, table.tokenizer = Counted(table.known), Encoder(plain)
+    text = "alpha beta " * 500 + "gamma alpha&&& gamma alpha###"
+    assert np.frombuffer(table.ids(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    # one look at each of the 1,004 words and a few more for those that were unknown
+    assert table.known.asked < 1_030
+    # marks at a word's end are encoded apart, a known body not again
+    assert sorted(table.tokenizer.seen) == ["###", "&&&", "gamma"]
+
+
 # --- n-gram join -----------------------------------------------------------------
 
 def shingles(text, k):

@@ -38,9 +38,10 @@ WORD_TABLE_LIMIT = 800_000
 WORDS_KEPT = 400_000
 #: Words encoded in one call.
 WORDS_AT_ONCE = 2_000
-#: A run of sentence marks that ends a word after a letter or digit is a piece of its own
+#: A run of ASCII marks that ends a word after a letter or digit is a piece of its own
 #: (the last class: Latin-1 letters in UTF-8, without the two signs among them).
-_TAIL_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[.,;:!?]+\Z")
+_TAIL_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[!-/:-@\[-`{-~]+\Z")
+_MARKS = frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 class WordTable:
@@ -49,7 +50,7 @@ class WordTable:
     For tokenizers like the public one: text is lower-cased, white space only
     separates, runs of letters and runs of marks are pieces of their own, and
     a piece's last token ends with ``</w>``.  A text's ids are then its words'
-    ids in turn, and each word needs encoding once, its sentence marks apart.
+    ids in turn, and each word needs encoding once, the marks at its end apart.
     Words of letters are encoded many at a time and told apart by the word ends; should their
     number not agree, and for all other words, each is encoded alone.
     """
@@ -85,15 +86,17 @@ class WordTable:
             self.known[w] = np.array(e.ids, self.id_type).tobytes()
 
     def _learn(self, words: Iterable[bytes]) -> None:
+        """Add distinct unknown words to the table."""
         known, new, tails = self.known, {}, []
         for w in words:
-            if w not in known:
-                if w[-1] < 64 and (m := _TAIL_MARKS.search(w)):
-                    parts = w[:m.start()], m.group()
-                    tails.append((w, *parts))
-                    new.update((p, None) for p in parts if p not in known)
-                else:
-                    new[w] = None
+            if w[-1] in _MARKS and (m := _TAIL_MARKS.search(w)):
+                parts = w[:m.start()], m.group()
+                tails.append((w, *parts))
+                for p in parts:
+                    if p not in known:
+                        new[p] = None
+            else:
+                new[w] = None
         self._encode(list(new))
         known.update((w, known[body] + known[marks]) for w, body, marks in tails)
 
@@ -125,8 +128,12 @@ class WordTable:
         if None in parts:
             if len(self.known) > WORD_TABLE_LIMIT:
                 self.trim()
-            self._learn(set(words).difference(self.known))
-            parts = map(self.known.__getitem__, words)
+            # only the places of unknown words are looked up again
+            gaps = [i for i, p in enumerate(parts) if p is None]
+            self._learn({words[i] for i in gaps})
+            known = self.known
+            for i in gaps:
+                parts[i] = known[words[i]]
         return b"".join(parts)
 
 
